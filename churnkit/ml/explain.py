@@ -28,7 +28,7 @@ def node_table(model, path: str) -> DataFrame:
 
 def stored_nodes(spark: SparkSession, path: str) -> DataFrame:
     nodes = spark.read.parquet(f"{path}/data")
-    weights = spark.read.parquet(f"{path}/treesMetadata").select("treeID", F.col("weights").alias("tree_weight"))
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "tree_weight").drop("metadata")
     node = F.col("nodeData")
     return nodes.join(weights, "treeID").select(
         F.col("treeID").alias("tree"),

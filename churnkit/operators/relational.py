@@ -134,11 +134,11 @@ def histogram(df: DataFrame, column: str, edges: Sequence[float], labels: Sequen
 def column_spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample standard deviation per column, one row each, from a single pass."""
     wide = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "feature", "std")
+    return wide.unpivot([], list(columns), "feature", "std").withColumn("is_constant", F.col("std") == 0)
 
 
 def zero_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return column_spread(df, columns).filter(F.col("std") == 0).select("feature")
+    return column_spread(df, columns).filter("is_constant").select("feature")
 
 
 # --- order ------------------------------------------------------------------

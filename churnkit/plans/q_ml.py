@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from churnkit.ml import explain, folds, matrix, metrics, select, train
-from churnkit.operators.relational import zero_variance
+from churnkit.operators.relational import column_spread
 from churnkit.plans.oracle_base import DAY, rnd
 from churnkit.plans.registry import query
 from churnkit.schemas import MODEL_INPUTS, NUMERIC_FEATURES
@@ -46,11 +46,14 @@ def _(s):
     return matrix.class_balance(_matrix(s))
 
 
-@query("zero_variance", "\nUNION ALL ".join(
-    f"SELECT '{c}' AS feature FROM matrix_rows HAVING stddev_samp({c}) = 0" for c in MODEL_INPUTS
-).join(["SELECT feature FROM (WITH matrix_rows AS MATERIALIZED (" + _MATRIX + ") ", ")"]))
+# The constant column shows a hit; the model inputs are the real check.
+_WATCHED = (*MODEL_INPUTS, "always_one")
+_SPREADS = " UNION ALL ".join(f"SELECT '{c}' AS feature, stddev_samp({c}) = 0 AS is_constant FROM inputs" for c in _WATCHED)
+
+
+@query("zero_variance", f"SELECT * FROM (WITH inputs AS MATERIALIZED (SELECT *, 1 AS always_one FROM ({_MATRIX})) {_SPREADS})")
 def _(s):
-    return zero_variance(_matrix(s), MODEL_INPUTS)
+    return column_spread(_matrix(s).withColumn("always_one", F.lit(1.0)), _WATCHED).select("feature", "is_constant")
 
 
 @query("ml_folds", """

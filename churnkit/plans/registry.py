@@ -34,17 +34,8 @@ class Source:
         return Tables(self.spark, self.folder)
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        t = self.t
-        return {
-            "agents": adapters.agents(t),
-            "companies": adapters.companies(t),
-            "contacts": adapters.contacts(t),
-            "subscriptions": adapters.subscriptions(t),
-            "nps": adapters.nps(t),
-            "tickets": adapters.tickets(t),
-            "events": adapters.product_events(t),
-        }
+    def raw(self) -> adapters.RawTables:
+        return adapters.RawTables(self.t)
 
     @cached_property
     def stored(self) -> Warehouse:

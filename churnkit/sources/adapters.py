@@ -6,6 +6,7 @@ Each formula is deterministic arithmetic on the given columns, so the raw rows g
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ FACTOR_STEPS = {
 
 @dataclass
 class Tables:
-    """The given Parquet tables of one folder."""
+    """The given Parquet tables of one folder, each opened when first named."""
 
     spark: SparkSession
     folder: str
@@ -38,7 +39,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = table
+        return table
 
 
 def _load_stamp(df: DataFrame, source: str) -> DataFrame:
@@ -292,3 +295,33 @@ def scored_labels(t: Tables) -> DataFrame:
         ((F.pmod(F.col("doc_id") * 7919, F.lit(70)) + F.col("quality") * 30) / 100).cast("double").alias("score"),
         F.pmod(F.col("doc_id"), F.lit(3)).cast("int").alias("part"),
     )
+
+
+READERS = {
+    "agents": agents,
+    "companies": companies,
+    "contacts": contacts,
+    "subscriptions": subscriptions,
+    "nps": nps,
+    "tickets": tickets,
+    "events": product_events,
+}
+
+
+class RawTables(Mapping):
+    """The seven raw frames by short name, each planned when first asked for."""
+
+    def __init__(self, tables: Tables):
+        self._tables = tables
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = READERS[name](self._tables)
+        return self._planned[name]
+
+    def __iter__(self):
+        return iter(READERS)
+
+    def __len__(self) -> int:
+        return len(READERS)
