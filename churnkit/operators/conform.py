@@ -27,6 +27,14 @@ from churnkit.sources.tables import drop_meta
 
 RECENCY = ("_ingested_at",)
 
+# Order in which equally new copies of a key are compared. The columns the summaries use come first, so a
+# lean read, which drops the columns behind them (free text above all), keeps the very same values.
+COMPANY_ORDER = ("assigned_cs_agent_id", "company_size", "base_mrr", "subscription_start_date")
+SUBSCRIPTION_ORDER = ("company_id", "mrr", "start_date", "end_date", "status", "billing_cycle")
+TICKET_ORDER = ("company_id", "priority", "status", "sentiment_score", "created_at", "ttr_hours", "assigned_agent_id")
+EVENT_ORDER = ("company_id", "event_type", "event_timestamp", "contact_id")
+NPS_ORDER = ("company_id", "nps_score", "survey_date")
+
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(all_of([F.col(c).isNotNull() for c in columns]))
@@ -36,8 +44,11 @@ def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
 
 
-def _unique(raw: DataFrame, key: str) -> DataFrame:
-    return dedup_latest(require(raw, [key]), [key], RECENCY)
+def _unique(raw: DataFrame, key: str, order: Sequence[str] = (), lean: bool = False) -> DataFrame:
+    rest = [c for c in raw.columns if c not in {key, *RECENCY, *order}]
+    compared = [*order] if lean else [*order, *rest]
+    rows = require(raw, [key]).select(key, *RECENCY, *compared)
+    return drop_meta(dedup_latest(rows, [key], RECENCY, compared))
 
 
 def _checked(df: DataFrame, companies: DataFrame | None) -> DataFrame:
@@ -73,26 +84,36 @@ def dim_agents(raw: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def dim_companies(raw: DataFrame, raw_subscriptions: DataFrame) -> DataFrame:
-    valid = raw.filter(in_domain("company_size", COMPANY_SIZES) & (F.col("base_mrr") > 0))
-    active = any_match(raw_subscriptions, "company_id", F.col("status") == "active", "is_active")
-    return (
-        drop_meta(_unique(valid, "company_id"))
+def _valid_companies(raw: DataFrame) -> DataFrame:
+    return raw.filter(in_domain("company_size", COMPANY_SIZES) & (F.col("base_mrr") > 0))
+
+
+def company_keys(raw: DataFrame) -> DataFrame:
+    """Keys of the valid companies only: no copy has to be chosen, so nothing is sorted."""
+    return require(_valid_companies(raw), ["company_id"]).select("company_id").distinct()
+
+
+def dim_companies(raw: DataFrame, raw_subscriptions: DataFrame | None, lean: bool = False) -> DataFrame:
+    """Valid companies; with the raw contracts also ``is_active``."""
+    rows = (
+        _unique(_valid_companies(raw), "company_id", COMPANY_ORDER, lean)
         .withColumn("subscription_start_date", F.col("subscription_start_date").cast("date"))
         .withColumnRenamed("subscription_start_date", "customer_since")
-        .join(active, "company_id", "left")
-        .withColumn("is_active", F.coalesce("is_active", F.lit(False)))
     )
+    if raw_subscriptions is None:
+        return rows
+    active = any_match(raw_subscriptions, "company_id", F.col("status") == "active", "is_active")
+    return rows.join(active, "company_id", "left").withColumn("is_active", F.coalesce("is_active", F.lit(False)))
 
 
 def dim_contacts(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
-    rows = drop_meta(_unique(raw, "contact_id")).filter(F.col("email").isNotNull())
+    rows = _unique(raw, "contact_id").filter(F.col("email").isNotNull())
     return _checked(rows, companies).withColumns(
         {"email": normalise_email("email"), "created_at": F.col("created_at").cast("timestamp")}
     )
 
 
-def fact_subscriptions(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
+def fact_subscriptions(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
     """Contracts with ``is_current_contract``: the start equals the company's newest raw start."""
     newest = max_per_key(raw, "company_id", "start_date", "_newest")
     if companies is not None:
@@ -100,7 +121,7 @@ def fact_subscriptions(raw: DataFrame, companies: DataFrame | None) -> DataFrame
     valid = raw.filter(F.col("mrr") > 0)
     # One lookup join carries both the key check and the newest start.
     return (
-        drop_meta(_unique(valid, "subscription_id"))
+        _unique(valid, "subscription_id", SUBSCRIPTION_ORDER, lean)
         .join(newest, "company_id")
         .withColumns(
             {
@@ -113,9 +134,10 @@ def fact_subscriptions(raw: DataFrame, companies: DataFrame | None) -> DataFrame
     )
 
 
-def fact_tickets(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
-    rows = drop_meta(_unique(raw, "ticket_id"))
+def fact_tickets(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
+    rows = _unique(raw, "ticket_id", TICKET_ORDER, lean)
     urgent_open = in_domain("priority", URGENT_PRIORITIES) & in_domain("status", OPEN_STATUSES)
+    typed = {"sentiment_score": "double", "created_at": "timestamp", "resolved_at": "timestamp", "ttr_hours": "int"}
     return cast_columns(
         _checked(rows, companies).withColumns(
             {
@@ -123,17 +145,12 @@ def fact_tickets(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
                 "is_escalated": F.coalesce(urgent_open, F.lit(False)),
             }
         ),
-        {
-            "sentiment_score": "double",
-            "created_at": "timestamp",
-            "resolved_at": "timestamp",
-            "ttr_hours": "int",
-        },
+        {c: t for c, t in typed.items() if c in rows.columns},
     )
 
 
-def fact_events(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
-    rows = drop_meta(_unique(raw, "event_id"))
+def fact_events(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
+    rows = _unique(raw, "event_id", EVENT_ORDER, lean)
     return _checked(rows, companies).withColumns(
         {
             "event_timestamp": F.col("event_timestamp").cast("timestamp"),
@@ -143,9 +160,9 @@ def fact_events(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
     )
 
 
-def fact_nps(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
+def fact_nps(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
     valid = raw.filter(in_range("nps_score", *NPS_RANGE))
-    rows = drop_meta(_unique(valid, "survey_id"))
+    rows = _unique(valid, "survey_id", NPS_ORDER, lean)
     return _checked(rows, companies).withColumns(
         {
             "nps_score": F.col("nps_score").cast("int"),

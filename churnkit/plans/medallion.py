@@ -29,7 +29,8 @@ class Warehouse:
     """Lazily planned layers over seven raw frames.
 
     With ``checked`` facts are filtered to known companies, as they are stored. Gold reads only join
-    from the company table, so a plan straight from raw may skip that check.
+    from the company table, so a plan straight from raw may skip that check. ``lean`` reads only the
+    columns the gold tables use.
     """
 
     raw: Mapping[str, DataFrame]
@@ -37,14 +38,20 @@ class Warehouse:
     computed_at: object = None
     universe: int = EVENT_TYPE_UNIVERSE
     checked: bool = True
+    lean: bool = False
 
     @cached_property
     def companies(self) -> DataFrame:
-        return conform.dim_companies(self.raw["companies"], self.raw["subscriptions"])
+        contracts = None if self.lean else self.raw["subscriptions"]
+        return conform.dim_companies(self.raw["companies"], contracts, self.lean)
+
+    @cached_property
+    def company_keys(self) -> DataFrame:
+        return conform.company_keys(self.raw["companies"])
 
     @property
     def _key_source(self) -> DataFrame | None:
-        return self.companies if self.checked else None
+        return self.company_keys if self.checked else None
 
     @cached_property
     def agents(self) -> DataFrame:
@@ -56,24 +63,24 @@ class Warehouse:
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        return conform.fact_subscriptions(self.raw["subscriptions"], self._key_source)
+        return conform.fact_subscriptions(self.raw["subscriptions"], self._key_source, self.lean)
 
     @cached_property
     def tickets(self) -> DataFrame:
-        return conform.fact_tickets(self.raw["tickets"], self._key_source)
+        return conform.fact_tickets(self.raw["tickets"], self._key_source, self.lean)
 
     @cached_property
     def events(self) -> DataFrame:
-        return conform.fact_events(self.raw["events"], self._key_source)
+        return conform.fact_events(self.raw["events"], self._key_source, self.lean)
 
     @cached_property
     def nps(self) -> DataFrame:
-        return conform.fact_nps(self.raw["nps"], self._key_source)
+        return conform.fact_nps(self.raw["nps"], self._key_source, self.lean)
 
     @cached_property
     def health(self) -> DataFrame:
         return health.company_health(
-            self.companies, self.events, self.tickets, self.nps, self.subscriptions, self.as_of, self.computed_at
+            self.company_keys, self.events, self.tickets, self.nps, self.subscriptions, self.as_of, self.computed_at
         )
 
     @cached_property
@@ -115,6 +122,7 @@ def run_all(
     plan = Warehouse(bronze, as_of, F.current_timestamp(), universe)
     # The company table is stored first: all other conformed tables check their keys against it.
     plan.companies = store("silver", "dim_companies", plan.companies)
+    plan.company_keys = plan.companies.select("company_id")
     for attribute, name in (
         ("agents", "dim_cs_agents"),
         ("contacts", "dim_contacts"),

@@ -210,19 +210,19 @@ RELATIONS: dict[str, str] = {
         SELECT * EXCLUDE (rn) REPLACE (CAST(sentiment_score AS DOUBLE) AS sentiment_score),
                CASE WHEN sentiment_score >= 0.2 THEN 'positive' WHEN sentiment_score <= -0.2 THEN 'negative' ELSE 'neutral' END AS sentiment_category,
                priority IN ('P1', 'P2') AND status IN ('open', 'in_progress') AS is_escalated
-        FROM (SELECT *, {newest('ticket_id', 'created_at', 'company_id', 'contact_id', 'category', 'priority', 'status',
-                                'subject', 'description', 'sentiment_score', 'resolved_at', 'ttr_hours', 'assigned_agent_id')}
+        FROM (SELECT *, {newest('ticket_id', 'created_at', 'company_id', 'priority', 'status', 'sentiment_score', 'ttr_hours',
+                                'assigned_agent_id', 'contact_id', 'category', 'subject', 'description', 'resolved_at')}
               FROM raw_tickets)
         WHERE rn = 1 AND company_id IN (SELECT company_id FROM dim_companies)""",
     "fact_nps": f"""
         SELECT * EXCLUDE (rn, stamped),
                CASE WHEN nps_score >= 9 THEN 'promoter' WHEN nps_score >= 7 THEN 'passive' ELSE 'detractor' END AS nps_category
-        FROM (SELECT *, {newest('survey_id', 'stamped', 'company_id', 'contact_id', 'nps_score', 'comment', 'survey_date', 'quarter')}
+        FROM (SELECT *, {newest('survey_id', 'stamped', 'company_id', 'nps_score', 'survey_date', 'contact_id', 'comment', 'quarter')}
               FROM raw_nps WHERE nps_score BETWEEN 0 AND 10)
         WHERE rn = 1 AND company_id IN (SELECT company_id FROM dim_companies)""",
     "fact_events": f"""
         SELECT * EXCLUDE (rn), CAST(event_timestamp AS DATE) AS event_date, CAST(hour(event_timestamp) AS INTEGER) AS event_hour
-        FROM (SELECT *, {newest('event_id', 'company_id', 'contact_id', 'event_type', 'event_timestamp', 'session_id',
+        FROM (SELECT *, {newest('event_id', 'company_id', 'event_type', 'event_timestamp', 'contact_id', 'session_id',
                                 'device_type', 'browser')} FROM raw_events)
         WHERE rn = 1 AND company_id IN (SELECT company_id FROM dim_companies)""",
     # --- health ---

@@ -16,11 +16,11 @@ N = 1000
 
 
 def candidates(s):
-    return A.risk_candidates(s.predictions, s.gold.companies, s.gold.health, "All", 0, N)
+    return A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, N)
 
 
 def context(s):
-    w = s.gold
+    w = s.facts
     return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents)
 
 
@@ -34,7 +34,7 @@ def decisions(s):
     FROM latest_predictions p JOIN health h USING (company_id) JOIN dim_companies USING (company_id)
     WHERE p.risk_tier = 'High' AND h.mrr >= 1000 ORDER BY churn_probability DESC, company_id LIMIT 50""")
 def _(s):
-    return A.risk_candidates(s.predictions, s.gold.companies, s.gold.health, "High", 1000, 50).select(
+    return A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "High", 1000, 50).select(
         "company_id", "churn_probability", "risk_tier", "mrr_current", "days_to_renewal", "health_score", "company_name",
         "cs_agent_id",
     )
@@ -80,10 +80,10 @@ _CONTEXT_COLUMNS = (
 
 
 def queue_context(s):
-    w = s.gold
+    w = s.facts
     wanted = s.actions.filter(F.col("status") == "queued")
     return A.action_context(
-        wanted, w.companies, w.health, w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, s.predictions
+        wanted, w.companies, s.gold.health, w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, s.predictions
     )
 
 
@@ -249,7 +249,7 @@ def _(s):
 # --- reports ------------------------------------------------------------------------
 
 def scored(s):
-    return P.scored_companies(s.predictions, s.gold.companies, s.gold.health)
+    return P.scored_companies(s.predictions, s.facts.companies, s.gold.health)
 
 
 @query("kpi_summary", """
@@ -300,7 +300,7 @@ def _(s):
     SELECT 3, CAST(row_number() OVER (ORDER BY action_type, status) AS INTEGER), action_type || ' / ' || status || ' / ' || n
     FROM (SELECT action_type, status, COUNT(*) AS n FROM actions GROUP BY ALL)""")
 def _(s):
-    return P.portfolio_text(s.predictions, s.gold.companies, s.gold.health, s.actions)
+    return P.portfolio_text(s.predictions, s.facts.companies, s.gold.health, s.actions)
 
 
 @query("risk_distribution", f"""
@@ -326,14 +326,14 @@ def _(s):
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)
     ORDER BY created_at DESC, action_id LIMIT 10""")
 def _(s):
-    return P.recent_actions(P.all_actions(s.actions, s.gold.companies, s.gold.health))
+    return P.recent_actions(P.all_actions(s.actions, s.facts.companies, s.gold.health))
 
 
 @query("all_actions", """
     SELECT action_id, company_id, action_type, status, outcome, created_at, approved_at, company_name, mrr
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)""")
 def _(s):
-    return P.all_actions(s.actions, s.gold.companies, s.gold.health)
+    return P.all_actions(s.actions, s.facts.companies, s.gold.health)
 
 
 @query("predictions_view", f"""

@@ -163,15 +163,15 @@ def _(s):
     SELECT company_id, churn_probability, risk_tier, company_size FROM scored_companies
     WHERE risk_tier IN ('High', 'Medium') AND churn_probability >= 0.5 AND company_size IN ('PME', 'GE')""")
 def _(s):
-    rows = scored_companies(s.predictions, s.gold.companies, s.gold.health)
+    rows = scored_companies(s.predictions, s.facts.companies, s.gold.health)
     return filter_predictions(rows, ("High", "Medium"), 0.5, ("PME", "GE")).select(
         "company_id", "churn_probability", "risk_tier", "company_size"
     )
 
 
 def review(s):
-    w = s.gold
-    return review_view(s.actions, w.companies, w.health, s.predictions, w.contacts, w.agents)
+    w = s.facts
+    return review_view(s.actions, w.companies, s.gold.health, s.predictions, w.contacts, w.agents)
 
 
 @query("filter_actions", """
@@ -202,12 +202,12 @@ def _(s):
 
 @query("fk_valid", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.companies, "company_id")
+    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
 
 
 @query("fk_orphans", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id NOT IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.companies, "company_id")
+    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
 
 
 @query("join_left_defaults", """
@@ -217,7 +217,7 @@ def _(s):
     from churnkit.operators.features import contact_counts
 
     return R.left_with_defaults(
-        s.gold.companies.select("company_id"), contact_counts(s.gold.contacts), "company_id",
+        s.gold.company_keys, contact_counts(s.gold.contacts), "company_id",
         {"contact_count": 0, "decision_maker_count": 0},
     )
 
@@ -227,7 +227,7 @@ def _(s):
     ON s.company_id = c.company_id AND s.status = 'active'""")
 def _(s):
     active = current_contract(s.gold.subscriptions).filter(F.col("status") == "active")
-    return s.gold.companies.select("company_id").join(active.select("company_id", "mrr", "status"), "company_id", "left")
+    return s.gold.company_keys.join(active.select("company_id", "mrr", "status"), "company_id", "left")
 
 
 @query("nps_latest_prev", f"""

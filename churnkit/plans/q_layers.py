@@ -54,22 +54,22 @@ def _(s):
 
 @query("health_usage", "SELECT * FROM usage_activity")
 def _(s):
-    return H.usage_activity(s.stored.events, AS_OF)
+    return H.usage_activity(s.checked.events, AS_OF)
 
 
 @query("health_support", "SELECT * FROM support_activity")
 def _(s):
-    return H.support_activity(s.stored.tickets, AS_OF)
+    return H.support_activity(s.checked.tickets, AS_OF)
 
 
 @query("health_nps", "SELECT * FROM latest_nps")
 def _(s):
-    return H.latest_nps(s.stored.nps)
+    return H.latest_nps(s.checked.nps)
 
 
 @query("health_contract", "SELECT * FROM contract_state")
 def _(s):
-    return H.contract_state(s.stored.subscriptions, AS_OF)
+    return H.contract_state(s.checked.subscriptions, AS_OF)
 
 
 @query("health_components", "SELECT company_id, usage_score, support_score, nps_score, payment_score, engagement_trend FROM components")
@@ -93,22 +93,22 @@ def company_health(s):
 
 @query("feat_usage", "SELECT * FROM usage_features")
 def _(s):
-    return FS.usage_features(s.stored.events, AS_OF, EVENT_TYPES)
+    return FS.usage_features(s.checked.events, AS_OF, EVENT_TYPES)
 
 
 @query("feat_support", "SELECT * FROM support_features")
 def _(s):
-    return FS.support_features(s.stored.tickets, AS_OF)
+    return FS.support_features(s.checked.tickets, AS_OF)
 
 
 @query("feat_nps", "SELECT * FROM nps_features")
 def _(s):
-    return FS.nps_features(s.stored.nps)
+    return FS.nps_features(s.checked.nps)
 
 
 @query("feat_contract", "SELECT * FROM contract_features")
 def _(s):
-    return FS.contract_features(s.stored.subscriptions, AS_OF)
+    return FS.contract_features(s.checked.subscriptions, AS_OF)
 
 
 @query("feat_contacts", "SELECT * FROM contact_counts")
@@ -118,7 +118,7 @@ def _(s):
 
 @query("feat_label", "SELECT * FROM churn_label")
 def _(s):
-    return FS.churn_label(s.stored.subscriptions)
+    return FS.churn_label(s.checked.subscriptions)
 
 
 @query("feat_declines", f"""
@@ -127,7 +127,7 @@ def _(s):
            CASE WHEN events_60_90d = 0 THEN 0.0::DOUBLE ELSE {rnd("(" + rnd("events_90d / 3.0::DOUBLE", 6) + " - events_60_90d) * 100 / events_60_90d", 2)} END AS usage_decline_pct_90d
     FROM usage_features""")
 def _(s):
-    usage = FS.usage_features(s.stored.events, AS_OF, EVENT_TYPES)
+    usage = FS.usage_features(s.checked.events, AS_OF, EVENT_TYPES)
     return usage.select(
         "company_id",
         FS.decline_30d(F.col("events_30d"), F.col("events_30_60d")).alias("usage_decline_pct_30d"),
@@ -162,7 +162,7 @@ def _(s):
 
 @query("agent_response", "SELECT * FROM agent_response")
 def _(s):
-    return K.agent_response(s.stored.tickets)
+    return K.agent_response(s.checked.tickets)
 
 
 @query("agent_nps", "SELECT * FROM agent_nps")
@@ -172,7 +172,8 @@ def _(s):
 
 @query("agent_performance", "SELECT * FROM agent_performance")
 def _(s):
-    return s.stored.agent_performance
+    w = s.gold
+    return K.agent_performance(w.agents, w.companies, w.subscriptions, w.health, s.checked.tickets, w.nps, AS_OF)
 
 
 # --- quality --------------------------------------------------------------------------
@@ -192,7 +193,7 @@ _COUNTS = " UNION ALL ".join(
 
 
 def _tables(s):
-    frames = (s.raw["companies"], s.raw["tickets"], s.gold.companies, s.stored.subscriptions, s.gold.health, s.actions)
+    frames = (s.raw["companies"], s.raw["tickets"], s.gold.company_keys, s.stored.subscriptions, s.gold.health, s.actions)
     return {(layer, name): df for (layer, name, _, _), df in zip(_COUNTED, frames)}
 
 
@@ -216,7 +217,7 @@ def _(s):
 def _(s):
     return Q.null_key_report(
         {
-            "dim_companies key": (s.gold.companies, "company_id"),
+            "dim_companies key": (s.facts.companies, "company_id"),
             "raw_contacts email": (s.raw["contacts"], "email"),
             "feature_store target": (s.gold.features, "is_churned"),
         }

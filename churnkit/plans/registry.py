@@ -43,10 +43,20 @@ class Source:
         return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=True)
 
     @cached_property
-    def gold(self) -> Warehouse:
-        """For results that join from the company table: the key check would be a second look-up."""
+    def checked(self) -> Warehouse:
+        """As stored, but only the columns the summaries use."""
+        return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=True, lean=True)
+
+    @cached_property
+    def facts(self) -> Warehouse:
+        """All columns, for results that join from the company table: the key check would be a second look-up."""
         return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=False)
 
+    @cached_property
+    def gold(self) -> Warehouse:
+        """Only the columns the summaries use."""
+        return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=False, lean=True)
+
     @cached_property
     def predictions(self) -> DataFrame:
         return adapters.predictions(self.t)
