@@ -111,13 +111,16 @@ def cross_validate(
     matrix: DataFrame, params: Mapping | None = None, k: int = FOLDS, id_col: str = "company_id",
     threshold: float = DECISION_THRESHOLD,
 ) -> DataFrame:
-    """Metrics per fold and their mean. The driver loop is over the k models only."""
+    """Metrics per fold and their mean; the held-out fold also stops the rounds early.
+
+    The driver loop is over the k models only.
+    """
     # The folds are read k times by an iterative fit; losing a cached block only costs its recomputation.
     folded = stratified_folds(matrix, LABEL, id_col, k, FOLD_SEED).persist()
     scored = []
     for fold in range(k):
         inside, outside = folded.filter(F.col("fold") == fold), folded.filter(F.col("fold") != fold)
-        model = train_gbt(outside.drop("fold"), params)
+        model = train_gbt(outside.drop("fold"), params, inside.drop("fold"))
         scored.append(
             probabilities(model, inside).select("fold", F.col(LABEL).alias("label"), F.col("probability").alias("score"))
         )

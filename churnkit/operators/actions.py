@@ -6,8 +6,9 @@ table to the new action table; the caller writes the result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,11 +146,12 @@ def newest_surveys() -> list[Column]:
 
 def company_context(
     candidates: DataFrame, contacts: DataFrame, tickets: DataFrame, nps: DataFrame,
-    subscriptions: DataFrame, agents: DataFrame, roles: Sequence[str] = DECISION_ROLES, bounded: bool = True,
+    subscriptions: DataFrame, agents: DataFrame, roles: Sequence[str] = DECISION_ROLES, bounded: bool = False,
 ) -> DataFrame:
     """Candidates with their contacts, newest tickets and surveys (short lists), contract and manager.
 
-    ``bounded`` says the candidates are a top-n list, whose keys may be broadcast to thin out the facts.
+    ``bounded`` says the candidates end in a LIMIT, as ``risk_candidates`` does: then at most that many
+    keys are broadcast to thin out the facts.
     """
     people = _first_lists(
         _of(decision_contacts(contacts, roles), candidates, bounded), contact_order(roles), CONTACT_LIMIT,
@@ -361,6 +363,19 @@ def render_content(action_type="action_type") -> Column:
     )
 
 
+def content_generator(generate: Callable[[pd.DataFrame], pd.Series], columns: Sequence[str]) -> Callable[[], Column]:
+    """Content from a Python function instead of the templates: it gets Arrow batches of the named context columns.
+
+    The result is passed to ``queue_to_pending`` as ``render``.
+    """
+
+    @F.pandas_udf("string")
+    def content(batch: pd.DataFrame) -> pd.Series:
+        return generate(batch)
+
+    return lambda: content(F.struct(*columns))
+
+
 def queue_to_pending(
     actions: DataFrame, context: DataFrame, now, created_by: str = "retention_action", render=render_content
 ) -> DataFrame:

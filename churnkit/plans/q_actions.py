@@ -21,7 +21,7 @@ def candidates(s):
 
 def context(s):
     w = s.facts
-    return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents)
+    return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, bounded=True)
 
 
 def decisions(s):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,11 +39,11 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, me
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch one only where none is named (tests)."""
+    """The shared folder named in ``spark.checkpoint.dir``; a scratch one only where none is named (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    folder = named or tempfile.mkdtemp(prefix="churnkit-ckpt-", dir=os.environ.get("TMPDIR"))
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="churnkit-ckpt-"))
+    return context.getCheckpointDir().rstrip("/")
