@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from churnkit.functions import factor_names, parse_factors, round_dec
 from churnkit.operators.merge import merge_upsert
 from churnkit.operators.relational import latest_per_key, top_k
-from churnkit.schemas import MIN_CHAMPION_AUC
+from churnkit.schemas import MIN_CHAMPION_AUC, PREDICTIONS
+from churnkit.sources.tables import overwrite_partitions, table_path
 
 PREDICTION_KEYS = ("company_id", "prediction_date")
 
@@ -35,6 +36,20 @@ def publish_predictions(target: DataFrame, scored: DataFrame) -> DataFrame:
     return merge_upsert(target, scored.select(*target.columns), PREDICTION_KEYS)
 
 
+def store_predictions(scored: DataFrame, root: str, name: str = "agg_churn_predictions") -> None:
+    """Upsert the scored days into the stored table, which is partitioned by day.
+
+    Only the partitions of those days are read and replaced; the history is not touched.
+    """
+    spark = scored.sparkSession
+    columns = PREDICTIONS.fieldNames()
+    rows = scored.select(*columns)
+    stored = spark.read.schema(rows.schema).parquet(table_path(root, "gold", name)).select(*columns)
+    days = rows.select("prediction_date").distinct()
+    same_days = stored.join(F.broadcast(days), "prediction_date", "left_semi")  # one row per scored day
+    overwrite_partitions(publish_predictions(same_days, rows), root, "gold", name, ["prediction_date"])
+
+
 def published_check(predictions: DataFrame, day) -> DataFrame:
     today = predictions.filter(F.col("prediction_date") == F.lit(day))
     return today.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("risk_tier") == "High").alias("high"))

@@ -193,7 +193,8 @@ def action_context(
         F.col("assigned_cs_agent_id").alias("cs_agent_id"),
     )
     figures = health.select("company_id", F.col("mrr").alias("mrr_current"), "days_to_renewal", "health_score", "risk_tier")
-    person = latest_per_key(decision_contacts(contacts, roles), ["company_id"], contact_order(roles)).select(
+    people = decision_contacts(_of(contacts, wanted, False), roles)
+    person = latest_per_key(people, ["company_id"], contact_order(roles)).select(
         "company_id", "contact_id", person_name().alias("contact_name"), F.col("role").alias("contact_role"),
         F.col("email").alias("contact_email"),
     )
@@ -205,11 +206,11 @@ def action_context(
         _of(tickets, wanted, False), newest_tickets(), 3,
         ["priority", "status", "subject", "sentiment_score", "is_escalated"], "recent_tickets",
     )
-    contract = current_contract(subscriptions).select(
+    contract = current_contract(_of(subscriptions, wanted, False)).select(
         "company_id", F.col("plan_type").alias("plan_name"), F.col("mrr").alias("contract_mrr"), "billing_cycle",
         F.col("status").alias("contract_status"), "duration_days",
     )
-    newest = latest_per_key(predictions, ["company_id"], [F.desc("prediction_date")]).select(
+    newest = latest_per_key(_of(predictions, wanted, False), ["company_id"], [F.desc("prediction_date")]).select(
         "company_id", "churn_probability", F.col("risk_tier").alias("churn_tier"), "top_factors", "prediction_date"
     )
     managers = agents.select(

@@ -104,9 +104,16 @@ def max_per_key(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(column).alias(name))
 
 
-def count_distinct_per_key(df: DataFrame, key: str, column, name: str, where: Column | None = None) -> DataFrame:
-    """Distinct values per key: copies are dropped on (key, value) first, so no task holds a whole key."""
+def count_distinct_per_key(
+    df: DataFrame, key: str, column, name: str, where: Column | None = None, approx: bool = False
+) -> DataFrame:
+    """Distinct values per key: copies are dropped on (key, value) first, so no task holds a whole key.
+
+    ``approx`` counts with a small sketch per key instead, in one shuffle.
+    """
     value = col(column) if where is None else F.when(where, col(column))
+    if approx:
+        return df.groupBy(key).agg(F.approx_count_distinct(value).alias(name))
     pairs = df.select(F.col(key), value.alias("_v")).distinct()
     return pairs.groupBy(key).agg(F.count("_v").alias(name))
 

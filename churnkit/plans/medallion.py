@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -13,6 +14,7 @@ from churnkit.operators import agent_kpis, conform, features, health, quality
 from churnkit.schemas import EVENT_TYPE_UNIVERSE
 from churnkit.sources.tables import write_table
 
+WRITERS = 4
 RAW_NAMES = {
     "agents": "raw_cs_agents",
     "companies": "raw_companies",
@@ -111,30 +113,39 @@ class Warehouse:
 def run_all(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of=None, universe: int = EVENT_TYPE_UNIVERSE
 ) -> dict[tuple[str, str], DataFrame]:
-    """Build and store every layer under ``root``; each layer is read back before the next is planned."""
+    """Build and store every layer under ``root``; each layer is read back before the next is planned.
+
+    Tables that do not read each other are written at the same time, so one table's last tasks do not
+    leave the cluster idle.
+    """
     stored: dict[tuple[str, str], DataFrame] = {}
 
-    def store(layer: str, name: str, df: DataFrame) -> DataFrame:
-        stored[(layer.upper(), name)] = out = write_table(df, root, layer, name)
-        return out
+    def store(layer: str, frames: Mapping[str, DataFrame]) -> list[DataFrame]:
+        with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+            written = list(pool.map(lambda item: write_table(item[1], root, layer, item[0]), frames.items()))
+        stored.update({(layer.upper(), name): df for name, df in zip(frames, written)})
+        return written
 
-    bronze = {short: store("bronze", name, raw[short]) for short, name in RAW_NAMES.items()}
-    plan = Warehouse(bronze, as_of, F.current_timestamp(), universe)
-    # The company table is stored first: all other conformed tables check their keys against it.
-    plan.companies = store("silver", "dim_companies", plan.companies)
+    bronze = store("bronze", {name: raw[short] for short, name in RAW_NAMES.items()})
+    plan = Warehouse(dict(zip(RAW_NAMES, bronze)), as_of, F.current_timestamp(), universe)
+    # The company table comes first: the other conformed tables check their keys against it.
+    (plan.companies,) = store("silver", {"dim_companies": plan.companies})
     plan.company_keys = plan.companies.select("company_id")
-    for attribute, name in (
-        ("agents", "dim_cs_agents"),
-        ("contacts", "dim_contacts"),
-        ("subscriptions", "fact_subscriptions"),
-        ("tickets", "fact_support_tickets"),
-        ("events", "fact_product_events"),
-        ("nps", "fact_nps_scores"),
-    ):
-        setattr(plan, attribute, store("silver", name, getattr(plan, attribute)))
-    plan.health = store("gold", "agg_company_health_score", plan.health)
-    plan.features = store("gold", "feature_store_churn", plan.features)
-    plan.agent_performance = store("gold", "agg_agent_performance", plan.agent_performance)
+    rest = {
+        "agents": "dim_cs_agents",
+        "contacts": "dim_contacts",
+        "subscriptions": "fact_subscriptions",
+        "tickets": "fact_support_tickets",
+        "events": "fact_product_events",
+        "nps": "fact_nps_scores",
+    }
+    silver = store("silver", {name: getattr(plan, short) for short, name in rest.items()})
+    for short, df in zip(rest, silver):
+        setattr(plan, short, df)
+    plan.health, plan.features = store(
+        "gold", {"agg_company_health_score": plan.health, "feature_store_churn": plan.features}
+    )
+    store("gold", {"agg_agent_performance": plan.agent_performance})
     return stored
 
 

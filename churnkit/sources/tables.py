@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +37,11 @@ def rewrite_table(df: DataFrame, root: str, layer: str, name: str, partition_by:
     """Replace a table by a frame that reads the same table.
 
     The new rows are first written beside it; only then is the table overwritten from that copy,
-    so a lost executor or a failed job never leaves the plan without its input.
+    so a lost executor or a failed job never leaves the plan without its input. The copy stays until
+    the next rewrite; a table has one writer at a time.
     """
-    spark = df.sparkSession
-    staged = table_path(root, layer, f"_staged_{name}_{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(staged)
-    return write_table(spark.read.parquet(staged), root, layer, name, partition_by)
+    staged = write_table(df, root, layer, f"_staged_{name}")
+    return write_table(staged, root, layer, name, partition_by)
 
 
 def overwrite_partitions(df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str]) -> None:

@@ -187,3 +187,21 @@ def test_publish_is_idempotent(rows):
     assert values(once) == values(select.publish_predictions(once, scored))
     assert tuple(select.published_check(once, d).first()) == (2, 1)
     assert values(select.top_risk(once, 1)) == [("c1", 0.9, "High", "a")]
+
+
+def test_store_predictions_replaces_only_the_scored_days(rows, tmp_path):
+    import datetime as dt
+
+    from churnkit.sources import tables as io
+
+    schema = "company_id string, prediction_date date, churn_probability double, risk_tier string, top_factors string, model_version string, model_name string"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    old = rows([("c1", d1, 0.1, "Low", "{}", "1", "m"), ("c1", d2, 0.2, "Low", "{}", "1", "m"), ("c9", d2, 0.3, "Low", "{}", "1", "m")], schema)
+    io.write_table(old, str(tmp_path), "gold", "agg_churn_predictions", ["prediction_date"])
+    scored = rows([("c1", d2, 0.9, "High", "{}", "2", "m"), ("c2", d2, 0.8, "High", "{}", "2", "m")], schema)
+    for _ in range(2):
+        select.store_predictions(scored, str(tmp_path))
+    got = io.read_table(rows([], "a int").sparkSession, str(tmp_path), "gold", "agg_churn_predictions")
+    assert values(got.select("company_id", "prediction_date", "churn_probability")) == [
+        ("c1", d1, 0.1), ("c1", d2, 0.9), ("c2", d2, 0.8), ("c9", d2, 0.3)
+    ]

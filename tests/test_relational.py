@@ -46,6 +46,7 @@ def test_count_distinct_with_condition(rows):
     df = rows([(1, "a"), (1, "a"), (1, "b"), (2, "z")], "k int, v string")
     got = values(R.count_distinct_per_key(df, "k", "v", "n", F.col("v") != "z"))
     assert got == [(1, 2), (2, 0)]
+    assert values(R.count_distinct_per_key(df, "k", "v", "n", F.col("v") != "z", approx=True)) == got
 
 
 def test_distribution_adds_up(rows):
