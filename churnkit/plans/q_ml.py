@@ -17,7 +17,7 @@ from churnkit.sources.adapters import AS_OF
 # Fewer and larger steps than the defaults keep the registered training short; the data is whole.
 QUICK = {"maxIter": 10, "stepSize": 0.2, "maxDepth": 3}
 
-_MATRIX = "SELECT company_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_FEATURES) + (
+_MATRIX = "SELECT company_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in NUMERIC_FEATURES) + (
     ", CASE WHEN billing_cycle = 'annual' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS billing_cycle_annual, is_churned FROM feature_store"
 )
 
