@@ -36,18 +36,17 @@ def publish_predictions(target: DataFrame, scored: DataFrame) -> DataFrame:
     return merge_upsert(target, scored.select(*target.columns), PREDICTION_KEYS)
 
 
-def store_predictions(scored: DataFrame, root: str, name: str = "agg_churn_predictions") -> None:
-    """Upsert the scored days into the stored table, which is partitioned by day.
+def store_predictions(scored: DataFrame, root: str, day, name: str = "agg_churn_predictions") -> None:
+    """Upsert one scored day into the stored table, which is partitioned by day.
 
-    Only the partitions of those days are read and replaced; the history is not touched.
+    Only that day's partition is read and replaced; the history is not touched.
     """
-    spark = scored.sparkSession
     columns = PREDICTIONS.fieldNames()
-    rows = scored.select(*columns)
-    stored = spark.read.schema(rows.schema).parquet(table_path(root, "gold", name)).select(*columns)
-    days = rows.select("prediction_date").distinct()
-    same_days = stored.join(F.broadcast(days), "prediction_date", "left_semi")  # one row per scored day
-    overwrite_partitions(publish_predictions(same_days, rows), root, "gold", name, ["prediction_date"])
+    on_day = F.col("prediction_date") == F.lit(day)
+    rows = scored.select(*columns).filter(on_day)
+    stored = scored.sparkSession.read.schema(rows.schema).parquet(table_path(root, "gold", name))
+    same_day = stored.select(*columns).filter(on_day)
+    overwrite_partitions(publish_predictions(same_day, rows), root, "gold", name, ["prediction_date"])
 
 
 def published_check(predictions: DataFrame, day) -> DataFrame:

@@ -315,10 +315,15 @@ def queued_rows(decisions: DataFrame, now, created_by: str = "risk_detection") -
 
 
 def enqueue(actions: DataFrame, decisions: DataFrame, now, created_by: str = "risk_detection") -> DataFrame:
-    """Add decisions as queued rows, one open row per company and action type."""
-    rows = queued_rows(decisions, now, created_by)
+    """Add decisions as queued rows, one open row per company and action type.
+
+    Of several decisions for the same pair in one batch the one with the highest probability is taken.
+    """
+    pair = ["company_id", "action_type"]
+    chosen = latest_per_key(decisions, pair, [F.desc("churn_probability"), F.asc("urgency"), F.asc("rationale")])
+    rows = queued_rows(chosen, now, created_by)
     typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in actions.schema.fields])
-    return merge_insert(actions, typed, ["company_id", "action_type"], F.col("status") == "queued")
+    return merge_insert(actions, typed, pair, F.col("status") == "queued")
 
 
 def render_content(action_type="action_type") -> Column:

@@ -18,7 +18,6 @@ from churnkit.functions import (
     safe_ratio,
     since,
 )
-from churnkit.operators.health import current_contract
 from churnkit.operators.relational import latest_and_previous
 from churnkit.schemas import (
     EVENT_TYPE_UNIVERSE,
@@ -93,30 +92,50 @@ def nps_features(nps: DataFrame) -> DataFrame:
     )
 
 
-def contract_features(subscriptions: DataFrame, as_of=None) -> DataFrame:
-    past = (
-        subscriptions.filter(~F.col("is_current_contract"))
-        .groupBy("company_id")
-        .agg(F.max("mrr").alias("_past_mrr"), count_if(F.col("status") == "upgraded").alias("_upgrades"))
-    )
-    mrr = F.col("mrr").cast("double")
-    base = F.coalesce(F.col("_past_mrr").cast("double"), mrr)
+def contract_profile(subscriptions: DataFrame) -> DataFrame:
+    """Per company the current contract (as in ``current_contract``) and what its past ones show, in one pass."""
+    current = F.col("is_current_contract")
     return (
-        current_contract(subscriptions)
-        .join(past, "company_id", "left")
-        .select(
-            "company_id",
-            F.col("mrr").alias("mrr_current"),
-            days_between("end_date", day(as_of)).alias("days_to_renewal"),
-            F.col("duration_days").alias("contract_duration_days"),
-            "billing_cycle",
-            (F.col("status") == "downgraded").cast("int").alias("has_downgraded"),
-            or_default("_upgrades", 0).alias("upgrade_count"),
-            round_dec((mrr - base) / F.greatest(base, F.lit(1.0)) * 100, 2).alias("mrr_trend_90d"),
+        subscriptions.groupBy("company_id")
+        .agg(
+            F.max(
+                F.when(
+                    current,
+                    F.struct(
+                        "start_date", "subscription_id", "mrr", "end_date", "duration_days", "billing_cycle", "status"
+                    ),
+                )
+            ).alias("current"),
+            F.max(F.when(~current, F.col("mrr"))).alias("past_mrr"),
+            count_if(~current & (F.col("status") == "upgraded")).alias("past_upgrades"),
         )
+        .filter(F.col("current").isNotNull())
     )
 
 
+def _contract_columns(as_of) -> list[Column]:
+    now = F.col("current")
+    mrr = now["mrr"].cast("double")
+    base = F.coalesce(F.col("past_mrr").cast("double"), mrr)
+    return [
+        now["mrr"].alias("mrr_current"),
+        days_between(now["end_date"], day(as_of)).alias("days_to_renewal"),
+        now["duration_days"].alias("contract_duration_days"),
+        now["billing_cycle"].alias("billing_cycle"),
+        (now["status"] == "downgraded").cast("int").alias("has_downgraded"),
+        F.col("past_upgrades").alias("upgrade_count"),
+        round_dec((mrr - base) / F.greatest(base, F.lit(1.0)) * 100, 2).alias("mrr_trend_90d"),
+    ]
+
+
+def _label_column() -> Column:
+    return (F.col("current")["status"] == "churned").cast("int").alias(LABEL)
+
+
+def contract_features(subscriptions: DataFrame, as_of=None) -> DataFrame:
+    return contract_profile(subscriptions).select("company_id", *_contract_columns(as_of))
+
+
 def contact_counts(contacts: DataFrame) -> DataFrame:
     return contacts.groupBy("company_id").agg(
         F.count(F.lit(1)).alias("contact_count"),
@@ -125,9 +144,7 @@ def contact_counts(contacts: DataFrame) -> DataFrame:
 
 
 def churn_label(subscriptions: DataFrame) -> DataFrame:
-    return current_contract(subscriptions).select(
-        "company_id", (F.col("status") == "churned").cast("int").alias(LABEL)
-    )
+    return contract_profile(subscriptions).select("company_id", _label_column())
 
 
 def decline_30d(e30, e30_60) -> Column:
@@ -190,8 +207,10 @@ def feature_store(
 ) -> DataFrame:
     c = F.col
     rows = companies.select("company_id", "company_size", "customer_since")
-    # The label sits on the same current contract as the contract features: one join serves both.
-    label_and_contract = contract_features(subscriptions, as_of).join(churn_label(subscriptions), "company_id", "left")
+    # The label sits on the same current contract as the contract features: one pass serves both.
+    label_and_contract = contract_profile(subscriptions).select(
+        "company_id", *_contract_columns(as_of), _label_column()
+    )
     for side in (
         usage_features(events, as_of, universe),
         support_features(tickets, as_of),

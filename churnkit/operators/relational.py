@@ -119,10 +119,15 @@ def count_distinct_per_key(
 
 
 def distribution(df: DataFrame, column: str, count_name: str = "n", pct_name: str = "pct", digits: int = 1) -> DataFrame:
-    """Rows per value and their share of all rows. The window runs over one row per value."""
-    groups = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
-    total = F.sum(count_name).over(W.partitionBy())
-    return groups.withColumn(pct_name, round_dec(F.col(count_name) * F.lit(100.0) / total, digits))
+    """Rows per value and their share of all rows."""
+    return with_share(df.groupBy(column).agg(F.count(F.lit(1)).alias(count_name)), count_name, pct_name, digits)
+
+
+def with_share(groups: DataFrame, count: str = "n", name: str = "pct", digits: int = 1) -> DataFrame:
+    """Percent of the total count. The window only sees the summed rows, one per value of a class column;
+    a subquery for the total would read everything a second time."""
+    total = F.sum(count).over(W.partitionBy())
+    return groups.withColumn(name, round_dec(F.col(count) * F.lit(100.0) / total, digits))
 
 
 def pivot_counts(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str = "n") -> DataFrame:

@@ -23,7 +23,7 @@ from churnkit.functions import (
     text_or,
 )
 from churnkit.operators.actions import filter_predictions
-from churnkit.operators.relational import latest_only, pivot_counts, top_k, union_all
+from churnkit.operators.relational import latest_only, pivot_counts, top_k, union_all, with_share
 from churnkit.schemas import ACTION_STATUSES
 
 TIER_ORDER = ("High", "Medium", "Low")
@@ -165,10 +165,7 @@ def risk_distribution(predictions: DataFrame) -> DataFrame:
     means = latest.groupBy("risk_tier").agg(
         F.count(F.lit(1)).alias("n"), round_dec(exact_avg("churn_probability") * 100, 1).alias("avg_prob")
     )
-    total = F.sum("n").over(W.partitionBy())
-    return means.withColumn("pct", round_dec(F.col("n") * F.lit(100.0) / total, 1)).orderBy(
-        category_rank("risk_tier", TIER_ORDER)
-    )
+    return with_share(means).orderBy(category_rank("risk_tier", TIER_ORDER))
 
 
 def pending_actions(view: DataFrame) -> DataFrame:

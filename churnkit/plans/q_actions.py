@@ -9,14 +9,15 @@ from churnkit.operators import merge
 from churnkit.operators import reports as P
 from churnkit.plans.oracle_base import CHANNEL, mean, rnd
 from churnkit.plans.q_building_blocks import review
-from churnkit.plans.registry import NOW_TEXT, query
+from churnkit.plans.registry import NOW_TEXT, kept, query
 
 NOW_SQL = f"TIMESTAMP '{NOW_TEXT}'"
 N = 1000
 
 
 def candidates(s):
-    return A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, N)
+    """At most N rows; their context looks them up in every fact, so they are worked out once."""
+    return kept(A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, N), "candidates")
 
 
 def context(s):

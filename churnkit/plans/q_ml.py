@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from churnkit.ml import explain, folds, matrix, metrics, select, train
 from churnkit.operators.relational import column_spread
 from churnkit.plans.oracle_base import DAY, rnd
-from churnkit.plans.registry import query
+from churnkit.plans.registry import kept, query
 from churnkit.schemas import MODEL_INPUTS, NUMERIC_FEATURES
 from churnkit.session import ensure_checkpoint_dir
 from churnkit.sources.adapters import AS_OF
@@ -27,10 +27,8 @@ def _matrix(s):
 
 
 def _stored_matrix(s):
-    """The matrix as a table: an iterative fit reads it many times."""
-    path = f"{ensure_checkpoint_dir(s.spark)}/matrix_{uuid.uuid4().hex}"
-    _matrix(s).write.parquet(path)
-    return s.spark.read.parquet(path)
+    """An iterative fit reads the matrix many times."""
+    return kept(_matrix(s), "matrix")
 
 
 @query("ml_matrix", _MATRIX)

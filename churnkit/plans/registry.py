@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from churnkit.plans.medallion import Warehouse
 from churnkit.plans.oracle_base import with_relations
-from churnkit.session import tune
+from churnkit.session import ensure_checkpoint_dir, tune
 from churnkit.sources import adapters
 from churnkit.sources.adapters import AS_OF, EVENT_TYPES, Tables
 
@@ -74,6 +75,13 @@ class Source:
         return F.lit(NOW_TEXT).cast("timestamp_ntz")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back, where a result is used many times over."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Time stamps without a zone, as the given files have them."""
     return df.withColumns(

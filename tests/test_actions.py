@@ -53,7 +53,7 @@ def decisions(rows, *pairs):
 
 def test_enqueue_keeps_one_open_row_per_company_and_type(rows):
     actions = queue(rows, ("1", "c1", "email", "queued", "{}"), ("2", "c2", "email", "pending", "text"))
-    new = decisions(rows, ("c1", "email"), ("c1", "call"), ("c2", "email"))
+    new = decisions(rows, ("c1", "email"), ("c1", "call"), ("c2", "email"), ("c1", "call"))
     once = A.enqueue(actions, new, NOW)
     opened = once.filter("status = 'queued'")
     assert values(opened.select("company_id", "action_type")) == [("c1", "call"), ("c1", "email"), ("c2", "email")]

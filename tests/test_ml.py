@@ -189,7 +189,7 @@ def test_publish_is_idempotent(rows):
     assert values(select.top_risk(once, 1)) == [("c1", 0.9, "High", "a")]
 
 
-def test_store_predictions_replaces_only_the_scored_days(rows, tmp_path):
+def test_store_predictions_replaces_only_the_scored_day(rows, tmp_path):
     import datetime as dt
 
     from churnkit.sources import tables as io
@@ -200,7 +200,7 @@ def test_store_predictions_replaces_only_the_scored_days(rows, tmp_path):
     io.write_table(old, str(tmp_path), "gold", "agg_churn_predictions", ["prediction_date"])
     scored = rows([("c1", d2, 0.9, "High", "{}", "2", "m"), ("c2", d2, 0.8, "High", "{}", "2", "m")], schema)
     for _ in range(2):
-        select.store_predictions(scored, str(tmp_path))
+        select.store_predictions(scored, str(tmp_path), d2)
     got = io.read_table(rows([], "a int").sparkSession, str(tmp_path), "gold", "agg_churn_predictions")
     assert values(got.select("company_id", "prediction_date", "churn_probability")) == [
         ("c1", d1, 0.1), ("c1", d2, 0.9), ("c2", d2, 0.8), ("c9", d2, 0.3)
