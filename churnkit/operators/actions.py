@@ -27,7 +27,7 @@ from churnkit.functions import (
 )
 from churnkit.operators.health import current_contract
 from churnkit.operators.merge import merge_insert, update_keys, update_where
-from churnkit.operators.relational import latest_only, latest_per_key, rank_within, require_latest
+from churnkit.operators.relational import latest_only, latest_per_key, rank_within, require_latest, top_k
 from churnkit.schemas import (
     ACTION_CHANNELS,
     ALLOWED_TRANSITIONS,
@@ -80,9 +80,9 @@ def latest_prediction_date(predictions: DataFrame):
 
 def risk_candidates(
     predictions: DataFrame, companies: DataFrame, health: DataFrame,
-    tier: str = "High", mrr_min: float = 0, n: int = 50, date=None,
+    tier: str = "High", mrr_min: float = 0, n: int | None = 50, date=None,
 ) -> DataFrame:
-    """The n riskiest companies of the newest (or given) day that pass tier and MRR."""
+    """The n riskiest companies of the newest (or given) day that pass tier and MRR; with ``n=None`` all of them."""
     scored = (
         latest_only(predictions, "prediction_date")
         if date is None
@@ -91,7 +91,7 @@ def risk_candidates(
     if tier in ("High", "Medium"):
         scored = scored.filter(F.col("risk_tier") == tier)
     paying = health.filter(F.col("mrr").cast("double") >= mrr_min)
-    return (
+    found = (
         scored.select("company_id", "churn_probability", "risk_tier", "top_factors", "model_version")
         .join(
             paying.select(
@@ -107,9 +107,8 @@ def risk_candidates(
             ),
             "company_id",
         )
-        .orderBy(F.desc("churn_probability"), F.asc("company_id"))
-        .limit(n)
     )
+    return found if n is None else top_k(found, [F.desc("churn_probability"), F.asc("company_id")], n)
 
 
 def person_name() -> Column:

@@ -373,7 +373,7 @@ RELATIONS: dict[str, str] = {
                contract_status, health_score, h.risk_tier AS health_risk_tier, company_name, sector_label AS industry,
                company_size, assigned_cs_agent_id AS cs_agent_id
         FROM latest_predictions p JOIN health h USING (company_id) JOIN dim_companies USING (company_id)
-        WHERE h.mrr >= 0 ORDER BY churn_probability DESC, company_id LIMIT 1000""",
+        WHERE h.mrr >= 0""",
     "deciders": f"""
         SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY {ROLE_RANK}, contact_id) AS place
         FROM dim_contacts WHERE role IN {DECIDERS}""",

@@ -12,17 +12,16 @@ from churnkit.plans.q_building_blocks import review
 from churnkit.plans.registry import NOW_TEXT, kept, query
 
 NOW_SQL = f"TIMESTAMP '{NOW_TEXT}'"
-N = 1000
 
 
 def candidates(s):
-    """At most N rows; their context looks them up in every fact, so they are worked out once."""
-    return kept(A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, N), "candidates")
+    """All paying companies; their context looks them up in every fact, so they are worked out once."""
+    return kept(A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, None), "candidates")
 
 
 def context(s):
     w = s.facts
-    return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, bounded=True)
+    return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents)
 
 
 def decisions(s):
