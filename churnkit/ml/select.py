@@ -9,7 +9,7 @@ from churnkit.functions import factor_names, parse_factors, round_dec
 from churnkit.operators.merge import merge_upsert
 from churnkit.operators.relational import latest_per_key, top_k
 from churnkit.schemas import MIN_CHAMPION_AUC, PREDICTIONS
-from churnkit.sources.tables import overwrite_partitions, table_path
+from churnkit.sources.tables import overwrite_partitions, read_table
 
 PREDICTION_KEYS = ("company_id", "prediction_date")
 
@@ -44,8 +44,7 @@ def store_predictions(scored: DataFrame, root: str, day, name: str = "agg_churn_
     columns = PREDICTIONS.fieldNames()
     on_day = F.col("prediction_date") == F.lit(day)
     rows = scored.select(*columns).filter(on_day)
-    stored = scored.sparkSession.read.schema(rows.schema).parquet(table_path(root, "gold", name))
-    same_day = stored.select(*columns).filter(on_day)
+    same_day = read_table(scored.sparkSession, root, "gold", name, rows.schema).filter(on_day)
     overwrite_partitions(publish_predictions(same_day, rows), root, "gold", name, ["prediction_date"])
 
 

@@ -79,7 +79,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back, where a result is used many times over."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def plain(df: DataFrame) -> DataFrame:

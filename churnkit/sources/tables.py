@@ -17,8 +17,12 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, name))
+def read_table(spark: SparkSession, root: str, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table. A known schema saves reading file footers and is needed while the table is empty."""
+    path = table_path(root, layer, name)
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def write_table(
@@ -30,7 +34,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return read_table(df.sparkSession, root, layer, name, df.schema)
 
 
 def rewrite_table(df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
