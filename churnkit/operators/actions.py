@@ -27,7 +27,15 @@ from churnkit.functions import (
 )
 from churnkit.operators.health import current_contract
 from churnkit.operators.merge import merge_insert, update_keys, update_where
-from churnkit.operators.relational import latest_only, latest_per_key, rank_within, require_latest, top_k
+from churnkit.operators.relational import (
+    latest_only,
+    latest_per_key,
+    look_up,
+    named_in,
+    rank_within,
+    require_latest,
+    top_k,
+)
 from churnkit.schemas import (
     ACTION_CHANNELS,
     ALLOWED_TRANSITIONS,
@@ -115,9 +123,15 @@ def person_name() -> Column:
     return F.concat_ws(" ", "first_name", "last_name")
 
 
-def _of(facts: DataFrame, wanted: DataFrame, bounded: bool) -> DataFrame:
-    keys = wanted.select("company_id").distinct()
-    return facts.join(F.broadcast(keys) if bounded else keys, "company_id", "left_semi")
+def _thinned(facts: DataFrame, wanted: DataFrame, bounded: bool) -> DataFrame:
+    """Only the facts of a short company list; for an open list all of them.
+
+    For an open list the facts are ranked first, which leaves a few rows per company, and the others fall
+    away in the join from the list. A join before the ranking would move whole companies.
+    """
+    if not bounded:
+        return facts
+    return facts.join(F.broadcast(wanted.select("company_id").distinct()), "company_id", "left_semi")
 
 
 def _first_lists(df: DataFrame, order: Sequence[Column], limit: int, fields: Sequence[Column | str], name: str) -> DataFrame:
@@ -153,18 +167,18 @@ def company_context(
     keys are broadcast to thin out the facts.
     """
     people = _first_lists(
-        _of(decision_contacts(contacts, roles), candidates, bounded), contact_order(roles), CONTACT_LIMIT,
+        _thinned(decision_contacts(contacts, roles), candidates, bounded), contact_order(roles), CONTACT_LIMIT,
         [person_name().alias("contact_name"), "role", "email", "phone"], "contacts",
     )
     cases = _first_lists(
-        _of(tickets, candidates, bounded), newest_tickets(), TICKET_LIMIT,
+        _thinned(tickets, candidates, bounded), newest_tickets(), TICKET_LIMIT,
         ["priority", "status", "sentiment_score", "is_escalated", "subject"], "recent_tickets",
     )
     surveys = _first_lists(
-        _of(nps, candidates, bounded), newest_surveys(), NPS_LIMIT,
+        _thinned(nps, candidates, bounded), newest_surveys(), NPS_LIMIT,
         ["nps_score", "nps_category", F.col("comment").alias("verbatim"), "survey_date"], "nps_history",
     )
-    contract = current_contract(_of(subscriptions, candidates, bounded)).select(
+    contract = current_contract(_thinned(subscriptions, candidates, bounded)).select(
         "company_id",
         F.struct(
             F.col("plan_type").alias("plan_name"), "mrr", "billing_cycle",
@@ -178,38 +192,41 @@ def company_context(
     out = candidates
     for side in (people, cases, surveys, contract):
         out = out.join(side, "company_id", "left")
-    return out.join(managers, "cs_agent_id", "left")
+    return look_up(out, managers, "cs_agent_id", ["company_id"])
 
 
 def action_context(
     wanted: DataFrame, companies: DataFrame, health: DataFrame, contacts: DataFrame, tickets: DataFrame,
     nps: DataFrame, subscriptions: DataFrame, agents: DataFrame, predictions: DataFrame,
-    roles: Sequence[str] = DECISION_ROLES,
+    roles: Sequence[str] = DECISION_ROLES, bounded: bool = False,
 ) -> DataFrame:
-    """One flat row per wanted company: facts, best contact, latest survey, ticket count, contract, manager, score."""
-    base = _of(companies, wanted, False).select(
+    """One flat row per wanted company: facts, best contact, latest survey, ticket count, contract, manager, score.
+
+    ``bounded`` as in ``company_context``.
+    """
+    base = named_in(companies, wanted, "company_id").select(
         "company_id", "company_name", F.col("sector_label").alias("industry"), "company_size", "city", "country",
         F.col("assigned_cs_agent_id").alias("cs_agent_id"),
     )
     figures = health.select("company_id", F.col("mrr").alias("mrr_current"), "days_to_renewal", "health_score", "risk_tier")
-    people = decision_contacts(_of(contacts, wanted, False), roles)
+    people = decision_contacts(_thinned(contacts, wanted, bounded), roles)
     person = latest_per_key(people, ["company_id"], contact_order(roles)).select(
         "company_id", "contact_id", person_name().alias("contact_name"), F.col("role").alias("contact_role"),
         F.col("email").alias("contact_email"),
     )
     surveys = _first_lists(
-        _of(nps, wanted, False), newest_surveys(), NPS_LIMIT,
+        _thinned(nps, wanted, bounded), newest_surveys(), NPS_LIMIT,
         ["nps_score", "nps_category", F.col("comment").alias("verbatim")], "nps_history",
     )
     cases = _first_lists(
-        _of(tickets, wanted, False), newest_tickets(), 3,
+        _thinned(tickets, wanted, bounded), newest_tickets(), 3,
         ["priority", "status", "subject", "sentiment_score", "is_escalated"], "recent_tickets",
     )
-    contract = current_contract(_of(subscriptions, wanted, False)).select(
+    contract = current_contract(_thinned(subscriptions, wanted, bounded)).select(
         "company_id", F.col("plan_type").alias("plan_name"), F.col("mrr").alias("contract_mrr"), "billing_cycle",
         F.col("status").alias("contract_status"), "duration_days",
     )
-    newest = latest_per_key(_of(predictions, wanted, False), ["company_id"], [F.desc("prediction_date")]).select(
+    newest = latest_per_key(named_in(predictions, wanted, "company_id"), ["company_id"], [F.desc("prediction_date")]).select(
         "company_id", "churn_probability", F.col("risk_tier").alias("churn_tier"), "top_factors", "prediction_date"
     )
     managers = agents.select(
@@ -219,7 +236,7 @@ def action_context(
     for side in (person, surveys, cases, contract, newest):
         out = out.join(side, "company_id", "left")
     return (
-        out.join(managers, "cs_agent_id", "left")
+        look_up(out, managers, "cs_agent_id", ["company_id"])
         .withColumns(
             {
                 "latest_nps": F.get("nps_history", F.lit(0))["nps_score"],
@@ -392,7 +409,7 @@ def queue_to_pending(
     names = actions.columns
     clash = {c: f"_x_{c}" for c in context.columns if c in names and c != "company_id"}
     facts = context.withColumnsRenamed(clash).withColumn("_known", F.lit(True))
-    joined = actions.join(facts, "company_id", "left").withColumn("_meta", parse_meta("generated_content"))
+    joined = look_up(actions, facts, "company_id", ["action_id"]).withColumn("_meta", parse_meta("generated_content"))
     ready = joined.withColumns(
         {
             "_ready": (F.col("status") == "queued") & F.coalesce(F.col("_known"), F.lit(False)),
@@ -439,19 +456,16 @@ def review_view(
         F.col("email").alias("contact_email"),
     )
     managers = agents.select("agent_id", person_name().alias("agent_name"), F.col("region").alias("agent_region"))
-    return (
-        pending.join(
-            companies.select("company_id", "company_name", F.col("sector_label").alias("industry"), "company_size"),
-            "company_id",
-        )
-        .join(
-            health.select("company_id", F.col("mrr").alias("mrr"), "health_score", "risk_tier", "days_to_renewal"),
-            "company_id",
-        )
+    # One row per company first, only for companies with a pending action; then the actions look it up.
+    profile = (
+        named_in(companies, pending, "company_id")
+        .select("company_id", "company_name", F.col("sector_label").alias("industry"), "company_size")
+        .join(health.select("company_id", "mrr", "health_score", "risk_tier", "days_to_renewal"), "company_id")
         .join(scores, "company_id", "left")
-        .join(people, "contact_id", "left")
-        .join(managers, "agent_id", "left")
     )
+    view = look_up(pending, profile, "company_id", ["action_id"], "inner")
+    view = look_up(view, named_in(people, pending, "contact_id"), "contact_id", ["action_id"])
+    return look_up(view, managers, "agent_id", ["action_id"])
 
 
 def pending_review(view: DataFrame, agent_id=None, tier: str = "All", limit: int = 20) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from churnkit.functions import category_rank, col, or_default, round_dec
 
 RANK = "_rank"
+LOOK_UP_PARTS = 8
 
 
 # --- ranking ----------------------------------------------------------------
@@ -56,17 +57,33 @@ def latest_and_previous(
 
 # --- joins ------------------------------------------------------------------
 
-def fk_valid(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Rows whose key exists in the dimension.
+def look_up(
+    fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], how: str = "left", parts: int = LOOK_UP_PARTS
+) -> DataFrame:
+    """Join facts to a table with one row per key, whatever share of the facts one key has.
 
-    No broadcast hint: Spark broadcasts the key list only when its measured size is under the limit,
-    else it shuffles and splits a skewed fact partition.
+    The fact's own key (``spread_by``) deals its rows out to ``parts`` numbered shares; each dimension row is
+    copied to every share, and the join is on key and share. Adaptive execution splits what is still too
+    large: unlike in a plain join to a summed table, both sides come straight out of a shuffle here, which
+    is what it needs. A dimension under the broadcast limit is broadcast by Spark as in any join.
     """
-    return fact.join(dim.select(key), key, "left_semi")
+    share = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
+    copies = dim.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return fact.withColumn("_share", share).join(copies, [key, "_share"], how).drop("_share")
+
+
+def fk_valid(fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """Rows whose key exists in the dimension."""
+    return look_up(fact, dim.select(key), key, spread_by, "left_semi")
+
+
+def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    return look_up(fact, dim.select(key), key, spread_by, "left_anti")
 
 
-def fk_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    return fact.join(dim.select(key), key, "left_anti")
+def named_in(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
+    """The dimension rows some fact names. The fact's keys are made distinct before they are shuffled."""
+    return dim.join(fact.select(key).distinct(), key, "left_semi")
 
 
 def left_with_defaults(base: DataFrame, feat: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:

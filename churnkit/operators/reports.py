@@ -23,7 +23,7 @@ from churnkit.functions import (
     text_or,
 )
 from churnkit.operators.actions import filter_predictions
-from churnkit.operators.relational import latest_only, pivot_counts, top_k, union_all, with_share
+from churnkit.operators.relational import latest_only, look_up, named_in, pivot_counts, top_k, union_all, with_share
 from churnkit.schemas import ACTION_STATUSES
 
 TIER_ORDER = ("High", "Medium", "Low")
@@ -177,11 +177,13 @@ def pending_total(view: DataFrame) -> DataFrame:
 
 
 def all_actions(actions: DataFrame, companies: DataFrame, health: DataFrame) -> DataFrame:
-    return (
-        actions.select("action_id", "company_id", "action_type", "status", "outcome", "created_at", "approved_at")
-        .join(companies.select("company_id", "company_name"), "company_id")
+    profile = (
+        named_in(companies, actions, "company_id")
+        .select("company_id", "company_name")
         .join(health.select("company_id", "mrr"), "company_id")
     )
+    rows = actions.select("action_id", "company_id", "action_type", "status", "outcome", "created_at", "approved_at")
+    return look_up(rows, profile, "company_id", ["action_id"], "inner")
 
 
 def recent_actions(listed: DataFrame, k: int = 10) -> DataFrame:

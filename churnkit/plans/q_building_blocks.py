@@ -202,12 +202,12 @@ def _(s):
 
 @query("fk_valid", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
+    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id", ["subscription_id"])
 
 
 @query("fk_orphans", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id NOT IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
+    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id", ["subscription_id"])
 
 
 @query("join_left_defaults", """

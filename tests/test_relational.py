@@ -30,8 +30,8 @@ def test_latest_and_previous(rows):
 def test_key_checks(rows):
     fact = rows([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     dim = rows([(1,), (1,)], "k int")
-    assert values(R.fk_valid(fact, dim, "k")) == [(1, "a")]
-    assert values(R.fk_orphans(fact, dim, "k")) == [(2, "b"), (None, "c")]
+    assert values(R.fk_valid(fact, dim, "k", ["v"])) == [(1, "a")]
+    assert values(R.fk_orphans(fact, dim, "k", ["v"])) == [(2, "b"), (None, "c")]
 
 
 def test_latest_only_and_empty(rows):
@@ -114,3 +114,15 @@ def test_top_k_and_order(rows):
     df = rows([("b", 1), ("a", 3), ("c", 2)], "t string, n int")
     assert [r.t for r in R.top_k(df, [F.desc("n")], 2).collect()] == ["a", "c"]
     assert [r.t for r in R.order_by_category(df, "t", ["c", "b"]).collect()] == ["c", "b", "a"]
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_look_up_equals_a_plain_join(rows, how):
+    fact = rows([(i % 7 if i % 5 else None, i) for i in range(60)], "k int, v int")
+    dim = rows([(k, f"d{k}") for k in range(4)], "k int, d string")
+    assert values(R.look_up(fact, dim, "k", ["v"], how)) == values(fact.join(dim, "k", how))
+
+
+def test_named_in(rows):
+    dim = rows([(1, "a"), (2, "b")], "k int, d string")
+    assert values(R.named_in(dim, rows([(2,), (2,), (9,)], "k int"), "k")) == [(2, "b")]

@@ -7,6 +7,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from churnkit.operators import conform, health
 from churnkit.operators import relational as R
 from churnkit.plans.catalogue import QUERIES
 from churnkit.plans.medallion import quality_reports, run_all
@@ -71,7 +72,9 @@ def skewed(spark, n=30000):
     )
 
 
-def test_a_hot_key_is_split_in_a_key_check(spark):
+@pytest.fixture()
+def small_limits(spark):
+    """Limits so low that a few thousand rows count as a skewed partition and nothing is broadcast."""
     conf = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
@@ -81,18 +84,32 @@ def test_a_hot_key_is_split_in_a_key_check(spark):
         "spark.sql.shuffle.partitions": "16",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        fact = skewed(spark).repartition(8, "v")
-        dim = spark.range(0, 997, 2).select(F.col("id").cast("int").alias("k"))
-        kept = R.fk_valid(fact, dim, "k")
-        plan = final_plan(kept)
-        assert "isSkewJoin=true" in plan or "skew" in plan.lower()
-        assert kept.count() == fact.filter("k % 2 = 0").count()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_key_is_split_in_a_key_check(spark, small_limits):
+    fact = skewed(spark).repartition(8, "v")
+    dim = spark.range(0, 997, 2).select(F.col("id").cast("int").alias("k"))
+    kept = R.fk_valid(fact, dim, "k", ["v"])
+    assert "skew=true" in final_plan(kept)
+    assert kept.count() == fact.filter("k % 2 = 0").count()
+
+
+def test_a_hot_company_is_split_in_the_contract_lookup(spark, small_limits):
+    raw = skewed(spark).repartition(8, "v").select(
+        F.col("k").alias("company_id"), F.col("v").alias("subscription_id"), (F.col("v") % 7 + 1).alias("mrr"),
+        F.date_add(F.lit(AS_OF), -(F.col("v") % 50).cast("int")).alias("start_date"), F.lit(AS_OF).alias("end_date"),
+        F.lit("active").alias("status"), F.lit("annual").alias("billing_cycle"), F.lit(AS_OF).alias("_ingested_at"), "note",
+    )
+    contracts = conform.fact_subscriptions(raw, None)
+    assert "skew=true" in final_plan(contracts)
+    current = health.current_contract(contracts)
+    newest = raw.groupBy("company_id").agg(F.max(F.struct("start_date", "subscription_id")).alias("m"))
+    assert values(current.select("company_id", "subscription_id")) == values(newest.select("company_id", "m.subscription_id"))
 
 
 def test_results_hold_with_a_hot_key(spark):
