@@ -6,16 +6,21 @@ tasks. Rows never leave their partition; each Arrow batch is explained with arra
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 from math import factorial
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions below travel with the task, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Spark's boosted classifier has probability 1 / (1 + exp(-2 * margin)), so log-odds are twice the margin.
 LOG_ODDS_PER_MARGIN = 2.0
 

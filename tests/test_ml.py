@@ -205,3 +205,18 @@ def test_store_predictions_replaces_only_the_scored_day(rows, tmp_path):
     assert values(got.select("company_id", "prediction_date", "churn_probability")) == [
         ("c1", d1, 0.1), ("c1", d2, 0.9), ("c2", d2, 0.8), ("c9", d2, 0.3)
     ]
+
+
+def test_explanation_travels_with_the_task(tmp_path):
+    """A worker that cannot import this package can still run it."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(explain.shapley))
+    code = "import pickle, numpy; f = pickle.load(open('f.pkl', 'rb')); print(f(numpy.zeros((1, 2)), [(2.0, [])])[1])"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "2.0", done.stderr
