@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from churnkit.llm import oracles
+from churnkit.llm import bpe, curriculum, oracles, quality, repair, rules, warc
 from churnkit.llm.common import read
 from churnkit.llm.ngram_join import jaccard_components
 
@@ -15,10 +17,50 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(read(spark, folder, "documents"))
 
 
+def op3_quality_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, folder, "labels"))
+    return quality.judge(docs, model).drop("text")
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    learned = rules.train(docs, read(spark, folder, "labels"))
+    return rules.judge(docs, learned).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+def op6_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
+    shards = repair.write_shards(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return repair.read_shards(shards)
+
+
+def op7_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return curriculum.taken(read(spark, folder, "documents"))
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(read(spark, folder, "pages"), least=0)
+    return warc.read_archives(archives, blocks=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to")
+    )
+
+
+def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard,
+        op3_quality_ordinal,
+        op5_quality_rules,
+        op6_repair_shards,
+        op7_curriculum_mix,
+        op8_warc,
+        op9_bpe_round_trip,
     )
 }
 ORACLES: dict[str, str] = oracles.SQL
