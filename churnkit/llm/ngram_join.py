@@ -42,8 +42,8 @@ WIDTH = 5
 SIMILARITY = (75, 100)
 #: Documents of a list from which on its length counts as long; lengths are kept in one byte.
 HOT = 64
-#: Shingles of a block of documents, and shingles one owner counts at a time.
-BLOCK, PART = 1_000_000, 2_000_000
+#: Shingles of a block of documents (each counts as 16 more, so places in a block fit two bytes), and shingles one owner counts at a time.
+BLOCK, PART = 500_000, 1_000_000
 
 _FACTORS = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -84,7 +84,7 @@ def _spread(parts: int, width: int):
                     first.setdefault(digests[i], i)
             speakers = np.array(sorted(first.values()), dtype=np.int64)
             flat = np.concatenate([sets[i] for i in speakers]) if len(speakers) else np.zeros(0, np.uint64)
-            owners = np.repeat(speakers.astype(np.uint32), sizes[speakers]) if len(speakers) else np.zeros(0, np.uint32)
+            owners = np.repeat(speakers.astype(np.uint16), sizes[speakers]) if len(speakers) else np.zeros(0, np.uint16)
             order = np.argsort(flat)
             flat, owners = flat[order], owners[order]
             starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
@@ -138,8 +138,8 @@ def _u64(buffer) -> np.ndarray:
     return np.frombuffer(buffer or b"", dtype=np.uint64)
 
 
-def _u32(buffer) -> np.ndarray:
-    return np.frombuffer(buffer or b"", dtype=np.uint32)
+def _u16(buffer) -> np.ndarray:
+    return np.frombuffer(buffer or b"", dtype=np.uint16)
 
 
 _ANSWER = pa.schema([("block", pa.int64())] + [(n, pa.binary()) for n in ("shingles", "owners", "lengths", "ids", "sizes", "digests")])
@@ -168,7 +168,7 @@ def _count_lists(table: pa.Table) -> pa.Table:
         at += len(shingles)
         keep = mine > 1
         if keep.any():
-            own.append({"block": r["block"], "shingles": shingles[keep].tobytes(), "owners": _u32(r["owners"])[keep].tobytes(), "lengths": mine[keep].tobytes(), "ids": None, "sizes": None, "digests": None})
+            own.append({"block": r["block"], "shingles": shingles[keep].tobytes(), "owners": _u16(r["owners"])[keep].tobytes(), "lengths": mine[keep].tobytes(), "ids": None, "sizes": None, "digests": None})
     return pa.Table.from_pylist(own, schema=_ANSWER)
 
 
@@ -185,7 +185,7 @@ def _close_block(least: tuple[int, int]):
         ids = np.frombuffer(head["ids"][: 8 * n], dtype=np.int64)
         null = np.frombuffer(head["ids"][8 * n :], dtype=np.int8) < 0
         shingles = np.concatenate([_u64(r["shingles"]) for r in rows])
-        owners = np.concatenate([_u32(r["owners"]) for r in rows])
+        owners = np.concatenate([_u16(r["owners"]) for r in rows])
         lengths = np.concatenate([np.frombuffer(r["lengths"] or b"", dtype=np.uint8) for r in rows])
         order = np.lexsort((shingles, lengths, owners))
         shingles, owners = shingles[order], owners[order]
