@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm import bpe, curriculum, oracles, quality, repair, rules, warc
-from churnkit.llm.common import read
+from churnkit.llm import bpe, context_mix, curriculum, langid, oracles, quality, repair, rules, warc
+from churnkit.llm.common import read, remainder
+from churnkit.llm.grid_join import near_duplicates
 from churnkit.llm.ngram_join import jaccard_components
 
 
@@ -17,12 +18,20 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(read(spark, folder, "documents"))
 
 
+def op2_grid_order_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read(spark, folder, "embeddings"))
+
+
 def op3_quality_ordinal(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, read(spark, folder, "labels"))
     return quality.judge(docs, model).drop("text")
 
 
+def op4_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mix.scores(read(spark, folder, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     learned = rules.train(docs, read(spark, folder, "labels"))
@@ -51,16 +60,26 @@ def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = langid.train(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return langid.predict(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard,
+        op2_grid_order_join,
         op3_quality_ordinal,
+        op4_context_mixing,
         op5_quality_rules,
         op6_repair_shards,
         op7_curriculum_mix,
         op8_warc,
         op9_bpe_round_trip,
+        op10_nearest_centroid,
     )
 }
 ORACLES: dict[str, str] = oracles.SQL
