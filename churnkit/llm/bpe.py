@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import pieces, ragged, starts_of
+from churnkit.llm.common import WordTable, pieces, ragged, starts_of
 
 #: How byte-level tokenizers cut texts (fixed value of the file format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words one worker remembers, and bytes of text it works on at a time.
-MEMORY, BATCH_BYTES = 400_000, 4_000_000
+MEMORY, BATCH_BYTES = 800_000, 4_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -111,19 +111,21 @@ class Vocabulary:
 
     def encode_piece(self, piece: str) -> list[int]:
         text = piece.encode("utf-8", "surrogatepass").decode("latin-1")
-        end, matches = len(text), self.automaton.iter_long
-        out: list[int] = []
-        sizes: list[int] = []
-        dead = bytearray(end + 1)
-        at = 0
-        step = next(matches(text))[1] if end else None
-        while at < end or step is not None:
+        matches = self.automaton.iter_long
+        # The way that takes the longest token everywhere comes first; often it is the answer.
+        longest = [found for _, found in matches(text)]
+        out = [token for token, _ in longest]
+        if all(map(self.fits, out, out[1:])):
+            return out
+        out, sizes, at, end, dead = [], [], 0, len(text), bytearray(len(text) + 1)
+        step = longest[0]
+        while at < end:
             token, size = step
             if not dead[at + size] and (not out or self.fits(out[-1], token)):
                 out.append(token)
                 sizes.append(size)
                 at += size
-                step = next(matches(text, at))[1] if at < end else None
+                step = next(matches(text, at))[1] if at < end else step
                 continue
             step = self.shorter[token]
             if step is None:
@@ -139,13 +141,13 @@ class Vocabulary:
 
 
 class _Words(dict):
-    """Number of a word in the arrays of a coder, encoded when first met."""
+    """Number of a word in a coder's table, encoded when first met."""
 
     def __init__(self, coder: Coder, blank: str):
         self.coder, self.blank = coder, blank
 
     def __missing__(self, word: str) -> int:
-        number = self[word] = self.coder.add(self.blank + word)
+        number = self[word] = self.coder.add(self.blank, word)
         return number
 
 
@@ -154,34 +156,31 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.double = regex.compile(r"\s\s").search
         self.forget()
 
     def forget(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
         self.first, self.later = _Words(self, ""), _Words(self, " ")
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.used, self.offsets, self.sizes = 0, [], []
-
-    def add(self, word: str) -> int:
-        ids: list[int] = []
-        for piece in self.v.cut(word):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = self.pieces[piece] = self.v.encode_piece(piece)
-            ids += known
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.int32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.offsets.append(self.used)
-        self.sizes.append(len(ids))
-        self.used += len(ids)
-        return len(self.offsets) - 1
+        self.table = WordTable()
+        #: Signs and short pieces, which come again in many words.
+        self.parts: dict[str, list[int]] = {}
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.parts.get(piece)
+        if ids is None:
+            known = self.later.get(piece[1:]) if piece[:1] == " " else self.first.get(piece)
+            ids = self.v.encode_piece(piece) if known is None else self.table.ids(known)
+            if len(piece) < 4:
+                self.parts[piece] = ids
+        return ids
+
+    def add(self, blank: str, word: str) -> int:
+        pieces_ = self.v.cut(blank + word)
+        ids = self.v.encode_piece(pieces_[0]) if len(pieces_) == 1 else [i for piece in pieces_ for i in self._piece(piece)]
+        # Beside another white space, white space at a word's edge could belong to another piece.
+        return self.table.add(ids, not word or word[0].isspace() or word[-1].isspace())
 
     def _numbers(self, text: str) -> list[int]:
-        """Words of the text by number. Only where no two white spaces meet do blanks and line ends part pieces for sure."""
-        if self.double(text):
-            return [self.first[piece] for piece in self.v.cut(text)]
+        """Numbers of the words between single blanks and line ends."""
         out: list[int] = []
         for i, line in enumerate(text.split("\n")):
             if i:
@@ -191,27 +190,25 @@ class Coder:
             out += map(self.later.__getitem__, words[1:])
         return out
 
+    def _plain(self, text: str) -> np.ndarray:
+        """Ids of a text without special tokens."""
+        if not text:
+            return np.zeros(0, dtype=np.int32)
+        numbers = np.array(self._numbers(text), dtype=np.int64)
+        # Where white spaces meet, words do not part pieces for sure, and the whole text is cut by the pattern. The line end is a word too.
+        unsure = self.table.marks[numbers] & (numbers != self.first["\n"])
+        if unsure.any():
+            numbers = np.array([self.first[piece] for piece in self.v.cut(text)], dtype=np.int64)
+        return self.table.gather(numbers)[0]
+
     def encode(self, text: str | None) -> np.ndarray:
-        if len(self.offsets) > MEMORY or len(self.pieces) > MEMORY:
+        if self.table.count > MEMORY:
             self.forget()
-        numbers: list[int] = []
-        for i, part in enumerate(self.v.parting.split(text or "") if self.v.parting else [text or ""]):
-            if i % 2:
-                numbers.append(-1 - self.v.special[part])
-            elif part:
-                numbers += self._numbers(part)
-        found = np.array(numbers, dtype=np.int64)
-        if not len(found):
-            return np.zeros(0, dtype=np.int32)
-        special = found < 0
-        index = np.where(special, 0, found)
-        lengths = np.where(special, 1, np.fromiter(map(self.sizes.__getitem__, index.tolist()), np.int64, len(index)) if self.sizes else 1)
-        starts = np.fromiter(map(self.offsets.__getitem__, index.tolist()), np.int64, len(index)) if self.offsets else index
-        at = ragged(starts, lengths)
-        out = self.flat[at]
-        if special.any():
-            out[starts_of(lengths)[special]] = -1 - found[special]
-        return out
+        text = text or ""
+        if not any(s in text for s in self.v.special):
+            return self._plain(text)
+        parts = self.v.parting.split(text)
+        return np.concatenate([np.array([self.v.special[p]], dtype=np.int32) if i % 2 else self._plain(p) for i, p in enumerate(parts)])
 
 
 _CODERS: dict[str, Coder] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,44 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - starts_of(lengths), lengths)
 
 
+class WordTable:
+    """Ids of words by number, in flat arrays; a word may carry a mark."""
+
+    def __init__(self):
+        self.flat = np.zeros(1 << 16, dtype=np.int32)
+        self.starts = np.zeros(1 << 12, dtype=np.int64)
+        self.sizes = np.zeros(1 << 12, dtype=np.int64)
+        self.marks = np.zeros(1 << 12, dtype=bool)
+        self.used = self.count = 0
+
+    def add(self, ids: list[int], mark: bool = False) -> int:
+        return self.add_all([ids], [mark])
+
+    def add_all(self, words: list[list[int]], marks: list[bool] | None = None) -> int:
+        """Number of the first word; the others follow."""
+        flat, sizes = list(chain.from_iterable(words)), list(map(len, words))
+        first, end, upto = self.count, self.count + len(words), self.used + len(flat)
+        while end > len(self.starts):
+            self.starts, self.sizes, self.marks = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.marks))
+        while upto > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : upto] = flat
+        self.sizes[first:end] = sizes
+        self.starts[first:end] = list(accumulate(sizes, initial=self.used))[:-1]
+        if marks:
+            self.marks[first:end] = marks
+        self.used, self.count = upto, end
+        return first
+
+    def ids(self, number: int) -> list[int]:
+        return self.flat[self.starts[number] : self.starts[number] + self.sizes[number]].tolist()
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        return self.flat[ragged(self.starts[numbers], sizes)], sizes
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable, for every node of the edges (a, b): columns node, component.
 

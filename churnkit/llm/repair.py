@@ -22,6 +22,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,16 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import pieces, ragged, starts_of, store
+from churnkit.llm.common import WordTable, pieces, ragged, starts_of, store
 
 END = 2
 #: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
-SHARD, MEMORY, BATCH_BYTES = 1_000_000, 400_000, 4_000_000
+SHARD, MEMORY, BATCH_BYTES = 1_000_000, 800_000, 4_000_000
 #: A pair is replaced if it stands at this many places at least; a round that saves less than this share is the last.
 LEAST, LEAST_GAIN, PER_ROUND = 8, 0.01, 4096
 SYMBOLS = 1 << 16
+#: Signs that may follow a word.
+SIGNS = ".,;:!?"
 MAGIC = b"REPAIR01"
 _HEAD = struct.Struct("<8s4Q")
 
@@ -46,37 +49,36 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     base = int(ids.max()) + 1 if len(ids) else 0
     if base >= SYMBOLS:
         raise ValueError(f"ids up to {base - 1} do not fit into two bytes")
-    symbols, last, rules = ids.astype(np.int64), last.copy(), np.zeros((0, 2), dtype=np.int64)
+    symbols, last, rules = ids.astype(np.uint32), last.copy(), np.zeros((0, 2), dtype=np.int64)
     while len(symbols) > 1 and base + len(rules) < SYMBOLS:
-        keys = symbols[:-1] * SYMBOLS + symbols[1:]
-        keys[last[:-1]] = -1
-        # Most pairs are rare: counts by a hash leave the few places whose pairs may be frequent, and these are counted exactly.
-        bins = (keys * 0x9E3779B1 >> 12) & 0xFFFFF
-        often = np.bincount(bins, minlength=1 << 20) >= LEAST
-        places = np.flatnonzero(often[bins] & (keys >= 0))
-        found, which, counts = np.unique(keys[places], return_inverse=True, return_counts=True)
-        room = min(PER_ROUND, SYMBOLS - base - len(rules))
-        top = np.argsort(-counts, kind="stable")[:room]
-        top = top[counts[top] >= LEAST]
+        places = np.flatnonzero(~last[:-1])
+        keys = ((symbols[:-1] << np.uint32(16)) | symbols[1:])[places]
+        ranked = np.sort(keys)
+        begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        counts = np.diff(np.append(begins, len(ranked)))
+        often = np.flatnonzero(counts >= LEAST)
+        top = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, SYMBOLS - base - len(rules))]]
         if not len(top):
             break
-        number = np.full(len(found), -1, dtype=np.int64)
-        number[top] = np.arange(len(top))
-        chosen = number[which]
-        places, chosen = places[chosen >= 0], chosen[chosen >= 0]
+        pairs = ranked[begins[top]]
+        # Places find their pair by a hash of it; of pairs that share a hash the most frequent is replaced now, the others next time.
+        table = np.full(1 << 20, -1, dtype=np.int32)
+        table[_bin(pairs[::-1])] = np.arange(len(pairs), dtype=np.int32)[::-1]
+        chosen = table[_bin(keys)]
+        hit = (chosen >= 0) & (pairs[chosen] == keys)
+        places, chosen = places[hit], chosen[hit]
         # In a run of overlapping places every second one is taken.
-        begins = np.concatenate([[True], np.diff(places) > 1])
-        run = np.maximum.accumulate(np.where(begins, np.arange(len(places)), 0))
+        first = np.concatenate([[True], np.diff(places) > 1])
+        run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
         taken = (np.arange(len(places)) - run) % 2 == 0
         places, chosen = places[taken], chosen[taken]
-        used = np.bincount(chosen, minlength=len(top))
-        worth = used >= 2
+        worth = np.bincount(chosen, minlength=len(top)) >= 2
         keep = worth[chosen]
         places, chosen = places[keep], chosen[keep]
         if not len(places):
             break
-        names = np.cumsum(worth) - 1 + base + len(rules)
-        rules = np.concatenate([rules, np.stack([found[top] // SYMBOLS, found[top] % SYMBOLS], axis=1)[worth]])
+        names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint32)
+        rules = np.concatenate([rules, np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1)[worth].astype(np.int64)])
         symbols[places] = names[chosen]
         last[places] = last[places + 1]
         before = len(symbols)
@@ -88,6 +90,10 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return symbols, rules, last, base
 
 
+def _bin(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(12)
+
+
 def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
     last = np.zeros(len(ids), dtype=bool)
     last[np.cumsum(lengths) - 1] = True
@@ -167,45 +173,80 @@ class Shard:
 
 
 class _Words(dict):
-    """Ids of words, by number; new words of a batch are encoded together."""
-
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.flat: list[np.ndarray] = []
+    """Numbers of words in a table of their ids; number 0 is the end id."""
+
+    def __init__(self, tokenizer, end: int):
+        self.tokenizer, self.end = tokenizer, end
+        suffix = tokenizer.model.end_of_word_suffix
+        names = tokenizer.get_vocab(with_added_tokens=True)
+        self.closing = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.closing[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
+        self.parts: dict[str, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.table = WordTable()
+        self.table.add([self.end])
 
     def learn(self, words: list[bytes]) -> None:
-        # The tokenizer drops white space and never joins across it, so a text is its words one by one.
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, one in zip(words, coded):
-            self[word] = len(self.flat)
-            self.flat.append(np.array(one.ids, dtype=np.int32))
-
-
-_KNOWN: dict[int, _Words] = {}
-
-
-def encode_texts(texts: list[str | None], words: _Words, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The tokenizer drops white space and never joins across it, so a text is its words one by one. Letters and the signs after
+        them never join either: words that are letters and then signs are put together from the two."""
+        whole, split = [], []
+        for word in words:
+            text = word.decode()
+            core = text.rstrip(SIGNS)
+            if core.isalpha():
+                split.append((word, core.lower() if core.isascii() else core, text[len(core) :]))
+            else:
+                whole.append((word, text))
+        coded = self._each([t for _, t in whole])
+        cores = list({core for _, core, _ in split if core not in self.parts})
+        for at in range(0, len(cores), 2000):
+            some = cores[at : at + 2000]
+            self.parts.update(zip(some, self._joined(some)))
+        signs = list({tail for _, _, tail in split if tail and tail not in self.parts})
+        self.parts.update(zip(signs, self._each(signs)))
+        coded += [self.parts[core] + self.parts[tail] if tail else self.parts[core] for _, core, tail in split]
+        first = self.table.add_all(coded)
+        self.update(zip(chain((w for w, _ in whole), (w for w, _, _ in split)), range(first, first + len(coded))))
+        if len(self.parts) > MEMORY // 2:
+            self.parts.clear()
+
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, words: list[str]) -> list[list[int]]:
+        """Words of letters encoded as one text and parted at the tokens that end a word; if that doesn't come out even, one by one."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int64)
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(words):
+            return self._each(words)
+        flat, at = ids.tolist(), [0, *ends.tolist()]
+        return [flat[x:y] for x, y in zip(at, at[1:])]
+
+
+_KNOWN: dict[tuple[int, int], _Words] = {}
+
+
+def encode_texts(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each closed by the end id, and the length of each."""
     split = [t.encode().split() if t else [] for t in texts]
     if len(words) > MEMORY:
-        words.clear()
-        words.flat.clear()
-    new = list({w for ws in split for w in ws if w not in words})
-    if new:
-        words.learn(new)
-    close = len(words.flat)
-    numbers: list[int] = []
+        words.forget()
+    numbers: list[int | None] = []
     for ws in split:
-        numbers += map(words.__getitem__, ws)
-        numbers.append(close)
-    table = [*words.flat, np.array([end], dtype=np.int32)]
+        numbers += map(words.get, ws)
+        numbers.append(0)
+    if None in numbers:
+        words.learn(list({w for ws in split for w in ws if w not in words}))
+        numbers = []
+        for ws in split:
+            numbers += map(words.__getitem__, ws)
+            numbers.append(0)
     known = np.array(numbers, dtype=np.int64)
-    used, index = np.unique(known, return_inverse=True)
-    parts = [table[i] for i in used.tolist()]
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    lengths = sizes[index]
-    flat = np.concatenate(parts)[ragged(starts_of(sizes)[index], lengths)]
-    upto = np.cumsum(lengths)[known == close]
+    flat, sizes = words.table.gather(known)
+    upto = np.cumsum(sizes)[known == 0]
     return flat, np.diff(np.concatenate([[0], upto]))
 
 
@@ -221,11 +262,11 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
         from pyspark import TaskContext
         from tokenizers import Tokenizer
 
-        if key not in _KNOWN:
+        if (key, end) not in _KNOWN:
             tokenizer = Tokenizer.from_str(vocabulary.value)
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            _KNOWN[key] = _Words(tokenizer)
+            _KNOWN[key, end] = _Words(tokenizer, end)
         task, number = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -236,7 +277,7 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
             return pa.RecordBatch.from_pydict({"file": [task], "number": [number], "n_tokens": [len(ids)], "shard": [pack(names, ids, lengths)]}, schema=schema)
 
         for part in pieces(batches, BATCH_BYTES // 4):
-            held.append(encode_texts(part.column(1).to_pylist(), _KNOWN[key], end))
+            held.append(encode_texts(part.column(1).to_pylist(), _KNOWN[key, end]))
             names += part.column(0).to_pylist()
             size += len(held[-1][0])
             if size >= SHARD:
