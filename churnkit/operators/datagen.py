@@ -1,4 +1,7 @@
-"""Seeded test data: every value is a function of a 32-bit row number, so any task can make any row."""
+"""Seeded test data: every value is a function of a row number, so any task can make any row.
+
+All numbers, lists and spans come from the caller; nothing here stands for a particular data set.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +11,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.functions import col, clamp, lookup, pick, seeded_int
+from churnkit.functions import clamp, col, lookup, pick, round_dec, seeded_int
 from churnkit.operators.relational import prefix_offsets, union_all
 
 
 def gen_ids(spark: SparkSession, n: int, name: str = "id") -> DataFrame:
     """Row numbers 1..n, made in parallel."""
-    return spark.range(1, n + 1).select(F.col("id").cast("int").alias(name))
+    return spark.range(1, n + 1).select(F.col("id").alias(name))
+
+
+def draw(number, what: str, modulus: int) -> Column:
+    """Repeatable number in [0, modulus) for a row number; draws of different names are independent."""
+    return F.pmod(F.xxhash64(F.lit(what), col(number).cast("bigint")), F.lit(modulus)).cast("int")
 
 
 def cohort(c, edges: Sequence[int], labels: Sequence[str]) -> Column:
@@ -36,29 +44,27 @@ def numbered_fan_out(parents: DataFrame, key: str, count_col: str, rank: str = "
     The offset of a parent is summed over the parents, before the rows are multiplied.
     """
     children = fan_out(prefix_offsets(parents, key, count_col, "_offset"), count_col, rank)
-    return children.withColumn(number, (F.col("_offset") + F.col(rank)).cast("int")).drop("_offset")
+    return children.withColumn(number, F.col("_offset") + F.col(rank)).drop("_offset")
 
 
 def surrogate_key(prefix: str, number, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(col(number).cast("string"), width, "0"))
 
 
-def synthetic_uuid(number) -> Column:
-    """Repeatable id text in five groups."""
-    # Multiplier, modulus and width of each group.
-    groups = ((1, 65536, 8), (2, 65536, 4), (3, 65536, 4), (4, 65536, 4), (5, 999999, 12))
-    return F.concat_ws("-", *[F.lpad(seeded_int(number, m, mod).cast("string"), w, "0") for m, mod, w in groups])
+def synthetic_uuid(number, space: str = "row") -> Column:
+    """Repeatable id text: the first 32 hex digits of a digest of the number, in the usual five groups."""
+    digest = F.sha2(F.concat(F.lit(f"{space}:"), col(number).cast("string")), 256)
+    return F.concat_ws("-", *[F.substring(digest, at, width) for at, width in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
-def offset_days(cohort_col, number, rules: Mapping[str, tuple[int, int, int]], otherwise: int) -> Column:
-    """Day offset by cohort: ``(tenths, early, late)`` puts that many tenths of the rows into the first
-    ``early`` days and the rest into the ``late`` days after them; other cohorts spread evenly."""
-    share = seeded_int(number, 3, 10)
+def offset_days(cohort_col, number, leaning: Mapping[str, str], span: int, seeds: tuple[int, int]) -> Column:
+    """Day offset in [0, span): cohorts that lean ``early`` take the smaller of two draws, ``late`` the larger, others the first."""
+    one, two = (seeded_int(number, seed, span) for seed in seeds)
+    ways = {"early": F.least(one, two), "late": F.greatest(one, two)}
     out = None
-    for name, (tenths, early, late) in rules.items():
-        value = F.when(share < tenths, seeded_int(number, 19, early)).otherwise(early + seeded_int(number, 19, late))
-        out = F.when(col(cohort_col) == name, value) if out is None else out.when(col(cohort_col) == name, value)
-    return out.otherwise(seeded_int(number, 19, otherwise))
+    for name, way in leaning.items():
+        out = F.when(col(cohort_col) == name, ways[way]) if out is None else out.when(col(cohort_col) == name, ways[way])
+    return out.otherwise(one)
 
 
 def late_life(rank, count, share: float) -> Column:
@@ -66,17 +72,17 @@ def late_life(rank, count, share: float) -> Column:
     return col(rank) > col(count) * F.lit(share)
 
 
-def conditioned_pick(number, multiplier: int, late: Column, late_values: Sequence[str], early_values: Sequence[str]) -> Column:
-    return F.when(late, pick(late_values, seeded_int(number, multiplier, len(late_values)))).otherwise(
-        pick(early_values, seeded_int(number, multiplier, len(early_values)))
+def conditioned_pick(index: Column, late: Column, late_values: Sequence[str], early_values: Sequence[str]) -> Column:
+    """Value from one of two lists, at ``index`` modulo the length of the list."""
+    return F.when(late, pick(late_values, F.pmod(index, F.lit(len(late_values))))).otherwise(
+        pick(early_values, F.pmod(index, F.lit(len(early_values))))
     )
 
 
-def drifting_score(number, rank, count, start: float = 0.3, drop: float = 0.8) -> Column:
-    """Score that falls over the parent's life with a small seeded spread, within [-1, 1], two decimals."""
-    drift = F.lit(start) - F.lit(drop) * col(rank).cast("double") / col(count).cast("double")
-    spread = (seeded_int(number, 17, 21) - 10) / F.lit(100.0)
-    return clamp((drift + spread).cast("decimal(4,2)").cast("double"), -1.0, 1.0)
+def trend_score(rank, count, first: float, last: float, wobble: Column, low: float, high: float) -> Column:
+    """Score that goes evenly from ``first`` at the first child to ``last`` at the last one, with a wobble, two decimals."""
+    way = (col(rank) - 1).cast("double") / F.greatest(col(count) - 1, F.lit(1)).cast("double")
+    return clamp(round_dec(F.lit(first) + F.lit(last - first) * way + wobble, 2), low, high)
 
 
 def derive_dates(df: DataFrame, start: str, cycle: str, status: str, hours: str, survey_no: str) -> DataFrame:
@@ -87,7 +93,7 @@ def derive_dates(df: DataFrame, start: str, cycle: str, status: str, hours: str,
         {
             "end_date": F.date_add(begun, F.when(F.col(cycle) == "annual", 365).otherwise(30)),
             "resolved_date": F.when(F.col(status).isin("resolved", "closed"), F.date_add(begun, days)),
-            "survey_date": F.date_add(begun, (F.col(survey_no) - 1) * 90 + 30),
+            "survey_date": F.date_add(begun, (F.col(survey_no) * 50 - 20).cast("int")),
         }
     )
 
@@ -105,5 +111,5 @@ def with_history(current: DataFrame, had_one: Column, lower_plan: Mapping[str, s
     return union_all(current.withColumn("contract_version", F.lit(1)), previous)
 
 
-def start_date(number, multiplier: int = 23, first: dt.date = dt.date(2020, 1, 1), days: int = 1461) -> Column:
-    return F.date_add(F.lit(first), seeded_int(number, multiplier, days))
+def start_date(first: dt.date, days_after: Column) -> Column:
+    return F.date_add(F.lit(first), days_after)
