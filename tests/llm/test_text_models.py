@@ -127,33 +127,30 @@ def test_base_scores_equal_brute_force(lm, texts):
 def test_probabilities_of_the_next_sign_add_up_to_one(texts):
     """Over all 257 continuations of a text's beginning, what the model gives to each must sum to 1."""
     train = [(t or "").encode() for _, t, *_ in texts[:40]]
-    histogram = np.bincount(np.frombuffer(b"".join(train), dtype=np.uint8), minlength=257)
-    code = context_mix.code_of(histogram)
-    odds = [np.random.default_rng(k).normal(size=1 << bits).astype(np.float32) for k, (_, bits) in enumerate(context_mix.PREDICTORS)]
-    model = context_mix.model_of(code, odds)
-    model.learn(train[:10])
+    code = context_mix.code_of(np.random.default_rng(3).integers(0, 50, 256 * 257))
+    tables = [np.random.default_rng(k).integers(0, 9, 2 << bits).astype(np.float32) for k, (_, bits) in enumerate(context_mix.PREDICTORS)]
+    model = context_mix.fitted(code, [t + 5 for t in tables], train[:3])
     begin = train[0][:200] + train[0][:100]
     ended = model.log10([begin])[0]
-    # A text that goes on has the same beginning and then ends one sign later; both ends are taken off.
-    total = 0.0
-    slots, places, sides, counts, said = context_mix.decisions(code, [begin + bytes([b]) for b in range(256)])
-    _, mixed, cell, _ = model._mix(slots, places, said)
+    # A text that goes on has the same beginning; the decisions of the sign after it are cut out of each.
+    slots, depths, sides, counts, said = context_mix.decisions(code, [begin + bytes([b]) for b in range(256)])
+    _, mixed, cell, _ = model._mix(slots, depths, said)
     one = (1 / (1 + np.exp(-mixed)) + model.refined[cell]) / 2
     chance = np.log10(np.where(sides == 1, one, 1 - one))
     starts = np.concatenate([[0], np.cumsum(counts)])
-    before = int(sum(code.lengths[b] for b in begin))
+    keys = [x * 257 + y for x, y in zip(b"\0" + begin, begin)]
+    before = int(code.lengths[keys].sum())
+    total = 10 ** (ended - chance[:before].sum())
     for b in range(256):
         own = chance[starts[b] : starts[b + 1]]
-        total += 10 ** own[before : before + code.lengths[b]].sum()
-    first = chance[: starts[1]][:before].sum()
-    total += 10 ** (ended - first)
+        total += 10 ** own[before : before + code.lengths[begin[-1] * 257 + b]].sum()
     assert abs(total - 1) < 1e-3
 
 
 def test_scores_do_not_depend_on_the_batch(texts):
     raw = [(t or "").encode() for _, t, *_ in texts[:20]] + [b""]
-    code = context_mix.code_of(np.ones(257, dtype=np.int64))
-    odds = [np.random.default_rng(k).normal(size=1 << bits).astype(np.float32) for k, (_, bits) in enumerate(context_mix.PREDICTORS)]
+    code = context_mix.code_of(np.ones(256 * 257, dtype=np.int64))
+    odds = [np.random.default_rng(k).integers(-60, 60, 1 << bits).astype(np.int8) for k, (_, bits) in enumerate(context_mix.PREDICTORS)]
     model = context_mix.model_of(code, odds)
     together = model.log10(raw)
     assert np.allclose(together, [model.log10([t])[0] for t in raw], rtol=1e-6)
