@@ -161,32 +161,39 @@ def _grow(values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     return rule
 
 
-def _prune(rule: Rule, values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
-    """The beginning of the rule that is best on rows it was not grown on; of equal ones the shortest."""
-    best, worth = rule, -2.0
+def _prune(rule: Rule, values: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
+    """Beginnings of the rule, from the best to the worst on rows it was not grown on; of equal ones the shortest first."""
+    found = []
     for size in range(1, len(rule) + 1):
         inside = _covered(rule[:size], values, len(bad))
         p, n = int((inside & bad).sum()), int((inside & ~bad).sum())
-        now = (p - n) / (p + n) if p + n else -1.0
-        if now > worth:
-            best, worth = rule[:size], now
-    return best
+        found.append((-(p - n) / (p + n) if p + n else 1.0, size))
+    return [rule[:size] for _, size in sorted(found)]
 
 
 def learn(values: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
-    """Ordered rules for bad rows; ``values`` holds a column per ratio, rows in any fixed order."""
+    """Ordered rules for bad rows; ``values`` holds a column per ratio, rows in any fixed order.
+
+    Where no beginning of a grown rule is precise, its rows are set aside and the next rule is grown on the rest.
+    """
     rules: list[Rule] = []
     turn = np.arange(len(bad)) % 3 == 2
     left = np.ones(len(bad), dtype=bool)
-    while len(rules) < RULES and (left & bad).sum() >= SUPPORT:
+    for _ in range(RULES):
+        if (left & bad).sum() < SUPPORT:
+            break
         grow, prune = left & ~turn, left & turn
         of = lambda rows: {k: v[rows] for k, v in values.items()}
-        rule = _prune(_grow(of(grow), bad[grow]), of(prune), bad[prune])
-        inside = left & _covered(rule, values, len(bad))
-        precise = all((inside & part & bad).sum() >= PRECISION * max(1, (inside & part).sum()) for part in (turn, ~turn))
-        if not rule or not precise or (inside & bad).sum() < SUPPORT:
+        grown = _grow(of(grow), bad[grow])
+        if not grown:
             break
-        rules.append(rule)
+        for rule in _prune(grown, of(prune), bad[prune]):
+            inside = left & _covered(rule, values, len(bad))
+            if (inside & bad).sum() >= max(SUPPORT, PRECISION * inside.sum()):
+                rules.append(rule)
+                break
+        else:
+            inside = left & _covered(grown, values, len(bad))
         left &= ~inside
     return rules
 

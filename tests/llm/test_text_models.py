@@ -84,7 +84,7 @@ def test_statistics_equal_brute_force(docs, texts):
 
 
 def test_rules_query_on_held_out_labels(spark):
-    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
     learned = rules.train(docs, labels.filter(~held))
     assert learned
@@ -129,7 +129,7 @@ def test_probabilities_of_the_next_sign_add_up_to_one(texts):
     train = [(t or "").encode() for _, t, *_ in texts[:40]]
     code = context_mix.code_of(np.random.default_rng(3).integers(0, 50, 256 * 257))
     tables = [np.random.default_rng(k).integers(0, 9, 2 << bits).astype(np.float32) for k, (_, bits) in enumerate(context_mix.PREDICTORS)]
-    model = context_mix.fitted(code, [t + 5 for t in tables], train[:3])
+    model = context_mix.fitted(code, [t + 5000 for t in tables], train[:3])
     begin = train[0][:200] + train[0][:100]
     ended = model.log10([begin])[0]
     # A text that goes on has the same beginning; the decisions of the sign after it are cut out of each.
