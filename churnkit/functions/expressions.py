@@ -87,17 +87,17 @@ def count_if(cond: Column) -> Column:
     return F.count_if(cond)
 
 
-def exact_sum(c, scale: int = 4) -> Column:
-    """Sum on decimals: the same in every row order."""
-    return F.sum(col(c).cast(f"decimal(18,{scale})"))
+def exact_sum(c) -> Column:
+    """Sum on decimals of 28 digits before the point and 10 after it: the same in every row order."""
+    return F.sum(col(c).cast("decimal(38,10)"))
 
 
-def exact_avg(c, scale: int = 4) -> Column:
-    return exact_sum(c, scale).cast("double") / F.count(col(c))
+def exact_avg(c) -> Column:
+    return exact_sum(c).cast("double") / F.count(col(c))
 
 
-def avg_if(cond: Column, c, scale: int = 4) -> Column:
-    return exact_avg(F.when(cond, col(c)), scale)
+def avg_if(cond: Column, c) -> Column:
+    return exact_avg(F.when(cond, col(c)))
 
 
 def sum_if(cond: Column, c) -> Column:

@@ -19,14 +19,11 @@ def select_champion(
 ) -> DataFrame:
     """Per model the finished run with the highest mean fold ROC-AUC over the gate, with its version.
 
-    ``metrics`` has one row per model, run and fold; a named run is taken whatever its score.
+    ``metrics`` has one row per model, run and fold; a named run is taken whatever its state and score.
     """
-    runs = (
-        metrics.filter(F.col("status") == "FINISHED")
-        .groupBy("model_name", "run_id")
-        .agg(round_dec(F.avg("roc_auc"), 6).alias("cv_roc_auc"))
-    )
-    fit = runs.filter(F.col("cv_roc_auc") >= min_auc) if run_id is None else runs.filter(F.col("run_id") == run_id)
+    wanted = F.col("status") == "FINISHED" if run_id is None else F.col("run_id") == run_id
+    runs = metrics.filter(wanted).groupBy("model_name", "run_id").agg(round_dec(F.avg("roc_auc"), 6).alias("cv_roc_auc"))
+    fit = runs.filter(F.col("cv_roc_auc") >= min_auc) if run_id is None else runs
     best = latest_per_key(fit, ["model_name"], [F.desc("cv_roc_auc"), F.asc("run_id")])
     return best.join(versions.select("model_name", "run_id", "version"), ["model_name", "run_id"])
 

@@ -124,7 +124,10 @@ def cross_validate(
         scored.append(
             probabilities(model, inside).select("fold", F.col(LABEL).alias("label"), F.col("probability").alias("score"))
         )
-    return with_mean(fold_metrics(union_all(*scored), "score", "label", "fold", threshold))
+    metrics = with_mean(fold_metrics(union_all(*scored), "score", "label", "fold", threshold))
+    rows = metrics.collect()  # a row per fold; what was cached for them is not needed any more
+    folded.unpersist()
+    return matrix.sparkSession.createDataFrame(rows, metrics.schema)
 
 
 def feature_importance(model: GBTClassificationModel, nodes: DataFrame, names=MODEL_INPUTS) -> DataFrame:

@@ -123,15 +123,9 @@ def person_name() -> Column:
     return F.concat_ws(" ", "first_name", "last_name")
 
 
-def _thinned(facts: DataFrame, wanted: DataFrame, bounded: bool) -> DataFrame:
-    """Only the facts of a short company list; for an open list all of them.
-
-    For an open list the facts are ranked first, which leaves a few rows per company, and the others fall
-    away in the join from the list. A join before the ranking would move whole companies.
-    """
-    if not bounded:
-        return facts
-    return facts.join(F.broadcast(wanted.select("company_id").distinct()), "company_id", "left_semi")
+def _thinned(facts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Only the facts of the wanted companies. Spark broadcasts the list of keys while it is small."""
+    return facts.join(wanted.select("company_id").distinct(), "company_id", "left_semi")
 
 
 def _first_lists(df: DataFrame, order: Sequence[Column], limit: int, fields: Sequence[Column | str], name: str) -> DataFrame:
@@ -159,26 +153,24 @@ def newest_surveys() -> list[Column]:
 
 def company_context(
     candidates: DataFrame, contacts: DataFrame, tickets: DataFrame, nps: DataFrame,
-    subscriptions: DataFrame, agents: DataFrame, roles: Sequence[str] = DECISION_ROLES, bounded: bool = False,
+    subscriptions: DataFrame, agents: DataFrame, roles: Sequence[str] = DECISION_ROLES,
 ) -> DataFrame:
     """Candidates with their contacts, newest tickets and surveys (short lists), contract and manager.
 
-    ``bounded`` says the candidates end in a LIMIT, as ``risk_candidates`` does: then at most that many
-    keys are broadcast to thin out the facts.
     """
     people = _first_lists(
-        _thinned(decision_contacts(contacts, roles), candidates, bounded), contact_order(roles), CONTACT_LIMIT,
+        _thinned(decision_contacts(contacts, roles), candidates), contact_order(roles), CONTACT_LIMIT,
         [person_name().alias("contact_name"), "role", "email", "phone"], "contacts",
     )
     cases = _first_lists(
-        _thinned(tickets, candidates, bounded), newest_tickets(), TICKET_LIMIT,
+        _thinned(tickets, candidates), newest_tickets(), TICKET_LIMIT,
         ["priority", "status", "sentiment_score", "is_escalated", "subject"], "recent_tickets",
     )
     surveys = _first_lists(
-        _thinned(nps, candidates, bounded), newest_surveys(), NPS_LIMIT,
+        _thinned(nps, candidates), newest_surveys(), NPS_LIMIT,
         ["nps_score", "nps_category", F.col("comment").alias("verbatim"), "survey_date"], "nps_history",
     )
-    contract = current_contract(_thinned(subscriptions, candidates, bounded)).select(
+    contract = current_contract(_thinned(subscriptions, candidates)).select(
         "company_id",
         F.struct(
             F.col("plan_type").alias("plan_name"), "mrr", "billing_cycle",
@@ -198,31 +190,30 @@ def company_context(
 def action_context(
     wanted: DataFrame, companies: DataFrame, health: DataFrame, contacts: DataFrame, tickets: DataFrame,
     nps: DataFrame, subscriptions: DataFrame, agents: DataFrame, predictions: DataFrame,
-    roles: Sequence[str] = DECISION_ROLES, bounded: bool = False,
+    roles: Sequence[str] = DECISION_ROLES,
 ) -> DataFrame:
     """One flat row per wanted company: facts, best contact, latest survey, ticket count, contract, manager, score.
 
-    ``bounded`` as in ``company_context``.
     """
     base = named_in(companies, wanted, "company_id").select(
         "company_id", "company_name", F.col("sector_label").alias("industry"), "company_size", "city", "country",
         F.col("assigned_cs_agent_id").alias("cs_agent_id"),
     )
     figures = health.select("company_id", F.col("mrr").alias("mrr_current"), "days_to_renewal", "health_score", "risk_tier")
-    people = decision_contacts(_thinned(contacts, wanted, bounded), roles)
+    people = decision_contacts(_thinned(contacts, wanted), roles)
     person = latest_per_key(people, ["company_id"], contact_order(roles)).select(
         "company_id", "contact_id", person_name().alias("contact_name"), F.col("role").alias("contact_role"),
         F.col("email").alias("contact_email"),
     )
     surveys = _first_lists(
-        _thinned(nps, wanted, bounded), newest_surveys(), NPS_LIMIT,
+        _thinned(nps, wanted), newest_surveys(), NPS_LIMIT,
         ["nps_score", "nps_category", F.col("comment").alias("verbatim")], "nps_history",
     )
     cases = _first_lists(
-        _thinned(tickets, wanted, bounded), newest_tickets(), 3,
+        _thinned(tickets, wanted), newest_tickets(), 3,
         ["priority", "status", "subject", "sentiment_score", "is_escalated"], "recent_tickets",
     )
-    contract = current_contract(_thinned(subscriptions, wanted, bounded)).select(
+    contract = current_contract(_thinned(subscriptions, wanted)).select(
         "company_id", F.col("plan_type").alias("plan_name"), F.col("mrr").alias("contract_mrr"), "billing_cycle",
         F.col("status").alias("contract_status"), "duration_days",
     )
@@ -496,20 +487,48 @@ def reject_values(actions: DataFrame, now, reason: str) -> dict[str, Column]:
     )
 
 
+def may_become(status: str) -> Column:
+    """Whether the state machine lets the row's status turn into this one."""
+    return F.coalesce(F.col("status").isin([a for a, b in ALLOWED_TRANSITIONS if b == status]), F.lit(False))
+
+
+def refused(actions: DataFrame, cond: Column, status: str) -> DataFrame:
+    """Rows a step to this status was asked for but is not allowed on; the step leaves them as they are."""
+    return actions.filter(F.coalesce(cond, F.lit(False)) & ~may_become(status))
+
+
 def approve(actions: DataFrame, cond: Column, now, content: str | None = None) -> DataFrame:
-    return update_where(actions, cond, approve_values(actions, now, content))
+    return update_where(actions, cond & may_become("approved"), approve_values(actions, now, content))
 
 
 def reject(actions: DataFrame, cond: Column, now, reason: str) -> DataFrame:
-    return update_where(actions, cond, reject_values(actions, now, reason))
+    return update_where(actions, cond & may_become("rejected"), reject_values(actions, now, reason))
 
 
-def bulk_review(actions: DataFrame, chosen: DataFrame, now, decision: str = "approve", reason: str = "") -> DataFrame:
-    """Approve or reject every action whose id is in ``chosen``."""
-    if decision not in ("approve", "reject"):
+_DECISIONS = {"approve": "approved", "reject": "rejected"}
+
+
+def _decided(decision: str) -> str:
+    if decision not in _DECISIONS:
         raise ValueError(f"unknown decision: {decision}")
+    return _DECISIONS[decision]
+
+
+def bulk_review(actions: DataFrame, chosen: DataFrame, now, decision: str = "approve", reason: str = "") -> DataFrame:
+    """Approve or reject every action whose id is in ``chosen`` and whose state allows it."""
+    status = _decided(decision)
     values = approve_values(actions, now) if decision == "approve" else reject_values(actions, now, reason)
-    return update_keys(actions, chosen, "action_id", values)
+    return update_keys(actions, chosen, "action_id", values, may_become(status))
+
+
+def bulk_counts(actions: DataFrame, chosen: DataFrame, decision: str = "approve") -> DataFrame:
+    """What a bulk step does: ids chosen, changed, refused for their state, and unknown."""
+    asked = chosen.select("action_id").distinct().join(actions.select("action_id", "status", F.lit(True).alias("_is")), "action_id", "left")
+    known, free = F.coalesce("_is", F.lit(False)), may_become(_decided(decision))
+    return asked.agg(
+        F.count(F.lit(1)).alias("chosen"), F.count_if(known & free).alias("changed"), F.count_if(known & ~free).alias("refused"),
+        F.count_if(~known).alias("unknown"),
+    )
 
 
 def update_outcome(actions: DataFrame, cond: Column, outcome: str, now) -> DataFrame:
@@ -517,7 +536,7 @@ def update_outcome(actions: DataFrame, cond: Column, outcome: str, now) -> DataF
     if outcome not in CLOSED_OUTCOMES:
         raise ValueError(f"outcome must be one of {CLOSED_OUTCOMES}, not {outcome!r}")
     values = {"outcome": F.lit(outcome), "executed_at": F.lit(now), "status": F.lit("completed")}
-    return update_where(actions, cond, _review_values(actions, values))
+    return update_where(actions, cond & may_become("completed"), _review_values(actions, values))
 
 
 def invalid_transitions(before: DataFrame, after: DataFrame) -> DataFrame:

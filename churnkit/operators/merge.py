@@ -1,7 +1,6 @@
 """Upsert, insert, update and delete as pure functions from table to new table.
 
-The caller writes the result with ``rewrite_table`` or ``overwrite_partitions``. Keys are unique on
-the source side, so every merge is one full outer or anti join, and each unmatched row passes once.
+The caller writes the result with ``rewrite_table`` or ``overwrite_partitions``. Every merge is one full outer or anti join, and each unmatched row passes once.
 """
 
 from __future__ import annotations
@@ -9,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MARK = "_in_source"
@@ -22,12 +22,15 @@ def merge_upsert(
 ) -> DataFrame:
     """Matched rows take ``update_cols`` from the source; unmatched source rows are added.
 
-    Target and source have the same columns. One full outer join on the keys does both halves.
+    Target and source have the same columns. One full outer join on the keys does both halves. A key that the source has more
+    than once raises, as there is no telling which of its rows would win.
     """
     columns = target.columns
     updated = set(update_cols if update_cols is not None else [c for c in columns if c not in keys])
     old = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in columns if c not in keys], F.lit(True).alias("_t"))
-    new = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in columns if c not in keys], F.lit(True).alias("_s"))
+    copies = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    once = F.when(copies == 1, F.lit(True)).otherwise(F.raise_error(F.lit("merge: the source has a key more than once")).cast("boolean"))
+    new = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in columns if c not in keys], once.alias("_s"))
     joined = old.join(new, list(keys), "full")
     in_target, in_source = F.col("_t").isNotNull(), F.col("_s").isNotNull()
 
@@ -62,10 +65,12 @@ def update_where(df: DataFrame, cond: Column, values: Mapping[str, Column]) -> D
     return out
 
 
-def update_keys(df: DataFrame, chosen: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
-    """Set columns on the rows whose key is in ``chosen``."""
+def update_keys(
+    df: DataFrame, chosen: DataFrame, key: str, values: Mapping[str, Column], where: Column | None = None
+) -> DataFrame:
+    """Set columns on the rows whose key is in ``chosen`` and that meet ``where``."""
     marked = df.join(chosen.select(key).distinct().withColumn(MARK, F.lit(True)), key, "left")
-    return update_where(marked, F.col(MARK), values).select(*df.columns)
+    return update_where(marked, F.col(MARK) if where is None else F.col(MARK) & where, values).select(*df.columns)
 
 
 def delete_where(df: DataFrame, cond: Column) -> DataFrame:

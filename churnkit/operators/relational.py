@@ -122,15 +122,10 @@ def max_per_key(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
 
 
 def count_distinct_per_key(
-    df: DataFrame, key: str, column, name: str, where: Column | None = None, approx: bool = False
+    df: DataFrame, key: str, column, name: str, where: Column | None = None
 ) -> DataFrame:
-    """Distinct values per key: copies are dropped on (key, value) first, so no task holds a whole key.
-
-    ``approx`` counts with a small sketch per key instead, in one shuffle.
-    """
+    """Distinct values per key: copies are dropped on (key, value) first, so no task holds a whole key."""
     value = col(column) if where is None else F.when(where, col(column))
-    if approx:
-        return df.groupBy(key).agg(F.approx_count_distinct(value).alias(name))
     pairs = df.select(F.col(key), value.alias("_v")).distinct()
     return pairs.groupBy(key).agg(F.count("_v").alias(name))
 
@@ -147,12 +142,17 @@ def with_share(groups: DataFrame, count: str = "n", name: str = "pct", digits: i
     return groups.withColumn(name, round_dec(F.col(count) * F.lit(100.0) / total, digits))
 
 
-def pivot_counts(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str = "n") -> DataFrame:
-    return df.groupBy(row).pivot(column, list(values)).agg(F.sum(measure)).fillna(0, list(values))
+def pivot_counts(
+    df: DataFrame, row: str, column: str, values: Sequence[str], measure: str = "n", rest: str = "other"
+) -> DataFrame:
+    """Sums per row and value; everything outside the list, and NULL, is summed in the column ``rest``."""
+    named = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(F.lit(rest))
+    columns = [*values, rest]
+    return df.withColumn(column, named).groupBy(row).pivot(column, columns).agg(F.sum(measure)).fillna(0, columns)
 
 
 def histogram(df: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str], name: str = "bin") -> DataFrame:
-    """Rows per bin (lower, upper]; the first bin includes its lower edge."""
+    """Rows per bin (lower, upper]; the first bin includes its lower edge. Values outside the edges, and NULL, are in no bin."""
     c = F.col(column)
     bin_ = F.when(c.between(edges[0], edges[1]), F.lit(labels[0]))
     for low, high, label in zip(edges[1:], edges[2:], labels[1:]):
@@ -219,7 +219,7 @@ def hash_ordered_rank(df: DataFrame, group: str, digest: Column, unique: str, na
     )
     inside = W.partitionBy(group, "_piece").orderBy("_digest", unique)
     return (
-        cut.join(F.broadcast(starts), [group, "_piece"])
+        cut.join(starts, [group, "_piece"])
         .withColumn(name, F.col("_start") + F.row_number().over(inside))
         .drop("_digest", "_piece", "_start")
     )
@@ -238,8 +238,8 @@ def running_totals(
     sample = rank_within(df.select(by, order), [by], [F.xxhash64(order), F.col(order)], cuts)
     bounds = sample.groupBy(by).agg(F.sort_array(F.collect_list(order)).alias("_bounds"))
     value = F.col(order)
-    # Both broadcasts hold at most cuts + 1 numbers per value of ``by``.
-    ranged = df.join(F.broadcast(bounds), by).withColumn(
+    # Both joined tables hold at most cuts + 1 numbers per value of ``by``; Spark broadcasts them while they are small.
+    ranged = df.join(bounds, by).withColumn(
         "_range", F.size(F.filter("_bounds", lambda b: b < value))
     ).drop("_bounds")
     sizes = ranged.groupBy(by, "_range").agg(*[F.sum(s).alias(f"_{s}_size") for s in sums])
@@ -249,7 +249,7 @@ def running_totals(
         F.col(by), "_range", *[F.coalesce(F.sum(f"_{s}_size").over(before), F.lit(0)).alias(f"_{s}_start") for s in sums]
     )
     inside = W.partitionBy(by, "_range").orderBy(direction(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = ranged.join(F.broadcast(starts), [by, "_range"])
+    out = ranged.join(starts, [by, "_range"])
     for s in sums:
         out = out.withColumn(f"{s}_through", F.col(f"_{s}_start") + F.sum(s).over(inside))
     for s in sums:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.operators import agent_kpis, conform, features, health, quality
-from churnkit.schemas import EVENT_TYPE_UNIVERSE
-from churnkit.sources.tables import write_table
+from churnkit.schemas import ACTIONS, EVENT_TYPE_UNIVERSE, PREDICTIONS
+from churnkit.sources.tables import ensure_table, write_table
 
 WRITERS = 4
 RAW_NAMES = {
@@ -146,6 +146,9 @@ def run_all(
         "gold", {"agg_company_health_score": plan.health, "feature_store_churn": plan.features}
     )
     store("gold", {"agg_agent_performance": plan.agent_performance})
+    # Filled by scoring and by the action steps; what they hold already stays.
+    for name, schema, days in (("agg_churn_predictions", PREDICTIONS, ["prediction_date"]), ("agg_retention_actions", ACTIONS, [])):
+        stored["GOLD", name] = ensure_table(spark, schema, root, "gold", name, days)
     return stored
 
 

@@ -15,7 +15,7 @@ def rnd(x: str, digits: int) -> str:
 
 def mean(x: str, where: str | None = None) -> str:
     f = f" FILTER (WHERE {where})" if where else ""
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,4))){f} AS DOUBLE) / COUNT({x}){f})"
+    return f"(favg(CAST({x} AS DOUBLE)){f})"
 
 def cnt(where: str) -> str:
     return f"COUNT(*) FILTER (WHERE {where})"
@@ -103,14 +103,14 @@ RELATIONS: dict[str, str] = {
         FROM customer LEFT JOIN first_order ON o_custkey = c_custkey
         JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "raw_contacts": f"""
-        SELECT s_suppkey AS contact_id, s_suppkey // 4 AS company_id, s_name AS first_name,
-               'No ' || s_suppkey AS last_name,
-               CASE WHEN s_suppkey % 11 <> 10 THEN ' ' || s_name || '@X.COM ' END AS email,
-               lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS phone,
-               {pick(['CEO', 'CFO', 'CTO', 'VP Sales', 'Office Manager', 'Analyst'], 's_suppkey % 6')} AS role,
-               s_suppkey % 6 < 3 AS is_decision_maker, s_suppkey % 4 = 0 AS is_primary_contact,
-               CAST(DATE '1999-01-01' + CAST(s_suppkey % 700 AS INTEGER) AS TIMESTAMP) AS created_at
-        FROM supplier""",
+        SELECT person AS contact_id, c_custkey AS company_id, c_name AS first_name,
+               'No ' || person AS last_name,
+               CASE WHEN person % 11 <> 10 THEN ' ' || c_name || '@X.COM ' END AS email,
+               lpad(CAST(person AS VARCHAR), 8, '0') AS phone,
+               {pick(['CEO', 'CFO', 'CTO', 'VP Sales', 'Office Manager', 'Analyst'], 'person % 6')} AS role,
+               person % 6 < 3 AS is_decision_maker, person % 4 = 0 AS is_primary_contact,
+               CAST(DATE '1999-01-01' + CAST(person % 700 AS INTEGER) AS TIMESTAMP) AS created_at
+        FROM (SELECT *, c_custkey * 4 + unnest(range(0, c_custkey % 4 + 1)) AS person FROM customer)""",
     "raw_subscriptions": f"""
         SELECT o_orderkey AS subscription_id, o_custkey AS company_id,
                {pick(['Starter', 'Business', 'Enterprise'], 'o_orderkey % 3')} AS plan_type,
@@ -143,7 +143,7 @@ RELATIONS: dict[str, str] = {
                CAST(round(l_discount * 100) AS INTEGER) AS nps_score, 'Part ' || l_partkey AS comment,
                CAST(l_shipdate AS DATE) AS survey_date,
                'Q' || quarter(l_shipdate) || '-' || year(l_shipdate) AS quarter, l_shipdate AS stamped
-        FROM lines WHERE l_returnflag = 'R'""",
+        FROM lines""",
     "raw_events": f"""
         SELECT event_id, user_id AS company_id, event_id % 7 AS contact_id, event_type,
                CAST({DAY} - CAST(3 * (DATE '2024-01-31' - CAST(ts AS DATE)) AS INTEGER) AS TIMESTAMP) + to_hours(CAST(hour(ts) AS INTEGER)) AS event_timestamp,
@@ -183,7 +183,7 @@ RELATIONS: dict[str, str] = {
                CASE WHEN c_custkey // 5 % 5 = 4 THEN CAST({DAY} - CAST(c_custkey % 30 AS INTEGER) + 2 AS TIMESTAMP) END AS executed_at,
                CASE WHEN c_custkey // 5 % 5 = 4 THEN CASE WHEN c_custkey % 3 = 0 THEN 'saved' ELSE 'churned' END
                     ELSE 'pending' END AS outcome, 'risk_detection' AS created_by_agent
-        FROM customer WHERE c_custkey % 5 = 0)""",
+        FROM customer)""",
     "scored_labels": """
         SELECT doc_id, quality AS label, CAST((doc_id * 7919) % 70 + quality * 30 AS DOUBLE) / 100 AS score,
                CAST(doc_id % 3 AS INTEGER) AS part FROM labels""",

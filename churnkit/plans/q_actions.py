@@ -230,12 +230,26 @@ def _(s):
     return _states(A.bulk_review(s.actions, chosen, s.now))
 
 
+@query("bulk_counts", """
+    SELECT COUNT(*) AS chosen, COUNT(*) FILTER (WHERE status = 'pending') AS changed, COUNT(*) FILTER (WHERE status <> 'pending') AS refused,
+           COUNT(*) FILTER (WHERE status IS NULL) AS unknown
+    FROM (SELECT DISTINCT md5(CAST(c_custkey + 7 AS VARCHAR)) AS action_id FROM customer WHERE c_acctbal > 0) LEFT JOIN actions USING (action_id)""")
+def _(s):
+    chosen = s.t.customer.filter("c_acctbal > 0").select(F.md5((F.col("c_custkey") + 7).cast("string")).alias("action_id"))
+    return A.bulk_counts(s.actions, chosen, "approve")
+
+
+@query("refused_steps", "SELECT action_id, status FROM actions WHERE action_type = 'discount' AND status NOT IN ('approved', 'sent')")
+def _(s):
+    return A.refused(s.actions, F.col("action_type") == "discount", "completed").select("action_id", "status")
+
+
 @query("update_outcome", f"""
     SELECT action_id, CASE WHEN hit THEN 'completed' ELSE status END AS status, generated_content, approved_at,
            CASE WHEN hit THEN {NOW_SQL} ELSE executed_at END AS executed_at, CASE WHEN hit THEN 'saved' ELSE outcome END AS outcome
-    FROM (SELECT *, status = 'approved' AS hit FROM actions)""")
+    FROM (SELECT *, status IN ('approved', 'sent') AND action_type <> 'call' AS hit FROM actions)""")
 def _(s):
-    return _states(A.update_outcome(s.actions, F.col("status") == "approved", "saved", s.now))
+    return _states(A.update_outcome(s.actions, F.col("action_type") != "call", "saved", s.now))
 
 
 @query("invalid_transitions", """
@@ -345,8 +359,9 @@ def _(s):
 
 
 @query("action_crosstab", "SELECT action_type, " + ", ".join(
-    f"COUNT(*) FILTER (WHERE status = '{st}') AS {st}" for st in ("queued", "pending", "approved", "rejected", "sent", "completed")
-) + " FROM actions GROUP BY action_type")
+    f"COUNT(*) FILTER (WHERE status = '{st}') AS {st}" for st in ("queued", "pending", "modified", "approved", "rejected", "sent", "completed")
+) + """, COUNT(*) FILTER (WHERE status IS NULL OR status NOT IN ('queued', 'pending', 'modified', 'approved', 'rejected', 'sent', 'completed')) AS other
+    FROM actions GROUP BY action_type""")
 def _(s):
     return P.action_crosstab(s.actions)
 

@@ -8,6 +8,7 @@ from churnkit.operators import agent_kpis as K
 from churnkit.operators import features as FS
 from churnkit.operators import health as H
 from churnkit.operators import quality as Q
+from churnkit.plans.medallion import RAW_NAMES
 from churnkit.plans.oracle_base import rnd
 from churnkit.plans.registry import query
 from churnkit.sources.adapters import AS_OF, EVENT_TYPES
@@ -178,23 +179,29 @@ def _(s):
 
 # --- quality --------------------------------------------------------------------------
 
-_COUNTED = (
-    ("BRONZE", "raw_companies", "raw_companies", 400),
-    ("BRONZE", "raw_support_tickets", "raw_tickets", 10_000_000),
-    ("SILVER", "dim_companies", "dim_companies", 400),
-    ("SILVER", "fact_subscriptions", "fact_subscriptions", 500),
-    ("GOLD", "agg_company_health_score", "health", 400),
-    ("GOLD", "agg_retention_actions", "actions", 0),
-)
+_RELATIONS = {
+    "raw_cs_agents": "raw_agents", "raw_nps_surveys": "raw_nps", "raw_support_tickets": "raw_tickets", "raw_product_events": "raw_events",
+    "dim_cs_agents": "dim_agents", "fact_support_tickets": "fact_tickets", "fact_product_events": "fact_events", "fact_nps_scores": "fact_nps",
+    "agg_company_health_score": "health", "feature_store_churn": "feature_store", "agg_churn_predictions": "predictions",
+    "agg_retention_actions": "actions", "agg_agent_performance": "agent_performance",
+}
 _COUNTS = " UNION ALL ".join(
-    f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS row_count, {least} AS least FROM {rel}"
-    for layer, name, rel, least in _COUNTED
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS row_count, {least} AS least FROM {_RELATIONS.get(name, name)}"
+    for (layer, name), least in Q.ROW_MINIMA.items()
 )
 
 
 def _tables(s):
-    frames = (s.raw["companies"], s.raw["tickets"], s.gold.company_keys, s.stored.subscriptions, s.gold.health, s.actions)
-    return {(layer, name): df for (layer, name, _, _), df in zip(_COUNTED, frames)}
+    """All tables of the three layers, by the names they are stored under."""
+    w = s.gold
+    frames = {name: s.raw[short] for short, name in RAW_NAMES.items()} | s.stored.silver() | {
+        "agg_company_health_score": w.health,
+        "feature_store_churn": w.features,
+        "agg_churn_predictions": s.predictions,
+        "agg_retention_actions": s.actions,
+        "agg_agent_performance": K.agent_performance(w.agents, w.companies, w.subscriptions, w.health, s.checked.tickets, w.nps, AS_OF),
+    }
+    return {(layer, name): frames[name] for layer, name in Q.ROW_MINIMA}
 
 
 @query("rowcount_report", f"""
@@ -202,7 +209,7 @@ def _tables(s):
            WHEN row_count = 0 AND least = 0 THEN 'OK (empty as expected)' ELSE 'OK' END AS quality_status
     FROM ({_COUNTS}) ORDER BY layer DESC, table_name""")
 def _(s):
-    return Q.rowcount_report(_tables(s), {(layer, name): least for layer, name, _, least in _COUNTED})
+    return Q.rowcount_report(_tables(s), Q.ROW_MINIMA)
 
 
 @query("layer_counts", f"SELECT layer, table_name, row_count, row_count = 0 AS is_empty FROM ({_COUNTS})")
@@ -210,18 +217,22 @@ def _(s):
     return Q.layer_counts(_tables(s))
 
 
-@query("null_key_report", """
-    SELECT 'dim_companies key' AS check_name, COUNT(*) FILTER (WHERE company_id IS NULL) AS violations FROM dim_companies UNION ALL
-    SELECT 'raw_contacts email', COUNT(*) FILTER (WHERE email IS NULL) FROM raw_contacts UNION ALL
-    SELECT 'feature_store target', COUNT(*) FILTER (WHERE is_churned IS NULL) FROM feature_store""")
+_KEYS = {
+    "dim_companies": "company_id", "dim_contacts": "contact_id", "dim_cs_agents": "agent_id", "fact_subscriptions": "subscription_id",
+    "fact_support_tickets": "ticket_id",
+}
+
+
+@query("null_key_report", " UNION ALL ".join(
+    f"SELECT '{name} key' AS check_name, COUNT(*) FILTER (WHERE {key} IS NULL) AS violations FROM {_RELATIONS.get(name, name)}" for name, key in _KEYS.items()
+) + """ UNION ALL SELECT 'feature_store target', COUNT(*) FILTER (WHERE is_churned IS NULL) FROM feature_store
+    UNION ALL SELECT 'raw_contacts email', COUNT(*) FILTER (WHERE email IS NULL) FROM raw_contacts""")
 def _(s):
-    return Q.null_key_report(
-        {
-            "dim_companies key": (s.facts.companies, "company_id"),
-            "raw_contacts email": (s.raw["contacts"], "email"),
-            "feature_store target": (s.gold.features, "is_churned"),
-        }
-    )
+    silver = s.stored.silver()
+    checks = {f"{name} key": (silver[name], key) for name, key in _KEYS.items()}
+    checks["feature_store target"] = (s.gold.features, "is_churned")
+    checks["raw_contacts email"] = (s.raw["contacts"], "email")
+    return Q.null_key_report(checks)
 
 
 @query("tier_distribution", f"""

@@ -38,7 +38,7 @@ ESCALATION_MRR = 5000
 RENEWAL_SOON_DAYS = 60
 ACTION_TYPES = ("email", "call", "discount", "escalation")
 ACTION_CHANNELS = {"email": "email", "call": "phone", "discount": "email", "escalation": "in_app"}
-ACTION_STATUSES = ("queued", "pending", "approved", "rejected", "sent", "completed")
+ACTION_STATUSES = ("queued", "pending", "modified", "approved", "rejected", "sent", "completed")
 CLOSED_OUTCOMES = ("saved", "churned")
 ALLOWED_TRANSITIONS = (
     ("queued", "pending"),

@@ -39,11 +39,14 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, me
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a scratch one only where none is named (tests)."""
+    """The shared folder named in ``spark.checkpoint.dir``. Without one a single machine (tests) gets a scratch folder; a cluster
+    raises, as its executors would each write to a disk of their own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="churnkit-ckpt-"))
     return context.getCheckpointDir().rstrip("/")

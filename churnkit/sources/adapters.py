@@ -107,14 +107,16 @@ def companies(t: Tables) -> DataFrame:
 
 
 def contacts(t: Tables) -> DataFrame:
-    key = F.col("s_suppkey")
+    """One to four people per customer."""
+    key = F.col("person")
     role = F.pmod(key, F.lit(6))
-    rows = t.supplier.select(
+    people = F.sequence(F.lit(0).cast("long"), F.pmod("c_custkey", F.lit(4)).cast("long"))
+    rows = t.customer.withColumn("n", F.explode(people)).withColumn("person", F.col("c_custkey") * 4 + F.col("n")).select(
         key.alias("contact_id"),
-        F.floor(key / 4).alias("company_id"),
-        F.col("s_name").alias("first_name"),
+        F.col("c_custkey").alias("company_id"),
+        F.col("c_name").alias("first_name"),
         F.concat(F.lit("No "), key.cast("string")).alias("last_name"),
-        F.when(F.pmod(key, F.lit(11)) != 10, F.concat(F.lit(" "), F.col("s_name"), F.lit("@X.COM "))).alias("email"),
+        F.when(F.pmod(key, F.lit(11)) != 10, F.concat(F.lit(" "), F.col("c_name"), F.lit("@X.COM "))).alias("email"),
         F.lpad(key.cast("string"), 8, "0").alias("phone"),
         pick(ROLES, role).alias("role"),
         (role < 3).alias("is_decision_maker"),
@@ -191,7 +193,7 @@ def tickets(t: Tables) -> DataFrame:
 
 def nps(t: Tables) -> DataFrame:
     on = F.col("l_shipdate").cast("date")
-    rows = _lines_with_company(t, t.lineitem.filter(F.col("l_returnflag") == "R")).select(
+    rows = _lines_with_company(t, t.lineitem).select(
         F.col("line_key").alias("survey_id"),
         "company_id",
         F.col("l_suppkey").alias("contact_id"),
@@ -250,7 +252,7 @@ def predictions(t: Tables) -> DataFrame:
 
 
 def actions(t: Tables) -> DataFrame:
-    """A queue with every state in it, for each fifth customer."""
+    """A queue with every state in it: one action per customer."""
     key = F.col("c_custkey")
     turn = F.floor(key / 5)
     status = pick(["queued", "pending", "approved", "rejected", "completed"], F.pmod(turn, F.lit(5)))
@@ -262,8 +264,7 @@ def actions(t: Tables) -> DataFrame:
         F.lit('","urgency":"high","churn_probability":0.8}'),
     )
     return (
-        t.customer.filter(F.pmod(key, F.lit(5)) == 0)
-        .withColumn("status", status)
+        t.customer.withColumn("status", status)
         .withColumn("action_type", pick(list(ACTION_TYPES), F.pmod(key, F.lit(4))))
         .select(
             F.md5(key.cast("string")).alias("action_id"),

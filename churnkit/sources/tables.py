@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,9 +50,12 @@ def rewrite_table(df: DataFrame, root: str, layer: str, name: str, partition_by:
 
 
 def overwrite_partitions(df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that ``df`` holds rows for."""
+    """Replace only the partitions that ``df`` holds rows for.
+
+    The rows are first written beside the table, so ``df`` may read what it replaces, and a failed computation leaves the table as it was.
+    """
     (
-        df.write.mode("overwrite")
+        write_table(df, root, layer, f"_staged_{name}").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(table_path(root, layer, name))
@@ -62,6 +66,19 @@ def create_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def ensure_table(
+    spark: SparkSession, schema: T.StructType, root: str, layer: str, name: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """The stored table, made as an empty one where it is missing."""
+    try:
+        spark.read.schema(schema).parquet(table_path(root, layer, name))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_table(create_empty(spark, schema), root, layer, name, partition_by)
+    return read_table(spark, root, layer, name, schema)
+
+
 def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
     """A few literal rows as a relation (parameters, small lookup lists)."""
     return spark.createDataFrame(list(rows), schema)

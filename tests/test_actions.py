@@ -101,8 +101,15 @@ def test_review_states(rows):
     assert (r.status, r.approved_at, r.generated_content, r.outcome) == ("approved", NOW, "better", "pending")
     r = A.reject(actions, first, NOW, "it's late").filter(first).first()
     assert (r.status, r.generated_content) == ("rejected", "[REJECTED 2024-05-31 12:00:00]\nReason: it's late")
-    r = A.update_outcome(actions, first, "saved", NOW).filter(first).first()
+    approved = A.approve(actions, first, NOW)
+    r = A.update_outcome(approved, first, "saved", NOW).filter(first).first()
     assert (r.status, r.outcome, r.executed_at) == ("completed", "saved", NOW)
+    assert values(A.update_outcome(actions, first, "saved", NOW)) == values(actions)
+    done = A.update_outcome(approved, first, "saved", NOW)
+    assert values(A.approve(done, first, NOW)) == values(done) == values(A.reject(done, first, NOW, "no"))
+    assert values(A.refused(done, F.lit(True), "approved").select("action_id")) == [("1",)]
+    asked = done.select("action_id").union(done.selectExpr("'9'"))
+    assert tuple(A.bulk_counts(done, asked).first()) == (3, 1, 1, 1)
     with pytest.raises(ValueError):
         A.update_outcome(actions, first, "approved", NOW)
     bulk = A.bulk_review(actions, actions.select("action_id"), NOW, "reject", "all")
@@ -137,7 +144,7 @@ def test_candidates_context_lists_are_short_and_ordered(rows):
     subs = rows([(1, "c1", "Pro", 10, "annual", day, day, "active", True)],
                 "subscription_id int, company_id string, plan_type string, mrr int, billing_cycle string, start_date date, end_date date, status string, is_current_contract boolean")
     agents = rows([("m1", "A", "B", "west", "a@b")], "agent_id string, first_name string, last_name string, region string, email string")
-    r = A.company_context(picked, contacts, tickets, surveys, subs, agents, bounded=True).first()
+    r = A.company_context(picked, contacts, tickets, surveys, subs, agents).first()
     assert [(c.contact_name, c.role) for c in r.contacts] == [("F 2", "CEO"), ("F 5", "CEO"), ("F 4", "CFO")]
     assert [t.subject for t in r.recent_tickets] == ["s7", "s6", "s5", "s4", "s3"]
     assert [n.nps_score for n in r.nps_history] == [3, 2]

@@ -59,7 +59,7 @@ def test_scoring_queue_and_review(spark, lake, tmp_path):
     health, companies = t["agg_company_health_score"], t["dim_companies"]
     picked = A.risk_candidates(predictions, companies, health, tier="All", n=30)
     context = A.company_context(
-        picked, t["dim_contacts"], t["fact_support_tickets"], t["fact_nps_scores"], t["fact_subscriptions"], t["dim_cs_agents"], bounded=True
+        picked, t["dim_contacts"], t["fact_support_tickets"], t["fact_nps_scores"], t["fact_subscriptions"], t["dim_cs_agents"]
     )
     decisions = A.decide_action(context)
     assert decisions.count() == 30

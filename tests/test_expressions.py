@@ -131,4 +131,9 @@ def test_factors_are_rounded_to_four_digits(rows):
 
 def test_exact_sum_does_not_depend_on_order(rows):
     df = rows([(0.1,)] * 10 + [(1e9,)], "v double")
-    assert df.agg(X.exact_sum("v")).first()[0] == Decimal("1000000001.0000")
+    assert df.agg(X.exact_sum("v")).first()[0] == Decimal("1000000001.0000000000")
+
+
+def test_averages_keep_small_and_large_values(rows):
+    df = rows([("a", 0.00004), ("a", 0.00004), ("b", 1e15), ("b", 3e15)], "k string, v double")
+    assert dict(values(df.groupBy("k").agg(X.exact_avg("v")))) == {"a": 0.00004, "b": 2e15}

@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -114,3 +115,21 @@ def test_csv_export_has_a_header(rows, tmp_path):
 
 def test_inline_rows(spark):
     assert values(io.inline_rows(spark, [(1, "a")], "k int, v string")) == [(1, "a")]
+
+
+def test_a_source_key_that_comes_twice_raises(rows):
+    from churnkit.operators.merge import merge_upsert
+
+    target = rows([(1, "a"), (2, "b")], "k int, v string")
+    source = rows([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        merge_upsert(target, source, ["k"]).collect()
+
+
+def test_missing_tables_are_made_and_filled_ones_kept(spark, rows, tmp_path):
+    from churnkit.sources import tables as io
+
+    schema = rows([], "k int, v string").schema
+    assert io.ensure_table(spark, schema, str(tmp_path), "gold", "t").count() == 0
+    io.write_table(rows([(1, "a")], "k int, v string"), str(tmp_path), "gold", "t")
+    assert io.ensure_table(spark, schema, str(tmp_path), "gold", "t").count() == 1
