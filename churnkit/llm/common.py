@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -98,15 +98,18 @@ class WordTable:
 
     def add_all(self, words: list[list[int]], marks: list[bool] | None = None) -> int:
         """Number of the first word; the others follow."""
-        flat, sizes = list(chain.from_iterable(words)), list(map(len, words))
-        first, end, upto = self.count, self.count + len(words), self.used + len(flat)
+        return self.add_flat(list(chain.from_iterable(words)), np.array(list(map(len, words)), dtype=np.int64), marks)
+
+    def add_flat(self, flat, sizes: np.ndarray, marks: list[bool] | None = None) -> int:
+        """As ``add_all``, with the ids of all words one after the other."""
+        first, end, upto = self.count, self.count + len(sizes), self.used + len(flat)
         while end > len(self.starts):
             self.starts, self.sizes, self.marks = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.marks))
         while upto > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : upto] = flat
         self.sizes[first:end] = sizes
-        self.starts[first:end] = list(accumulate(sizes, initial=self.used))[:-1]
+        self.starts[first:end] = self.used + starts_of(sizes)
         if marks:
             self.marks[first:end] = marks
         self.used, self.count = upto, end

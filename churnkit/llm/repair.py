@@ -19,10 +19,11 @@ themselves. Other columns are ignored; an empty table gives no shards and an emp
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,11 @@ from churnkit.llm.common import WordTable, pieces, ragged, starts_of, store
 
 END = 2
 #: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
-SHARD, MEMORY, BATCH_BYTES = 1_000_000, 800_000, 4_000_000
+SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
 #: A pair is replaced if it stands at this many places at least; a round that saves less than this share is the last.
 LEAST, LEAST_GAIN, PER_ROUND = 8, 0.01, 4096
 SYMBOLS = 1 << 16
-#: Signs that may follow a word.
-SIGNS = ".,;:!?"
+_SIGN = re.compile(rb"(?<=[0-9a-z])([.,;:!?])(?=[ \n])").sub
 MAGIC = b"REPAIR01"
 _HEAD = struct.Struct("<8s4Q")
 
@@ -173,7 +173,10 @@ class Shard:
 
 
 class _Words(dict):
-    """Numbers of words in a table of their ids; number 0 is the end id."""
+    """Numbers of words in a table of their ids; number 0, of the empty word, is the end id.
+
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its words, one by one.
+    """
 
     def __init__(self, tokenizer, end: int):
         self.tokenizer, self.end = tokenizer, end
@@ -181,73 +184,65 @@ class _Words(dict):
         names = tokenizer.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closing[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
-        self.parts: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
         self.clear()
         self.table = WordTable()
-        self.table.add([self.end])
+        self[b""] = self.table.add([self.end])
 
     def learn(self, words: list[bytes]) -> None:
-        """The tokenizer drops white space and never joins across it, so a text is its words one by one. Letters and the signs after
-        them never join either: words that are letters and then signs are put together from the two."""
-        whole, split = [], []
-        for word in words:
-            text = word.decode()
-            core = text.rstrip(SIGNS)
-            if core.isalpha():
-                split.append((word, core.lower() if core.isascii() else core, text[len(core) :]))
-            else:
-                whole.append((word, text))
-        coded = self._each([t for _, t in whole])
-        cores = list({core for _, core, _ in split if core not in self.parts})
-        for at in range(0, len(cores), 2000):
-            some = cores[at : at + 2000]
-            self.parts.update(zip(some, self._joined(some)))
-        signs = list({tail for _, _, tail in split if tail and tail not in self.parts})
-        self.parts.update(zip(signs, self._each(signs)))
-        coded += [self.parts[core] + self.parts[tail] if tail else self.parts[core] for _, core, tail in split]
-        first = self.table.add_all(coded)
-        self.update(zip(chain((w for w, _ in whole), (w for w, _, _ in split)), range(first, first + len(coded))))
-        if len(self.parts) > MEMORY // 2:
-            self.parts.clear()
-
-    def _each(self, texts: list[str]) -> list[list[int]]:
-        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _joined(self, words: list[str]) -> list[list[int]]:
-        """Words of letters encoded as one text and parted at the tokens that end a word; if that doesn't come out even, one by one."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int64)
+        """Words of letters are encoded together and parted at the tokens that end a word, all others one by one."""
+        texts = b" ".join(words).decode().split(" ")
+        plain = [t.isalpha() for t in texts]
+        letters, other = list(compress(texts, plain)), [t for t, ok in zip(texts, plain) if not ok]
+        for at in range(0, len(letters), 4000):
+            self._joined(letters[at : at + 4000])
+        if other:
+            self._each(other)
+
+    def _each(self, texts: list[str]) -> None:
+        first = self.table.add_all([one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        self.update(zip((t.encode() for t in texts), range(first, first + len(texts))))
+
+    def _joined(self, texts: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, dtype=np.int64)
         ends = np.flatnonzero(self.closing[ids]) + 1
-        if len(ends) != len(words):
-            return self._each(words)
-        flat, at = ids.tolist(), [0, *ends.tolist()]
-        return [flat[x:y] for x, y in zip(at, at[1:])]
+        if len(ends) != len(texts):  # some letter is taken apart on the way
+            self._each(texts)
+            return
+        first = self.table.add_flat(ids, np.diff(np.concatenate([[0], ends])))
+        self.update(zip((t.encode() for t in texts), range(first, first + len(texts))))
 
 
 _KNOWN: dict[tuple[int, int], _Words] = {}
 
 
+def _split(text: str) -> list[bytes]:
+    """Words of a text, in a form that has the same ids and comes again more often: A-Z in lower case, as the tokenizer puts them
+    itself, and single signs after a letter or digit as words of their own, as it parts them. Special tokens are case-sensitive."""
+    raw = text.encode()
+    if b"<|" not in raw:
+        raw = _SIGN(rb" \1", raw.lower())
+    return raw.split()
+
+
 def encode_texts(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each closed by the end id, and the length of each."""
-    split = [t.encode().split() if t else [] for t in texts]
     if len(words) > MEMORY:
         words.forget()
-    numbers: list[int | None] = []
-    for ws in split:
-        numbers += map(words.get, ws)
-        numbers.append(0)
-    if None in numbers:
-        words.learn(list({w for ws in split for w in ws if w not in words}))
-        numbers = []
-        for ws in split:
-            numbers += map(words.__getitem__, ws)
-            numbers.append(0)
-    known = np.array(numbers, dtype=np.int64)
-    flat, sizes = words.table.gather(known)
-    upto = np.cumsum(sizes)[known == 0]
-    return flat, np.diff(np.concatenate([[0], upto]))
+    flat: list[bytes] = []
+    for text in texts:
+        if text:
+            flat += _split(text)
+        flat.append(b"")
+    numbers = np.fromiter(map(words.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+    new = np.flatnonzero(numbers < 0).tolist()
+    if new:
+        words.learn(list({flat[i] for i in new}))
+        numbers[new] = [words[flat[i]] for i in new]
+    ids, sizes = words.table.gather(numbers)
+    return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)[numbers == 0]]))
 
 
 def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, partitions: int | None = None) -> DataFrame:
