@@ -14,10 +14,10 @@ shingles AS (
     ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
 held AS (SELECT doc_id, s, n FROM shingles JOIN sizes USING (doc_id)),
-overlaps AS (
+common AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS nx, any_value(b.n) AS ny
   FROM held a JOIN held b ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * b.n >= 75 * a.n AND 100 * a.n >= 75 * b.n GROUP BY 1, 2),
-links AS (SELECT x, y FROM overlaps WHERE 100 * c >= 75 * (nx + ny - c)),
+links AS (SELECT x, y FROM common WHERE 100 * c >= 75 * (nx + ny - c)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
 SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
