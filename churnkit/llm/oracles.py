@@ -11,7 +11,7 @@ WITH RECURSIVE words AS (
 shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
 held AS (SELECT doc_id, s, n FROM shingles JOIN sizes USING (doc_id)),
 common AS (
