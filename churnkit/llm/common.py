@@ -83,6 +83,18 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - starts_of(lengths), lengths)
 
 
+def sampled(docs: DataFrame, marks: DataFrame, mark: str, sample: int) -> DataFrame:
+    """turn, doc_id, text and mark of ``sample`` marked documents at most, those of the smallest id hashes.
+
+    The ids are chosen first, from narrow rows; only then are texts read, of the chosen ones, whose list is broadcast at its
+    bounded size.
+    """
+    turn = F.xxhash64("doc_id").alias("turn")
+    chosen = docs.select("doc_id").join(marks.select("doc_id", mark), "doc_id").select(turn, "doc_id", mark).distinct()
+    chosen = chosen.orderBy("turn", "doc_id").limit(sample)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("turn", "doc_id", "text", mark)
+
+
 class WordTable:
     """Ids of words by number, in flat arrays; a word may carry a mark."""
 

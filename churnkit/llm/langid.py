@@ -123,7 +123,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     top = Window.partitionBy("lang").orderBy("turn", "doc_id")
     # Ranks are cut to the first ones in every task before rows meet, so a language with most of the rows sends no more than others.
     ids = known.select("lang", "turn", "doc_id").withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= each).select("lang", "turn", "doc_id").distinct()
-    rows = known.join(ids, ["lang", "turn", "doc_id"]).select("lang", "turn", "doc_id", "text")
+    # At most ``each`` rows a language.
+    rows = known.join(F.broadcast(ids), ["lang", "turn", "doc_id"]).select("lang", "turn", "doc_id", "text")
     schema = pa.schema([("lang", pa.string()), ("turn", pa.int64()), ("used", pa.binary()), ("often", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

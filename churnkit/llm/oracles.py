@@ -23,4 +23,30 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.y) AS
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
-SQL: dict[str, str] = {"op1_ngram_jaccard": _JACCARD}
+_VECTORS = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT v.vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.y) AS component_id, v.vec_id = min(r.y) AS kept
+FROM embeddings v JOIN reach r ON r.x = v.vec_id LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) n ON n.x = v.vec_id GROUP BY v.vec_id
+"""
+
+# Five hex digits are four signs of base32.
+_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = f"""array_to_string(list_transform(range(0, 32), lambda i: substr('{_SIGNS}',
+  (((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::INT) >> (15 - i % 4 * 5)::INT) & 31) + 1, 1)), '')"""
+
+_WARC = f"""
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+first AS (SELECT body, min(page_id) AS first_id FROM hashed GROUP BY body)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM hashed JOIN first USING (body)
+"""
+
+SQL: dict[str, str] = {"op1_ngram_jaccard": _JACCARD, "op2_grid_order_join": _VECTORS, "op8_warc": _WARC}

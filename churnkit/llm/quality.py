@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import ragged, starts_of
+from churnkit.llm.common import ragged, sampled, starts_of
 from churnkit.llm.rules import statistics
 
 SAMPLE, LEAST, GRADES = 12_000, 5, 3
@@ -143,8 +143,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     rated = labels.filter("doc_id is not null").select("doc_id", grade.alias("grade")).filter("grade is not null")
     rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    rows = docs.select("doc_id", "text").join(rated, "doc_id").select(F.xxhash64("doc_id").alias("turn"), "doc_id", "text", "grade")
-    rows = rows.orderBy("turn", "doc_id").limit(sample)
     schema = pa.schema([("turn", pa.int64()), ("doc_id", pa.int64()), ("grade", pa.int32()), ("features", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             sets = [features(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("doc_id"), batch.column("grade"), pa.array(sets, pa.binary())], schema=schema)
 
-    # The limit leaves one partition; the features are made on several.
-    spread = rows.repartition(32, "turn").select("turn", F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("grade").cast("int").alias("grade"))
-    found = spread.mapInArrow(run, "turn long, doc_id long, grade int, features binary").toPandas().sort_values(["turn", "doc_id"], kind="stable")
+    rows = sampled(docs, rated, "grade", sample).select("turn", F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("grade").cast("int").alias("grade"))
+    found = rows.mapInArrow(run, "turn long, doc_id long, grade int, features binary").toPandas().sort_values(["turn", "doc_id", "features"], kind="stable")
     return fit([np.frombuffer(x, dtype=np.uint64) for x in found["features"]], found["grade"].to_numpy(dtype=np.int64))
 
 

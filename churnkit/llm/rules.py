@@ -24,7 +24,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import hashes_of, mixed
+from churnkit.llm.common import hashes_of, mixed, sampled
 
 SAMPLE = 20_000
 #: Least share of rejected documents among those that a rule covers, least number of them, and most conditions of a rule.
@@ -201,11 +201,9 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """Rules from documents whose ``quality`` is 0 against those whose it is 1, on ``sample`` labelled documents at most."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("mark"))
-    texts = docs.select("doc_id", "text").join(known, "doc_id").filter("text is not null")
-    rows = texts.select("doc_id", "text", "mark", F.xxhash64("doc_id").alias("turn")).orderBy("turn", "doc_id").limit(sample)
-    counted = with_statistics(rows)
+    counted = with_statistics(sampled(docs, known, "mark", sample))
     table = counted.filter("n_words >= 50").select("turn", "doc_id", (F.col("mark") == 0).alias("bad"), *[ratio(r).alias(r) for r in RATIOS]).toPandas()
-    table = table.sort_values(["turn", "doc_id"])
+    table = table.sort_values(["turn", "doc_id", *RATIOS], kind="stable")
     return learn({r: table[r].to_numpy(dtype=float) for r in RATIOS}, table["bad"].to_numpy(dtype=bool))
 
 
