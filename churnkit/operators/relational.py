@@ -16,6 +16,8 @@ from churnkit.functions import category_rank, col, or_default, round_dec
 
 RANK = "_rank"
 LOOK_UP_PARTS = 8
+# Ranges of an order that are worked on in parallel.
+CUTS = 1023
 
 
 # --- ranking ----------------------------------------------------------------
@@ -180,29 +182,16 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def global_sequence(df: DataFrame, key: str, name: str, block: int = 1_000_000) -> DataFrame:
-    """Number the rows 1..N in the order of a unique integer key.
+def global_sequence(df: DataFrame, key: str, name: str, cuts: int = CUTS) -> DataFrame:
+    """Number the rows 1..N in the order of a unique key, whatever its values and their gaps."""
+    numbered = prefix_offsets(df.withColumn("_one", F.lit(1)), key, "_one", "_before", cuts)
+    return numbered.withColumn(name, F.col("_before") + 1).drop("_one", "_before")
 
-    Keys are cut into value blocks of at most ``block`` rows. Only the block sizes are summed in one
-    place; the rows are numbered inside their block, in parallel.
-    """
-    return prefix_offsets(df.withColumn("_one", F.lit(1)), key, "_one", "_before", block).withColumn(
-        name, F.col("_before") + 1
-    ).drop("_one", "_before")
-
-
-def prefix_offsets(df: DataFrame, key: str, count: str, name: str, block: int = 1_000_000) -> DataFrame:
-    """Sum of ``count`` over all rows with a smaller key. The key is a unique integer."""
-    cut = df.withColumn("_block", F.floor(F.col(key) / block))
-    sizes = cut.groupBy("_block").agg(F.sum(count).alias("_size"))
-    upto = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_block", F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_start"))
-    inside = W.partitionBy("_block").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        cut.join(starts, "_block")
-        .withColumn(name, F.col("_start") + F.coalesce(F.sum(count).over(inside), F.lit(0)))
-        .drop("_block", "_start")
-    )
+
+def prefix_offsets(df: DataFrame, key: str, count: str, name: str, cuts: int = CUTS) -> DataFrame:
+    """Sum of ``count`` over all rows with a smaller key. The key is unique."""
+    totals = running_totals(df.withColumn("_all", F.lit(0)), "_all", key, [count], cuts=cuts)
+    return totals.withColumnRenamed(f"{count}_before", name).drop("_all", f"{count}_through")
 
 
 def hash_ordered_rank(df: DataFrame, group: str, digest: Column, unique: str, name: str, prefix: int = 3) -> DataFrame:
@@ -225,8 +214,18 @@ def hash_ordered_rank(df: DataFrame, group: str, digest: Column, unique: str, na
     )
 
 
+def _place(bounds: Column, value: Column, longest: int) -> Column:
+    """How many of the sorted bounds are below the value, by halving steps."""
+    steps = [1 << k for k in reversed(range(longest.bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        return at + F.when(F.get(bounds, at + width - 1) < value, width).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(w) for w in steps]), F.lit(0), step)
+
+
 def running_totals(
-    df: DataFrame, by: str, order: str, sums: Sequence[str], descending: bool = False, cuts: int = 64
+    df: DataFrame, by: str, order: str, sums: Sequence[str], descending: bool = False, cuts: int = CUTS
 ) -> DataFrame:
     """Totals over all earlier rows (``<sum>_before``) and up to the row (``<sum>_through``), per ``by``.
 
@@ -240,7 +239,7 @@ def running_totals(
     value = F.col(order)
     # Both joined tables hold at most cuts + 1 numbers per value of ``by``; Spark broadcasts them while they are small.
     ranged = df.join(bounds, by).withColumn(
-        "_range", F.size(F.filter("_bounds", lambda b: b < value))
+        "_range", _place(F.col("_bounds"), value, cuts)
     ).drop("_bounds")
     sizes = ranged.groupBy(by, "_range").agg(*[F.sum(s).alias(f"_{s}_size") for s in sums])
     direction = F.desc if descending else F.asc

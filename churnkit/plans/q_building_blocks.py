@@ -348,7 +348,7 @@ def _(s):
 
 @query("global_sequence", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS seq FROM orders")
 def _(s):
-    return R.global_sequence(s.t.orders.select("o_orderkey"), "o_orderkey", "seq", block=10_000)
+    return R.global_sequence(s.t.orders.select("o_orderkey"), "o_orderkey", "seq")
 
 
 @query("top_n_per_key", f"""

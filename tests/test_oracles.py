@@ -6,9 +6,9 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from churnkit.plans.catalogue import ORACLES, QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

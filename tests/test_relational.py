@@ -74,23 +74,23 @@ def test_left_with_defaults(rows):
     assert values(R.left_with_defaults(base, feat, "k", {"v": 0})) == [(1, 7), (2, 0)]
 
 
-@pytest.mark.parametrize("block", [3, 1000])
-def test_global_sequence(spark, block):
-    keys = sorted(random.Random(3).sample(range(-50, 5000), 200))
+@pytest.mark.parametrize("cuts", [3, 1023])
+def test_global_sequence_of_sparse_keys(spark, cuts):
+    keys = sorted(random.Random(3).sample(range(-(10**15), 10**15), 200))
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = R.global_sequence(df, "k", "seq", block).orderBy("k").collect()
+    got = R.global_sequence(df, "k", "seq", cuts).orderBy("k").collect()
     assert [(r.k, r.seq) for r in got] == [(k, i + 1) for i, k in enumerate(keys)]
 
 
-@pytest.mark.parametrize("block", [4, 1000])
-def test_prefix_offsets(spark, block):
+@pytest.mark.parametrize("cuts", [4, 1023])
+def test_prefix_offsets(spark, cuts):
     df = spark.createDataFrame([(i, i % 4) for i in range(40)], "k int, n int")
-    got = {r.k: r.before for r in R.prefix_offsets(df, "k", "n", "before", block).collect()}
+    got = {r.k: r.before for r in R.prefix_offsets(df, "k", "n", "before", cuts).collect()}
     assert got == {i: sum(j % 4 for j in range(i)) for i in range(40)}
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("cuts", [1, 4, 64])
+@pytest.mark.parametrize("cuts", [1, 4, 64, 1023])
 def test_running_totals_match_a_plain_window(spark, cuts, descending):
     rnd = random.Random(cuts)
     data = [(g, s / 97, rnd.randrange(5), 1) for g in (0, 1) for s in rnd.sample(range(1000), 60)]
