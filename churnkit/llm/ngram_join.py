@@ -20,7 +20,7 @@ How it is laid out on Spark:
 5. Pairs are verified exactly: binary search of all shared shingles of x in the sorted shingles of y.
 
 Null and empty texts have no shingles, link with nothing and are their own component. Rows are returned one for one, so repeated rows stay
-repeated; documents without an id link under their smallest known id. Only ``doc_id`` and ``text`` are read: other columns,
+repeated; a document without an id takes part only as an exact copy of one with an id. Only ``doc_id`` and ``text`` are read: other columns,
 whatever their names, are ignored. An empty table gives an empty result.
 """
 
