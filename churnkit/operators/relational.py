@@ -16,8 +16,8 @@ from churnkit.functions import category_rank, col, or_default, round_dec
 
 RANK = "_rank"
 LOOK_UP_PARTS = 8
-# Ranges of an order that are worked on in parallel.
-CUTS = 1023
+# Keys at which an order is cut into ranges that are worked on in parallel; few enough for a limit in every task (see session.tune).
+CUTS = 511
 
 
 # --- ranking ----------------------------------------------------------------
@@ -237,8 +237,8 @@ def running_totals(
     sample = rank_within(df.select(by, order), [by], [F.xxhash64(order), F.col(order)], cuts)
     bounds = sample.groupBy(by).agg(F.sort_array(F.collect_list(order)).alias("_bounds"))
     value = F.col(order)
-    # Both joined tables hold at most cuts + 1 numbers per value of ``by``; Spark broadcasts them while they are small.
-    ranged = df.join(bounds, by).withColumn(
+    # Both broadcasts hold at most cuts + 1 numbers per value of ``by``: a constant, or the few folds.
+    ranged = df.join(F.broadcast(bounds), by).withColumn(
         "_range", _place(F.col("_bounds"), value, cuts)
     ).drop("_bounds")
     sizes = ranged.groupBy(by, "_range").agg(*[F.sum(s).alias(f"_{s}_size") for s in sums])
@@ -248,7 +248,7 @@ def running_totals(
         F.col(by), "_range", *[F.coalesce(F.sum(f"_{s}_size").over(before), F.lit(0)).alias(f"_{s}_start") for s in sums]
     )
     inside = W.partitionBy(by, "_range").orderBy(direction(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = ranged.join(starts, [by, "_range"])
+    out = ranged.join(F.broadcast(starts), [by, "_range"])
     for s in sums:
         out = out.withColumn(f"{s}_through", F.col(f"_{s}_start") + F.sum(s).over(inside))
     for s in sums:
