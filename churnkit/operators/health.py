@@ -21,7 +21,7 @@ from churnkit.functions import (
     since,
     trunc_int,
 )
-from churnkit.operators.relational import latest_per_key
+from churnkit.operators.relational import latest_per_key, one_row_per_key
 from churnkit.schemas import (
     HEALTH_HIGH_BELOW,
     HEALTH_MEDIUM_BELOW,
@@ -62,16 +62,17 @@ def support_activity(tickets: DataFrame, as_of=None) -> DataFrame:
 
 def latest_nps(nps: DataFrame) -> DataFrame:
     newest = latest_per_key(nps, ["company_id"], [F.desc("survey_date"), F.desc("survey_id")])
-    return newest.select("company_id", F.col("nps_score").alias("nps_latest"), "nps_category")
+    return one_row_per_key(newest.select("company_id", F.col("nps_score").alias("nps_latest"), "nps_category"), "company_id")
 
 
 def current_contract(subscriptions: DataFrame) -> DataFrame:
     """One current contract per company; of two with the same start the higher id counts."""
-    return latest_per_key(
+    newest = latest_per_key(
         subscriptions.filter(F.col("is_current_contract")),
         ["company_id"],
         [F.desc("start_date"), F.desc("subscription_id")],
     )
+    return one_row_per_key(newest, "company_id").select(*subscriptions.columns)
 
 
 def contract_state(subscriptions: DataFrame, as_of=None) -> DataFrame:

@@ -36,6 +36,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_n_per_key(df, keys, order, 1)
 
 
+def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows that are unique in the key already, in a form that lets the optimizer see it: then a left join to them goes
+    where nothing of theirs is used. No further shuffle, as the ranking before has dealt the rows by the key."""
+    return df.groupBy(key).agg(*[F.first(c).alias(c) for c in df.columns if c != key])
+
+
 def dedup_latest(
     df: DataFrame, keys: Sequence[str], recency: Sequence[str], tie_break: Sequence[str] | None = None
 ) -> DataFrame:

@@ -147,3 +147,9 @@ def test_whole_job_stores_every_layer(spark, tmp_path):
     reports = quality_reports(stored)
     assert reports["rowcount"].count() == 19 and reports["rowcount"].filter("quality_status like 'OK (empty%'").count() == 2 and reports["null_keys"].agg(F.sum("violations")).first()[0] == 0
     assert abs(reports["tiers"].agg(F.sum("pct")).first()[0] - 100) < 0.3
+
+
+@pytest.mark.parametrize("name", ["kpi_summary", "portfolio_stats", "pending_total", "all_actions"])
+def test_reports_do_not_read_facts_they_do_not_show(spark, name):
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(QUERIES[name](spark, FOLDER)))
+    assert scans and not any("l_orderkey" in s for s in scans)
