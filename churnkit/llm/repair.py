@@ -39,7 +39,7 @@ SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
 #: A pair is replaced if it stands at this many places at least; a round that saves less than this share is the last.
 LEAST, LEAST_GAIN, PER_ROUND = 8, 0.01, 4096
 SYMBOLS = 1 << 16
-_SIGN = re.compile(rb"(?<=[0-9a-z])([.,;:!?])(?=[ \n])").sub
+_SIGN = re.compile(rb"[.,;:!?](?<=[0-9a-z].)(?=[ \n])").sub
 MAGIC = b"REPAIR01"
 _HEAD = struct.Struct("<8s4Q")
 
@@ -223,7 +223,7 @@ def _split(text: str) -> list[bytes]:
     itself, and single signs after a letter or digit as words of their own, as it parts them. Special tokens are case-sensitive."""
     raw = text.encode()
     if b"<|" not in raw:
-        raw = _SIGN(rb" \1", raw.lower())
+        raw = _SIGN(rb" \g<0>", raw.lower())
     return raw.split()
 
 
