@@ -37,7 +37,7 @@ END = 2
 #: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
 SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
 #: A pair is replaced if it stands at this many places at least; a round that saves less than this share is the last.
-LEAST, LEAST_GAIN, PER_ROUND = 8, 0.01, 4096
+LEAST, LEAST_GAIN, PER_ROUND = 8, 0.02, 8192
 SYMBOLS = 1 << 16
 _SIGN = re.compile(rb"[.,;:!?](?<=[0-9a-z].)(?=[ \n])").sub
 MAGIC = b"REPAIR01"
@@ -113,10 +113,23 @@ def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> byt
     )
 
 
+def _levels(rules: np.ndarray, base: int) -> Iterator[np.ndarray]:
+    """Numbers of the rules, those first whose parts are ids, then those whose parts are known from the ones before."""
+    known = np.arange(base + len(rules)) < base
+    left = np.arange(len(rules))
+    while len(left):
+        ready = known[rules[left]].all(axis=1)
+        if not ready.any():
+            raise ValueError("rules that rest on themselves")
+        yield left[ready]
+        known[base + left[ready]] = True
+        left = left[~ready]
+
+
 def _expansions(rules: np.ndarray, base: int) -> np.ndarray:
     sizes = np.ones(base + len(rules), dtype=np.int64)
-    for k, (x, y) in enumerate(rules.tolist()):
-        sizes[base + k] = sizes[x] + sizes[y]
+    for now in _levels(rules, base):
+        sizes[base + now] = sizes[rules[now]].sum(axis=1)
     return sizes
 
 
@@ -145,11 +158,12 @@ class Shard:
         self.starts = starts_of(self.sizes)
         self.flat = np.zeros(int(self.sizes.sum()), dtype=np.int32)
         self.flat[: self.base] = np.arange(self.base)
-        starts, sizes = self.starts.tolist(), self.sizes.tolist()
-        for k, (x, y) in enumerate(self.rules.tolist()):
-            to = starts[self.base + k]
-            self.flat[to : to + sizes[x]] = self.flat[starts[x] : starts[x] + sizes[x]]
-            self.flat[to + sizes[x] : to + sizes[x] + sizes[y]] = self.flat[starts[y] : starts[y] + sizes[y]]
+        for now in _levels(self.rules, self.base):
+            to = self.starts[self.base + now]
+            for part in self.rules[now].T:
+                size = self.sizes[part]
+                self.flat[ragged(to, size)] = self.flat[ragged(self.starts[part], size)]
+                to = to + size
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         return self.flat[ragged(self.starts[symbols], self.sizes[symbols])]
