@@ -198,3 +198,52 @@ def test_far_texts_are_rejected(spark):
     found = {r["doc_id"]: r for r in langid.predict(tests, model).collect()}
     assert found[1]["lang_pred"] == "en" and found[2]["rejected"]
     assert found[2]["score"] < found[1]["score"]
+
+
+def test_contexts_are_counted_whole_and_others_are_learned_from(spark):
+    """Over several blocks and owners, each decision gets the counts of its whole context in all training texts; while learning, those of all others."""
+    rows = [(i, f"{w} the {w}{i % 3} cat of {v} sat " * (1 + i % 4) + w * (4000 if i == 3 else 1)) for i, (w, v) in enumerate([("Über", "ox"), ("under", "Ox"), ("up", "fox")] * 9)]
+    rows += [(None, "the cat"), (100, None), (101, "")]
+    raw = [(t or "").encode() for _, t in rows]
+    learn = [i is None or i % 4 > 0 for i, _ in rows]
+    assert max(map(len, raw)) > 20_000  # long documents take part as well
+    code = context_mix.code_of(np.random.default_rng(5).integers(0, 50, 256 * 257))
+    docs = spark.createDataFrame([(i, t, ok) for (i, t), ok in zip(rows, learn)], "doc_id long, text string, learn boolean").repartition(3)
+
+    def places(text, order):
+        """(context, byte before, place in the code) and side of every decision."""
+        padded = bytes(8) + text
+        for at, sign in enumerate([*text, 256]):
+            before = padded[: at + 8]
+            context = before[-order:] if order else re.split(rb"[\x00\x20\x09-\x0D]", before.lower())[-1]
+            key = before[-1] * 257 + sign
+            for step in range(code.starts[key], code.starts[key] + code.lengths[key]):
+                yield (context, before[-1], code.places[step]), code.sides[step]
+
+    want = [Counter(x for t, ok in zip(raw, learn) if ok for x in places(t, order)) for order, _ in context_mix.PREDICTORS]
+    shared, parts, seen = spark.sparkContext.broadcast(code), 3, 0
+    stored = context_mix._blocks(docs, shared, parts).collect()
+    assert len(stored) > 1
+    for row in stored:
+        block = context_mix._opened(code, parts, row["counts"], row["docs"], row["texts"])
+        seen += len(block.texts)
+        for _, texts, firsts in block.pieces():
+            slots, *_ = context_mix.decisions(code, texts, firsts=firsts)
+            for k, (order, _) in enumerate(context_mix.PREDICTORS):
+                found = block.counts[k].reshape(-1, 2)[slots[k]]
+                expected = np.array([[want[k][d, side] for side in (0, 1)] for t in texts for d, _ in places(t, order)])
+                assert np.allclose(found, expected, rtol=1e-3)
+        own = [t for t, ok in zip(block.texts, block.docs["learn"]) if ok and len(t) < 1000]
+        small = block.docs["size"] < 1000
+        block.docs = block.docs.copy()
+        block.docs["learn"] &= small
+        pieces = list(context_mix._others(block, code))
+        for k, (order, _) in enumerate(context_mix.PREDICTORS):
+            found = np.concatenate([p[0][k] for p in pieces]) if pieces else np.zeros(0)
+            expected = []
+            for t in own:
+                mine = Counter(places(t, order))
+                expected += [[want[k][d, side] - mine[d, side] for side in (0, 1)] for d, _ in places(t, order)]
+            odds = context_mix.odds_of(np.array(expected, dtype=np.float32).ravel()) * context_mix._UNIT
+            assert np.allclose(found, odds, atol=0.1)
+    assert seen == len(rows)
