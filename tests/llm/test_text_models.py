@@ -247,3 +247,5 @@ def test_contexts_are_counted_whole_and_others_are_learned_from(spark):
             odds = context_mix.odds_of(np.array(expected, dtype=np.float32).ravel()) * context_mix._UNIT
             assert np.allclose(found, odds, atol=0.1)
     assert seen == len(rows)
+    model = context_mix._learned(context_mix._blocks(docs, shared, parts), shared, parts)
+    assert (model.weights != 0.4).any()
