@@ -3,7 +3,8 @@
 Documents are put in ascending doc_id order by range partitions, encoded with the tokenizers library (a memory of words per
 worker keeps it off words it has seen), closed with an end id and gathered into shards of about ``SHARD`` ids. In each shard
 frequent pairs of neighbouring ids are replaced by new symbols, again and again, until no pair is frequent enough or the
-symbols of 16 bits are used up; a round replaces many pairs at once, overlapping places from left to right. Pairs never cross
+symbols of 16 bits are used up; a round replaces the most frequent pairs, down to half the count of the first of them, overlapping
+places from left to right, and counts anew, so pairs of new symbols have their turn before rarer ones. Pairs never cross
 the end of a document, so a document is a slice of the symbol sequence.
 
 A shard is one binary value (little-endian): magic, four counts (documents, rules, symbols, first nonterminal) as u64,
@@ -36,8 +37,8 @@ from churnkit.llm.common import WordTable, pieces, ragged, starts_of, store
 END = 2
 #: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
 SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
-#: A pair is replaced if it stands at this many places at least; a round that saves less than this share is the last.
-LEAST, LEAST_GAIN, PER_ROUND = 8, 0.02, 8192
+#: A pair is replaced if it stands at this many places at least; pairs of a round.
+LEAST, PER_ROUND = 8, 1024
 SYMBOLS = 1 << 16
 _SIGN = re.compile(rb"[.,;:!?](?<=[0-9a-z].)(?=[ \n])").sub
 MAGIC = b"REPAIR01"
@@ -56,7 +57,7 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         ranked = np.sort(keys)
         begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         counts = np.diff(np.append(begins, len(ranked)))
-        often = np.flatnonzero(counts >= LEAST)
+        often = np.flatnonzero(counts >= max(LEAST, int(counts.max(initial=0)) // 2))
         top = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, SYMBOLS - base - len(rules))]]
         if not len(top):
             break
@@ -81,12 +82,9 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         rules = np.concatenate([rules, np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1)[worth].astype(np.int64)])
         symbols[places] = names[chosen]
         last[places] = last[places + 1]
-        before = len(symbols)
-        left = np.ones(before, dtype=bool)
+        left = np.ones(len(symbols), dtype=bool)
         left[places + 1] = False
         symbols, last = symbols[left], last[left]
-        if before - len(symbols) < LEAST_GAIN * before:
-            break
     return symbols, rules, last, base
 
 

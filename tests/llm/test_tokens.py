@@ -114,6 +114,32 @@ def test_grammar_replaces_pairs():
     assert (repair.Shard(data).ids(0) == ids).all()
 
 
+def test_grammar_goes_on_while_pairs_are_frequent():
+    """A few copies in much other text, which save little a round, are folded as well."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 40_000, 32)
+    ids = np.concatenate([x for _ in range(20) for x in (rng.integers(0, 40_000, 10_000), passage)])
+    symbols, rules, _, base = repair.grammar(ids, np.arange(len(ids)) == len(ids) - 1)
+    assert base + len(rules) < repair.SYMBOLS
+    _, counts = np.unique(symbols[:-1].astype(np.int64) << 16 | symbols[1:], return_counts=True)
+    assert counts.max() < repair.LEAST
+    assert repair._expansions(rules, base).max() >= len(passage)
+
+
+def test_symbols_go_to_the_most_frequent_pairs():
+    """With more frequent pairs than symbols, a passage copied hundreds of times is folded whole before rarer pairs are."""
+    rng = np.random.default_rng(2)
+    passage = np.arange(40_000, 40_064)
+    others = [np.repeat(rng.permutation(20_000)[None], 10, axis=0).reshape(10, -1) for _ in range(2)]
+    ids = np.concatenate([np.tile(passage, 1) for _ in range(400)] + [x for o in others for x in o] + [[49_407]])
+    last = np.zeros(len(ids), dtype=bool)
+    last[np.arange(63, 400 * 64, 64)] = True
+    last[-1] = True
+    symbols, rules, ends, base = repair.grammar(ids, last)
+    firsts = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    assert (np.diff(firsts)[:400] == 1).all()
+
+
 def test_large_ids_raise():
     with pytest.raises(ValueError):
         repair.pack([1], np.array([70_000]), np.array([1]))
