@@ -14,9 +14,6 @@ from churnkit.schemas import MODEL_INPUTS, NUMERIC_FEATURES
 from churnkit.session import ensure_checkpoint_dir
 from churnkit.sources.adapters import AS_OF
 
-# Fewer and larger steps than the defaults keep the registered training short; the data is whole.
-QUICK = {"maxIter": 10, "stepSize": 0.2, "maxDepth": 3}
-
 _MATRIX = "SELECT company_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in NUMERIC_FEATURES) + (
     ", CASE WHEN billing_cycle = 'annual' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS billing_cycle_annual, is_churned FROM feature_store"
 )
@@ -134,17 +131,17 @@ def _(s):
 @query("ml_train_score")
 def _(s):
     rows = _stored_matrix(s)
-    return train.score(train.train_gbt(rows, QUICK), rows, AS_OF, "churn_gbt", "1")
+    return train.score(train.train_gbt(rows), rows, AS_OF, "churn_gbt", "1")
 
 
 @query("ml_cross_validate")
 def _(s):
-    return train.cross_validate(_stored_matrix(s), {**QUICK, "maxIter": 4}, 3)
+    return train.cross_validate(_stored_matrix(s))
 
 
 def _model_and_nodes(s):
     rows = _stored_matrix(s)
-    model = train.train_gbt(rows, QUICK)
+    model = train.train_gbt(rows)
     path = f"{ensure_checkpoint_dir(s.spark)}/model_{uuid.uuid4().hex}"
     return rows, model, explain.node_table(model, path)
 

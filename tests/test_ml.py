@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnkit.ml import explain, folds, matrix, metrics, select, train
+from churnkit.plans import q_ml
+from churnkit.plans.registry import QUERIES
 from churnkit.schemas import LABEL, MODEL_INPUTS, NUMERIC_FEATURES
 
 PARAMS = {"maxIter": 5, "stepSize": 0.3, "maxDepth": 3}
@@ -167,6 +169,22 @@ def test_cross_validation_has_a_row_per_fold_and_the_mean(trained):
     assert got["mean"].roc_auc == pytest.approx(sum(got[str(i)].roc_auc for i in range(3)) / 3, abs=1e-5)
 
 
+@pytest.mark.parametrize("name", ["ml_train_score", "ml_cross_validate", "ml_importance", "ml_explain"])
+def test_registered_models_train_in_full(spark, name, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def asked(rows, params=None, k=train.FOLDS, **_):
+        raise Asked({**train.DEFAULT_PARAMS, **(params or {})}, k)
+
+    monkeypatch.setattr(q_ml, "_stored_matrix", lambda s: None)
+    monkeypatch.setattr(train, "train_gbt", asked)
+    monkeypatch.setattr(train, "cross_validate", asked)
+    with pytest.raises(Asked) as found:
+        QUERIES[name](spark, "")
+    assert found.value.args == (train.DEFAULT_PARAMS, 5)
+
+
 def test_champion(rows):
     metrics_ = rows([("m", "r1", "FINISHED", 0, 0.7), ("m", "r1", "FINISHED", 1, 0.8), ("m", "r2", "FINISHED", 0, 0.9), ("m", "r2", "FINISHED", 1, 0.5),
                      ("m", "r3", "RUNNING", 0, 0.99), ("n", "r4", "FINISHED", 0, 0.55)],
