@@ -228,7 +228,7 @@ def test_contexts_are_counted_whole_and_others_are_learned_from(spark):
         block = context_mix._opened(code, parts, row["counts"], row["docs"], row["texts"])
         seen += len(block.texts)
         for _, texts, firsts in block.pieces():
-            slots, *_ = context_mix.decisions(code, texts, firsts=firsts)
+            slots, *_ = context_mix.decisions(code, texts, firsts=firsts, ways=block.ways)
             for k, (order, _) in enumerate(context_mix.PREDICTORS):
                 found = block.counts[k].reshape(-1, 2)[slots[k]]
                 expected = np.array([[want[k][d, side] for side in (0, 1)] for t in texts for d, _ in places(t, order)])
