@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import actions as A

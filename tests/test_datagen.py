@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import datagen as G

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.ml import matrix, metrics, select, train

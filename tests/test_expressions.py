@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit import functions as X

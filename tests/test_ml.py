@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import relational as R

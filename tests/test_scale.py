@@ -4,7 +4,7 @@ import pathlib
 import re
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import conform, health
