@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm import bpe, context_mix, curriculum, langid, oracles, quality, repair, rules, warc
+from churnkit.llm import bpe, context_mix, curriculum, eenns, exact_dedup, langid, oracles, quality, repair, rules, spelling, warc
 from churnkit.llm.common import read, remainder
 from churnkit.llm.grid_join import near_duplicates
 from churnkit.llm.ngram_join import jaccard_components
@@ -67,6 +67,18 @@ def op10_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
 
 
+def op11_mean_variance_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return eenns.clusters(read(spark, folder, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read(spark, folder, "documents")))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.decisions(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_bpe_round_trip,
         op10_nearest_centroid,
+        op11_mean_variance_clusters,
+        op12_spelling_variants,
+        op13_exact_dedup,
     )
 }
 ORACLES: dict[str, str] = oracles.SQL
