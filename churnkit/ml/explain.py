@@ -6,9 +6,10 @@ tasks. Rows never leave their partition; each Arrow batch is explained with arra
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -48,60 +49,72 @@ def stored_nodes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def leaf_paths(nodes: pd.DataFrame) -> list[tuple[float, list[tuple[int, float, list[tuple[bool, float]]]]]]:
-    """Per leaf its weighted value and, per input on its path, the cover share and the split tests."""
+@dataclass
+class Leaf:
+    """The tests on the way to a leaf, the place in ``inputs`` each belongs to, and the contributions by set of inputs passed."""
+
+    inputs: np.ndarray
+    tests: list[tuple[int, int, float, bool]]
+    table: np.ndarray
+    base: float
+
+
+def leaf_of(value: float, path: Sequence[tuple[int, float, bool, float]]) -> Leaf:
+    """A leaf from its value and the steps to it: input, threshold, whether the path goes left, and the share of rows that take it."""
+    inputs = list(dict.fromkeys(feature for feature, *_ in path))
+    shares = [math.prod(share for feature, _, _, share in path if feature == f) for f in inputs]
+    tests = [(inputs.index(feature), feature, threshold, left) for feature, threshold, left, _ in path]
+    return Leaf(np.array(inputs, dtype=int), tests, np.ascontiguousarray(mask_table(value, shares).T), value * math.prod(shares))
+
+
+def mask_table(value: float, shares: Sequence[float]) -> np.ndarray:
+    """Contribution of each of m inputs for each of the 2^m sets of inputs whose tests a row passes.
+
+    A leaf counts fully for a known input whose tests pass, not at all for a known one whose tests fail, and by its cover share
+    for an unknown one. The mean over all orders in which inputs become known needs only how many of the others are known, so the weights of
+    the products are summed by degree: multiply out (share + passed * t) over the other inputs, and weight t^k by k! (m - 1 - k)! / m!.
+    """
+    m = len(shares)
+    order = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
+    out = np.zeros((1 << m, m))
+    for mask in range(1 << m):
+        for j in range(m):
+            product = np.array([1.0])
+            for i in range(m):
+                if i != j:
+                    product = np.convolve(product, [shares[i], float(mask >> i & 1)])
+            out[mask, j] = value * (float(mask >> j & 1) - shares[j]) * float(product @ order)
+    return out
+
+
+def leaf_paths(nodes: pd.DataFrame) -> list[Leaf]:
+    """All leaves of a stored model."""
     leaves = []
     for _, tree in nodes.groupby("tree"):
-        at = tree.set_index("node")
-        stack = [(0, [])]
+        at = {row["node"]: row for row in tree.to_dict("records")}
+        stack: list[tuple[int, list]] = [(0, [])]
         while stack:
-            i, path = stack.pop()
-            row = at.loc[i]
-            if row["left"] < 0:
-                inputs: dict[int, list] = {}
-                for feature, share, test in path:
-                    entry = inputs.setdefault(feature, [1.0, []])
-                    entry[0] *= share
-                    entry[1].append(test)
-                value = float(row["value"]) * float(row["tree_weight"]) * LOG_ODDS_PER_MARGIN
-                leaves.append((value, [(f, s, tests) for f, (s, tests) in inputs.items()]))
+            number, path = stack.pop()
+            row = at[number]
+            if row["left"] >= 0:
+                for child, left in ((row["left"], True), (row["right"], False)):
+                    share = float(at[child]["cover"]) / float(row["cover"])
+                    stack.append((child, [*path, (int(row["feature_index"]), float(row["threshold"]), left, share)]))
                 continue
-            for child, goes_left in ((int(row["left"]), True), (int(row["right"]), False)):
-                share = float(at.loc[child]["cover"]) / float(row["cover"])
-                step = (int(row["feature_index"]), share, (goes_left, float(row["threshold"])))
-                stack.append((child, [*path, step]))
+            leaves.append(leaf_of(float(row["value"]) * float(row["tree_weight"]) * LOG_ODDS_PER_MARGIN, path))
     return leaves
 
 
-def shapley(x: np.ndarray, leaves) -> tuple[np.ndarray, float]:
-    """Contribution of every input for every row of ``x``, and the base value they add up from.
-
-    A leaf counts fully for a known input whose tests the row passes, and by its cover share for an
-    unknown one. Paths are short, so the subsets of their inputs are summed directly.
-    """
-    out = np.zeros(x.shape)
-    base = 0.0
-    for value, inputs in leaves:
-        m = len(inputs)
-        base += value * float(np.prod([share for _, share, _ in inputs]))
-        passed = []
-        for feature, _, tests in inputs:
-            ok = np.ones(len(x), dtype=bool)
-            for goes_left, threshold in tests:
-                ok &= (x[:, feature] <= threshold) == goes_left
-            passed.append(ok.astype(float))
-        for j, (feature, share_j, _) in enumerate(inputs):
-            others = [i for i in range(m) if i != j]
-            total = np.zeros(len(x))
-            for size in range(m):
-                weight = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for known in combinations(others, size):
-                    part = np.full(len(x), weight)
-                    for i in others:
-                        part *= passed[i] if i in known else inputs[i][1]
-                    total += part
-            out[:, feature] += value * (passed[j] - share_j) * total
-    return out, base
+def shapley(x: np.ndarray, leaves: Sequence[Leaf]) -> tuple[np.ndarray, float]:
+    """Contribution of every input for every row of ``x``, and the base value they add up from: one look-up a leaf and row."""
+    by_input = np.ascontiguousarray(x.T)
+    out = np.zeros(by_input.shape)
+    for leaf in leaves:
+        failed = np.zeros(len(x), dtype=np.int64)
+        for place, feature, threshold, left in leaf.tests:
+            failed |= ((by_input[feature] <= threshold) != left).astype(np.int64) << place
+        out[leaf.inputs] += leaf.table[:, failed ^ ((1 << len(leaf.inputs)) - 1)]
+    return out.T, float(sum(leaf.base for leaf in leaves))
 
 
 def contributions(df: DataFrame, nodes: DataFrame, inputs: Sequence[str], name: str = "contributions") -> DataFrame:

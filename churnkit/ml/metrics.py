@@ -160,9 +160,9 @@ def fold_metrics(df: DataFrame, score: str, label: str, fold: str = "fold", thre
     )
 
 
-def with_mean(metrics: DataFrame, fold: str = "fold") -> DataFrame:
+def with_mean(metrics: DataFrame, fold: str = "fold", extra: Sequence[str] = ()) -> DataFrame:
     """The fold rows plus their mean, labelled ``mean``."""
-    names = ("roc_auc", "pr_auc", "f1", "precision", "recall")
+    names = ("roc_auc", "pr_auc", "f1", "precision", "recall", *extra)
     rows = metrics.select(F.col(fold).cast("string").alias(fold), "val_size", "positives", *names)
     mean = rows.agg(
         F.lit("mean").alias(fold),

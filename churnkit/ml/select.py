@@ -28,6 +28,14 @@ def select_champion(
     return best.join(versions.select("model_name", "run_id", "version"), ["model_name", "run_id"])
 
 
+def require_champion(metrics: DataFrame, versions: DataFrame, min_auc: float = MIN_CHAMPION_AUC, run_id: str | None = None) -> DataFrame:
+    """As ``select_champion``; an error where no run qualifies, so that nothing is promoted by mistake."""
+    best = select_champion(metrics, versions, min_auc, run_id)
+    if best.isEmpty():
+        raise ValueError(f"no run reaches a mean ROC-AUC of {min_auc}" if run_id is None else f"run {run_id} has no metrics or no version")
+    return best
+
+
 def publish_predictions(target: DataFrame, scored: DataFrame) -> DataFrame:
     """Target with the scored days upserted: running a day twice changes nothing."""
     return merge_upsert(target, scored.select(*target.columns), PREDICTION_KEYS)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +32,13 @@ DEFAULT_PARAMS = {
 }
 FOLDS = 5
 FOLD_SEED = 42
+PATIENCE = 50
 TIERS = ("Low", "Medium", "High")
 # --- end of fixed values ---
 
+#: Rows a task of an iterative fit takes at least.
+TASK_ROWS = 20_000
+
 
 def with_class_weight(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:
     """Positives weigh as much as there are negatives per positive."""
@@ -39,19 +46,58 @@ def with_class_weight(df: DataFrame, label: str = LABEL, name: str = "weight") -
     return df.withColumn(name, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))
 
 
-def train_gbt(matrix: DataFrame, params: Mapping | None = None, validation: DataFrame | None = None) -> GBTClassificationModel:
-    """Fit on the model matrix. A validation frame stops the rounds when it no longer improves."""
+def train_gbt(matrix: DataFrame, params: Mapping | None = None) -> GBTClassificationModel:
+    """Fit on the model matrix.
+
+    A fit is a chain of short jobs, several a round, so small inputs go to few tasks (``TASK_ROWS`` rows each at least).
+    """
+    rows = with_vector(with_class_weight(matrix)).select("features", "weight", F.col(LABEL).cast("double").alias("label"))
+    tasks = math.ceil(matrix.count() / TASK_ROWS) or 1
     settings = {**DEFAULT_PARAMS, **(params or {})}
-    train = with_class_weight(matrix)
-    if validation is not None:
-        train = union_all(
-            train.withColumn("_hold", F.lit(False)),
-            validation.withColumn("weight", F.lit(1.0)).withColumn("_hold", F.lit(True)),
-        )
-        settings["validationIndicatorCol"] = "_hold"
-    rows = with_vector(train).select("features", "weight", F.col(LABEL).cast("double").alias("label"),
-                                     *(["_hold"] if validation is not None else []))
-    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", **settings).fit(rows)
+    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", **settings).fit(rows.coalesce(tasks))
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds."""
+    trees, weights = list(model._java_obj.trees())[:rounds], list(model.treeWeights)[:rounds]
+    context = SparkSession.active().sparkContext
+    tree_class = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    java = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}",
+        GBTClassificationModel._new_java_array(trees, tree_class),
+        GBTClassificationModel._new_java_array(weights, context._jvm.double),
+        model.numFeatures,
+        model.numClasses,
+    )
+    return model._copyValues(GBTClassificationModel(java))
+
+
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds to keep: those up to the lowest loss that is reached before ``patience`` rounds in a row bring no gain."""
+    least, best = math.inf, 0
+    for done, loss in enumerate(losses, 1):
+        if loss < least:
+            least, best = loss, done
+        elif done - best >= patience:
+            break
+    return best or len(losses)
+
+
+def train_until_no_gain(
+    matrix: DataFrame, validation: DataFrame, params: Mapping | None = None, patience: int = PATIENCE
+) -> tuple[GBTClassificationModel, int]:
+    """Fit with early stopping: the model of the best round by log-loss on the validation rows, and that round.
+
+    A round does not depend on later ones nor on the validation rows, so the rounds are worked out first and judged in one pass;
+    what remains is the model that stopping at that point would have left.
+    """
+    model = train_gbt(matrix, params)
+    held = with_vector(validation).select("features", F.lit(1.0).alias("weight"), F.col(LABEL).cast("double").alias("label"))
+    losses = model.evaluateEachIteration(held)
+    if not all(map(math.isfinite, losses)):
+        return model, len(losses)  # no validation rows to judge by
+    rounds = best_round(losses, patience)
+    return first_rounds(model, rounds), rounds
 
 
 def churn_tier(probability) -> F.Column:
@@ -81,17 +127,17 @@ def score(
     prediction_date,
     model_name: str,
     model_version: str,
-    nodes_path: str | None = None,
+    nodes: DataFrame | str | None = None,
     threshold: float = DECISION_THRESHOLD,
     top_k: int = 5,
     id_col: str = "company_id",
 ) -> DataFrame:
-    """Prediction rows; with ``nodes_path`` (a shared folder) also the strongest contributions."""
+    """Prediction rows; with ``nodes``, the model's node table or a shared folder to store the model in, also the strongest contributions."""
     rows = tiered(probabilities(model, matrix), "probability", threshold)
-    if nodes_path is None:
+    if nodes is None:
         factors = F.lit(None).cast("string")
     else:
-        rows = contributions(rows, node_table(model, nodes_path), MODEL_INPUTS)
+        rows = contributions(rows, node_table(model, nodes) if isinstance(nodes, str) else nodes, MODEL_INPUTS)
         factors = factors_json("contributions", top_k)
     actual = [F.col(LABEL).alias("actual_churn")] if LABEL in matrix.columns else []
     return rows.select(
@@ -109,22 +155,26 @@ def score(
 
 def cross_validate(
     matrix: DataFrame, params: Mapping | None = None, k: int = FOLDS, id_col: str = "company_id",
-    threshold: float = DECISION_THRESHOLD,
+    threshold: float = DECISION_THRESHOLD, patience: int = PATIENCE,
 ) -> DataFrame:
-    """Metrics per fold and their mean; the held-out fold also stops the rounds early.
+    """Metrics per fold, their mean, and the rounds each fold's model kept; the held-out fold stops the rounds early.
 
-    The driver loop is over the k models only.
+    The k models are independent and are trained at the same time; the driver loop is over them only.
     """
-    # The folds are read k times by an iterative fit; losing a cached block only costs its recomputation.
+    # The folds are read by k iterative fits; losing a cached block only costs its recomputation.
     folded = stratified_folds(matrix, LABEL, id_col, k, FOLD_SEED).persist()
-    scored = []
-    for fold in range(k):
+    folded.count()
+
+    def one(fold: int) -> tuple[DataFrame, int]:
         inside, outside = folded.filter(F.col("fold") == fold), folded.filter(F.col("fold") != fold)
-        model = train_gbt(outside.drop("fold"), params, inside.drop("fold"))
-        scored.append(
-            probabilities(model, inside).select("fold", F.col(LABEL).alias("label"), F.col("probability").alias("score"))
-        )
-    metrics = with_mean(fold_metrics(union_all(*scored), "score", "label", "fold", threshold))
+        model, rounds = train_until_no_gain(outside.drop("fold"), inside.drop("fold"), params, patience)
+        return probabilities(model, inside).select("fold", F.col(LABEL).alias("label"), F.col("probability").alias("score")), rounds
+
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        done = list(pool.map(inheritable_thread_target(matrix.sparkSession)(one), range(k)))
+    kept = matrix.sparkSession.createDataFrame([(fold, float(rounds)) for fold, (_, rounds) in enumerate(done)], "fold int, rounds double")
+    per_fold = fold_metrics(union_all(*[scored for scored, _ in done]), "score", "label", "fold", threshold).join(kept, "fold")
+    metrics = with_mean(per_fold, extra=("rounds",))
     rows = metrics.collect()  # a row per fold; what was cached for them is not needed any more
     folded.unpersist()
     return matrix.sparkSession.createDataFrame(rows, metrics.schema)

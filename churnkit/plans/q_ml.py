@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from churnkit.functions import factors_json
 from churnkit.ml import explain, folds, matrix, metrics, select, train
 from churnkit.operators.relational import column_spread
 from churnkit.plans.oracle_base import DAY, rnd
-from churnkit.plans.registry import kept, query
+from churnkit.plans.registry import query
 from churnkit.schemas import MODEL_INPUTS, NUMERIC_FEATURES
-from churnkit.session import ensure_checkpoint_dir
+from churnkit.session import ensure_checkpoint_dir, kept
 from churnkit.sources.adapters import AS_OF
 
 _MATRIX = "SELECT company_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in NUMERIC_FEATURES) + (
@@ -128,38 +129,107 @@ def _(s):
     return train.tier_summary(s.predictions)
 
 
+_TRAINED: dict[tuple[str, str], tuple] = {}
+
+
+def _trained(s):
+    """The matrix, the model fitted on all of it and its nodes. The queries on the model share one fit per session and folder."""
+    key = (s.spark.sparkContext.applicationId, s.folder)
+    if key not in _TRAINED:
+        rows = _stored_matrix(s)
+        model = train.train_gbt(rows)
+        _TRAINED[key] = rows, model, explain.node_table(model, f"{ensure_checkpoint_dir(s.spark)}/model_{uuid.uuid4().hex}")
+    return _TRAINED[key]
+
+
+def _validated(s):
+    """Fold metrics of the five models, likewise once per session and folder."""
+    key = (s.spark.sparkContext.applicationId, f"{s.folder} folds")
+    if key not in _TRAINED:
+        _TRAINED[key] = (train.cross_validate(_stored_matrix(s)),)
+    return _TRAINED[key][0]
+
+
+def _scores(s):
+    rows, model, nodes = _trained(s)
+    return train.score(model, rows, AS_OF, "churn_gbt", "1", nodes)
+
+
+def _explained(s):
+    rows, model, nodes = _trained(s)
+    return explain.contributions(train.probabilities(model, rows), nodes, MODEL_INPUTS)
+
+
+def _importance(s):
+    _, model, nodes = _trained(s)
+    return train.feature_importance(model, nodes)
+
+
 @query("ml_train_score")
 def _(s):
-    rows = _stored_matrix(s)
-    return train.score(train.train_gbt(rows), rows, AS_OF, "churn_gbt", "1")
+    return _scores(s)
 
 
 @query("ml_cross_validate")
 def _(s):
-    return train.cross_validate(_stored_matrix(s))
-
-
-def _model_and_nodes(s):
-    rows = _stored_matrix(s)
-    model = train.train_gbt(rows)
-    path = f"{ensure_checkpoint_dir(s.spark)}/model_{uuid.uuid4().hex}"
-    return rows, model, explain.node_table(model, path)
+    return _validated(s)
 
 
 @query("ml_importance")
 def _(s):
-    _, model, nodes = _model_and_nodes(s)
-    return train.feature_importance(model, nodes)
+    return _importance(s)
 
 
 @query("ml_explain")
 def _(s):
-    rows, model, nodes = _model_and_nodes(s)
-    scored = train.probabilities(model, rows)
-    explained = explain.contributions(scored, nodes, MODEL_INPUTS)
-    from churnkit.functions import factors_json
+    return _explained(s).select("company_id", "probability", "base_value", factors_json("contributions", 5).alias("top_factors"))
 
-    return explained.select("company_id", "probability", "base_value", factors_json("contributions", 5).alias("top_factors"))
+
+# What a model gives cannot be stated in SQL, but what must hold of it can: the queries below put the same results to such tests.
+
+@query("ml_score_check", f"""
+    SELECT company_id, {DAY} AS prediction_date, 'churn_gbt' AS model_name, '1' AS model_version, is_churned AS actual_churn,
+           5 AS n_factors, TRUE AS in_range, TRUE AS tier_follows, TRUE AS flag_follows FROM feature_store""")
+def _(s):
+    # Rounded to four digits, a probability says on which side of an edge it lies unless it is the edge.
+    p = F.col("churn_probability")
+    tier = F.when(p < 0.4, "Low").when((p > 0.4) & (p < 0.7), "Medium").when(p > 0.7, "High").otherwise(F.col("risk_tier"))
+    flag = F.when(p == 0.4, F.col("predicted_churn")).otherwise((p > 0.4).cast("int"))
+    return _scores(s).select(
+        "company_id", "prediction_date", "model_name", "model_version", "actual_churn",
+        F.size(F.from_json("top_factors", "map<string,double>")).alias("n_factors"),
+        p.between(0, 1).alias("in_range"), (tier == F.col("risk_tier")).alias("tier_follows"), (flag == F.col("predicted_churn")).alias("flag_follows"),
+    )
+
+
+@query("ml_explain_check", f"SELECT company_id, {len(MODEL_INPUTS)} AS n_inputs, TRUE AS adds_up FROM feature_store")
+def _(s):
+    total = F.aggregate(F.map_values("contributions"), F.col("base_value"), lambda a, b: a + b)
+    odds = F.log(F.col("probability") / (1 - F.col("probability")))
+    return _explained(s).select("company_id", F.size("contributions").alias("n_inputs"), (F.abs(total - odds) < 1e-6).alias("adds_up"))
+
+
+@query("ml_importance_check", f"""
+    SELECT unnest([{', '.join(f"'{c}'" for c in MODEL_INPUTS)}]) AS feature, TRUE AS in_range, TRUE AS gain_where_split, 1.0::DOUBLE AS total""")
+def _(s):
+    gain, split = F.col("importance_gain"), F.col("importance_split")
+    rows = _importance(s)
+    return rows.select(
+        "feature", gain.between(0, 1).alias("in_range"), ((gain > 0) == (split > 0)).alias("gain_where_split"),
+        F.round(rows.select(F.sum("importance_gain")).scalar(), 9).alias("total"),
+    )
+
+
+@query("ml_cv_check", """
+    SELECT coalesce(fold, 'mean') AS fold, COUNT(*) AS val_size, CAST(SUM(is_churned) AS BIGINT) AS positives, TRUE AS in_range, TRUE AS rounds_kept
+    FROM (SELECT is_churned, CAST((row_number() OVER (PARTITION BY is_churned ORDER BY md5(company_id || ':42'), company_id) - 1) % 5 AS VARCHAR) AS fold
+          FROM feature_store) GROUP BY ROLLUP (fold)""")
+def _(s):
+    shares = [F.col(c).between(0, 1) for c in ("roc_auc", "pr_auc", "f1", "precision", "recall")]
+    return _validated(s).select(
+        "fold", "val_size", "positives", F.forall(F.array(*shares), lambda ok: ok).alias("in_range"),
+        F.col("rounds").between(1, train.DEFAULT_PARAMS["maxIter"]).alias("rounds_kept"),
+    )
 
 
 _NEW = f"""SELECT company_id, prediction_date, CAST((company_id * 13) % 1000 AS DOUBLE) / 1000.0::DOUBLE AS churn_probability, 'Low' AS risk_tier, '2' AS model_version
@@ -203,4 +273,4 @@ def _(s):
     versions = s.labels.select("part").distinct().select(
         F.lit("churn_gbt").alias("model_name"), run.alias("run_id"), (F.col("part") + 1).alias("version")
     )
-    return select.select_champion(fold_rows, versions, 0.60)
+    return select.require_champion(fold_rows, versions, 0.60)

@@ -1,5 +1,6 @@
 import math
 import random
+from itertools import permutations
 
 import numpy as np
 import pytest
@@ -119,27 +120,72 @@ def test_contributions_add_up_to_the_log_odds(trained):
         assert 1 / (1 + math.exp(-total)) == pytest.approx(r.probability, abs=1e-6)
 
 
-def test_contributions_match_all_orders_of_the_inputs():
-    # One tree on inputs 0 and 1; the value of a known set is the cover-weighted mean of the leaves it reaches.
-    leaves = [(1.0, [(0, 0.4, [(True, 0.5)])]), (2.0, [(0, 0.6, [(False, 0.5)]), (1, 0.25, [(True, 0.3)])]),
-              (5.0, [(0, 0.6, [(False, 0.5)]), (1, 0.75, [(False, 0.3)])])]
-    x = np.array([[0.9, 0.1], [0.2, 0.9]])
+def orders_mean(paths, row):
+    """Contributions by their definition: the mean gain of an input over all orders in which inputs become known."""
 
-    def value(row, known):
+    def value(known):
         out = 0.0
-        for v, inputs in leaves:
-            share = 1.0
-            for f, s, tests in inputs:
-                share *= float(all((row[f] <= t) == left for left, t in tests)) if f in known else s
-            out += v * share
+        for v, path in paths:
+            for feature, threshold, left, share in path:
+                v = v * float((row[feature] <= threshold) == left) if feature in known else v * share
+            out += v
         return out
 
-    phi, base = explain.shapley(x, leaves)
+    phi, orders = np.zeros(len(row)), list(permutations(range(len(row))))
+    for order in orders:
+        for i, feature in enumerate(order):
+            phi[feature] += value(set(order[: i + 1])) - value(set(order[:i]))
+    return phi / len(orders), value(set())
+
+
+def test_contributions_match_all_orders_of_the_inputs():
+    """Random trees of depth four on five inputs, some of which come up twice on a path."""
+    rnd = random.Random(4)
+    paths = []
+
+    def grow(path, depth):
+        if depth == 4 or (depth > 1 and rnd.random() < 0.2):
+            paths.append((rnd.uniform(-2, 2), path))
+            return
+        feature, threshold, share = rnd.randrange(5), rnd.random(), rnd.uniform(0.1, 0.9)
+        grow([*path, (feature, threshold, True, share)], depth + 1)
+        grow([*path, (feature, threshold, False, 1 - share)], depth + 1)
+
+    for _ in range(4):
+        grow([], 0)
+    paths.append((0.25, []))  # a tree that is one leaf
+    x = np.array([[rnd.random() for _ in range(5)] for _ in range(12)])
+    phi, base = explain.shapley(x, [explain.leaf_of(v, path) for v, path in paths])
     for i, row in enumerate(x):
-        assert base == pytest.approx(value(row, ()))
-        first = (value(row, (0,)) - value(row, ()) + value(row, (0, 1)) - value(row, (1,))) / 2
-        second = (value(row, (1,)) - value(row, ()) + value(row, (0, 1)) - value(row, (0,))) / 2
-        assert phi[i] == pytest.approx([first, second])
+        want, start = orders_mean(paths, row)
+        assert phi[i] == pytest.approx(want) and base == pytest.approx(start)
+
+
+def test_best_round_waits_for_patience():
+    assert train.best_round([5, 4, 3, 3.5, 3.4], 50) == 3
+    falling_late = [3.0] + [3.1] * 49 + [2.0]
+    assert train.best_round(falling_late, 50) == 51
+    assert train.best_round([3.0] + [3.1] * 50 + [2.0], 50) == 1
+    assert train.best_round([2.0] * 80, 50) == 1
+    assert train.best_round(list(range(300, 0, -1)), 50) == 300
+
+
+def test_early_stopping_keeps_the_rounds_up_to_the_best(trained):
+    df, *_ = trained
+    inside, outside = df.filter(F.xxhash64("company_id") % 3 == 0), df.filter(F.xxhash64("company_id") % 3 != 0)
+    full = train.train_gbt(outside, {**PARAMS, "maxIter": 30})
+    held = matrix.with_vector(inside).select("features", F.lit(1.0).alias("weight"), F.col(LABEL).cast("double").alias("label"))
+    losses = full.evaluateEachIteration(held)
+    patient, rounds = train.train_until_no_gain(outside, inside, {**PARAMS, "maxIter": 30}, 30)
+    assert rounds == patient.getNumTrees == int(np.argmin(losses)) + 1 and rounds > 1
+    hasty, few = train.train_until_no_gain(outside, inside, {**PARAMS, "maxIter": 30}, 1)
+    assert few == hasty.getNumTrees <= rounds
+    assert patient.evaluateEachIteration(held) == pytest.approx(losses[:rounds])
+    # A model cut off after k rounds is the model of k rounds.
+    short = train.train_gbt(outside, {**PARAMS, "maxIter": 4})
+    cut = train.first_rounds(full, 4)
+    probability = [[r.probability for r in train.probabilities(m, inside).orderBy("company_id").collect()] for m in (short, cut)]
+    assert probability[0] == pytest.approx(probability[1])
 
 
 def test_score_rows(trained):
@@ -167,6 +213,7 @@ def test_cross_validation_has_a_row_per_fold_and_the_mean(trained):
     assert set(got) == {"0", "1", "2", "mean"}
     assert got["mean"].val_size == df.count()
     assert got["mean"].roc_auc == pytest.approx(sum(got[str(i)].roc_auc for i in range(3)) / 3, abs=1e-5)
+    assert all(1 <= got[str(i)].rounds <= 3 for i in range(3))
 
 
 @pytest.mark.parametrize("name", ["ml_train_score", "ml_cross_validate", "ml_importance", "ml_explain"])
@@ -194,6 +241,14 @@ def test_champion(rows):
     assert values(select.select_champion(metrics_, versions, run_id="r4")) == [("n", "r4", 0.55, 1)]
 
 
+def test_no_qualifying_run_is_an_error(rows):
+    runs = rows([("m", "r1", "FINISHED", 0, 0.55)], "model_name string, run_id string, status string, fold int, roc_auc double")
+    versions = rows([("m", "r1", 1)], "model_name string, run_id string, version int")
+    with pytest.raises(ValueError, match="0.6"):
+        select.require_champion(runs, versions)
+    assert select.require_champion(runs, versions, run_id="r1").first().version == 1
+
+
 def test_publish_is_idempotent(rows):
     schema = "company_id string, prediction_date date, churn_probability double, risk_tier string, top_factors string, model_version string, model_name string"
     import datetime as dt
@@ -233,8 +288,8 @@ def test_explanation_travels_with_the_task(tmp_path):
 
     from pyspark import cloudpickle
 
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(explain.shapley))
-    code = "import pickle, numpy; f = pickle.load(open('f.pkl', 'rb')); print(f(numpy.zeros((1, 2)), [(2.0, [])])[1])"
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((explain.shapley, explain.leaf_of(2.0, []))))
+    code = "import pickle, numpy; f, leaf = pickle.load(open('f.pkl', 'rb')); print(f(numpy.zeros((1, 2)), [leaf])[1])"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "2.0", done.stderr
