@@ -13,18 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions import (
-    amount_text,
     all_of,
     category_rank,
     col,
+    day,
+    days_between,
     factor_names,
-    first_words,
     lookup,
     num,
     parse_factors,
-    percent_text,
-    text_or,
 )
+from churnkit.operators.content import render_content
 from churnkit.operators.health import current_contract
 from churnkit.operators.merge import merge_insert, update_keys, update_where
 from churnkit.operators.relational import (
@@ -39,13 +38,11 @@ from churnkit.operators.relational import (
 from churnkit.schemas import (
     ACTION_CHANNELS,
     ALLOWED_TRANSITIONS,
-    BRIEF_WORDS,
     CLOSED_OUTCOMES,
     DECISION_ROLES,
-    EMAIL_WORDS,
     ESCALATION_MRR,
-    MAX_DISCOUNT_PCT,
     ML_MEDIUM_UP_TO,
+    OPEN_STATUSES,
     RENEWAL_SOON_DAYS,
 )
 
@@ -155,9 +152,7 @@ def company_context(
     candidates: DataFrame, contacts: DataFrame, tickets: DataFrame, nps: DataFrame,
     subscriptions: DataFrame, agents: DataFrame, roles: Sequence[str] = DECISION_ROLES,
 ) -> DataFrame:
-    """Candidates with their contacts, newest tickets and surveys (short lists), contract and manager.
-
-    """
+    """Candidates with their contacts, newest tickets and surveys (short lists), contract and manager."""
     people = _first_lists(
         _thinned(decision_contacts(contacts, roles), candidates), contact_order(roles), CONTACT_LIMIT,
         [person_name().alias("contact_name"), "role", "email", "phone"], "contacts",
@@ -184,20 +179,22 @@ def company_context(
     out = candidates
     for side in (people, cases, surveys, contract):
         out = out.join(side, "company_id", "left")
-    return look_up(out, managers, "cs_agent_id", ["company_id"])
+    return look_up(out, managers, "cs_agent_id")
+
+
+def _cases(test: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.array_size(F.filter("recent_tickets", test)), F.lit(0))
 
 
 def action_context(
     wanted: DataFrame, companies: DataFrame, health: DataFrame, contacts: DataFrame, tickets: DataFrame,
     nps: DataFrame, subscriptions: DataFrame, agents: DataFrame, predictions: DataFrame,
-    roles: Sequence[str] = DECISION_ROLES,
+    roles: Sequence[str] = DECISION_ROLES, as_of=None,
 ) -> DataFrame:
-    """One flat row per wanted company: facts, best contact, latest survey, ticket count, contract, manager, score.
-
-    """
+    """One flat row per wanted company: facts, best contact, latest surveys, newest tickets and their states, contract, manager, score."""
     base = named_in(companies, wanted, "company_id").select(
         "company_id", "company_name", F.col("sector_label").alias("industry"), "company_size", "city", "country",
-        F.col("assigned_cs_agent_id").alias("cs_agent_id"),
+        F.col("assigned_cs_agent_id").alias("cs_agent_id"), days_between(day(as_of), "customer_since").alias("tenure_days"),
     )
     figures = health.select("company_id", F.col("mrr").alias("mrr_current"), "days_to_renewal", "health_score", "risk_tier")
     people = decision_contacts(_thinned(contacts, wanted), roles)
@@ -227,13 +224,17 @@ def action_context(
     for side in (person, surveys, cases, contract, newest):
         out = out.join(side, "company_id", "left")
     return (
-        look_up(out, managers, "cs_agent_id", ["company_id"])
+        look_up(out, managers, "cs_agent_id")
         .withColumns(
             {
                 "latest_nps": F.get("nps_history", F.lit(0))["nps_score"],
                 "latest_nps_category": F.get("nps_history", F.lit(0))["nps_category"],
                 "latest_verbatim": F.get("nps_history", F.lit(0))["verbatim"],
+                "previous_nps": F.get("nps_history", F.lit(1))["nps_score"],
+                "previous_nps_category": F.get("nps_history", F.lit(1))["nps_category"],
                 "ticket_count": F.coalesce(F.array_size("recent_tickets"), F.lit(0)),
+                "open_cases": _cases(lambda t: t["status"].isin(list(OPEN_STATUSES))),
+                "escalated_cases": _cases(lambda t: t["is_escalated"]),
             }
         )
     )
@@ -333,49 +334,6 @@ def enqueue(actions: DataFrame, decisions: DataFrame, now, created_by: str = "ri
     return merge_insert(actions, typed, pair, F.col("status") == "queued")
 
 
-def render_content(action_type="action_type") -> Column:
-    """Text of an action from the flat context columns plus ``key_signals`` and ``rationale``."""
-    client = text_or("company_name", "N/A")
-    person = text_or("contact_name", "N/A")
-    manager = text_or("agent_name", "your account manager")
-    mail = text_or("agent_email", "N/A")
-    mrr = F.coalesce("contract_mrr", "mrr_current")
-    revenue = amount_text(mrr, "EUR per month")
-    signals = F.coalesce(F.array_join("key_signals", ", "), F.lit(""))
-    renewal = text_or("days_to_renewal", "N/A")
-    nps = F.concat(text_or("latest_nps", "N/A"), F.lit(" ("), text_or("latest_nps_category", "N/A"), F.lit(")"))
-    offer = F.least(F.lit(MAX_DISCOUNT_PCT), F.when(F.col("churn_probability") >= ML_MEDIUM_UP_TO, 20).otherwise(10))
-    email = F.concat(
-        F.lit("SUBJECT: Making the most of your plan, "), client, F.lit("\n\nDear "), person,
-        F.lit(",\n\nThank you for working with us on the "), text_or("plan_name", "N/A"),
-        F.lit(" plan. We would like to offer a short session on your setup this week.\n\nKind regards,\n"),
-        manager, F.lit("\n"), mail,
-    )
-    call = F.concat(
-        F.lit("CALL: "), client, F.lit(" / "), person,
-        F.lit("\n1. Thank them for the partnership.\n2. Ask about the last "), F.col("ticket_count").cast("string"),
-        F.lit(" tickets and the NPS of "), nps, F.lit(".\n3. Signals: "), signals,
-        F.lit(".\n4. Agree the next step. Caller: "), manager,
-    )
-    discount = F.concat(
-        F.lit("OFFER: "), offer.cast("string"), F.lit("% for a 12 month commitment\nCLIENT: "), client,
-        F.lit("\nREVENUE KEPT: "), revenue, F.lit("\nRENEWAL IN: "), renewal, F.lit(" days\nREASON: "),
-        F.col("rationale"),
-    )
-    brief = F.concat(
-        F.lit("ESCALATION: "), client, F.lit("\nREVENUE: "), revenue, F.lit("\nCHURN PROBABILITY: "),
-        percent_text("churn_probability"), F.lit("\nNPS: "), nps, F.lit("\nSIGNALS: "), signals,
-        F.lit("\nREASON: "), F.col("rationale"), F.lit("\nOWNER: "), manager,
-    )
-    kind = col(action_type)
-    return (
-        F.when(kind == "call", call)
-        .when(kind == "discount", discount)
-        .when(kind == "escalation", first_words(brief, BRIEF_WORDS))
-        .otherwise(first_words(email, EMAIL_WORDS))
-    )
-
-
 def content_generator(generate: Callable[[pd.DataFrame], pd.Series], columns: Sequence[str]) -> Callable[[], Column]:
     """Content from a Python function instead of the templates: it gets Arrow batches of the named context columns.
 
@@ -400,7 +358,7 @@ def queue_to_pending(
     names = actions.columns
     clash = {c: f"_x_{c}" for c in context.columns if c in names and c != "company_id"}
     facts = context.withColumnsRenamed(clash).withColumn("_known", F.lit(True))
-    joined = look_up(actions, facts, "company_id", ["action_id"]).withColumn("_meta", parse_meta("generated_content"))
+    joined = look_up(actions, facts, "company_id").withColumn("_meta", parse_meta("generated_content"))
     ready = joined.withColumns(
         {
             "_ready": (F.col("status") == "queued") & F.coalesce(F.col("_known"), F.lit(False)),
@@ -454,9 +412,9 @@ def review_view(
         .join(health.select("company_id", "mrr", "health_score", "risk_tier", "days_to_renewal"), "company_id")
         .join(scores, "company_id", "left")
     )
-    view = look_up(pending, profile, "company_id", ["action_id"], "inner")
-    view = look_up(view, named_in(people, pending, "contact_id"), "contact_id", ["action_id"])
-    return look_up(view, managers, "agent_id", ["action_id"])
+    view = look_up(pending, profile, "company_id", "inner")
+    view = look_up(view, named_in(people, pending, "contact_id"), "contact_id")
+    return look_up(view, managers, "agent_id")
 
 
 def pending_review(view: DataFrame, agent_id=None, tier: str = "All", limit: int = 20) -> DataFrame:
@@ -505,6 +463,42 @@ def reject(actions: DataFrame, cond: Column, now, reason: str) -> DataFrame:
     return update_where(actions, cond & may_become("rejected"), reject_values(actions, now, reason))
 
 
+def ask_changes(actions: DataFrame, cond: Column, now, instructions: str) -> DataFrame:
+    """Send pending texts back with instructions: ``pending`` becomes ``modified`` and waits for a new text."""
+    wish = F.to_json(F.struct(F.lit(instructions).alias("instructions"), F.col("generated_content").alias("text")))
+    values = {"status": F.lit("modified"), "generated_content": wish, "approved_at": F.lit(now)}
+    return update_where(actions, cond & may_become("modified"), _review_values(actions, values))
+
+
+def regenerate(actions: DataFrame, context: DataFrame, now, created_by: str = "retention_action", render=render_content) -> DataFrame:
+    """Give ``modified`` rows whose company has a context a new text that follows the instructions, and put them back to ``pending``.
+
+    The instructions take the place of the reason, and the newest score names the signals. Rows of unknown companies stay as they are.
+    """
+    names = actions.columns
+    clash = {c: f"_x_{c}" for c in context.columns if c in names and c != "company_id"}
+    facts = context.withColumnsRenamed(clash).withColumn("_known", F.lit(True))
+    wish = F.from_json("generated_content", "instructions string, text string")["instructions"]
+    ready = look_up(actions, facts, "company_id").withColumns(
+        {
+            "_ready": (F.col("status") == "modified") & F.coalesce(F.col("_known"), F.lit(False)),
+            "key_signals": key_signals("top_factors"),
+            "rationale": F.coalesce(wish, F.lit("")),
+        }
+    )
+    text = F.trim(F.concat(render(), F.when(F.col("rationale") != "", F.concat(F.lit("\n\nCHANGED AS ASKED: "), F.col("rationale"))).otherwise("")))
+    new = _review_values(
+        actions,
+        {"status": F.lit("pending"), "generated_content": text, "created_at": F.lit(now), "approved_at": F.lit(None), "created_by_agent": F.lit(created_by)},
+    )
+    return ready.select(*[F.when(F.col("_ready"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in names])
+
+
+def send(actions: DataFrame, cond: Column, now) -> DataFrame:
+    """Mark approved actions as sent: the step between approval and outcome."""
+    return update_where(actions, cond & may_become("sent"), _review_values(actions, {"status": F.lit("sent"), "executed_at": F.lit(now)}))
+
+
 _DECISIONS = {"approve": "approved", "reject": "rejected"}
 
 

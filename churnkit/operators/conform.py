@@ -51,8 +51,8 @@ def _unique(raw: DataFrame, key: str, order: Sequence[str] = (), lean: bool = Fa
     return drop_meta(dedup_latest(rows, [key], RECENCY, compared))
 
 
-def _checked(df: DataFrame, companies: DataFrame | None, key: str) -> DataFrame:
-    return df if companies is None else fk_valid(df, companies, "company_id", [key])
+def _checked(df: DataFrame, companies: DataFrame | None) -> DataFrame:
+    return df if companies is None else fk_valid(df, companies, "company_id")
 
 
 def nps_class(score) -> Column:
@@ -108,7 +108,7 @@ def dim_companies(raw: DataFrame, raw_subscriptions: DataFrame | None, lean: boo
 
 def dim_contacts(raw: DataFrame, companies: DataFrame | None) -> DataFrame:
     rows = _unique(raw, "contact_id").filter(F.col("email").isNotNull())
-    return _checked(rows, companies, "contact_id").withColumns(
+    return _checked(rows, companies).withColumns(
         {"email": normalise_email("email"), "created_at": F.col("created_at").cast("timestamp")}
     )
 
@@ -122,7 +122,7 @@ def fact_subscriptions(raw: DataFrame, companies: DataFrame | None, lean: bool =
     # One lookup join carries both the key check and the newest start.
     rows = _unique(valid, "subscription_id", SUBSCRIPTION_ORDER, lean)
     return (
-        look_up(rows, newest, "company_id", ["subscription_id"], "inner")
+        look_up(rows, newest, "company_id", "inner")
         .withColumns(
             {
                 "duration_days": days_between("end_date", "start_date"),
@@ -139,7 +139,7 @@ def fact_tickets(raw: DataFrame, companies: DataFrame | None, lean: bool = False
     urgent_open = in_domain("priority", URGENT_PRIORITIES) & in_domain("status", OPEN_STATUSES)
     typed = {"sentiment_score": "double", "created_at": "timestamp", "resolved_at": "timestamp", "ttr_hours": "int"}
     return cast_columns(
-        _checked(rows, companies, "ticket_id").withColumns(
+        _checked(rows, companies).withColumns(
             {
                 "sentiment_category": sentiment_class("sentiment_score"),
                 "is_escalated": F.coalesce(urgent_open, F.lit(False)),
@@ -151,7 +151,7 @@ def fact_tickets(raw: DataFrame, companies: DataFrame | None, lean: bool = False
 
 def fact_events(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
     rows = _unique(raw, "event_id", EVENT_ORDER, lean)
-    return _checked(rows, companies, "event_id").withColumns(
+    return _checked(rows, companies).withColumns(
         {
             "event_timestamp": F.col("event_timestamp").cast("timestamp"),
             "event_date": F.col("event_timestamp").cast("date"),
@@ -163,7 +163,7 @@ def fact_events(raw: DataFrame, companies: DataFrame | None, lean: bool = False)
 def fact_nps(raw: DataFrame, companies: DataFrame | None, lean: bool = False) -> DataFrame:
     valid = raw.filter(in_range("nps_score", *NPS_RANGE))
     rows = _unique(valid, "survey_id", NPS_ORDER, lean)
-    return _checked(rows, companies, "survey_id").withColumns(
+    return _checked(rows, companies).withColumns(
         {
             "nps_score": F.col("nps_score").cast("int"),
             "nps_category": nps_class("nps_score"),

@@ -6,6 +6,7 @@ Ranking keeps only the first rows of each key, so Spark cuts every key down on t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,11 +14,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from churnkit.functions import category_rank, col, or_default, round_dec
+from churnkit.session import kept
 
 RANK = "_rank"
-LOOK_UP_PARTS = 8
-# Keys at which an order is cut into ranges that are worked on in parallel; few enough for a limit in every task (see session.tune).
-CUTS = 511
+# Rows of one range where an order over everything is worked on in parallel.
+RANGE_ROWS = 1_000_000
 
 
 # --- ranking ----------------------------------------------------------------
@@ -65,28 +66,25 @@ def latest_and_previous(
 
 # --- joins ------------------------------------------------------------------
 
-def look_up(
-    fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], how: str = "left", parts: int = LOOK_UP_PARTS
-) -> DataFrame:
+def look_up(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join facts to a table with one row per key, whatever share of the facts one key has.
 
-    The fact's own key (``spread_by``) deals its rows out to ``parts`` numbered shares; each dimension row is
-    copied to every share, and the join is on key and share. Adaptive execution splits what is still too
-    large: unlike in a plain join to a summed table, both sides come straight out of a shuffle here, which
-    is what it needs. A dimension under the broadcast limit is broadcast by Spark as in any join.
+    Adaptive execution measures the shuffled facts and splits a partition that one key has made too large, but only where both
+    sides come straight out of a shuffle, which a table just summed or ranked per key does not. The second join column is 0 on every
+    row; it makes the join ask for a partitioning that neither side has yet, so both are shuffled and no row is copied
+    unless a hot key is measured. A dimension under the broadcast limit is broadcast by Spark as in any join.
     """
-    share = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
-    copies = dim.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return fact.withColumn("_share", share).join(copies, [key, "_share"], how).drop("_share")
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return fact.withColumn("_zero", zero).join(dim.withColumn("_zero", zero), [key, "_zero"], how).drop("_zero")
 
 
-def fk_valid(fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+def fk_valid(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows whose key exists in the dimension."""
-    return look_up(fact, dim.select(key), key, spread_by, "left_semi")
+    return look_up(fact, dim.select(key), key, "left_semi")
 
 
-def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
-    return look_up(fact, dim.select(key), key, spread_by, "left_anti")
+def fk_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    return look_up(fact, dim.select(key), key, "left_anti")
 
 
 def named_in(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
@@ -144,9 +142,9 @@ def distribution(df: DataFrame, column: str, count_name: str = "n", pct_name: st
 
 
 def with_share(groups: DataFrame, count: str = "n", name: str = "pct", digits: int = 1) -> DataFrame:
-    """Percent of the total count. The window only sees the summed rows, one per value of a class column;
-    a subquery for the total would read everything a second time."""
-    total = F.sum(count).over(W.partitionBy())
+    """Percent of the total count. The total is a scalar subquery on the summed groups, whose exchange both read, so the groups
+    themselves stay where they are, however many there are."""
+    total = groups.select(F.sum(count)).scalar()
     return groups.withColumn(name, round_dec(F.col(count) * F.lit(100.0) / total, digits))
 
 
@@ -188,73 +186,63 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def global_sequence(df: DataFrame, key: str, name: str, cuts: int = CUTS) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[str], range_rows: int) -> DataFrame:
+    """The rows with ``_range``: consecutive pieces of the order with about ``range_rows`` rows each, as many as the rows need.
+
+    The pieces come out of a range exchange and are written once, so that all that follows sees the same cuts.
+    """
+    rows = kept(df, "unordered")
+    pieces = math.ceil(rows.count() / range_rows)
+    if pieces <= 1:
+        return rows.withColumn("_range", F.lit(0))
+    return kept(rows.repartitionByRange(pieces, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def global_sequence(df: DataFrame, key: str, name: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Number the rows 1..N in the order of a unique key, whatever its values and their gaps."""
-    numbered = prefix_offsets(df.withColumn("_one", F.lit(1)), key, "_one", "_before", cuts)
+    numbered = prefix_offsets(df.withColumn("_one", F.lit(1)), key, "_one", "_before", range_rows)
     return numbered.withColumn(name, F.col("_before") + 1).drop("_one", "_before")
 
 
-def prefix_offsets(df: DataFrame, key: str, count: str, name: str, cuts: int = CUTS) -> DataFrame:
+def prefix_offsets(df: DataFrame, key: str, count: str, name: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Sum of ``count`` over all rows with a smaller key. The key is unique."""
-    totals = running_totals(df.withColumn("_all", F.lit(0)), "_all", key, [count], cuts=cuts)
+    totals = running_totals(df.withColumn("_all", F.lit(0)), "_all", key, [count], range_rows=range_rows)
     return totals.withColumnRenamed(f"{count}_before", name).drop("_all", f"{count}_through")
 
 
-def hash_ordered_rank(df: DataFrame, group: str, digest: Column, unique: str, name: str, prefix: int = 3) -> DataFrame:
-    """Rank of each row in its group, ordered by a hex digest, without one task per group.
-
-    The first hex digits cut a group into 16**prefix even pieces. Pieces are ranked in parallel and
-    shifted by the rows in the pieces before them.
-    """
-    cut = df.withColumn("_digest", digest).withColumn("_piece", F.substring("_digest", 1, prefix))
-    sizes = cut.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_size"))
-    before = W.partitionBy(group).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(group), "_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
-    )
-    inside = W.partitionBy(group, "_piece").orderBy("_digest", unique)
+def hash_ordered_rank(df: DataFrame, group: str, digest: Column, unique: str, name: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rank of each row in its group, ordered by a digest and then a unique column, without one task per group."""
+    ordered = [group, "_digest", unique]
+    ranged = in_ranges(df.withColumn("_digest", digest), ordered, range_rows)
+    starts = _range_starts(ranged, group, {"_start": F.count(F.lit(1))})
+    inside = W.partitionBy(group, "_range").orderBy("_digest", unique)
     return (
-        cut.join(starts, [group, "_piece"])
+        ranged.join(starts, [group, "_range"])
         .withColumn(name, F.col("_start") + F.row_number().over(inside))
-        .drop("_digest", "_piece", "_start")
+        .drop("_digest", "_range", "_start")
     )
 
 
-def _place(bounds: Column, value: Column, longest: int) -> Column:
-    """How many of the sorted bounds are below the value, by halving steps."""
-    steps = [1 << k for k in reversed(range(longest.bit_length()))]
-
-    def step(at: Column, width: Column) -> Column:
-        return at + F.when(F.get(bounds, at + width - 1) < value, width).otherwise(0)
-
-    return F.aggregate(F.array(*[F.lit(w) for w in steps]), F.lit(0), step)
+def _range_starts(ranged: DataFrame, by: str, sums: Mapping[str, Column], descending: bool = False) -> DataFrame:
+    """What the ranges before each range of a ``by`` add up to: one row per range, far fewer than there are rows."""
+    sizes = ranged.groupBy(by, "_range").agg(*[total.alias(name) for name, total in sums.items()])
+    before = W.partitionBy(by).orderBy(F.desc("_range") if descending else F.asc("_range")).rowsBetween(W.unboundedPreceding, -1)
+    return sizes.select(by, "_range", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums])
 
 
 def running_totals(
-    df: DataFrame, by: str, order: str, sums: Sequence[str], descending: bool = False, cuts: int = CUTS
+    df: DataFrame, by: str, order: str, sums: Sequence[str], descending: bool = False, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Totals over all earlier rows (``<sum>_before``) and up to the row (``<sum>_through``), per ``by``.
 
-    ``order`` is unique inside ``by`` and ``by`` has few values (folds, or one constant). A plain running
-    window would put all rows of a ``by`` in one task. Here ``cuts`` boundary values, the ones with the
-    smallest hash and so an even, repeatable sample, cut the rows into ranges. The window runs inside a
-    range; the range totals, at most ``cuts + 1`` per ``by``, are added as offsets.
+    ``order`` is unique inside ``by``. A plain running window would put all rows of a ``by`` in one task. Here the window runs inside
+    ranges of the order, and what the ranges before add up to is added.
     """
-    sample = rank_within(df.select(by, order), [by], [F.xxhash64(order), F.col(order)], cuts)
-    bounds = sample.groupBy(by).agg(F.sort_array(F.collect_list(order)).alias("_bounds"))
-    value = F.col(order)
-    # Both broadcasts hold at most cuts + 1 numbers per value of ``by``: a constant, or the few folds.
-    ranged = df.join(F.broadcast(bounds), by).withColumn(
-        "_range", _place(F.col("_bounds"), value, cuts)
-    ).drop("_bounds")
-    sizes = ranged.groupBy(by, "_range").agg(*[F.sum(s).alias(f"_{s}_size") for s in sums])
+    ranged = in_ranges(df, [by, order], range_rows)
+    starts = _range_starts(ranged, by, {f"_{s}_start": F.sum(s) for s in sums}, descending)
     direction = F.desc if descending else F.asc
-    before = W.partitionBy(by).orderBy(direction("_range")).rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(by), "_range", *[F.coalesce(F.sum(f"_{s}_size").over(before), F.lit(0)).alias(f"_{s}_start") for s in sums]
-    )
     inside = W.partitionBy(by, "_range").orderBy(direction(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = ranged.join(F.broadcast(starts), [by, "_range"])
+    out = ranged.join(starts, [by, "_range"])
     for s in sums:
         out = out.withColumn(f"{s}_through", F.col(f"_{s}_start") + F.sum(s).over(inside))
     for s in sums:

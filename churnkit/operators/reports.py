@@ -108,27 +108,22 @@ def action_distribution(actions: DataFrame) -> DataFrame:
     )
 
 
+PORTFOLIO_SECTIONS = ("All companies", "Ten companies most likely to leave", "Retention actions")
+
+
 def portfolio_text(predictions: DataFrame, companies: DataFrame, health: DataFrame, actions: DataFrame) -> DataFrame:
-    """The summary as numbered text lines: totals, the ten riskiest companies, actions by type and status."""
+    """The summary as numbered text lines: a heading for each section (line 0), totals, the ten riskiest companies with their factors,
+    actions by type and status."""
     stats = portfolio_stats(predictions, health)
     whole = lambda c: F.col(c).cast("bigint").cast("string")
+    totals = (
+        F.concat(F.lit("Companies: "), whole("total")),
+        F.concat(F.lit("High: "), whole("n_high"), F.lit(" | Medium: "), whole("n_medium"), F.lit(" | Low: "), whole("n_low")),
+        F.concat(F.lit("MRR at high risk: "), whole("mrr_high_risk")),
+    )
+    lines = [(i, 0, F.lit(f"=== {title} ===")) for i, title in enumerate(PORTFOLIO_SECTIONS, 1)] + [(1, i, text) for i, text in enumerate(totals, 1)]
     head = stats.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(1).alias("section"), F.lit(i).alias("line_no"), line.alias("line"))
-                    for i, line in enumerate(
-                        (
-                            F.concat(F.lit("Companies: "), whole("total")),
-                            F.concat(F.lit("High: "), whole("n_high"), F.lit(" | Medium: "), whole("n_medium"),
-                                     F.lit(" | Low: "), whole("n_low")),
-                            F.concat(F.lit("MRR at high risk: "), whole("mrr_high_risk")),
-                        ),
-                        1,
-                    )
-                ]
-            )
-        )
+        F.inline(F.array(*[F.struct(F.lit(i).alias("section"), F.lit(n).alias("line_no"), text.alias("line")) for i, n, text in lines]))
     )
     line = F.concat_ws(
         " | ",
@@ -140,6 +135,7 @@ def portfolio_text(predictions: DataFrame, companies: DataFrame, health: DataFra
         F.concat(F.lit("Churn "), percent_text("churn_probability")),
         "health_risk_tier",
         F.concat(F.lit("Renewal in "), text_or("days_to_renewal", "N/A")),
+        F.concat(F.lit("Factors: "), text_or("top_factors", "N/A")),
     )
     scored = scored_companies(predictions, companies, health)
     riskiest = top_k(scored, [F.desc("churn_probability"), F.asc("company_id")], 10)
@@ -183,7 +179,7 @@ def all_actions(actions: DataFrame, companies: DataFrame, health: DataFrame) ->
         .join(health.select("company_id", "mrr"), "company_id")
     )
     rows = actions.select("action_id", "company_id", "action_type", "status", "outcome", "created_at", "approved_at")
-    return look_up(rows, profile, "company_id", ["action_id"], "inner")
+    return look_up(rows, profile, "company_id", "inner")
 
 
 def recent_actions(listed: DataFrame, k: int = 10) -> DataFrame:

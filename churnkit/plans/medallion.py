@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.operators import agent_kpis, conform, features, health, quality
-from churnkit.schemas import ACTIONS, EVENT_TYPE_UNIVERSE, PREDICTIONS
-from churnkit.sources.tables import ensure_table, write_table
+from churnkit.schemas import ACTIONS, COLUMN_COMMENTS, EVENT_TYPE_UNIVERSE, LAYER_COMMENTS, LAYERS, PREDICTIONS, TABLE_COMMENTS
+from churnkit.sources.tables import ensure_layers, ensure_table, inline_rows, publish_table, write_table
 
 WRITERS = 4
 RAW_NAMES = {
@@ -110,48 +110,90 @@ class Warehouse:
         }
 
 
+SILVER_NAMES = {
+    "agents": "dim_cs_agents",
+    "contacts": "dim_contacts",
+    "subscriptions": "fact_subscriptions",
+    "tickets": "fact_support_tickets",
+    "events": "fact_product_events",
+    "nps": "fact_nps_scores",
+}
+
+
+def at_once(write: Callable[[str, DataFrame], DataFrame], frames: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Tables that do not read each other are written at the same time, so one table's last tasks do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        return list(pool.map(lambda item: write(*item), frames.items()))
+
+
+def stored_silver(
+    raw: Mapping[str, DataFrame], write: Callable[[str, DataFrame], DataFrame], as_of=None, computed_at=None,
+    universe: int = EVENT_TYPE_UNIVERSE,
+) -> Warehouse:
+    """A warehouse whose conformed tables are written by ``write(name, frame)`` and read back; its gold tables are planned on those."""
+    plan = Warehouse(raw, as_of, computed_at, universe)
+    # The company table comes first: the other conformed tables check their keys against it.
+    plan.companies = write("dim_companies", plan.companies)
+    plan.company_keys = plan.companies.select("company_id")
+    written = at_once(write, {name: getattr(plan, short) for short, name in SILVER_NAMES.items()})
+    for short, df in zip(SILVER_NAMES, written):
+        setattr(plan, short, df)
+    return plan
+
+
 def run_all(
-    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of=None, universe: int = EVENT_TYPE_UNIVERSE
+    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of=None, universe: int = EVENT_TYPE_UNIVERSE,
+    catalog: str | None = None,
 ) -> dict[tuple[str, str], DataFrame]:
     """Build and store every layer under ``root``; each layer is read back before the next is planned.
 
-    Tables that do not read each other are written at the same time, so one table's last tasks do not
-    leave the cluster idle.
+    With ``catalog``, a prefix of database names, every table is made known in the database of its layer, with its comments.
     """
     stored: dict[tuple[str, str], DataFrame] = {}
 
-    def store(layer: str, frames: Mapping[str, DataFrame]) -> list[DataFrame]:
-        with ThreadPoolExecutor(max_workers=WRITERS) as pool:
-            written = list(pool.map(lambda item: write_table(item[1], root, layer, item[0]), frames.items()))
-        stored.update({(layer.upper(), name): df for name, df in zip(frames, written)})
-        return written
+    def writer(layer: str) -> Callable[[str, DataFrame], DataFrame]:
+        def write(name: str, df: DataFrame) -> DataFrame:
+            stored[layer.upper(), name] = write_table(df, root, layer, name)
+            return stored[layer.upper(), name]
 
-    bronze = store("bronze", {name: raw[short] for short, name in RAW_NAMES.items()})
-    plan = Warehouse(dict(zip(RAW_NAMES, bronze)), as_of, F.current_timestamp(), universe)
-    # The company table comes first: the other conformed tables check their keys against it.
-    (plan.companies,) = store("silver", {"dim_companies": plan.companies})
-    plan.company_keys = plan.companies.select("company_id")
-    rest = {
-        "agents": "dim_cs_agents",
-        "contacts": "dim_contacts",
-        "subscriptions": "fact_subscriptions",
-        "tickets": "fact_support_tickets",
-        "events": "fact_product_events",
-        "nps": "fact_nps_scores",
-    }
-    silver = store("silver", {name: getattr(plan, short) for short, name in rest.items()})
-    for short, df in zip(rest, silver):
-        setattr(plan, short, df)
-    plan.health, plan.features = store(
-        "gold", {"agg_company_health_score": plan.health, "feature_store_churn": plan.features}
-    )
-    store("gold", {"agg_agent_performance": plan.agent_performance})
+        return write
+
+    bronze = at_once(writer("bronze"), {name: raw[short] for short, name in RAW_NAMES.items()})
+    plan = stored_silver(dict(zip(RAW_NAMES, bronze)), writer("silver"), as_of, F.current_timestamp(), universe)
+    gold = {"agg_company_health_score": plan.health, "feature_store_churn": plan.features}
+    plan.health, plan.features = at_once(writer("gold"), gold)
+    writer("gold")("agg_agent_performance", plan.agent_performance)
     # Filled by scoring and by the action steps; what they hold already stays.
     for name, schema, days in (("agg_churn_predictions", PREDICTIONS, ["prediction_date"]), ("agg_retention_actions", ACTIONS, [])):
         stored["GOLD", name] = ensure_table(spark, schema, root, "gold", name, days)
+    if catalog is not None:
+        publish_all(spark, stored, root, catalog)
     return stored
 
 
+def publish_all(spark: SparkSession, stored: Mapping[tuple[str, str], DataFrame], root: str, prefix: str = "") -> list[str]:
+    """Databases for the layers, and every stored table in them with its comments; rerun after a write to show what it committed."""
+    ensure_layers(spark, prefix, LAYER_COMMENTS)
+    schemas = {"agg_churn_predictions": PREDICTIONS, "agg_retention_actions": ACTIONS}
+    return [
+        publish_table(
+            spark, root, layer.lower(), name, schemas.get(name, df.schema), prefix, TABLE_COMMENTS.get(name), COLUMN_COMMENTS.get(name)
+        )
+        for (layer, name), df in stored.items()
+    ]
+
+
+def catalog_report(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """What the catalog says of the layers: every table with its comment, its columns and how many carry a comment."""
+    rows = []
+    for layer in LAYERS:
+        for table in spark.catalog.listTables(f"{prefix}{layer}"):
+            columns = spark.catalog.listColumns(f"{prefix}{layer}.{table.name}")
+            about = spark.catalog.getTable(f"{prefix}{layer}.{table.name}").description
+            rows.append((layer, table.name, about, len(columns), sum(bool(c.description) for c in columns)))
+    return inline_rows(spark, rows, "layer string, table_name string, table_comment string, n_columns int, n_commented int")
+
+
 def quality_reports(tables: Mapping[tuple[str, str], DataFrame]) -> dict[str, DataFrame]:
     minima = {key: least for key, least in quality.ROW_MINIMA.items() if key in tables}
     silver = {name: df for (layer, name), df in tables.items() if layer == "SILVER"}

@@ -408,16 +408,20 @@ RELATIONS: dict[str, str] = {
         LEFT JOIN latest_predictions p ON p.company_id = a.company_id LEFT JOIN dim_contacts ct ON ct.contact_id = a.contact_id
         LEFT JOIN dim_agents ag ON ag.agent_id = a.agent_id
         WHERE status = 'pending'""",
-    "context": """
+    "context": f"""
         SELECT c.company_id, company_name, sector_label AS industry, company_size, city, assigned_cs_agent_id AS cs_agent_id,
                h.mrr AS mrr_current, days_to_renewal, health_score, d.contact_id, d.first_name || ' ' || d.last_name AS contact_name,
                d.role AS contact_role, d.email AS contact_email, n.nps_score AS latest_nps, n.nps_category AS latest_nps_category,
-               n.comment AS latest_verbatim, COALESCE(k.cases, 0) AS ticket_count, s.plan_type AS plan_name, s.mrr AS contract_mrr,
-               s.billing_cycle, churn_probability, ag.first_name || ' ' || ag.last_name AS agent_name, ag.email AS agent_email
+               n.comment AS latest_verbatim, m.nps_score AS previous_nps, m.nps_category AS previous_nps_category,
+               COALESCE(k.cases, 0) AS ticket_count, COALESCE(k.open_cases, 0) AS open_cases, COALESCE(k.escalated_cases, 0) AS escalated_cases,
+               s.plan_type AS plan_name, s.mrr AS contract_mrr, s.billing_cycle, s.status AS contract_status,
+               {days(DAY, 'customer_since')} AS tenure_days, churn_probability, ag.first_name || ' ' || ag.last_name AS agent_name, ag.email AS agent_email
         FROM dim_companies c JOIN health h USING (company_id)
         LEFT JOIN deciders d ON d.company_id = c.company_id AND d.place = 1
         LEFT JOIN survey_places n ON n.company_id = c.company_id AND n.place = 1
-        LEFT JOIN (SELECT company_id, CAST(COUNT(*) AS INTEGER) AS cases FROM ticket_places WHERE place <= 3 GROUP BY company_id) k
+        LEFT JOIN survey_places m ON m.company_id = c.company_id AND m.place = 2
+        LEFT JOIN (SELECT company_id, CAST(COUNT(*) AS INTEGER) AS cases, CAST({cnt("status IN ('open', 'in_progress')")} AS INTEGER) AS open_cases,
+                          CAST({cnt("is_escalated")} AS INTEGER) AS escalated_cases FROM ticket_places WHERE place <= 3 GROUP BY company_id) k
                ON k.company_id = c.company_id
         LEFT JOIN current_contracts s ON s.company_id = c.company_id
         LEFT JOIN latest_predictions p ON p.company_id = c.company_id

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from churnkit.operators import actions as A
 from churnkit.operators import merge
 from churnkit.operators import reports as P
+from churnkit.operators.content import SECTIONS, render_content
 from churnkit.plans.oracle_base import CHANNEL, mean, rnd
 from churnkit.plans.q_building_blocks import review
-from churnkit.plans.registry import NOW_TEXT, kept, query
+from churnkit.plans.registry import NOW_TEXT, query
+from churnkit.session import kept
+from churnkit.sources.adapters import AS_OF
 
 NOW_SQL = f"TIMESTAMP '{NOW_TEXT}'"
 
 
 def candidates(s):
     """All paying companies; their context looks them up in every fact, so they are worked out once."""
-    return kept(A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "All", 0, None), "candidates")
+    return kept(A.risk_candidates(s.predictions, s.gold.companies, s.health, "All", 0, None), "candidates")
 
 
 def context(s):
-    w = s.facts
+    w = s.gold
     return A.company_context(candidates(s), w.contacts, w.tickets, w.nps, w.subscriptions, w.agents)
 
 
@@ -34,7 +39,7 @@ def decisions(s):
     FROM latest_predictions p JOIN health h USING (company_id) JOIN dim_companies USING (company_id)
     WHERE p.risk_tier = 'High' AND h.mrr >= 1000 ORDER BY churn_probability DESC, company_id LIMIT 50""")
 def _(s):
-    return A.risk_candidates(s.predictions, s.facts.companies, s.gold.health, "High", 1000, 50).select(
+    return A.risk_candidates(s.predictions, s.gold.companies, s.health, "High", 1000, 50).select(
         "company_id", "churn_probability", "risk_tier", "mrr_current", "days_to_renewal", "health_score", "company_name",
         "cs_agent_id",
     )
@@ -74,16 +79,16 @@ def _(s):
 _CONTEXT_COLUMNS = (
     "company_id", "company_name", "industry", "company_size", "city", "cs_agent_id", "mrr_current", "days_to_renewal",
     "health_score", "contact_id", "contact_name", "contact_role", "contact_email", "latest_nps", "latest_nps_category",
-    "latest_verbatim", "ticket_count", "plan_name", "contract_mrr", "billing_cycle", "churn_probability", "agent_name",
-    "agent_email",
+    "latest_verbatim", "previous_nps", "previous_nps_category", "ticket_count", "open_cases", "escalated_cases", "plan_name",
+    "contract_mrr", "billing_cycle", "contract_status", "tenure_days", "churn_probability", "agent_name", "agent_email",
 )
 
 
 def queue_context(s):
-    w = s.facts
+    w = s.gold
     wanted = s.actions.filter(F.col("status") == "queued")
     return A.action_context(
-        wanted, w.companies, s.gold.health, w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, s.predictions
+        wanted, w.companies, s.health, w.contacts, w.tickets, w.nps, w.subscriptions, w.agents, s.predictions, as_of=AS_OF
     )
 
 
@@ -129,24 +134,41 @@ def _(s):
     return A.decision_summary(decisions(s))
 
 
+def _amount(x: str, unit: str) -> str:
+    return f"COALESCE(format('{{:,}}', CAST(ROUND({x}) AS BIGINT)) || ' {unit}', 'N/A')"
+
+
 def _render_sql(signals: str, rationale: str) -> str:
-    nps = "COALESCE(CAST(latest_nps AS VARCHAR), 'N/A') || ' (' || COALESCE(latest_nps_category, 'N/A') || ')'"
-    revenue = "COALESCE(format('{:,}', CAST(COALESCE(contract_mrr, mrr_current) AS BIGINT)) || ' EUR per month', 'N/A')"
-    person = "COALESCE(contact_name, 'N/A')"
-    return f"""CASE action_type
-      WHEN 'call' THEN 'CALL: ' || company_name || ' / ' || {person} || chr(10) || '1. Thank them for the partnership.' || chr(10)
-        || '2. Ask about the last ' || ticket_count || ' tickets and the NPS of ' || {nps} || '.' || chr(10) || '3. Signals: ' || {signals}
-        || '.' || chr(10) || '4. Agree the next step. Caller: ' || COALESCE(agent_name, 'your account manager')
-      WHEN 'discount' THEN 'OFFER: ' || CASE WHEN churn_probability >= 0.7 THEN 20 ELSE 10 END || '% for a 12 month commitment' || chr(10)
-        || 'CLIENT: ' || company_name || chr(10) || 'REVENUE KEPT: ' || {revenue} || chr(10) || 'RENEWAL IN: '
-        || COALESCE(CAST(days_to_renewal AS VARCHAR), 'N/A') || ' days' || chr(10) || 'REASON: ' || {rationale}
-      WHEN 'escalation' THEN 'ESCALATION: ' || company_name || chr(10) || 'REVENUE: ' || {revenue} || chr(10) || 'CHURN PROBABILITY: '
-        || printf('%.1f', {rnd('churn_probability * 100', 1)}) || '%' || chr(10) || 'NPS: ' || {nps} || chr(10) || 'SIGNALS: ' || {signals}
-        || chr(10) || 'REASON: ' || {rationale} || chr(10) || 'OWNER: ' || COALESCE(agent_name, 'your account manager')
-      ELSE 'SUBJECT: Making the most of your plan, ' || company_name || chr(10) || chr(10) || 'Dear ' || {person} || ',' || chr(10) || chr(10)
-        || 'Thank you for working with us on the ' || COALESCE(plan_name, 'N/A')
-        || ' plan. We would like to offer a short session on your setup this week.' || chr(10) || chr(10) || 'Kind regards,' || chr(10)
-        || COALESCE(agent_name, 'your account manager') || chr(10) || COALESCE(agent_email, 'N/A') END"""
+    """The texts as SQL: the section templates are data, what fills them is stated anew here."""
+    mrr, percent = "COALESCE(contract_mrr, mrr_current)", "CASE WHEN churn_probability >= 0.7 THEN 20 ELSE 10 END"
+    months = "CASE WHEN churn_probability >= 0.7 THEN 12 ELSE 6 END"
+    cut = f"ROUND(CAST({mrr} AS DECIMAL(28,4)) * {percent} / 100)"
+    nps = lambda value, kind: f"COALESCE(CAST({value} AS VARCHAR), 'N/A') || ' (' || COALESCE({kind}, 'N/A') || ')'"
+    text = lambda value: f"COALESCE(CAST({value} AS VARCHAR), 'N/A')"
+    values = {
+        "client": text("company_name"), "person": text("contact_name"), "plan": text("plan_name"),
+        "manager": "COALESCE(agent_name, 'your account manager')", "mail": text("agent_email"),
+        "nps": nps("latest_nps", "latest_nps_category"), "nps_before": nps("previous_nps", "previous_nps_category"),
+        "answer": "CASE WHEN latest_nps < 7 THEN ' Your last answer was ' || latest_nps || ' of 10, and we want to put right what is behind it.' ELSE '' END",
+        "cases": "CASE WHEN open_cases > 0 THEN ' Your open support cases, ' || open_cases || ' of them, come first.' ELSE '' END",
+        "minutes": "(ticket_count + 6)", "ticket_count": "ticket_count", "open_cases": "open_cases", "escalated_cases": "escalated_cases",
+        "signals": f"COALESCE(NULLIF({signals}, ''), 'none')", "signal_lines": f"'- ' || replace(COALESCE(NULLIF({signals}, ''), 'none'), ', ', chr(10) || '- ')",
+        "rationale": rationale, "because": f"CASE WHEN {rationale} <> '' THEN ' ' || {rationale} ELSE '' END", "percent": f"({percent})", "months": f"({months})", "most": "20", "long": "12",
+        "reduction": _amount(cut, "EUR per month"), "kept": _amount(f"CAST({mrr} AS DECIMAL(28,4)) - {cut}", "EUR per month"),
+        "cost": _amount(f"{cut} * {months}", "EUR"), "even": f"CAST(ceil(({percent}) * ({months}) / CAST(100 - {percent} AS DOUBLE)) AS INTEGER)",
+        "revenue": _amount(mrr, "EUR per month"), "renewal": text("days_to_renewal"),
+        "churn": f"COALESCE(printf('%.1f', {rnd('churn_probability * 100', 1)}) || '%', 'N/A')",
+        "days": "CASE WHEN churn_probability >= 0.7 THEN '3' ELSE '7' END", "tenure": text("tenure_days"), "contract": text("contract_status"),
+        "step": "CASE WHEN churn_probability >= 0.7 THEN 'call by the management' ELSE 'review meeting with the management' END",
+    }
+
+    def filled(kind: str) -> str:
+        parts = re.split(r"\{(\w+)\}", "\n\n".join(SECTIONS[kind]))
+        quoted = ["'" + part.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for part in parts]
+        return " || ".join(f"({values[part]})" if i % 2 else quoted[i] for i, part in enumerate(parts) if part)
+
+    others = " ".join(f"WHEN '{kind}' THEN {filled(kind)}" for kind in ("call", "discount", "escalation"))
+    return f"CASE action_type {others} ELSE {filled('email')} END"
 
 
 @query("render_content", f"""
@@ -161,7 +183,18 @@ def _(s):
             "rationale": F.lit("Test"),
         }
     )
-    return rows.select("company_id", "action_type", A.render_content().alias("content"))
+    return rows.select("company_id", "action_type", render_content().alias("content"))
+
+
+@query("custom_content", """
+    SELECT company_id, upper(company_name) || ' / ' || COALESCE(plan_name, 'no plan') || ' / ' || ticket_count AS content FROM context""")
+def _(s):
+    def notes(batch):
+        """A generator of one's own: any function of a batch of context rows."""
+        return batch["company_name"].str.upper() + " / " + batch["plan_name"].fillna("no plan") + " / " + batch["ticket_count"].astype(str)
+
+    note = A.content_generator(notes, ["company_name", "plan_name", "ticket_count"])
+    return queue_context(s).select("company_id", note().alias("content"))
 
 
 _SIGNALS = "CASE WHEN generated_content = 'not json' THEN '' ELSE 'dau_last_30d, nps_latest' END"
@@ -252,6 +285,61 @@ def _(s):
     return _states(A.update_outcome(s.actions, F.col("action_type") != "call", "saved", s.now))
 
 
+_WISH = "shorter, please"
+_ASKED = "status = 'pending' AND action_type = 'discount'"
+
+
+def _asked(s):
+    hit = (F.col("status") == "pending") & (F.col("action_type") == "discount")
+    return A.ask_changes(s.actions, hit, s.now, _WISH)
+
+
+@query("modify_actions", f"""
+    SELECT action_id, CASE WHEN hit THEN 'modified' ELSE status END AS status,
+           CASE WHEN hit THEN '{_WISH}' ELSE generated_content END AS content, CASE WHEN hit THEN {NOW_SQL} ELSE approved_at END AS approved_at
+    FROM (SELECT *, {_ASKED} AS hit FROM actions)""")
+def _(s):
+    wish = F.get_json_object("generated_content", "$.instructions")
+    new = (F.col("status") == "modified") & (F.col("approved_at") == s.now) & wish.isNotNull()
+    return _asked(s).select("action_id", "status", F.when(new, wish).otherwise(F.col("generated_content")).alias("content"), "approved_at")
+
+
+@query("regenerate_actions", f"""
+    SELECT a.action_id, company_id, CASE WHEN renewed THEN 'pending' WHEN hit THEN 'modified' ELSE a.status END AS status,
+           CASE WHEN renewed THEN trim({_render_sql("names", f"'{_WISH}'")} || chr(10) || chr(10) || 'CHANGED AS ASKED: {_WISH}')
+                WHEN hit THEN '{_WISH}' ELSE generated_content END AS content
+    FROM (SELECT * EXCLUDE (contact_id), {_ASKED} AS hit, hit AND company_id IN (SELECT company_id FROM context) AS renewed FROM actions) a
+    LEFT JOIN context USING (company_id) LEFT JOIN top3_names USING (company_id)""")
+def _(s):
+    renewed = A.regenerate(_asked(s), queue_context(s), s.now)
+    waiting = (F.col("status") == "modified") & F.get_json_object("generated_content", "$.instructions").isNotNull()
+    text = F.when(waiting, F.get_json_object("generated_content", "$.instructions")).otherwise(F.col("generated_content"))
+    return renewed.select("action_id", "company_id", "status", text.alias("content"))
+
+
+@query("send_actions", f"""
+    SELECT action_id, CASE WHEN hit THEN 'sent' ELSE status END AS status, CASE WHEN hit THEN {NOW_SQL} ELSE executed_at END AS executed_at
+    FROM (SELECT *, status = 'approved' AND channel = 'email' AS hit FROM actions)""")
+def _(s):
+    return A.send(s.actions, F.col("channel") == "email", s.now).select("action_id", "status", "executed_at")
+
+
+@query("review_cycle", """
+    SELECT status, COUNT(*) AS n, 0 AS not_allowed FROM (SELECT CASE WHEN status = 'pending' THEN 'sent' ELSE status END AS status FROM actions)
+    GROUP BY status""")
+def _(s):
+    """Pending, sent back, written anew, approved and sent, every step checked against the state machine."""
+    mine = F.col("status") == "pending"
+    asked = A.ask_changes(s.actions, mine, s.now, _WISH)
+    back = merge.update_where(asked, (F.col("status") == "modified") & F.col("generated_content").like('{"instructions"%'), {"status": F.lit("pending")})
+    approved = A.approve(back, mine, s.now)
+    sent = A.send(approved, (F.col("status") == "approved") & (F.col("approved_at") == s.now), s.now)
+    steps = [s.actions, asked, back, approved, sent]
+    wrong = [A.invalid_transitions(a, b).agg(F.count(F.lit(1))).scalar() for a, b in zip(steps, steps[1:])]
+    bad = sum(wrong[1:], wrong[0]).cast("int")
+    return sent.groupBy("status").agg(F.count(F.lit(1)).alias("n")).withColumn("not_allowed", bad)
+
+
 @query("invalid_transitions", """
     SELECT action_id, status AS status_before, 'completed' AS status_after FROM actions
     WHERE action_type = 'email' AND status NOT IN ('completed', 'approved', 'sent')""")
@@ -263,7 +351,7 @@ def _(s):
 # --- reports ------------------------------------------------------------------------
 
 def scored(s):
-    return P.scored_companies(s.predictions, s.facts.companies, s.gold.health)
+    return P.scored_companies(s.predictions, s.gold.companies, s.health)
 
 
 @query("kpi_summary", """
@@ -274,7 +362,7 @@ def scored(s):
            (SELECT CAST(ROUND(SUM(CAST(mrr AS DECIMAL(18,4))), 0) AS DOUBLE) FROM actions JOIN health USING (company_id) WHERE status = 'pending') AS mrr_at_risk
     FROM actions""")
 def _(s):
-    return P.kpi_summary(s.predictions, s.actions, s.gold.health)
+    return P.kpi_summary(s.predictions, s.actions, s.health)
 
 
 @query("top10_risk_profile", """
@@ -292,7 +380,7 @@ _STATS = """SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE p.risk_tier = 'High
 
 @query("portfolio_stats", _STATS)
 def _(s):
-    return P.portfolio_stats(s.predictions, s.gold.health)
+    return P.portfolio_stats(s.predictions, s.health)
 
 
 @query("action_distribution", "SELECT action_type, status, COUNT(*) AS n FROM actions GROUP BY ALL ORDER BY action_type, status")
@@ -301,6 +389,9 @@ def _(s):
 
 
 @query("portfolio_text", f"""
+    SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS section, 0 AS line_no,
+           unnest(['=== All companies ===', '=== Ten companies most likely to leave ===', '=== Retention actions ===']) AS line
+    UNION ALL
     SELECT 1 AS section, CAST(unnest([1, 2, 3]) AS INTEGER) AS line_no,
            unnest(['Companies: ' || total, 'High: ' || n_high || ' | Medium: ' || n_medium || ' | Low: ' || n_low,
                    'MRR at high risk: ' || CAST(mrr_high_risk AS BIGINT)]) AS line FROM ({_STATS})
@@ -308,13 +399,13 @@ def _(s):
     SELECT 2, CAST(row_number() OVER (ORDER BY churn_probability DESC, company_id) AS INTEGER),
            company_name || ' | ' || industry || ' | ' || company_size || ' | MRR ' || COALESCE(CAST(mrr AS VARCHAR), 'N/A') || ' | Health ' || health_score
            || '/100 | Churn ' || printf('%.1f', {rnd('churn_probability * 100', 1)}) || '% | ' || health_risk_tier || ' | Renewal in '
-           || COALESCE(CAST(days_to_renewal AS VARCHAR), 'N/A')
+           || COALESCE(CAST(days_to_renewal AS VARCHAR), 'N/A') || ' | Factors: ' || COALESCE(top_factors, 'N/A')
     FROM (SELECT * FROM scored_companies ORDER BY churn_probability DESC, company_id LIMIT 10)
     UNION ALL
     SELECT 3, CAST(row_number() OVER (ORDER BY action_type, status) AS INTEGER), action_type || ' / ' || status || ' / ' || n
     FROM (SELECT action_type, status, COUNT(*) AS n FROM actions GROUP BY ALL)""")
 def _(s):
-    return P.portfolio_text(s.predictions, s.facts.companies, s.gold.health, s.actions)
+    return P.portfolio_text(s.predictions, s.gold.companies, s.health, s.actions)
 
 
 @query("risk_distribution", f"""
@@ -340,14 +431,14 @@ def _(s):
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)
     ORDER BY created_at DESC, action_id LIMIT 10""")
 def _(s):
-    return P.recent_actions(P.all_actions(s.actions, s.facts.companies, s.gold.health))
+    return P.recent_actions(P.all_actions(s.actions, s.gold.companies, s.health))
 
 
 @query("all_actions", """
     SELECT action_id, company_id, action_type, status, outcome, created_at, approved_at, company_name, mrr
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)""")
 def _(s):
-    return P.all_actions(s.actions, s.facts.companies, s.gold.health)
+    return P.all_actions(s.actions, s.gold.companies, s.health)
 
 
 @query("predictions_view", f"""

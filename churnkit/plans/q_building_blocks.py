@@ -13,6 +13,7 @@ from churnkit.operators.health import current_contract
 from churnkit.operators.reports import scored_companies
 from churnkit.plans.oracle_base import CHANNEL, DAY, band, cnt, days, mean, newest, rnd, seeded, since
 from churnkit.plans.registry import query
+from churnkit.schemas import PREDICTIONS
 from churnkit.session import ensure_checkpoint_dir
 from churnkit.sources import tables as io
 from churnkit.sources.adapters import AS_OF
@@ -27,6 +28,45 @@ def _(s):
     return io.write_table(rows, root, "bronze", "raw_subscriptions")
 
 
+@query("ensure_table", "SELECT prediction_date, COUNT(*) AS n, COUNT(DISTINCT company_id) AS companies FROM predictions GROUP BY prediction_date")
+def _(s):
+    """A typed table made empty, filled day by day, and left alone by a second ``ensure_table``."""
+    root = f"{ensure_checkpoint_dir(s.spark)}/ensure_{uuid.uuid4().hex}"
+    place = (root, "gold", "agg_churn_predictions")
+    io.ensure_table(s.spark, PREDICTIONS, *place, ["prediction_date"])
+    rows = s.predictions.select(*[F.col(f.name).cast(f.dataType) for f in PREDICTIONS.fields])
+    today = F.col("prediction_date") == F.lit(AS_OF)
+    io.overwrite_partitions(rows.filter(~today), *place, ["prediction_date"])
+    io.overwrite_partitions(rows.filter(today), *place, ["prediction_date"])
+    stored = io.ensure_table(s.spark, PREDICTIONS, *place, ["prediction_date"])
+    return stored.groupBy("prediction_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("company_id").alias("companies"))
+
+
+@query("replace_keeps_old", "SELECT status, COUNT(*) AS n, COUNT(*) FILTER (WHERE status = 'pending') AS still_pending FROM actions GROUP BY status")
+def _(s):
+    """A table rewritten from itself, read through a plan made before the write: the old version is still whole."""
+    root = f"{ensure_checkpoint_dir(s.spark)}/replace_{uuid.uuid4().hex}"
+    before = io.write_table(s.actions.select("action_id", "status"), root, "gold", "actions")
+    io.rewrite_table(before.withColumn("status", F.lit("queued")), root, "gold", "actions")
+    return before.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "pending").alias("still_pending"))
+
+
+_EXPORT = "company_id, prediction_date, churn_probability, risk_tier"
+
+
+@query("csv_export", f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _EXPORT.split(', '))} FROM predictions")
+def _(s):
+    path = f"{ensure_checkpoint_dir(s.spark)}/export_{uuid.uuid4().hex}"
+    io.export_csv(s.predictions.select(*_EXPORT.split(", ")), path)
+    return s.spark.read.option("header", True).csv(path)
+
+
+@query("latest_or_error", "SELECT risk_tier, prediction_date, COUNT(*) AS n FROM predictions WHERE prediction_date = (SELECT MAX(prediction_date) FROM predictions) GROUP BY ALL")
+def _(s):
+    newest = R.require_latest(s.predictions, "prediction_date")
+    return s.predictions.filter(F.col("prediction_date") == F.lit(newest)).groupBy("risk_tier", "prediction_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("bronze_stamp", "SELECT o_orderkey, o_custkey, 'billing' AS _source FROM orders")
 def _(s):
     return io.stamp(s.t.orders.select("o_orderkey", "o_custkey"), "billing").drop("_ingested_at")
@@ -163,15 +203,15 @@ def _(s):
     SELECT company_id, churn_probability, risk_tier, company_size FROM scored_companies
     WHERE risk_tier IN ('High', 'Medium') AND churn_probability >= 0.5 AND company_size IN ('PME', 'GE')""")
 def _(s):
-    rows = scored_companies(s.predictions, s.facts.companies, s.gold.health)
+    rows = scored_companies(s.predictions, s.gold.companies, s.health)
     return filter_predictions(rows, ("High", "Medium"), 0.5, ("PME", "GE")).select(
         "company_id", "churn_probability", "risk_tier", "company_size"
     )
 
 
 def review(s):
-    w = s.facts
-    return review_view(s.actions, w.companies, s.gold.health, s.predictions, w.contacts, w.agents)
+    w = s.gold
+    return review_view(s.actions, w.companies, s.health, s.predictions, w.contacts, w.agents)
 
 
 @query("filter_actions", """
@@ -202,12 +242,12 @@ def _(s):
 
 @query("fk_valid", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id", ["subscription_id"])
+    return R.fk_valid(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
 
 
 @query("fk_orphans", "SELECT subscription_id, company_id FROM raw_subscriptions WHERE company_id NOT IN (SELECT company_id FROM dim_companies)")
 def _(s):
-    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id", ["subscription_id"])
+    return R.fk_orphans(s.raw["subscriptions"].select("company_id", "subscription_id"), s.gold.company_keys, "company_id")
 
 
 @query("join_left_defaults", """
@@ -236,7 +276,7 @@ def _(s):
     FROM survey_places WHERE place <= 2 GROUP BY company_id""")
 def _(s):
     return R.latest_and_previous(
-        s.stored.nps, "company_id", [F.desc("survey_date"), F.desc("survey_id")], ["nps_score"]
+        s.gold.nps, "company_id", [F.desc("survey_date"), F.desc("survey_id")], ["nps_score"]
     )
 
 
@@ -502,7 +542,7 @@ def _(s):
     LEFT JOIN (SELECT company_id, action_type FROM actions) USING (company_id)""")
 def _(s):
     scores = R.latest_only(s.predictions, "prediction_date").select("company_id", "churn_probability")
-    contracts = current_contract(s.stored.subscriptions).select("company_id", "mrr")
+    contracts = current_contract(s.gold.subscriptions).select("company_id", "mrr")
     kinds = s.actions.select("company_id", "action_type")
     from churnkit.operators.actions import channel_of
 

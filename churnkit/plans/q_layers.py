@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from churnkit.operators import agent_kpis as K
 from churnkit.operators import features as FS
 from churnkit.operators import health as H
 from churnkit.operators import quality as Q
-from churnkit.plans.medallion import RAW_NAMES
+from churnkit.operators.relational import union_all
+from churnkit.plans.medallion import RAW_NAMES, catalog_report, run_all
 from churnkit.plans.oracle_base import rnd
 from churnkit.plans.registry import query
+from churnkit.schemas import COLUMN_COMMENTS, LAYERS, TABLE_COMMENTS
+from churnkit.session import ensure_checkpoint_dir
 from churnkit.sources.adapters import AS_OF, EVENT_TYPES
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else "'" + value.replace("'", "''") + "'"
+
+
 # --- conformed tables -------------------------------------------------------------
 
 
@@ -55,22 +64,22 @@ def _(s):
 
 @query("health_usage", "SELECT * FROM usage_activity")
 def _(s):
-    return H.usage_activity(s.checked.events, AS_OF)
+    return H.usage_activity(s.gold.events, AS_OF)
 
 
 @query("health_support", "SELECT * FROM support_activity")
 def _(s):
-    return H.support_activity(s.checked.tickets, AS_OF)
+    return H.support_activity(s.gold.tickets, AS_OF)
 
 
 @query("health_nps", "SELECT * FROM latest_nps")
 def _(s):
-    return H.latest_nps(s.checked.nps)
+    return H.latest_nps(s.gold.nps)
 
 
 @query("health_contract", "SELECT * FROM contract_state")
 def _(s):
-    return H.contract_state(s.checked.subscriptions, AS_OF)
+    return H.contract_state(s.gold.subscriptions, AS_OF)
 
 
 @query("health_components", "SELECT company_id, usage_score, support_score, nps_score, payment_score, engagement_trend FROM components")
@@ -94,32 +103,32 @@ def company_health(s):
 
 @query("feat_usage", "SELECT * FROM usage_features")
 def _(s):
-    return FS.usage_features(s.checked.events, AS_OF, EVENT_TYPES)
+    return FS.usage_features(s.gold.events, AS_OF, EVENT_TYPES)
 
 
 @query("feat_support", "SELECT * FROM support_features")
 def _(s):
-    return FS.support_features(s.checked.tickets, AS_OF)
+    return FS.support_features(s.gold.tickets, AS_OF)
 
 
 @query("feat_nps", "SELECT * FROM nps_features")
 def _(s):
-    return FS.nps_features(s.checked.nps)
+    return FS.nps_features(s.gold.nps)
 
 
 @query("feat_contract", "SELECT * FROM contract_features")
 def _(s):
-    return FS.contract_features(s.checked.subscriptions, AS_OF)
+    return FS.contract_features(s.gold.subscriptions, AS_OF)
 
 
 @query("feat_contacts", "SELECT * FROM contact_counts")
 def _(s):
-    return FS.contact_counts(s.stored.contacts)
+    return FS.contact_counts(s.gold.contacts)
 
 
 @query("feat_label", "SELECT * FROM churn_label")
 def _(s):
-    return FS.churn_label(s.checked.subscriptions)
+    return FS.churn_label(s.gold.subscriptions)
 
 
 @query("feat_declines", f"""
@@ -128,7 +137,7 @@ def _(s):
            CASE WHEN events_60_90d = 0 THEN 0.0::DOUBLE ELSE {rnd("(" + rnd("events_90d / 3.0::DOUBLE", 6) + " - events_60_90d) * 100 / events_60_90d", 2)} END AS usage_decline_pct_90d
     FROM usage_features""")
 def _(s):
-    usage = FS.usage_features(s.checked.events, AS_OF, EVENT_TYPES)
+    usage = FS.usage_features(s.gold.events, AS_OF, EVENT_TYPES)
     return usage.select(
         "company_id",
         FS.decline_30d(F.col("events_30d"), F.col("events_30_60d")).alias("usage_decline_pct_30d"),
@@ -163,7 +172,7 @@ def _(s):
 
 @query("agent_response", "SELECT * FROM agent_response")
 def _(s):
-    return K.agent_response(s.checked.tickets)
+    return K.agent_response(s.gold.tickets)
 
 
 @query("agent_nps", "SELECT * FROM agent_nps")
@@ -171,10 +180,14 @@ def _(s):
     return K.agent_nps(s.gold.companies, s.gold.nps)
 
 
+def _agent_performance(s):
+    w = s.gold
+    return K.agent_performance(w.agents, w.companies, w.subscriptions, s.health, w.tickets, w.nps, AS_OF)
+
+
 @query("agent_performance", "SELECT * FROM agent_performance")
 def _(s):
-    w = s.gold
-    return K.agent_performance(w.agents, w.companies, w.subscriptions, w.health, s.checked.tickets, w.nps, AS_OF)
+    return _agent_performance(s)
 
 
 # --- quality --------------------------------------------------------------------------
@@ -194,12 +207,12 @@ _COUNTS = " UNION ALL ".join(
 def _tables(s):
     """All tables of the three layers, by the names they are stored under."""
     w = s.gold
-    frames = {name: s.raw[short] for short, name in RAW_NAMES.items()} | s.stored.silver() | {
+    frames = {name: s.raw[short] for short, name in RAW_NAMES.items()} | w.silver() | {
         "agg_company_health_score": w.health,
         "feature_store_churn": w.features,
         "agg_churn_predictions": s.predictions,
         "agg_retention_actions": s.actions,
-        "agg_agent_performance": K.agent_performance(w.agents, w.companies, w.subscriptions, w.health, s.checked.tickets, w.nps, AS_OF),
+        "agg_agent_performance": _agent_performance(s),
     }
     return {(layer, name): frames[name] for layer, name in Q.ROW_MINIMA}
 
@@ -228,7 +241,7 @@ _KEYS = {
 ) + """ UNION ALL SELECT 'feature_store target', COUNT(*) FILTER (WHERE is_churned IS NULL) FROM feature_store
     UNION ALL SELECT 'raw_contacts email', COUNT(*) FILTER (WHERE email IS NULL) FROM raw_contacts""")
 def _(s):
-    silver = s.stored.silver()
+    silver = s.gold.silver()
     checks = {f"{name} key": (silver[name], key) for name, key in _KEYS.items()}
     checks["feature_store target"] = (s.gold.features, "is_churned")
     checks["raw_contacts email"] = (s.raw["contacts"], "email")
@@ -240,3 +253,33 @@ def _(s):
     FROM health GROUP BY risk_tier ORDER BY risk_tier""")
 def _(s):
     return Q.tier_distribution(s.gold.health)
+
+
+# --- catalog --------------------------------------------------------------------------
+
+_WIDTHS = {
+    "agg_churn_predictions": (7, 7), "agg_retention_actions": (13, 13),
+}
+_CATALOG = " UNION ALL ".join(
+    f"SELECT '{layer.lower()}' AS layer, '{name}' AS table_name, {_text(TABLE_COMMENTS.get(name))} AS table_comment, "
+    f"{_WIDTHS[name][1] if name in _WIDTHS else len(COLUMN_COMMENTS.get(name, ()))} AS n_commented, "
+    + ("0 AS row_count" if name in _WIDTHS else f"(SELECT COUNT(*) FROM {_RELATIONS.get(name, name)}) AS row_count")
+    for layer, name in Q.ROW_MINIMA
+)
+
+
+@query("catalog_report", _CATALOG)
+def _(s):
+    """The whole job, its tables registered in layer databases; names, comments and rows as the catalog gives them."""
+    prefix = f"ck{uuid.uuid4().hex[:8]}_"
+    root = f"{ensure_checkpoint_dir(s.spark)}/{prefix}lake"
+    run_all(s.spark, s.raw, root, AS_OF, EVENT_TYPES, catalog=prefix)
+    told = catalog_report(s.spark, prefix)
+    counts = union_all(*[
+        s.spark.table(f"{prefix}{layer.lower()}.{name}").agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(layer.lower()).alias("layer"), F.lit(name).alias("table_name"), "row_count")
+        for layer, name in Q.ROW_MINIMA
+    ])
+    for layer in LAYERS:
+        s.spark.sql(f"DROP DATABASE {prefix}{layer} CASCADE")
+    return told.join(counts, ["layer", "table_name"]).drop("n_columns")

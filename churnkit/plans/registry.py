@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnkit.plans.medallion import Warehouse
+from churnkit.plans.medallion import Warehouse, stored_silver
 from churnkit.plans.oracle_base import with_relations
-from churnkit.session import ensure_checkpoint_dir, tune
+from churnkit.session import kept, tune
 from churnkit.sources import adapters
 from churnkit.sources.adapters import AS_OF, EVENT_TYPES, Tables
 
 NOW_TEXT = "2001-08-01 12:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SILVER: dict[tuple[str, str], Warehouse | DataFrame] = {}
 ORACLES: dict[str, str] = {}
 
 
@@ -40,23 +40,24 @@ class Source:
 
     @cached_property
     def stored(self) -> Warehouse:
-        """Facts checked against the company table, as the stored tables are."""
+        """The conformed tables planned from raw, as they are stored."""
         return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=True)
 
     @cached_property
-    def checked(self) -> Warehouse:
-        """As stored, but only the columns the summaries use."""
-        return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=True, lean=True)
-
-    @cached_property
-    def facts(self) -> Warehouse:
-        """All columns, for results that join from the company table: the key check would be a second look-up."""
-        return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=False)
+    def gold(self) -> Warehouse:
+        """Gold planned on conformed tables, which are stored once per session and folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _SILVER:
+            _SILVER[key] = stored_silver(self.raw, lambda name, df: kept(df, name), AS_OF, self.now, EVENT_TYPES)
+        return _SILVER[key]
 
     @cached_property
-    def gold(self) -> Warehouse:
-        """Only the columns the summaries use."""
-        return Warehouse(self.raw, AS_OF, self.now, EVENT_TYPES, checked=False, lean=True)
+    def health(self) -> DataFrame:
+        """Company health as the steps after it read it: stored, likewise once."""
+        key = (self.spark.sparkContext.applicationId, f"{self.folder} health")
+        if key not in _SILVER:
+            _SILVER[key] = kept(self.gold.health, "agg_company_health_score")
+        return _SILVER[key]
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -75,13 +76,6 @@ class Source:
         return F.lit(NOW_TEXT).cast("timestamp_ntz")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read back, where a result is used many times over."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Time stamps without a zone, as the given files have them."""
     return df.withColumns(

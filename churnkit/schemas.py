@@ -44,6 +44,7 @@ ALLOWED_TRANSITIONS = (
     ("queued", "pending"),
     ("pending", "approved"),
     ("pending", "rejected"),
+    ("pending", "modified"),
     ("approved", "sent"),
     ("approved", "completed"),
     ("sent", "completed"),
@@ -51,8 +52,11 @@ ALLOWED_TRANSITIONS = (
 )
 DECISION_ROLES = ("CEO", "CFO", "CTO", "VP Sales", "VP Operations", "Director")
 EMAIL_WORDS = 280
+CALL_SECTION_WORDS = 200
 BRIEF_WORDS = 400
 MAX_DISCOUNT_PCT = 20
+LONG_COMMITMENT_MONTHS = 12
+SHORT_COMMITMENT_MONTHS = 6
 
 USAGE_FEATURES = (
     "dau_last_30d", "dau_last_90d", "usage_decline_pct_30d", "usage_decline_pct_90d",
@@ -95,7 +99,7 @@ ACTIONS = _fields({
     "agent_id": (T.StringType(), "Responsible account manager"),
     "action_type": (T.StringType(), "email, call, discount or escalation"),
     "channel": (T.StringType(), "email, phone or in_app"),
-    "status": (T.StringType(), "queued, pending, approved, rejected, sent or completed"),
+    "status": (T.StringType(), "queued, pending, modified, approved, rejected, sent or completed"),
     "generated_content": (T.StringType(), "Decision metadata while queued, then the text"),
     "created_at": (T.TimestampType(), "Creation time"),
     "approved_at": (T.TimestampType(), "Review time"),
@@ -118,3 +122,36 @@ TABLE_COMMENTS = {
     "agg_retention_actions": "Retention actions and their review state",
     "agg_agent_performance": "Account-manager portfolio figures",
 }
+
+LAYER_COMMENTS = {
+    "bronze": "Rows as the source systems delivered them",
+    "silver": "Valid rows with settled types, one per key",
+    "gold": "Figures per company and account manager, model inputs and the action queue",
+    "ml": "Models, their scores and metrics",
+}
+
+COLUMN_COMMENTS = {
+    "dim_companies": {
+        "company_id": "Company key",
+        "company_size": "Size class: TPE, PME, ETI or GE",
+        "customer_since": "First day of the business relation",
+        "is_active": "Whether a contract is running",
+        "base_mrr": "Agreed monthly revenue in whole EUR",
+    },
+    "dim_contacts": {"contact_id": "Contact key", "email": "Address in lower case without blanks around it"},
+    "fact_subscriptions": {
+        "subscription_id": "Contract key",
+        "duration_days": "Days from start to end",
+        "is_current_contract": "Whether this is the company's newest contract",
+    },
+    "fact_support_tickets": {"ticket_id": "Ticket key", "sentiment_score": "From -1, bad, to 1, good"},
+    "fact_product_events": {"event_id": "Event key", "event_date": "Calendar day of the event"},
+    "fact_nps_scores": {"survey_id": "Survey key", "nps_score": "Answer from 0 to 10"},
+    "agg_company_health_score": {
+        "company_id": "Company key",
+        "health_score": "Weighted score from 0 to 100",
+        "risk_tier": "High below 40, Medium below 65, else Low",
+    },
+    "feature_store_churn": {"company_id": "Company key", "is_churned": "Target: 1 where the current contract has ended by churn"},
+    "agg_agent_performance": {"agent_id": "Account-manager key", "portfolio_size": "Companies looked after"},
+}

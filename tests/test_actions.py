@@ -6,6 +6,7 @@ from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import actions as A
+from churnkit.operators import content
 from churnkit.operators import reports as P
 from churnkit.schemas import ACTIONS
 
@@ -66,10 +67,11 @@ def flat_context(rows):
     schema = (
         "company_id string, company_name string, cs_agent_id string, mrr_current int, contract_mrr int, days_to_renewal int, contact_id string, "
         "contact_name string, latest_nps int, latest_nps_category string, ticket_count int, plan_name string, churn_probability double, "
-        "agent_name string, agent_email string"
+        "agent_name string, agent_email string, previous_nps int, previous_nps_category string, open_cases int, escalated_cases int, "
+        "contract_status string, tenure_days int"
     )
-    return rows([("c1", "One", "m9", 10, 12000, 5, "k1", "Ann", 3, "detractor", 2, "Pro", 0.9, "Bob", "b@x"),
-                 ("c3", "Three", None, None, None, None, None, None, None, None, 0, None, None, None, None)], schema)
+    return rows([("c1", "One", "m9", 10, 12000, 5, "k1", "Ann", 3, "detractor", 2, "Pro", 0.9, "Bob", "b@x", 8, "passive", 1, 1, "active", 700),
+                 ("c3", "Three", None, None, None, None, None, None, None, None, 0, None, None, None, None, None, None, 0, 0, None, None)], schema)
 
 
 def test_queue_to_pending(rows):
@@ -165,3 +167,47 @@ def test_filters_are_optional(rows):
     assert A.filter_actions(df).count() == 2
     assert values(A.filter_actions(df, "All", mrr_min=1).select("action_id")) == [("1",)]
     assert values(A.filter_actions(df, None, "m2", 0, ["call"]).select("action_id")) == [("2",)]
+
+
+def test_a_text_is_sent_back_written_anew_and_sent(rows):
+    actions = queue(rows, ("1", "c1", "email", "pending", "first text"), ("2", "c9", "call", "pending", "other"), ("3", "c1", "email", "approved", "x"))
+    mine = F.col("action_id").isin("1", "2")
+    asked = A.ask_changes(actions, F.lit(True), NOW, "be brief")
+    assert {r.action_id: r.status for r in asked.collect()} == {"1": "modified", "2": "modified", "3": "approved"}
+    assert values(A.approve(asked, mine, NOW)) == values(asked)  # nothing leaves ``modified`` but by a new text
+    context = flat_context(rows).withColumn("top_factors", F.lit('{"dau": -0.5}'))
+    renewed = A.regenerate(asked, context, NOW)
+    got = {r.action_id: r for r in renewed.collect()}
+    assert got["1"].status == "pending" and got["1"].generated_content.endswith("CHANGED AS ASKED: be brief")
+    assert "first text" not in got["1"].generated_content and got["1"].approved_at is None
+    assert got["2"].status == "modified"  # no context for its company
+    sent = A.send(A.approve(renewed, mine, NOW), F.lit(True), NOW)
+    assert {r.action_id: r.status for r in sent.collect()} == {"1": "sent", "2": "modified", "3": "sent"}
+    assert {r.status for r in A.update_outcome(sent, F.lit(True), "saved", NOW).collect()} == {"completed", "modified"}
+    steps = [actions, asked, renewed, A.approve(renewed, mine, NOW), sent]
+    assert all(A.invalid_transitions(a, b).count() == 0 for a, b in zip(steps, steps[1:]))
+
+
+def test_texts_have_all_sections_and_keep_their_limits(rows):
+    kinds = F.explode(F.array(*[F.lit(k) for k in ("email", "call", "discount", "escalation")]))
+    long = " ".join(["word"] * 600)
+    made = flat_context(rows).filter("company_id = 'c1'").withColumns(
+        {"action_type": kinds, "key_signals": F.array(F.lit("s1"), F.lit("s2")), "rationale": F.lit(long)}
+    )
+    text = {r.action_type: r.t for r in made.select("action_type", content.render_content().alias("t")).collect()}
+    for kind, headings in {
+        "call": ("ESTIMATED LENGTH", "OPENING", "DIAGNOSIS", "PROPOSAL", "CLOSING", "OBJECTIONS"),
+        "discount": ("OFFER", "EMAIL", "INTERNAL CASE", "Break-even: 3 months"),
+        "escalation": ("CONFIDENTIAL", "SUMMARY"),
+        "email": ("SUBJECT", "Dear", "Kind regards"),
+    }.items():
+        assert all(h in text[kind] for h in headings), kind
+    assert len(text["escalation"].split()) == 400
+    assert all(len(section.split()) <= 280 for section in text["discount"].split("\n\n"))
+
+
+@pytest.mark.parametrize("percent,months", [(20, 12), (10, 6), (15, 12), (5, 1)])
+def test_break_even_is_the_first_month_that_has_paid_for_the_offer(rows, percent, months):
+    got = rows([(percent, months)], "p int, m int").select(content.break_even(F.col("p"), F.col("m")).alias("e")).first().e
+    cost = percent * months
+    assert got * (100 - percent) >= cost > (got - 1) * (100 - percent)

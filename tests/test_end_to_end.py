@@ -88,4 +88,4 @@ def test_scoring_queue_and_review(spark, lake, tmp_path):
     assert (kpis.total_companies, kpis.pending_actions, kpis.approved_actions) == (N, 20, 10) and kpis.mrr_at_risk > 0
     scored_view = P.scored_companies(predictions, companies, health)
     assert P.predictions_view(scored_view, min_prob=0.0).count() == N
-    assert P.portfolio_text(predictions, companies, health, reviewed).filter("section = 2").count() == 10
+    assert P.portfolio_text(predictions, companies, health, reviewed).filter("section = 2 and line_no > 0").count() == 10

@@ -6,7 +6,7 @@ from helpers import values
 from pyspark.sql import functions as F
 
 from churnkit.operators import merge as M
-from churnkit.schemas import ACTIONS, PREDICTIONS, TABLE_COMMENTS
+from churnkit.schemas import ACTIONS, LAYERS, PREDICTIONS, TABLE_COMMENTS
 from churnkit.sources import tables as io
 
 SCHEMA = "k int, a string, b int"
@@ -133,3 +133,82 @@ def test_missing_tables_are_made_and_filled_ones_kept(spark, rows, tmp_path):
     assert io.ensure_table(spark, schema, str(tmp_path), "gold", "t").count() == 0
     io.write_table(rows([(1, "a")], "k int, v string"), str(tmp_path), "gold", "t")
     assert io.ensure_table(spark, schema, str(tmp_path), "gold", "t").count() == 1
+
+
+def test_a_write_killed_midway_leaves_the_old_table(spark, rows, tmp_path, monkeypatch):
+    place = (str(tmp_path), "gold", "t")
+    io.write_table(rows([(1, "old")], "k int, v string"), *place)
+
+    class Killed(Exception):
+        pass
+
+    def killed(*_):
+        raise Killed
+
+    # After the rows are written and before the commit; then while the rows are being written.
+    with monkeypatch.context() as m:
+        m.setattr(io, "_commit", killed)
+        with pytest.raises(Killed):
+            io.write_table(rows([(2, "new")], "k int, v string"), *place)
+    broken = rows([(1, "x")], "k int, v string").withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        io.write_table(broken, *place)
+    assert values(io.read_table(spark, *place)) == [(1, "old")]
+    io.write_table(rows([(3, "next")], "k int, v string"), *place)
+    assert values(io.read_table(spark, *place)) == [(3, "next")]
+
+
+def test_a_partition_overwrite_killed_midway_leaves_all_days(spark, rows, tmp_path, monkeypatch):
+    place, schema = (str(tmp_path), "gold", "p"), "k int, day date"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    io.write_table(rows([(1, d1), (2, d2)], schema), *place, ["day"])
+    with monkeypatch.context() as m:
+        m.setattr(io, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            io.overwrite_partitions(rows([(9, d2)], schema), *place, ["day"])
+    assert values(io.read_table(spark, *place).select("k", "day")) == [(1, d1), (2, d2)]
+
+
+def test_readers_keep_the_version_they_planned_on_and_old_ones_go(spark, rows, tmp_path):
+    place = (str(tmp_path), "gold", "t")
+    planned = io.write_table(rows([(0,)], "k int"), *place)
+    for k in (1, 2):
+        io.write_table(rows([(k,)], "k int"), *place)
+    assert values(planned) == [(0,)]
+    for k in (3, 4, 5):
+        io.write_table(rows([(k,)], "k int"), *place)
+    assert len(glob.glob(str(tmp_path / "gold" / "t" / "_v=*"))) == io.KEPT_COMMITS
+    assert values(io.read_table(spark, *place)) == [(5,)]
+
+
+def test_null_days_and_one_column_of_partitions(spark, rows, tmp_path):
+    place, schema = (str(tmp_path), "gold", "p"), "k int, day date"
+    io.write_table(rows([(1, None), (2, dt.date(2024, 1, 2))], schema), *place, ["day"])
+    io.overwrite_partitions(rows([(3, None)], schema), *place, ["day"])
+    assert values(io.read_table(spark, *place).select("k")) == [(2,), (3,)]
+    with pytest.raises(ValueError):
+        io.write_table(rows([(1, 2)], "a int, b int"), *place, ["a", "b"])
+    with pytest.raises(ValueError):
+        io.overwrite_partitions(rows([(1, 2)], "a int, b int"), *place, ["a"])
+
+
+def test_a_folder_written_by_others_is_read_as_it_is(spark, rows, tmp_path):
+    rows([(1, "a")], "k int, v string").write.parquet(str(tmp_path / "bronze" / "raw"))
+    assert values(io.read_table(spark, str(tmp_path), "bronze", "raw")) == [(1, "a")]
+
+
+def test_published_tables_follow_the_newest_commit(spark, rows, tmp_path):
+    schema = rows([], "k int, day date").schema
+    place = (str(tmp_path), "gold", "p")
+    io.ensure_layers(spark, "cx_")
+    io.ensure_table(spark, schema, *place, ["day"])
+    io.publish_table(spark, *place, schema, "cx_", "it's \"new\"", {"k": "key's comment"})
+    assert spark.table("cx_gold.p").count() == 0
+    for k, day in ((1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2)), (3, dt.date(2024, 1, 2))):
+        io.overwrite_partitions(rows([(k, day)], "k int, day date"), *place, ["day"])
+    io.publish_table(spark, *place, schema, "cx_", "about", {"k": "key's comment"})
+    assert values(spark.table("cx_gold.p").select("k")) == [(1,), (3,)]
+    assert spark.catalog.getTable("cx_gold.p").description == "about"
+    assert {c.name: c.description for c in spark.catalog.listColumns("cx_gold.p")} == {"k": "key's comment", "day": None}
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE cx_{layer} CASCADE")
