@@ -56,6 +56,7 @@ class Vocabulary:
         raw |= {i: content.encode() for content, i in self.special.items()}
         self.tokens = [raw.get(i, b"") for i in range(max(raw) + 1)]
         self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.sizes = self.lengths.tolist()
         self.starts = starts_of(self.lengths)
         self.bytes = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
         self.names = [str(i) for i in range(len(self.tokens))]
@@ -76,12 +77,13 @@ class Vocabulary:
             if len(token) == 1 or i in self.halves:
                 by_bytes[raw[i].decode("latin-1")] = i
         for token, i in by_bytes.items():
-            self.automaton.add_word(token, (i, len(token)))
+            self.automaton.add_word(token, i)
         self.automaton.make_automaton()
         self.shorter: dict[int, tuple[int, int] | None] = {}
         for token, i in by_bytes.items():
             self.shorter[i] = next(((by_bytes[token[:k]], k) for k in range(len(token) - 1, 0, -1) if token[:k] in by_bytes), None)
-        self.compatible: dict[tuple[int, int], bool] = {}
+        #: Token pairs, packed into one number, that were looked at before.
+        self.compatible: dict[int, bool] = {}
         self.cut = regex.compile(PATTERN).findall
         self.parting = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -95,7 +97,8 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two stay apart: no merge across the seam comes before both of its parts are merged elsewhere."""
-        known = self.compatible.get((left, right))
+        pair = left << 32 | right
+        known = self.compatible.get(pair)
         if known is None:
             known = True
             for x, x_ends in self._edge(left, 1):
@@ -106,26 +109,35 @@ class Vocabulary:
                         known = False
             if len(self.compatible) > 2_000_000:
                 self.compatible.clear()
-            self.compatible[left, right] = known
+            self.compatible[pair] = known
         return known
 
     def encode_piece(self, piece: str) -> list[int]:
         text = piece.encode("utf-8", "surrogatepass").decode("latin-1")
         matches = self.automaton.iter_long
         # The way that takes the longest token everywhere comes first; often it is the answer.
-        longest = [found for _, found in matches(text)]
-        out = [token for token, _ in longest]
-        if all(map(self.fits, out, out[1:])):
+        out = [token for _, token in matches(text)]
+        seen, before = self.compatible.get, -1
+        for token in out:
+            if before >= 0:
+                known = seen(before << 32 | token)
+                if not (self.fits(before, token) if known is None else known):
+                    break
+            before = token
+        else:
             return out
-        out, sizes, at, end, dead = [], [], 0, len(text), bytearray(len(text) + 1)
-        step = longest[0]
+        first, sizes, at, end, dead = out[0], [], 0, len(text), bytearray(len(text) + 1)
+        out, sizes_of = [], self.sizes
+        step = (first, sizes_of[first])
         while at < end:
             token, size = step
             if not dead[at + size] and (not out or self.fits(out[-1], token)):
                 out.append(token)
                 sizes.append(size)
                 at += size
-                step = next(matches(text, at))[1] if at < end else step
+                if at < end:
+                    token = next(matches(text, at))[1]
+                    step = (token, sizes_of[token])
                 continue
             step = self.shorter[token]
             if step is None:
@@ -161,6 +173,10 @@ class Coder:
     def forget(self) -> None:
         self.first, self.later = _Words(self, ""), _Words(self, " ")
         self.table = WordTable()
+        #: Words met since the table was last filled up: ids one after the other, how many each has, and marks.
+        self.new_ids: list[int] = []
+        self.new_sizes: list[int] = []
+        self.new_marks: list[bool] = []
         #: Signs and short pieces, which come again in many words.
         self.parts: dict[str, list[int]] = {}
 
@@ -168,7 +184,7 @@ class Coder:
         ids = self.parts.get(piece)
         if ids is None:
             known = self.later.get(piece[1:]) if piece[:1] == " " else self.first.get(piece)
-            ids = self.v.encode_piece(piece) if known is None else self.table.ids(known)
+            ids = self.v.encode_piece(piece) if known is None or known >= self.table.count else self.table.ids(known)
             if len(piece) < 4:
                 self.parts[piece] = ids
         return ids
@@ -177,7 +193,16 @@ class Coder:
         pieces_ = self.v.cut(blank + word)
         ids = self.v.encode_piece(pieces_[0]) if len(pieces_) == 1 else [i for piece in pieces_ for i in self._piece(piece)]
         # Beside another white space, white space at a word's edge could belong to another piece.
-        return self.table.add(ids, not word or word[0].isspace() or word[-1].isspace())
+        self.new_ids += ids
+        self.new_sizes.append(len(ids))
+        self.new_marks.append(not word or word[0].isspace() or word[-1].isspace())
+        return self.table.count + len(self.new_sizes) - 1
+
+    def _settle(self) -> None:
+        """New words go into the table together."""
+        if self.new_sizes:
+            self.table.add_flat(self.new_ids, np.array(self.new_sizes, dtype=np.int64), self.new_marks)
+            self.new_ids, self.new_sizes, self.new_marks = [], [], []
 
     def _numbers(self, text: str) -> list[int]:
         """Numbers of the words between single blanks and line ends."""
@@ -194,11 +219,13 @@ class Coder:
         """Ids of a text without special tokens."""
         if not text:
             return np.zeros(0, dtype=np.int32)
-        numbers = np.array(self._numbers(text), dtype=np.int64)
+        line_end, numbers = self.first["\n"], np.array(self._numbers(text), dtype=np.int64)
+        self._settle()
         # Where white spaces meet, words do not part pieces for sure, and the whole text is cut by the pattern. The line end is a word too.
-        unsure = self.table.marks[numbers] & (numbers != self.first["\n"])
+        unsure = self.table.marks[numbers] & (numbers != line_end)
         if unsure.any():
             numbers = np.array([self.first[piece] for piece in self.v.cut(text)], dtype=np.int64)
+            self._settle()
         return self.table.gather(numbers)[0]
 
     def encode(self, text: str | None) -> np.ndarray:
