@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions import clamp, col, lookup, pick, round_dec, seeded_int
 from churnkit.operators.relational import prefix_offsets, union_all
+from churnkit.schemas import CLOSED_STATUSES
 
 
 def gen_ids(spark: SparkSession, n: int, name: str = "id") -> DataFrame:
@@ -85,27 +86,31 @@ def trend_score(rank, count, first: float, last: float, wobble: Column, low: flo
     return clamp(round_dec(F.lit(first) + F.lit(last - first) * way + wobble, 2), low, high)
 
 
-def derive_dates(df: DataFrame, start: str, cycle: str, status: str, hours: str, survey_no: str) -> DataFrame:
-    """Contract end, ticket resolution (closed ones only) and survey date."""
+def derive_dates(
+    df: DataFrame, start: str, cycle: str, status: str, hours: str, survey_no: str,
+    terms: Mapping[str, int], term_else: int, survey_every: int, survey_lead: int, closed: Sequence[str] = CLOSED_STATUSES,
+) -> DataFrame:
+    """Contract end by the cycle's term in days, ticket resolution (closed ones only) and survey date: every so many days, the first so
+    many days earlier."""
     begun = F.col(start)
     days = F.ceil(F.col(hours) / F.lit(24.0)).cast("int") + 1
     return df.withColumns(
         {
-            "end_date": F.date_add(begun, F.when(F.col(cycle) == "annual", 365).otherwise(30)),
-            "resolved_date": F.when(F.col(status).isin("resolved", "closed"), F.date_add(begun, days)),
-            "survey_date": F.date_add(begun, (F.col(survey_no) * 50 - 20).cast("int")),
+            "end_date": F.date_add(begun, lookup(cycle, terms, term_else)),
+            "resolved_date": F.when(F.col(status).isin(list(closed)), F.date_add(begun, days)),
+            "survey_date": F.date_add(begun, (F.col(survey_no) * survey_every - survey_lead).cast("int")),
         }
     )
 
 
-def with_history(current: DataFrame, had_one: Column, lower_plan: Mapping[str, str]) -> DataFrame:
-    """Contracts plus, where ``had_one``, the previous one: a plan lower, a year earlier, ended."""
+def with_history(current: DataFrame, had_one: Column, lower_plan: Mapping[str, str], days_before: int, ended: str) -> DataFrame:
+    """Contracts (version 1) plus, where ``had_one``, the previous one (version 2): a plan lower, so many days earlier, ended."""
     previous = current.filter(had_one).withColumns(
         {
             "plan_type": F.coalesce(lookup("plan_type", lower_plan), F.col("plan_type")),
-            "start_date": F.date_add("start_date", -365),
+            "start_date": F.date_add("start_date", -days_before),
             "contract_version": F.lit(2),
-            "status": F.lit("churned"),
+            "status": F.lit(ended),
         }
     )
     return union_all(current.withColumn("contract_version", F.lit(1)), previous)

@@ -18,7 +18,7 @@ from churnkit.functions import (
     safe_ratio,
     since,
 )
-from churnkit.operators.relational import latest_and_previous
+from churnkit.operators.relational import latest_and_previous, latest_per_key
 from churnkit.schemas import (
     EVENT_TYPE_UNIVERSE,
     LABEL,
@@ -93,23 +93,20 @@ def nps_features(nps: DataFrame) -> DataFrame:
 
 
 def contract_profile(subscriptions: DataFrame) -> DataFrame:
-    """Per company the current contract (as in ``current_contract``) and what its past ones show, in one pass."""
+    """Per company the current contract (as in ``current_contract``) and what its past ones show.
+
+    The current one is ranked, so a task sends one row per company on; the past ones are plain numbers, summed by hash.
+    """
     current = F.col("is_current_contract")
-    return (
-        subscriptions.groupBy("company_id")
-        .agg(
-            F.max(
-                F.when(
-                    current,
-                    F.struct(
-                        "start_date", "subscription_id", "mrr", "end_date", "duration_days", "billing_cycle", "status"
-                    ),
-                )
-            ).alias("current"),
-            F.max(F.when(~current, F.col("mrr"))).alias("past_mrr"),
-            count_if(~current & (F.col("status") == "upgraded")).alias("past_upgrades"),
-        )
-        .filter(F.col("current").isNotNull())
+    fields = ("start_date", "subscription_id", "mrr", "end_date", "duration_days", "billing_cycle", "status")
+    newest = latest_per_key(
+        subscriptions.filter(current).select("company_id", *fields), ["company_id"], [F.desc("start_date"), F.desc("subscription_id")]
+    )
+    past = subscriptions.filter(~current).groupBy("company_id").agg(
+        F.max("mrr").alias("past_mrr"), count_if(F.col("status") == "upgraded").alias("_upgrades")
+    )
+    return newest.select("company_id", F.struct(*fields).alias("current")).join(past, "company_id", "left").select(
+        "company_id", "current", "past_mrr", F.coalesce("_upgrades", F.lit(0)).cast("bigint").alias("past_upgrades")
     )
 
 

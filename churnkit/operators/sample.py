@@ -110,7 +110,7 @@ def _contract_rows(base: DataFrame) -> DataFrame:
         F.col("began").alias("start_date"), status.alias("status"),
     )
     names = list(PLANS)
-    all_ = G.with_history(current, draw("id", "second", 4) == 0, dict(zip(names[1:], names)))
+    all_ = G.with_history(current, draw("id", "second", 4) == 0, dict(zip(names[1:], names)), 365, "churned")
     mrr = lookup("plan_type", PLANS, 0) + draw("id", "extra", 150)
     return all_.withColumn("mrr", mrr).select(
         F.concat_ws("/", _id("ct", "id"), F.col("contract_version").cast("string")).alias("subscription_id"),

@@ -122,7 +122,7 @@ def _(s):
             "hours": X.seeded_int("number", 67, 96) + 1,
         }
     )
-    dated = G.derive_dates(rows, "begun", "cycle", "status", "hours", "n")
+    dated = G.derive_dates(rows, "begun", "cycle", "status", "hours", "n", {"annual": 365}, 30, survey_every=50, survey_lead=20)
     return dated.select("number", "begun", "end_date", "resolved_date", "survey_date")
 
 
@@ -143,4 +143,4 @@ def _(s):
             "status": F.lit("active"),
         }
     )
-    return G.with_history(current, F.pmod("id", F.lit(4)) == 1, {"Enterprise": "Business", "Business": "Starter"})
+    return G.with_history(current, F.pmod("id", F.lit(4)) == 1, {"Enterprise": "Business", "Business": "Starter"}, 365, "churned")

@@ -53,8 +53,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_KEPT: list[str] = []
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read back, where a result is used many times over."""
+    """Written once to the shared folder and read back, where a result is used many times over; ``drop_kept`` removes it."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _KEPT.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_kept(spark: SparkSession) -> int:
+    """Remove what ``kept`` wrote in this process, once no frame that reads it is used any more."""
+    make, conf, count = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), len(_KEPT)
+    while _KEPT:
+        path = make(_KEPT.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count

@@ -56,7 +56,7 @@ def test_draws_of_different_names_differ(spark):
 
 def test_history_is_one_plan_lower_and_one_year_earlier(spark):
     current = spark.sql("SELECT 1 AS id, 'Enterprise' AS plan_type, DATE '2024-02-29' AS start_date, 'active' AS status")
-    got = G.with_history(current, F.col("id") == 1, {"Enterprise": "Business"})
+    got = G.with_history(current, F.col("id") == 1, {"Enterprise": "Business"}, 365, "churned")
     assert values(got.select("plan_type", "start_date", "status", "contract_version")) == [
         ("Business", dt.date(2023, 3, 1), "churned", 2), ("Enterprise", dt.date(2024, 2, 29), "active", 1)
     ]

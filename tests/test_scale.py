@@ -55,6 +55,11 @@ def test_facts_are_never_put_into_one_partition(spark):
             assert "HashAggregate" in below or re.search(r"WindowGroupLimit .*Partial", below), (name, block[:300])
 
 
+@pytest.mark.parametrize("name", ["feature_store", "feat_contract", "feat_label", "ml_class_balance"])
+def test_contracts_are_not_sorted_to_be_summed(spark, name):
+    assert "SortAggregate" not in plan_of(QUERIES[name](spark, FOLDER))
+
+
 def test_gold_reads_only_the_columns_it_needs(spark):
     plan = plan_of(QUERIES["company_health"](spark, FOLDER))
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
