@@ -31,36 +31,58 @@ from churnkit.schemas import (
 )
 
 
+#: Days of a mask; one bit stays for the sign.
+MASK_DAYS = 63
+
+
+def _day_mask(cond: Column, days_in: Column, name: str) -> Column:
+    """The days of a span as bits of one number."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), days_in)
+    return F.coalesce(F.bit_or(F.when(cond, bit)), F.lit(0).cast("bigint")).alias(name)
+
+
 def usage_features(events: DataFrame, as_of=None, universe: int = EVENT_TYPE_UNIVERSE) -> DataFrame:
+    """Active days, events, types and users of the trailing windows.
+
+    Events are folded to one row per company and recent user, with days as bits, and these to one row per company, so nothing is counted
+    as distinct but by its key. Types are made distinct by themselves, from recent events only. Trailing windows have no upper bound: days too far ahead for
+    the mask are counted apart, by a filter that reads nothing where there are none.
+    """
     on = F.col("event_date")
-    recent = since(on, as_of, 30)
-    # First fold the events to one row per company, recent day, type and contact. Days older than 90,
-    # and types and contacts older than 30 days, are not told apart, so old history folds to one row.
-    folded = events.groupBy(
-        "company_id",
-        F.when(since(on, as_of, 90), on).alias("_day"),
-        F.when(recent, F.col("event_type")).alias("_type"),
-        F.when(recent, F.col("contact_id")).alias("_contact"),
-    ).agg(F.count(F.lit(1)).alias("_n"), F.max(on).alias("_last"))
-    recent_day = since("_day", as_of, 30)
-    n = F.col("_n")
+    recent, last90, today = since(on, as_of, 30), since(on, as_of, 90), day(as_of)
+    far = days_between(on, today) >= MASK_DAYS - 30
+    older = band(on, as_of, 90, 30)
+    folded = events.groupBy("company_id", F.when(recent, F.col("contact_id")).alias("_contact")).agg(
+        _day_mask(older, days_between(on, today) + 90, "_older"),
+        _day_mask(recent & ~far, days_between(on, today) + 30, "_recent"),
+        count_if(recent).alias("_30"), count_if(band(on, as_of, 60, 30)).alias("_60"), count_if(band(on, as_of, 90, 60)).alias("_90"),
+        count_if(last90).alias("_all"), F.max(on).alias("_last"),
+    )
     counted = folded.groupBy("company_id").agg(
-        F.count_distinct(F.when(recent_day, F.col("_day"))).alias("dau_last_30d"),
-        F.count_distinct("_day").alias("dau_last_90d"),
-        F.sum(F.when(recent_day, n).otherwise(0)).alias("events_30d"),
-        F.sum(F.when(band("_day", as_of, 60, 30), n).otherwise(0)).alias("events_30_60d"),
-        F.sum(F.when(band("_day", as_of, 90, 60), n).otherwise(0)).alias("events_60_90d"),
-        F.sum(F.when(F.col("_day").isNotNull(), n).otherwise(0)).alias("events_90d"),
-        F.count_distinct("_type").alias("distinct_features_used_30d"),
-        F.max("_last").alias("_last"),
-        F.count_distinct("_contact").alias("active_users_30d"),
-    )
-    return counted.withColumns(
-        {
-            "feature_adoption_rate": round_dec(F.col("distinct_features_used_30d") / F.lit(float(universe)), 3),
-            "days_since_last_login": days_between(day(as_of), "_last"),
-        }
-    ).drop("_last")
+        F.bit_or("_older").alias("_older"), F.bit_or("_recent").alias("_recent"), F.count("_contact").alias("active_users_30d"),
+        F.sum("_30").alias("events_30d"), F.sum("_60").alias("events_30_60d"), F.sum("_90").alias("events_60_90d"),
+        F.sum("_all").alias("events_90d"), F.max("_last").alias("_last"),
+    )
+
+    def kinds(rows: DataFrame, column: str, name: str) -> DataFrame:
+        return rows.select("company_id", column).distinct().groupBy("company_id").agg(F.count(column).alias(name))
+
+    types = kinds(events.filter(recent), "event_type", "_types")
+    ahead = kinds(events.filter(on >= F.date_add(today, MASK_DAYS - 30)), "event_date", "_ahead")
+    rows = counted.join(types, "company_id", "left").join(ahead, "company_id", "left")
+    late = F.coalesce("_ahead", F.lit(0))
+    dau = F.bit_count("_recent") + late
+    used = F.coalesce("_types", F.lit(0))
+    return rows.select(
+        "company_id",
+        dau.alias("dau_last_30d"),
+        (dau + F.bit_count("_older")).alias("dau_last_90d"),
+        "events_30d", "events_30_60d", "events_60_90d", "events_90d",
+        used.alias("distinct_features_used_30d"),
+        "active_users_30d",
+        round_dec(used / F.lit(float(universe)), 3).alias("feature_adoption_rate"),
+        days_between(today, "_last").alias("days_since_last_login"),
+    )
 
 
 def support_features(tickets: DataFrame, as_of=None) -> DataFrame:

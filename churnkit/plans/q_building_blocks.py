@@ -483,6 +483,20 @@ def _(s):
     )
 
 
+@query("fn_now", """
+    SELECT o_orderkey, o_orderdate < current_date AS in_past, o_orderdate >= current_date - 30 AS in_30,
+           CAST(date_diff('day', CAST(o_orderdate AS DATE), current_date) AS INTEGER) AS age, TRUE AS stamped_now FROM orders""")
+def _(s):
+    """Windows and ages without a given day: today, and a row stamped with the time of the run."""
+    on = F.col("o_orderdate").cast("date")
+    stamped = io.stamp(s.t.orders, "billing")
+    now = F.current_timestamp()
+    return stamped.select(
+        "o_orderkey", (on < X.day(None)).alias("in_past"), X.since(on, None, 30).alias("in_30"), X.days_between(X.day(None), on).alias("age"),
+        F.col("_ingested_at").between(now - F.expr("INTERVAL 1 DAY"), now).alias("stamped_now"),
+    )
+
+
 @query("fn_math", f"""
     SELECT c_custkey, {rnd('c_acctbal / 7', 2)} AS rounded, CAST(ceil(c_acctbal) AS BIGINT) AS up, CAST(floor(c_acctbal) AS BIGINT) AS down,
            abs(c_acctbal) AS size, CAST(TRUNC(c_acctbal / 3) AS INTEGER) AS cut,

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from helpers import values
@@ -255,3 +256,21 @@ def test_quality_reports(rows):
     ]
     assert values(Q.layer_counts(tables).select("table_name", "is_empty")) == [("a", False), ("b", True), ("c", False)]
     assert values(Q.null_key_report({"x": (full, "k")})) == [("x", 1)]
+
+
+def test_usage_counts_days_far_ahead_and_everything_without_a_value(rows):
+    as_of = dt.date(2024, 5, 31)
+    rnd = random.Random(6)
+    data = [
+        (rnd.choice(["a", "b", "c"]), as_of + dt.timedelta(days=rnd.choice([*range(-120, 60), 400, 900])), rnd.choice(["t1", "t2", None]), rnd.choice(["k1", "k2", "k3", None]))
+        for _ in range(600)
+    ] + [("old", as_of - dt.timedelta(days=200), "t1", "k1"), ("none", None, "t1", "k1")]
+    got = {r.company_id: r for r in FS.usage_features(rows(data, "company_id string, event_date date, event_type string, contact_id string"), as_of, 15).collect()}
+    for company in {d[0] for d in data}:
+        mine = [(on, t, k) for c, on, t, k in data if c == company and on is not None]
+        age = lambda n: [x for x in mine if x[0] >= as_of - dt.timedelta(days=n)]
+        r = got[company]
+        assert (r.dau_last_30d, r.dau_last_90d) == (len({x[0] for x in age(30)}), len({x[0] for x in age(90)}))
+        assert (r.events_30d, r.events_90d, r.events_30_60d, r.events_60_90d) == (len(age(30)), len(age(90)), len(age(60)) - len(age(30)), len(age(90)) - len(age(60)))
+        assert r.distinct_features_used_30d == len({x[1] for x in age(30)} - {None}) and r.active_users_30d == len({x[2] for x in age(30)} - {None})
+        assert r.days_since_last_login == ((as_of - max(x[0] for x in mine)).days if mine else None)

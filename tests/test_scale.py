@@ -55,9 +55,10 @@ def test_facts_are_never_put_into_one_partition(spark):
             assert "HashAggregate" in below or re.search(r"WindowGroupLimit .*Partial", below), (name, block[:300])
 
 
-@pytest.mark.parametrize("name", ["feature_store", "feat_contract", "feat_label", "ml_class_balance"])
-def test_contracts_are_not_sorted_to_be_summed(spark, name):
-    assert "SortAggregate" not in plan_of(QUERIES[name](spark, FOLDER))
+@pytest.mark.parametrize("name", ["feature_store", "feat_usage", "feat_contract", "feat_label", "ml_class_balance"])
+def test_features_are_summed_by_hash_in_one_pass(spark, name):
+    plan = plan_of(QUERIES[name](spark, FOLDER))
+    assert "SortAggregate" not in plan and "Expand" not in plan and "ObjectHashAggregate" not in plan
 
 
 def test_gold_reads_only_the_columns_it_needs(spark):
