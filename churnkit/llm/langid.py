@@ -5,8 +5,9 @@ log(1 + count) * idf, scaled to length 1. Each language is described by several
 training texts, and a text gets the language of the centroid with the largest cosine, which is also the score. A text is marked as
 rejected when that cosine is lower than nearly all training texts of the language had to their own centroid.
 
-Training reads text and language only, of ``SAMPLE`` texts at most, dealt evenly to the languages (those of the smallest id hashes, whole
-texts); document frequencies are those of the sample. The centroids are broadcast: languages x CENTROIDS x DIMENSIONS numbers.
+Training reads text and language only. Document frequencies are counted over all training texts; the centroids are found on ``SAMPLE`` texts at
+most, dealt evenly to the languages (those of the smallest id hashes, whole texts). The centroids are broadcast: languages x CENTROIDS x DIMENSIONS
+numbers.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when nothing could be learned. Ties go to the
 language first in order of code point. Repeated rows are judged one by one; other columns are ignored; an empty table gives an
@@ -98,11 +99,9 @@ def _cluster(points: np.ndarray, count: int) -> np.ndarray:
     return centers
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], languages: list[str]) -> Model:
-    seen = np.zeros(DIMENSIONS)
-    for used, _ in rows:
-        seen[used] += 1
-    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], languages: list[str], seen: np.ndarray, texts: int) -> Model:
+    """Model from a sample of texts, and from how many of all ``texts`` hold each n-gram."""
+    idf = (np.log((1 + texts) / (1 + seen)) + 1).astype(np.float32)
     names = sorted(set(languages), key=str.encode)
     marks = np.array(languages, dtype=object)
     centroids, owner, least = [], [], []
@@ -115,14 +114,42 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], languages: list[str]) -> Mode
     return Model(names, idf, np.concatenate(centroids) if names else np.zeros((0, DIMENSIONS), np.float32), np.array(owner, dtype=np.int64), np.array(least))
 
 
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """How many of the texts hold each n-gram, and how many texts there are. A task sends one row per n-gram."""
+    schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last place counts the texts.
+        seen = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                seen[counts(text.as_py())[0]] += 1
+                seen[-1] += 1
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used])], schema=schema)
+
+    out = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for r in texts.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        out[r["place"]] = r["n"]
+    return out[:-1], int(out[-1])
+
+
+def _up_to(each: int, rows: int) -> int:
+    """The hash below which ``each`` of ``rows`` ids lie for sure, and not many more: ten standard deviations above the mean."""
+    share = min(1.0, (each + 10 * each**0.5 + 20) / max(1, rows))
+    return min(2**63 - 1, int(share * 2**64) - 2**63)
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Model from (doc_id, text, lang) rows with a text with letters and a language."""
     known = docs.filter(F.col("lang").isNotNull() & _lettered()).select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("turn"))
-    kinds = docs.filter("lang is not null").select("lang").distinct().count()
-    each = max(CENTROIDS, sample // max(1, kinds))
+    per_language = known.select("lang", "turn", "doc_id").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    each = max(CENTROIDS, sample // max(1, len(per_language)))
     top = Window.partitionBy("lang").orderBy("turn", "doc_id")
-    # Ranks are cut to the first ones in every task before rows meet, so a language with most of the rows sends no more than others.
-    ids = known.select("lang", "turn", "doc_id").withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= each).select("lang", "turn", "doc_id").distinct()
+    # Ids that cannot be among the first are left out where they lie, so a language with most of the rows sends no more than others.
+    limits = docs.sparkSession.createDataFrame([(r["lang"], _up_to(each, r["n"])) for r in per_language], "lang string, most long")
+    ids = known.select("lang", "turn", "doc_id").join(F.broadcast(limits), "lang").filter(F.col("turn") <= F.col("most")).select("lang", "turn", "doc_id").distinct()
+    ids = ids.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= each).select("lang", "turn", "doc_id")
     # At most ``each`` rows a language.
     rows = known.join(F.broadcast(ids), ["lang", "turn", "doc_id"]).select("lang", "turn", "doc_id", "text")
     schema = pa.schema([("lang", pa.string()), ("turn", pa.int64()), ("used", pa.binary()), ("often", pa.binary())])
@@ -136,7 +163,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
     table = rows.mapInArrow(run, "lang string, turn long, used binary, often binary").toPandas().sort_values(["lang", "turn", "used"], kind="stable")
     found = [(np.frombuffer(u, np.uint16), np.frombuffer(o, np.float32)) for u, o in zip(table["used"], table["often"])]
-    return fit(found, table["lang"].tolist())
+    return fit(found, table["lang"].tolist(), *document_frequencies(known))
 
 
 def _lettered() -> Column:

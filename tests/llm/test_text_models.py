@@ -249,3 +249,67 @@ def test_contexts_are_counted_whole_and_others_are_learned_from(spark):
     assert seen == len(rows)
     model = context_mix._learned(context_mix._blocks(docs, shared, parts), shared, parts)
     assert (model.weights != 0.4).any()
+
+
+# --- models re-computed from what was fitted, row by row -------------------------
+
+
+def test_grades_follow_from_features_and_thresholds(spark):
+    """The classifier's query held against its own model: sum of weights, ordered thresholds, tail and expected grade."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    weight = dict(zip(model.known.tolist(), model.weights.tolist()))
+    assert len(weight) > 20
+    for r in quality.judge(docs.select("doc_id", "text"), model).collect():
+        score = sum(weight.get(f, 0.0) for f in quality.features(r["text"]).tolist())
+        upto = [1 / (1 + math.exp(max(-40, min(40, score - t)))) for t in model.thresholds]
+        assert r["tail_probability"] == pytest.approx(1 - upto[-1], abs=1e-9)
+        assert r["expected_grade"] == pytest.approx(sum(1 - p for p in upto), abs=1e-9)
+        assert r["kept"] == (r["tail_probability"] >= quality.KEEP)
+
+
+def test_verdicts_follow_from_the_rules(spark):
+    """The decision list's query held against its rules, tried in order in Python on plainly counted statistics."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    learned = rules.train(docs, labels)
+    assert learned
+    seen = set()
+    for r in rules.judge(docs.select("doc_id", "text"), learned).collect():
+        value = {name: r[top] / r[bottom] if r[bottom] else 0.0 for name, (top, bottom) in rules.RATIOS.items()}
+        first = 0
+        for number, rule in enumerate(learned, 1):
+            if all(value[c.name] >= c.threshold if c.above else value[c.name] < c.threshold for c in rule):
+                first = number
+                break
+        failed = r["n_words"] < 50 or 2 * r["n_repeat_words"] > r["n_words"]
+        assert (r["rule"], r["base_failed"], r["kept"]) == (first, failed, not failed and not first)
+        seen.add(first)
+    assert len(seen) > 1
+
+
+def test_languages_follow_from_all_centroids(spark):
+    """Predictions held against the cosine with every centroid, worked out with dictionaries; frequencies over all training texts."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("doc_id % 3 = 0")
+    model = langid.train(docs)
+    texts = [r["text"] for r in docs.filter("lang is not null").collect() if r["text"] and any(c.isalpha() for c in r["text"])]
+    held = Counter(int(g) for t in texts for g in langid.counts(t)[0])
+    for place in range(langid.DIMENSIONS):
+        assert model.idf[place] == pytest.approx(math.log((1 + len(texts)) / (1 + held[place])) + 1, rel=1e-5)
+    for r in langid.predict(docs.select("doc_id", "text"), model).join(docs, "doc_id").collect():
+        if r["lang_pred"] == langid.UNKNOWN:
+            continue
+        used, often = langid.counts(r["text"])
+        vector = {int(g): math.log(1 + float(n)) * float(model.idf[g]) for g, n in zip(used, often)}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v * float(c[g]) for g, v in vector.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert r["score"] == pytest.approx(max(0.0, min(1.0, cosines[best])), abs=1e-5)
+        near = {model.languages[model.owner[k]] for k, c in enumerate(cosines) if c > cosines[best] - 1e-5}
+        assert r["lang_pred"] in near
+
+
+def test_few_ids_are_enough_to_choose_the_sample():
+    for each, rows in ((4, 10), (1500, 100_000), (1500, 10**9), (4, 0)):
+        limit = langid._up_to(each, rows)
+        expected = min(1.0, (limit + 2**63) / 2**64) * rows
+        assert expected >= min(rows, each) and expected <= each + 10 * each**0.5 + 21
