@@ -3,11 +3,12 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 from support import values
 
 from churnkit.llm.common import components
 from churnkit.llm.grid_join import near_duplicates
-from churnkit.llm.ngram_join import jaccard_components, shingle_set
+from churnkit.llm.ngram_join import distinct_documents, jaccard_components, linked_documents, occurrences, shingle_set
 
 
 def shingles(text):
@@ -90,6 +91,49 @@ def test_common_passages_alone_link_nothing_and_large_groups_stay_whole(spark):
     assert found == want
 
 
+def test_rows_that_share_an_id_are_linked_each_by_its_own_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(100)), " ".join(f"b{i}" for i in range(100))
+    rows = [(5, a), (5, b), (9, b + " end"), (7, a + " end"), (None, b + " other"), (None, "alone and without an id here"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = values(linked_documents(docs).select("doc_id", "component_id", "kept"))
+    assert found == sorted([(5, 5, True), (5, 5, True), (9, 5, False), (7, 5, False), (None, 5, False), (None, None, True), (None, None, True)], key=str)
+    kept = values(distinct_documents(docs.withColumn("kept", F.lit("x"))))
+    assert kept == sorted([(5, a, "x"), (5, b, "x"), (None, rows[5][1], "x"), (None, "", "x")], key=str)
+
+
+def test_a_list_with_many_components(spark):
+    """Hundreds of documents share a passage just too short to link them; some pairs among them are near copies."""
+    import random
+
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = []
+    for i in range(300):
+        own = [f"w{i // 2}_{k}" for k in range(30)]
+        if i % 2:
+            own[rng.randrange(30)] = f"x{i}"
+        rows.append((i, passage + " " + " ".join(own)))
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert 100 < len(links) < 200
+    found = {r[0]: r[2] for r in values(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert found == closure(sets, links)
+
+
+def test_counted_occurrences_equal_the_overlap():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        y = rng.choice(400, rng.integers(1, 120), replace=False).astype(np.uint64)
+        others = [np.sort(rng.choice(np.concatenate([y, rng.choice(400, 60).astype(np.uint64)]), rng.integers(0, 90))) for _ in range(rng.integers(1, 9))]
+        others = [np.unique(x) for x in others]
+        extra = rng.integers(0, 9)
+        sizes = np.array([len(x) + int(rng.integers(0, 5)) for x in others])
+        got = occurrences(y, len(y) + extra, others, sizes, 75, 100)
+        for keep, x, n in zip(got, others, sizes):
+            both = len(set(x.tolist()) & set(y.tolist()))
+            assert keep == (both >= math.ceil(75 * (n + len(y) + extra) / 175))
+
+
 def test_shingles_count_words_apart_from_length():
     assert len(shingle_set("a b c d")) == 1 and len(shingle_set("a b c d e f")) == 2
     assert not len(shingle_set(None)) and not len(shingle_set(" \n"))
