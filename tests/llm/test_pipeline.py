@@ -80,5 +80,31 @@ def test_run_gives_the_last_stage(spark, steps):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_stages_on_odd_rows(spark, docs, texts):
+    """Null ids, texts, languages and sources, empty and very long texts, repeated rows and clashing columns go through all stages."""
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 1000)
+    clashing = [c for c in docs.columns if c not in pipeline.COLUMNS]
+    both = docs.unionByName(given.select("*", *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in clashing]))
+    kept = [store(both, "odd")]
+    for _, stage in pipeline.STAGES[:-1]:
+        kept.append(store(stage(spark, kept[-1], FOLDER), "odd"))
+        assert kept[-1].columns == pipeline.COLUMNS
+    assert all(b.select("doc_id", "text").distinct().exceptAll(a.select("doc_id", "text").distinct()).count() == 0 for a, b in zip(kept, kept[1:]))
+    ids = pipeline.STAGES[-1][1](spark, kept[-1], FOLDER)
+    assert ids.count() == kept[-1].count()
+    # The join alone, on all rows: one of each repeated row, and no exact copy of a kept text under another id or none.
+    single = pipeline.distinct(spark, kept[0], FOLDER).collect()
+    worded = [r["text"] for r in single if r["text"] and r["text"].split()]
+    assert len(worded) == len(set(worded))
+    assert sum(r["doc_id"] is None for r in single) == sum(t[0] is None for t in texts)
+    assert {r["doc_id"] for r in single} >= {80, 81, 82}
+
+
+@pytest.mark.parametrize("stage", [f for _, f in pipeline.STAGES], ids=[n for n, _ in pipeline.STAGES])
+def test_stages_on_an_empty_table(spark, no_docs, stage):
+    out = stage(spark, no_docs.select(*pipeline.COLUMNS), FOLDER)
+    assert out.count() == 0
