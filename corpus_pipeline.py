@@ -5,13 +5,12 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.llm import bpe, curriculum, quality, rules
 from churnkit.llm.common import read, store
-from churnkit.llm.ngram_join import jaccard_components
+from churnkit.llm.ngram_join import distinct_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,10 +28,8 @@ def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; of repeated rows one stays."""
-    first = jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    found = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    return found.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One document of each group of near-duplicates, that with the smallest id; of repeated rows one stays. Documents without an id are judged by their text."""
+    return distinct_documents(docs.select(*COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, in the given order within a file."""
+    import public_tokenizers  # only this stage needs it
+
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
