@@ -46,30 +46,47 @@ _HEAD = struct.Struct("<8s4Q")
 
 
 def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Symbols, rules (pairs), first-symbol marks of documents and the first nonterminal. ``last`` marks the end of each document."""
+    """Symbols, rules (pairs), first-symbol marks of documents and the first nonterminal. ``last`` marks the end of each document.
+
+    The sequence is a linked list over the places of the ids. A pair of old symbols can only become rarer, so a place whose pair is too rare
+    to be replaced sleeps until a neighbour is replaced; a round looks at the places that are awake.
+    """
     base = int(ids.max()) + 1 if len(ids) else 0
     if base >= SYMBOLS:
         raise ValueError(f"ids up to {base - 1} do not fit into two bytes")
-    symbols, last, rules = ids.astype(np.uint32), last.copy(), np.zeros((0, 2), dtype=np.int64)
-    while len(symbols) > 1 and base + len(rules) < SYMBOLS:
-        places = np.flatnonzero(~last[:-1])
-        keys = ((symbols[:-1] << np.uint32(16)) | symbols[1:])[places]
+    n = len(ids)
+    # One place more on each side stands for what lies outside.
+    symbols, last = np.append(ids, [0, 0]).astype(np.uint32), np.append(last, [True, True])
+    after, before = np.arange(1, n + 3), np.arange(-1, n + 1)
+    awake, gone = ~last, np.zeros(n, dtype=bool)
+    rules = np.zeros((0, 2), dtype=np.int64)
+    while base + len(rules) < SYMBOLS:
+        places = np.flatnonzero(awake)
+        keys = (symbols[places] << np.uint32(16)) | symbols[after[places]]
+        bins = _bin(keys)
+        # Pairs that share a bin are counted together here, so some too rare ones stay awake; their own counts follow.
+        often = np.bincount(bins, minlength=1 << 20)[bins] >= LEAST
+        awake[places[~often]] = False
+        places, keys, bins = places[often], keys[often], bins[often]
+        if not len(places):
+            break
         ranked = np.sort(keys)
         begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         counts = np.diff(np.append(begins, len(ranked)))
-        often = np.flatnonzero(counts >= max(LEAST, int(counts.max(initial=0)) // 2))
+        often = np.flatnonzero(counts >= max(LEAST, int(counts.max()) // 2))
         top = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, SYMBOLS - base - len(rules))]]
         if not len(top):
             break
         pairs = ranked[begins[top]]
-        # Places find their pair by a hash of it; of pairs that share a hash the most frequent is replaced now, the others next time.
+        # Places find their pair by its bin; of pairs that share one the most frequent is replaced now, the others next time.
         table = np.full(1 << 20, -1, dtype=np.int32)
         table[_bin(pairs[::-1])] = np.arange(len(pairs), dtype=np.int32)[::-1]
-        chosen = table[_bin(keys)]
-        hit = (chosen >= 0) & (pairs[chosen] == keys)
+        chosen = table[bins]
+        hit = np.flatnonzero(chosen >= 0)
+        hit = hit[pairs[chosen[hit]] == keys[hit]]
         places, chosen = places[hit], chosen[hit]
         # In a run of overlapping places every second one is taken.
-        first = np.concatenate([[True], np.diff(places) > 1])
+        first = np.concatenate([[True], after[places[:-1]] != places[1:]])
         run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
         taken = (np.arange(len(places)) - run) % 2 == 0
         places, chosen = places[taken], chosen[taken]
@@ -80,12 +97,15 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             break
         names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint32)
         rules = np.concatenate([rules, np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1)[worth].astype(np.int64)])
-        symbols[places] = names[chosen]
-        last[places] = last[places + 1]
-        left = np.ones(len(symbols), dtype=bool)
-        left[places + 1] = False
-        symbols, last = symbols[left], last[left]
-    return symbols, rules, last, base
+        right = after[places]
+        symbols[places], last[places] = names[chosen], last[right]
+        gone[right], awake[right] = True, False
+        after[places] = after[right]
+        before[after[places]] = places
+        beside = before[places]  # -1, the last of the spare places, where nothing lies before
+        awake[places], awake[beside] = ~last[places], ~last[beside]
+    left = np.flatnonzero(~gone)
+    return symbols[left], rules, last[left], base
 
 
 def _bin(keys: np.ndarray) -> np.ndarray:
