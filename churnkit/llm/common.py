@@ -19,13 +19,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of rows that go to a Python worker at a time; by number of rows alone, long texts and sets would pile up.
+ARROW_BYTES = 4 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with batches to Python workers bounded by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return spark
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return bounded(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts the lineage, and outlives any executor."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(bounded(df.sparkSession))}/{name}_{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
