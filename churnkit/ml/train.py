@@ -36,8 +36,9 @@ PATIENCE = 50
 TIERS = ("Low", "Medium", "High")
 # --- end of fixed values ---
 
-#: Rows a task of an iterative fit takes at least.
+#: Rows a task of an iterative fit takes at least, and the most that are put into one to keep the tasks to one wave.
 TASK_ROWS = 20_000
+MOST_TASK_ROWS = 500_000
 
 
 def with_class_weight(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:
@@ -46,15 +47,24 @@ def with_class_weight(df: DataFrame, label: str = LABEL, name: str = "weight") -
     return df.withColumn(name, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))
 
 
+def fit_tasks(rows: int, slots: int) -> int:
+    """Tasks of each short job of a fit: one wave over the cluster's slots, fewer where there are few rows, more only where a task would hold too many.
+
+    What a task costs whatever its rows, and what it sends to the driver, comes up in every one of a fit's thousands of stages.
+    """
+    return max(1, min(math.ceil(rows / TASK_ROWS), slots), math.ceil(rows / MOST_TASK_ROWS))
+
+
 def train_gbt(matrix: DataFrame, params: Mapping | None = None) -> GBTClassificationModel:
     """Fit on the model matrix.
 
-    A fit is a chain of short jobs, several a round, so small inputs go to few tasks (``TASK_ROWS`` rows each at least).
+    A fit is a chain of short jobs, several a round, so its rows are dealt out evenly to few tasks (``fit_tasks``).
     """
     rows = with_vector(with_class_weight(matrix)).select("features", "weight", F.col(LABEL).cast("double").alias("label"))
-    tasks = math.ceil(matrix.count() / TASK_ROWS) or 1
+    tasks = fit_tasks(matrix.count(), matrix.sparkSession.sparkContext.defaultParallelism)
     settings = {**DEFAULT_PARAMS, **(params or {})}
-    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", **settings).fit(rows.coalesce(tasks))
+    dealt = rows.repartition(tasks) if tasks > 1 else rows.coalesce(tasks)
+    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", **settings).fit(dealt)
 
 
 def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:

@@ -216,6 +216,30 @@ def test_cross_validation_has_a_row_per_fold_and_the_mean(trained):
     assert all(1 <= got[str(i)].rounds <= 3 for i in range(3))
 
 
+def test_tasks_of_a_fit_do_not_grow_with_the_rows():
+    assert train.fit_tasks(0, 12) == train.fit_tasks(20_000, 12) == 1 and train.fit_tasks(20_001, 12) == 2
+    assert train.fit_tasks(900_000, 12) == train.fit_tasks(5_400_000, 12) == 12
+    assert train.fit_tasks(60_000_000, 12) == 120  # then a task's share of the rows would no longer fit its memory
+
+
+def test_a_fit_runs_in_one_even_wave(spark, trained, monkeypatch):
+    sizes = []
+
+    class Fitted:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            sizes.extend(r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+
+    monkeypatch.setattr(train, "GBTClassifier", Fitted)
+    monkeypatch.setattr(train, "TASK_ROWS", 2)
+    df = trained[0].repartition(40)
+    train.train_gbt(df)
+    slots = spark.sparkContext.defaultParallelism
+    assert len(sizes) <= slots and sum(sizes) == df.count() and max(sizes) - min(sizes) <= 40
+
+
 @pytest.mark.parametrize("name", ["ml_train_score", "ml_cross_validate", "ml_importance", "ml_explain"])
 def test_registered_models_train_in_full(spark, name, monkeypatch):
     class Asked(Exception):
