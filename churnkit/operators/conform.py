@@ -45,7 +45,8 @@ def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
 
 
 def _unique(raw: DataFrame, key: str, order: Sequence[str] = (), lean: bool = False) -> DataFrame:
-    rest = [c for c in raw.columns if c not in {key, *RECENCY, *order}]
+    # The name of the source is dropped, so copies that differ in nothing else are equal and it need not be shuffled.
+    rest = [c for c in raw.columns if c not in {key, *RECENCY, "_source", *order}]
     compared = [*order] if lean else [*order, *rest]
     rows = require(raw, [key]).select(key, *RECENCY, *compared)
     return drop_meta(dedup_latest(rows, [key], RECENCY, compared))

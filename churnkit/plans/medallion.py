@@ -128,12 +128,15 @@ def at_once(write: Callable[[str, DataFrame], DataFrame], frames: Mapping[str, D
 
 def stored_silver(
     raw: Mapping[str, DataFrame], write: Callable[[str, DataFrame], DataFrame], as_of=None, computed_at=None,
-    universe: int = EVENT_TYPE_UNIVERSE,
+    universe: int = EVENT_TYPE_UNIVERSE, lean: bool = False,
 ) -> Warehouse:
-    """A warehouse whose conformed tables are written by ``write(name, frame)`` and read back; its gold tables are planned on those."""
-    plan = Warehouse(raw, as_of, computed_at, universe)
+    """A warehouse whose conformed tables are written by ``write(name, frame)`` and read back; its gold tables are planned on those.
+
+    With ``lean`` only the columns of the facts that health and features use are shuffled and written; the dimensions stay whole.
+    """
+    plan = Warehouse(raw, as_of, computed_at, universe, lean=lean)
     # The company table comes first: the other conformed tables check their keys against it.
-    plan.companies = write("dim_companies", plan.companies)
+    plan.companies = write("dim_companies", conform.dim_companies(raw["companies"], raw["subscriptions"]))
     plan.company_keys = plan.companies.select("company_id")
     written = at_once(write, {name: getattr(plan, short) for short, name in SILVER_NAMES.items()})
     for short, df in zip(SILVER_NAMES, written):

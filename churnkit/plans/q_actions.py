@@ -39,7 +39,7 @@ def decisions(s):
     FROM latest_predictions p JOIN health h USING (company_id) JOIN dim_companies USING (company_id)
     WHERE p.risk_tier = 'High' AND h.mrr >= 1000 ORDER BY churn_probability DESC, company_id LIMIT 50""")
 def _(s):
-    return A.risk_candidates(s.predictions, s.gold.companies, s.health, "High", 1000, 50).select(
+    return A.risk_candidates(s.predictions, s.lean.companies, s.health, "High", 1000, 50).select(
         "company_id", "churn_probability", "risk_tier", "mrr_current", "days_to_renewal", "health_score", "company_name",
         "cs_agent_id",
     )
@@ -351,7 +351,7 @@ def _(s):
 # --- reports ------------------------------------------------------------------------
 
 def scored(s):
-    return P.scored_companies(s.predictions, s.gold.companies, s.health)
+    return P.scored_companies(s.predictions, s.lean.companies, s.health)
 
 
 @query("kpi_summary", """
@@ -405,7 +405,7 @@ def _(s):
     SELECT 3, CAST(row_number() OVER (ORDER BY action_type, status) AS INTEGER), action_type || ' / ' || status || ' / ' || n
     FROM (SELECT action_type, status, COUNT(*) AS n FROM actions GROUP BY ALL)""")
 def _(s):
-    return P.portfolio_text(s.predictions, s.gold.companies, s.health, s.actions)
+    return P.portfolio_text(s.predictions, s.lean.companies, s.health, s.actions)
 
 
 @query("risk_distribution", f"""
@@ -431,14 +431,14 @@ def _(s):
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)
     ORDER BY created_at DESC, action_id LIMIT 10""")
 def _(s):
-    return P.recent_actions(P.all_actions(s.actions, s.gold.companies, s.health))
+    return P.recent_actions(P.all_actions(s.actions, s.lean.companies, s.health))
 
 
 @query("all_actions", """
     SELECT action_id, company_id, action_type, status, outcome, created_at, approved_at, company_name, mrr
     FROM actions JOIN (SELECT company_id, company_name FROM dim_companies) USING (company_id) JOIN (SELECT company_id, mrr FROM health) USING (company_id)""")
 def _(s):
-    return P.all_actions(s.actions, s.gold.companies, s.health)
+    return P.all_actions(s.actions, s.lean.companies, s.health)
 
 
 @query("predictions_view", f"""

@@ -203,14 +203,14 @@ def _(s):
     SELECT company_id, churn_probability, risk_tier, company_size FROM scored_companies
     WHERE risk_tier IN ('High', 'Medium') AND churn_probability >= 0.5 AND company_size IN ('PME', 'GE')""")
 def _(s):
-    rows = scored_companies(s.predictions, s.gold.companies, s.health)
+    rows = scored_companies(s.predictions, s.lean.companies, s.health)
     return filter_predictions(rows, ("High", "Medium"), 0.5, ("PME", "GE")).select(
         "company_id", "churn_probability", "risk_tier", "company_size"
     )
 
 
 def review(s):
-    w = s.gold
+    w = s.lean
     return review_view(s.actions, w.companies, s.health, s.predictions, w.contacts, w.agents)
 
 

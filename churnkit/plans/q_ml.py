@@ -21,7 +21,7 @@ _MATRIX = "SELECT company_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) A
 
 
 def _matrix(s):
-    return matrix.model_matrix(s.gold.features)
+    return matrix.model_matrix(s.lean.features)
 
 
 def _stored_matrix(s):
@@ -56,7 +56,7 @@ def _(s):
     SELECT company_id, is_churned, CAST((row_number() OVER (PARTITION BY is_churned
            ORDER BY md5(company_id || ':42'), company_id) - 1) % 5 AS INTEGER) AS fold FROM feature_store""")
 def _(s):
-    rows = s.gold.features.select("company_id", "is_churned")
+    rows = s.lean.features.select("company_id", "is_churned")
     return folds.stratified_folds(rows, "is_churned", "company_id", 5, 42)
 
 

@@ -7,8 +7,10 @@ import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
+from churnkit import session
 from churnkit.operators import conform, health
 from churnkit.operators import relational as R
+from churnkit.plans import registry
 from churnkit.plans.catalogue import QUERIES
 from churnkit.plans.medallion import quality_reports, run_all
 from churnkit.plans.registry import Source
@@ -183,3 +185,33 @@ def test_whole_job_stores_every_layer(spark, tmp_path):
 def test_reports_do_not_read_facts_they_do_not_show(spark, name):
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(QUERIES[name](spark, FOLDER)))
     assert scans and not any("event_date" in s or "survey_date" in s or "l_orderkey" in s for s in scans)
+
+
+def test_a_large_shuffle_is_cut_by_its_size(spark, small_limits, monkeypatch):
+    """Few shuffle partitions must not make a task sort a share of the table that grows with it."""
+    for name, value in (("advisoryPartitionSizeInBytes", "100KB"), ("coalescePartitions.minPartitionSize", "10KB")):
+        monkeypatch.setitem(session.RUNTIME_CONF, f"spark.sql.adaptive.{name}", value)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    session.tune(spark)
+    newest = R.dedup_latest(skewed(spark).repartition(8), ["v"], ["k"])
+    pieces = newest.rdd.getNumPartitions()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert pieces > 8 and newest.count() == 30000
+
+
+def test_copies_that_differ_in_their_source_only_are_not_told_apart(rows):
+    raw = rows([(1, 7, "a", "x"), (1, 7, "a", None), (2, 5, None, "y")], "k int, _ingested_at int, v string, _source string")
+    kept = conform._unique(raw, "k")
+    assert values(kept) == [(1, "a"), (2, None)] and "_source" not in plan_of(kept).split("Exchange")[0]
+
+
+def test_model_and_review_queries_store_lean_facts(spark, monkeypatch):
+    monkeypatch.setattr(registry, "_SILVER", {})
+    source = Source(spark, FOLDER)
+    lean = source.lean
+    assert not {"subject", "description", "category"} & set(lean.tickets.columns) and "company_name" in lean.companies.columns
+    features, health_ = (df.drop("feature_computed_at", "computed_at") for df in (lean.features, lean.health))
+    for mine, whole in ((features, source.gold.features), (health_, source.gold.health)):
+        whole = whole.select(mine.columns)
+        assert mine.count() and mine.exceptAll(whole).count() == 0 and whole.exceptAll(mine).count() == 0
+    assert Source(spark, FOLDER).lean.tickets.columns == source.gold.tickets.columns  # what is stored whole is not stored again
