@@ -180,8 +180,8 @@ def _(s):
     return K.agent_nps(s.gold.companies, s.gold.nps)
 
 
-def _agent_performance(s):
-    w = s.gold
+def _agent_performance(s, w=None):
+    w = w or s.gold
     return K.agent_performance(w.agents, w.companies, w.subscriptions, s.health, w.tickets, w.nps, AS_OF)
 
 
@@ -205,14 +205,14 @@ _COUNTS = " UNION ALL ".join(
 
 
 def _tables(s):
-    """All tables of the three layers, by the names they are stored under."""
-    w = s.gold
+    """All tables of the three layers, by the names they are stored under; to be counted, so lean facts will do."""
+    w = s.lean
     frames = {name: s.raw[short] for short, name in RAW_NAMES.items()} | w.silver() | {
         "agg_company_health_score": w.health,
         "feature_store_churn": w.features,
         "agg_churn_predictions": s.predictions,
         "agg_retention_actions": s.actions,
-        "agg_agent_performance": _agent_performance(s),
+        "agg_agent_performance": _agent_performance(s, w),
     }
     return {(layer, name): frames[name] for layer, name in Q.ROW_MINIMA}
 
