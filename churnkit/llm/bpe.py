@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import WordTable, pieces, ragged, starts_of
+from churnkit.llm.common import WordTable, kept_by_worker, pieces, ragged, starts_of, tidy
 
 #: How byte-level tokenizers cut texts (fixed value of the file format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -238,15 +238,10 @@ class Coder:
         return np.concatenate([np.array([self.v.special[p]], dtype=np.int32) if i % 2 else self._plain(p) for i, p in enumerate(parts)])
 
 
-_CODERS: dict[str, Coder] = {}
-
-
 def coder_of(text: str) -> Coder:
     """One coder per worker and vocabulary."""
     key = hashlib.sha256(text.encode()).hexdigest()
-    if key not in _CODERS:
-        _CODERS[key] = Coder(Vocabulary(text))
-    return _CODERS[key]
+    return kept_by_worker(("bpe", key), lambda: Coder(Vocabulary(text)))
 
 
 def _file(df: DataFrame, path: str | os.PathLike):
@@ -265,7 +260,7 @@ def encode(docs: DataFrame, path: str | os.PathLike) -> DataFrame:
                 ids = [coder.encode(t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run, keeps=True), "doc_id long, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str | os.PathLike) -> DataFrame:
@@ -278,7 +273,7 @@ def decode(coded: DataFrame, path: str | os.PathLike) -> DataFrame:
             texts = [v.decode(np.asarray(x.values, dtype=np.int64) if x.is_valid else np.zeros(0, np.int64)).decode("utf-8", "replace") for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return coded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return coded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(tidy(run, keeps=True), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str | os.PathLike) -> DataFrame:
@@ -299,5 +294,5 @@ def round_trip(docs: DataFrame, path: str | os.PathLike) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(coded), pa.array(back)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(run, keeps=True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import components, hashes_of, mixed, ragged, starts_of, store, words_of
+from churnkit.llm.common import components, hashes_of, mixed, ragged, starts_of, store, tidy, tidy_group, words_of
 
 WIDTH = 5
 SIMILARITY = (75, 100)
@@ -340,10 +340,10 @@ def linked_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY,
     texts = texts.withColumn("mark", F.xxhash64("text"))
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(chars / 6 / PART))
-    answers = texts.mapInArrow(_spread(parts, width), _ROUTED).groupBy("part").applyInArrow(
-        _count_lists, _ROUTED.removeprefix("part long, ")
+    answers = texts.mapInArrow(tidy(_spread(parts, width)), _ROUTED).groupBy("part").applyInArrow(
+        tidy_group(_count_lists), _ROUTED.removeprefix("part long, ")
     )
-    closed = answers.groupBy("block").applyInArrow(_close_block(similarity), "doc_id long, mark long, digest binary, n_shingles long, shared binary")
+    closed = answers.groupBy("block").applyInArrow(tidy(_close_block(similarity)), "doc_id long, mark long, digest binary, n_shingles long, shared binary")
     members = store(closed.withColumn("row", F.monotonically_increasing_id()), "jaccard_members")
     # A class is named by the row of one member; another row speaks for it, as only one of each block carries the set.
     smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("best")
@@ -357,7 +357,7 @@ def linked_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY,
         .join(classes.filter("row is not null").select("id", "row"), "row").select("id", "n", "shared"),
         "jaccard_sets",
     )
-    lists = store(sets.mapInArrow(_short_lists(up, down), "shingle long, id long, n int, own int, place int"), "jaccard_lists")
+    lists = store(sets.mapInArrow(tidy(_short_lists(up, down)), "shingle long, id long, n int, own int, place int"), "jaccard_lists")
 
     def reachable(x: str, y: str):
         """Overlap needed by the two sizes against what is left of both sets from this list on."""
@@ -367,7 +367,7 @@ def linked_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY,
     def verified(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"))
         b = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"))
-        return pairs.join(a, "a").join(b, "b").mapInArrow(_search(up, down), "a long, b long")
+        return pairs.join(a, "a").join(b, "b").mapInArrow(tidy(_search(up, down)), "a long, b long")
 
     lead = lists.groupBy("shingle").agg(
         F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "id", "n", "place")).alias("lead"), F.count("*").alias("long")

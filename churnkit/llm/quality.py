@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import ragged, sampled, starts_of
+from churnkit.llm.common import ragged, sampled, starts_of, tidy
 from churnkit.llm.rules import statistics
 
 SAMPLE, LEAST, GRADES = 12_000, 5, 3
@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("doc_id"), batch.column("grade"), pa.array(sets, pa.binary())], schema=schema)
 
     rows = sampled(docs, rated, "grade", sample).select("turn", F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("grade").cast("int").alias("grade"))
-    found = rows.mapInArrow(run, "turn long, doc_id long, grade int, features binary").toPandas().sort_values(["turn", "doc_id", "features"], kind="stable")
+    found = rows.mapInArrow(tidy(run), "turn long, doc_id long, grade int, features binary").toPandas().sort_values(["turn", "doc_id", "features"], kind="stable")
     return fit([np.frombuffer(x, dtype=np.uint64) for x in found["features"]], found["grade"].to_numpy(dtype=np.int64))
 
 
@@ -171,4 +171,4 @@ def judge(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
                 expected, tail = shared.value.grades(scores)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(expected), pa.array(tail)], names=[*names, *RESULTS[:2]])
 
-    return kept.mapInArrow(run, schema).withColumn("kept", F.col("tail_probability") >= keep)
+    return kept.mapInArrow(tidy(run), schema).withColumn("kept", F.col("tail_probability") >= keep)

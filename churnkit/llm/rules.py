@@ -24,7 +24,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import hashes_of, mixed, sampled
+from churnkit.llm.common import hashes_of, mixed, sampled, tidy
 
 SAMPLE = 20_000
 #: Least share of rejected documents among those that a rule covers, least number of them, and most conditions of a rule.
@@ -95,7 +95,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             counted = np.array(rows, dtype=np.int64).reshape(len(rows), len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(counted[:, k]) for k in range(len(STATISTICS)))], names=[*names, *STATISTICS])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def ratio(name: str) -> Column:

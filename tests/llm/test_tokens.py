@@ -243,3 +243,27 @@ def test_positions_invert_the_demand(spark):
         for r in rows.select("d", curriculum.position(F.col("d"), F.lit(begin), F.lit(end)).alias("t")).collect():
             demand = (begin * r["t"] + (end - begin) * r["t"] ** 2 / 2) / ((begin + end) / 2)
             assert abs(demand - r["d"]) < 1e-9
+
+
+def test_a_task_gives_memory_back_and_keeps_words_for_its_own_operator_only():
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    from churnkit.llm import common
+
+    made = []
+
+    def run(batches):
+        common.kept_by_worker("words", lambda: made.append(1) or {})
+        return batches
+
+    batch = pa.record_batch({"x": [1]})
+    copies = [cloudpickle.loads(cloudpickle.dumps(common.tidy(lambda b: b, keeps=k))) for k in (True, False)]  # as tasks come to a worker
+    common._KEPT.clear()
+    for _ in range(2):
+        assert list(common.tidy(run, keeps=True)(iter([batch]))) == [batch] and list(copies[0](iter([batch]))) == [batch]
+    assert len(made) == 1 and list(common._KEPT) == ["words"]
+    held = pa.default_memory_pool().bytes_allocated()
+    assert list(copies[1](iter([batch]))) == [batch] and not common._KEPT
+    assert common.tidy_group(lambda t: t.slice(0, 1))(pa.table({"x": [1, 2]})).num_rows == 1
+    assert pa.default_memory_pool().bytes_allocated() <= held
