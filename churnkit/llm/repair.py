@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import WordTable, pieces, ragged, starts_of, store
+from churnkit.llm.common import WordTable, kept_by_worker, pieces, ragged, starts_of, store, tidy
 
 END = 2
 #: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
@@ -247,7 +247,18 @@ class _Words(dict):
         self.update(zip((t.encode() for t in texts), range(first, first + len(texts))))
 
 
-_KNOWN: dict[tuple[int, int], _Words] = {}
+def words_of_worker(vocabulary: str, end: int) -> _Words:
+    """The words this worker has met, in all tasks so far."""
+
+    def make() -> _Words:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(vocabulary)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return _Words(tokenizer, end)
+
+    return kept_by_worker(("repair", hash(vocabulary), end), make)
 
 
 def _split(text: str) -> list[bytes]:
@@ -281,19 +292,13 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
     """Shards of all documents in doc_id order: columns file, number, n_tokens, shard (binary); stored in the shared folder."""
     with open(path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
-    key = hash(vocabulary.value)
     schema = pa.schema([("file", pa.int32()), ("number", pa.int32()), ("n_tokens", pa.int64()), ("shard", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        if (key, end) not in _KNOWN:
-            tokenizer = Tokenizer.from_str(vocabulary.value)
-            tokenizer.no_truncation()
-            tokenizer.no_padding()
-            _KNOWN[key, end] = _Words(tokenizer, end)
+        words = words_of_worker(vocabulary.value, end)
         task, number = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -304,7 +309,7 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
             return pa.RecordBatch.from_pydict({"file": [task], "number": [number], "n_tokens": [len(ids)], "shard": [pack(names, ids, lengths)]}, schema=schema)
 
         for part in pieces(batches, BATCH_BYTES // 4):
-            held.append(encode_texts(part.column(1).to_pylist(), _KNOWN[key, end]))
+            held.append(encode_texts(part.column(1).to_pylist(), words))
             names += part.column(0).to_pylist()
             size += len(held[-1][0])
             if size >= SHARD:
@@ -316,7 +321,7 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = F.col("doc_id").asc_nulls_first()
     spread = texts.repartitionByRange(partitions, order) if partitions else texts.repartitionByRange(order)
-    shards = spread.sortWithinPartitions(order).mapInArrow(run, "file int, number int, n_tokens long, shard binary")
+    shards = spread.sortWithinPartitions(order).mapInArrow(tidy(run, keeps=True), "file int, number int, n_tokens long, shard binary")
     return store(shards, "repair_shards")
 
 
@@ -348,7 +353,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
     files = spark.createDataFrame(rows, "file int, files_before long")
     inside = Window.partitionBy("file").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     offsets = heads.withColumn("shards_before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(files, "file")
-    docs = shards.select("file", "number", "shard").mapInArrow(run, "file int, number int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    docs = shards.select("file", "number", "shard").mapInArrow(tidy(run), "file int, number int, doc_id long, before long, n_tokens long, ids_crc32 long")
     return docs.join(offsets.select("file", "number", (F.col("files_before") + F.col("shards_before")).alias("at")), ["file", "number"]).select(
         "doc_id", (F.col("at") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -267,3 +267,36 @@ def test_a_task_gives_memory_back_and_keeps_words_for_its_own_operator_only():
     assert list(copies[1](iter([batch]))) == [batch] and not common._KEPT
     assert common.tidy_group(lambda t: t.slice(0, 1))(pa.table({"x": [1, 2]})).num_rows == 1
     assert pa.default_memory_pool().bytes_allocated() <= held
+
+
+def test_words_are_learned_once_a_worker_not_once_a_task(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyspark
+    from pyspark import broadcast, cloudpickle
+
+    from churnkit.llm import common, repair
+
+    tasks, made = [], []
+    words = repair._Words
+
+    class Counted(words):
+        def __init__(self, *args):
+            made.append(1)
+            super().__init__(*args)
+
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, run, schema: tasks.append(run) or spark.createDataFrame([], schema))
+    monkeypatch.setattr(repair, "store", lambda df, name: df)
+    repair.write_shards(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), WORD)
+    monkeypatch.setattr(repair, "_Words", Counted)
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 0)))
+    common._KEPT.clear()
+    batch = pa.record_batch({"doc_id": [1], "text": ["a b"]})
+    sent = cloudpickle.dumps(tasks[0])
+    with open(WORD, encoding="utf-8") as file:
+        monkeypatch.setattr(broadcast, "_broadcastRegistry", dict.fromkeys(range(10_000), SimpleNamespace(value=file.read())))
+    shards = [list(cloudpickle.loads(sent)(iter([batch]))) for _ in range(3)]
+    assert len(made) == 1 and shards[0] == shards[1] == shards[2] and shards[0][0].column("n_tokens").to_pylist() == [3]
+    common._KEPT.clear()
