@@ -1,8 +1,8 @@
 """Token ids in shards under a Re-Pair grammar, with random access.
 
-Documents are put in ascending doc_id order by range partitions, encoded with the tokenizers library (a memory of words per
-worker keeps it off words it has seen), closed with an end id and gathered into shards of about ``SHARD`` ids. In each shard
-frequent pairs of neighbouring ids are replaced by new symbols, again and again, until no pair is frequent enough or the
+Documents are put in ascending doc_id order by range partitions, encoded with the tokenizers library (each distinct word of a
+batch is looked up once; a memory per worker keeps the library off words it has seen), closed with an end id and gathered into
+shards of ``SHARD`` ids, up to the end of the document in which they are reached. In each shard frequent pairs of neighbouring ids are replaced by new symbols, again and again, until no pair is frequent enough or the
 symbols of 16 bits are used up; a round replaces the most frequent pairs, down to half the count of the first of them, overlapping
 places from left to right, and counts anew, so pairs of new symbols have their turn before rarer ones. Pairs never cross
 the end of a document, so a document is a slice of the symbol sequence.
@@ -24,23 +24,28 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import compress, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import WordTable, kept_by_worker, pieces, ragged, starts_of, store, tidy
 
 END = 2
-#: Ids of a shard, words a worker remembers, bytes of text encoded at a time.
+#: Ids of a shard, parts of words a worker remembers, bytes of text encoded at a time.
 SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
 #: A pair is replaced if it stands at this many places at least; pairs of a round.
 LEAST, PER_ROUND = 8, 1024
+#: So few places are sorted as they are; looking for the frequent ones first would cost more.
+FEW = 40_000
 SYMBOLS = 1 << 16
-_SIGN = re.compile(rb"[.,;:!?](?<=[0-9a-z].)(?=[ \n])").sub
+#: ASCII signs at the end of a word after a letter or digit, which the tokenizer parts from it.
+_SIGNS = r"([0-9a-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~]+)$"
+#: Letters of which many words consist altogether; none is changed by those around it.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(c for c in map(chr, range(0xC0, 0x100)) if c.isalpha())
 MAGIC = b"REPAIR01"
 _HEAD = struct.Struct("<8s4Q")
 
@@ -49,7 +54,8 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Symbols, rules (pairs), first-symbol marks of documents and the first nonterminal. ``last`` marks the end of each document.
 
     The sequence is a linked list over the places of the ids. A pair of old symbols can only become rarer, so a place whose pair is too rare
-    to be replaced sleeps until a neighbour is replaced; a round looks at the places that are awake.
+    to be replaced sleeps until a neighbour is replaced; a round looks at the places that are awake. The pair of every place is kept, and is put
+    anew only where the place or the one after it is replaced.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
     if base >= SYMBOLS:
@@ -59,29 +65,36 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     symbols, last = np.append(ids, [0, 0]).astype(np.uint32), np.append(last, [True, True])
     after, before = np.arange(1, n + 3), np.arange(-1, n + 1)
     awake, gone = ~last, np.zeros(n, dtype=bool)
+    pair = symbols << np.uint32(16)
+    pair[:-1] |= symbols[1:]
+    table = np.full(1 << 20, -1, dtype=np.int32)
     rules = np.zeros((0, 2), dtype=np.int64)
     while base + len(rules) < SYMBOLS:
         places = np.flatnonzero(awake)
-        keys = (symbols[places] << np.uint32(16)) | symbols[after[places]]
+        keys = pair[places]
         bins = _bin(keys)
-        # Pairs that share a bin are counted together here, so some too rare ones stay awake; their own counts follow.
-        often = np.bincount(bins, minlength=1 << 20)[bins] >= LEAST
-        awake[places[~often]] = False
-        places, keys, bins = places[often], keys[often], bins[often]
+        if len(places) > FEW:
+            # Pairs that share a bin are counted together here, so some too rare ones stay awake; their own counts follow.
+            shared = np.bincount(bins, minlength=1 << 20).astype(np.int32)[bins]
+            awake[places] = shared >= LEAST
+            # No pair is more frequent than its bin: where the most frequent pair is known, those of bins below half of it need not be counted.
+            half = int(shared.max()) // 2
+            most = int(_counted(keys[shared >= half])[2].max())
+            in_reach = np.flatnonzero(shared >= max(LEAST, most // 2 if most >= half else 0))
+            places, keys, bins = places[in_reach], keys[in_reach], bins[in_reach]
         if not len(places):
             break
-        ranked = np.sort(keys)
-        begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        counts = np.diff(np.append(begins, len(ranked)))
+        ranked, begins, counts = _counted(keys)
         often = np.flatnonzero(counts >= max(LEAST, int(counts.max()) // 2))
         top = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, SYMBOLS - base - len(rules))]]
         if not len(top):
             break
         pairs = ranked[begins[top]]
         # Places find their pair by its bin; of pairs that share one the most frequent is replaced now, the others next time.
-        table = np.full(1 << 20, -1, dtype=np.int32)
-        table[_bin(pairs[::-1])] = np.arange(len(pairs), dtype=np.int32)[::-1]
+        slots = _bin(pairs)
+        table[slots[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
         chosen = table[bins]
+        table[slots] = -1
         hit = np.flatnonzero(chosen >= 0)
         hit = hit[pairs[chosen[hit]] == keys[hit]]
         places, chosen = places[hit], chosen[hit]
@@ -104,12 +117,21 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         before[after[places]] = places
         beside = before[places]  # -1, the last of the spare places, where nothing lies before
         awake[places], awake[beside] = ~last[places], ~last[beside]
+        pair[places] = (symbols[places] << np.uint32(16)) | symbols[after[places]]
+        pair[beside] = (symbols[beside] << np.uint32(16)) | symbols[places]
     left = np.flatnonzero(~gone)
     return symbols[left], rules, last[left], base
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, where each begins, and how often each stands there."""
+    ranked = np.sort(keys)
+    begins = np.flatnonzero(np.concatenate([[True] * (len(ranked) > 0), ranked[1:] != ranked[:-1]]))
+    return ranked, begins, np.diff(np.append(begins, len(ranked)))
+
+
 def _bin(keys: np.ndarray) -> np.ndarray:
-    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    return ((keys * np.uint32(0x9E3779B1)) >> np.uint32(12)).astype(np.intp)
 
 
 def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -205,7 +227,7 @@ class Shard:
 
 
 class _Words(dict):
-    """Numbers of words in a table of their ids; number 0, of the empty word, is the end id.
+    """Numbers of parts of words in a table of their ids; the empty part has none.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its words, one by one.
     """
@@ -216,18 +238,30 @@ class _Words(dict):
         names = tokenizer.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closing[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
+        self.spelled = _spelling(tokenizer)
+        self.plain = re.compile(f"[{_LETTERS}]+").fullmatch if self.spelled else lambda text: None
         self.forget()
 
     def forget(self) -> None:
         self.clear()
         self.table = WordTable()
-        self[b""] = self.table.add([self.end])
-
-    def learn(self, words: list[bytes]) -> None:
-        """Words of letters are encoded together and parted at the tokens that end a word, all others one by one."""
-        texts = b" ".join(words).decode().split(" ")
-        plain = [t.isalpha() for t in texts]
-        letters, other = list(compress(texts, plain)), [t for t, ok in zip(texts, plain) if not ok]
+        self[""] = self.table.add([])
+
+    def learn(self, texts: list[str]) -> None:
+        """Words of common letters go to the library's model as they are spelled for it; words of other letters are encoded together and
+        parted at the tokens that end a word, all others one by one."""
+        plain, letters, other = [], [], []
+        for text in texts:
+            (plain if self.plain(text) else letters if text.isalpha() else other).append(text)
+        if plain:
+            model = self.tokenizer.model.tokenize
+            flat, sizes = [], []
+            for text in plain:
+                tokens = model(text if text.isascii() else text.translate(self.spelled))
+                flat += [token.id for token in tokens]
+                sizes.append(len(tokens))
+            first = self.table.add_flat(flat, np.array(sizes))
+            self.update(zip(plain, range(first, first + len(plain))))
         for at in range(0, len(letters), 4000):
             self._joined(letters[at : at + 4000])
         if other:
@@ -235,7 +269,7 @@ class _Words(dict):
 
     def _each(self, texts: list[str]) -> None:
         first = self.table.add_all([one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-        self.update(zip((t.encode() for t in texts), range(first, first + len(texts))))
+        self.update(zip(texts, range(first, first + len(texts))))
 
     def _joined(self, texts: list[str]) -> None:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, dtype=np.int64)
@@ -244,7 +278,17 @@ class _Words(dict):
             self._each(texts)
             return
         first = self.table.add_flat(ids, np.diff(np.concatenate([[0], ends])))
-        self.update(zip((t.encode() for t in texts), range(first, first + len(texts))))
+        self.update(zip(texts, range(first, first + len(texts))))
+
+
+def _spelling(tokenizer) -> dict[int, str] | None:
+    """What the model is given for each of ``_LETTERS``; None if the tokenizer does more with a word than to spell its letters one by one."""
+    change = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+    part = tokenizer.pre_tokenizer.pre_tokenize_str if tokenizer.pre_tokenizer else lambda text: [(text, None)]
+    spelled = {ord(c): "".join(piece for piece, _ in part(change(c))) for c in _LETTERS}
+    word = _LETTERS + _LETTERS[::-1]
+    same = all(spelled[ord(c)] == c for c in _LETTERS if c.isascii())
+    return spelled if same and [piece for piece, _ in part(change(word))] == [word.translate(spelled)] else None
 
 
 def words_of_worker(vocabulary: str, end: int) -> _Words:
@@ -261,31 +305,42 @@ def words_of_worker(vocabulary: str, end: int) -> _Words:
     return kept_by_worker(("repair", hash(vocabulary), end), make)
 
 
-def _split(text: str) -> list[bytes]:
-    """Words of a text, in a form that has the same ids and comes again more often: A-Z in lower case, as the tokenizer puts them
-    itself, and single signs after a letter or digit as words of their own, as it parts them. Special tokens are case-sensitive."""
-    raw = text.encode()
-    if b"<|" not in raw:
-        raw = _SIGN(rb" \g<0>", raw.lower())
-    return raw.split()
+def _parts(texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.ListArray]:
+    """How many words each text has, the number of each word, and the parts of each distinct word, in a form that has the same ids and comes again more often:
+    A-Z in lower case, as the tokenizer puts them itself, and signs after a letter or digit as parts of their own, as it parts them.
+    Special tokens are case-sensitive and stay whole."""
+    special = pc.match_substring(texts, "<|")
+    lower, whole = pc.ascii_lower(texts), pc.any(special).as_py()
+    words = pc.ascii_split_whitespace(pc.if_else(special, texts, lower) if whole else lower)
+    numbers = words.flatten().dictionary_encode()
+    distinct = numbers.dictionary
+    parted = pc.replace_substring_regex(distinct, _SIGNS, r"\1 \2")
+    if whole:
+        parted = pc.if_else(pc.match_substring(distinct, "<|"), distinct, parted)
+    return pc.list_value_length(words), numbers.indices, pc.split_pattern(parted, " ")
 
 
-def encode_texts(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, each closed by the end id, and the length of each."""
+def encode_texts(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each closed by the end id, and the length of each. Every distinct word of them is looked up once."""
     if len(words) > MEMORY:
         words.forget()
-    flat: list[bytes] = []
-    for text in texts:
-        if text:
-            flat += _split(text)
-        flat.append(b"")
-    numbers = np.fromiter(map(words.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+    counts, places, parted = _parts(texts.fill_null(""))
+    parts = parted.flatten().dictionary_encode()
+    names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+    numbers = np.fromiter(map(words.get, names, repeat(-1)), dtype=np.int64, count=len(names))
     new = np.flatnonzero(numbers < 0).tolist()
     if new:
-        words.learn(list({flat[i] for i in new}))
-        numbers[new] = [words[flat[i]] for i in new]
-    ids, sizes = words.table.gather(numbers)
-    return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)[numbers == 0]]))
+        words.learn([names[i] for i in new])
+        numbers[new] = [words[names[i]] for i in new]
+    ids, sizes = words.table.gather(numbers[parts.indices.to_numpy()])
+    # The ids of each distinct word, those of its parts one after the other; after the last of them the end id.
+    upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(pc.list_value_length(parted).to_numpy())])]
+    ids, starts, sizes = np.append(ids, words.end), upto, np.append(np.diff(upto), 1)
+    end, counts, places = len(upto) - 1, counts.to_numpy(), places.to_numpy()
+    order = np.full(len(places) + len(counts), end)
+    order[np.arange(len(places)) + np.repeat(np.arange(len(counts)), counts)] = places
+    lengths = sizes[order]
+    return ids[ragged(starts[order], lengths)], np.diff(np.concatenate([[0], np.cumsum(lengths)[np.cumsum(counts + 1) - 1]]))
 
 
 def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, partitions: int | None = None) -> DataFrame:
@@ -308,13 +363,18 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
             ids, lengths = (np.concatenate(x) for x in zip(*held))
             return pa.RecordBatch.from_pydict({"file": [task], "number": [number], "n_tokens": [len(ids)], "shard": [pack(names, ids, lengths)]}, schema=schema)
 
-        for part in pieces(batches, BATCH_BYTES // 4):
-            held.append(encode_texts(part.column(1).to_pylist(), words))
-            names += part.column(0).to_pylist()
-            size += len(held[-1][0])
-            if size >= SHARD:
-                yield shard()
-                names, held, size, number = [], [], 0, number + 1
+        for part in pieces(batches, BATCH_BYTES):
+            ids, lengths = encode_texts(part.column(1), words)
+            ends, docs, at = np.cumsum(lengths), part.column(0).to_pylist(), 0
+            while at < len(docs):
+                before = int(ends[at - 1]) if at else 0
+                upto = min(int(np.searchsorted(ends, before + SHARD - size)) + 1, len(docs))
+                held.append((ids[before : ends[upto - 1]], lengths[at:upto]))
+                names += docs[at:upto]
+                size, at = size + len(held[-1][0]), upto
+                if size >= SHARD:
+                    yield shard()
+                    names, held, size, number = [], [], 0, number + 1
         if held:
             yield shard()
 

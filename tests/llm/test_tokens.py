@@ -10,6 +10,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -145,6 +146,73 @@ def test_large_ids_raise():
         repair.pack([1], np.array([70_000]), np.array([1]))
 
 
+def test_a_round_counts_only_pairs_it_may_replace(monkeypatch):
+    """The result is that of counting all of them."""
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.3, 300_000) % 3_000).astype(np.int64)
+    last = rng.random(len(ids)) < 0.01
+    last[-1] = True
+    counted, sizes = repair._counted, []
+    monkeypatch.setattr(repair, "_counted", lambda keys: sizes.append(len(keys)) or counted(keys))
+    found = repair.grammar(ids, last)
+    few = sum(sizes)
+    sizes.clear()
+    monkeypatch.setattr(repair, "FEW", len(ids))
+    whole = repair.grammar(ids, last)
+    assert all(np.array_equal(a, b) for a, b in zip(found, whole))
+    assert few < sum(sizes) / 2
+
+
+_PIECES = ["don't,", "x<|endoftext|>.", "<|ENDOFTEXT|>", "É!!", "\u00e9\u0301,", "a's", "12.", "a\u0338=", "ſ,", "ª.", "×,", "Σ.", "ΑΣ", "İ", "ÀÖØÞßÿ", "e\u0301e", "", "\u2028"]
+
+
+@pytest.fixture(scope="module")
+def word_library():
+    return Tokenizer.from_file(WORD)
+
+
+@pytest.fixture(scope="module")
+def word_memory():
+    return repair._Words(Tokenizer.from_file(WORD), 2)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.one_of(st.none(), st.text(SIGNS + "ÉÇ÷×ßÞÿ=<|", max_size=40), st.lists(st.sampled_from(_PIECES), max_size=8).map(" ".join)), max_size=5))
+def test_words_equal_the_library(word_library, word_memory, texts):
+    ids, lengths = repair.encode_texts(pa.array(texts, pa.string()), word_memory)
+    want = [word_library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert ids.tolist() == [x for w in want for x in w] and lengths.tolist() == [len(w) for w in want]
+
+
+def test_words_are_learned_without_the_signs_behind_them(word_library):
+    """And those of common letters are not put through the whole tokenizer."""
+    words, asked = repair._Words(Tokenizer.from_file(WORD), 2), []
+    words._each = lambda texts, each=words._each: asked.extend(texts) or each(texts)
+    words._joined = lambda texts, joined=words._joined: asked.extend(texts) or joined(texts)
+    text = "Été, été!! ÉTÉ. été*** und und, und!!"
+    ids, _ = repair.encode_texts(pa.array([text]), words)
+    assert ids.tolist() == [*word_library.encode(text, add_special_tokens=False).ids, 2]
+    assert sorted(asked) == ["!!", "***", ",", "."]
+
+
+def test_shards_are_cut_where_they_are_full(spark, monkeypatch):
+    """A batch with the ids of many shards is dealt out to as many."""
+    from types import SimpleNamespace
+
+    import pyspark
+
+    monkeypatch.setattr(repair, "store", lambda df, name: df)
+    tasks, frame = [], type(spark.range(1))
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, run, schema: tasks.append(run) or spark.createDataFrame([], schema))
+    monkeypatch.setattr(repair, "SHARD", 10)
+    repair.write_shards(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), WORD)
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.record_batch({"doc_id": list(range(7)), "text": ["a b c"] * 7})
+    shards = pa.Table.from_batches(list(tasks[0](iter([batch])))).to_pydict()
+    assert shards["n_tokens"] == [12, 12, 4] and shards["number"] == [0, 1, 2]
+    assert [repair.Shard(x).doc_ids for x in shards["shard"]] == [[0, 1, 2], [3, 4, 5], [6]]
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     rows = [(i, f"http://h/{i}", f"<p>{i % 7}</p>", i) for i in range(40)]
