@@ -2,10 +2,11 @@
 
 Documents are put in ascending doc_id order by range partitions, encoded with the tokenizers library (each distinct word of a
 batch is looked up once; a memory per worker keeps the library off words it has seen), closed with an end id and gathered into
-shards of ``SHARD`` ids, up to the end of the document in which they are reached. In each shard frequent pairs of neighbouring ids are replaced by new symbols, again and again, until no pair is frequent enough or the
-symbols of 16 bits are used up; a round replaces the most frequent pairs, down to half the count of the first of them, overlapping
-places from left to right, and counts anew, so pairs of new symbols have their turn before rarer ones. Pairs never cross
-the end of a document, so a document is a slice of the symbol sequence.
+shards of ``SHARD`` ids, up to the end of the document in which they are reached. In each shard frequent pairs of neighbouring ids
+are replaced by new symbols, again and again, until no pair is frequent enough or the symbols of 16 bits are used up; a round
+replaces the most frequent pairs, down to half the count of the first of them, overlapping places from left to right, and counts
+anew, so pairs of new symbols have their turn before rarer ones. Pairs never cross the end of a document, so a document is a slice
+of the symbol sequence.
 
 A shard is one binary value (little-endian): magic, four counts (documents, rules, symbols, first nonterminal) as u64,
 doc ids i64, null marks u8, first symbol of each document u64 (one more than documents), rules as pairs u16, the
