@@ -1,7 +1,7 @@
 """Signed contributions of each input to a boosted-tree score (Shapley values over the tree paths).
 
 The model is a few thousand numbers: it is stored, read back as a table of nodes and shipped to the
-tasks. Rows never leave their partition; each Arrow batch is explained with array arithmetic.
+tasks as tables of what its leaves contribute together (some 16 kB for half a tree). Rows never leave their partition; each Arrow batch is explained with array arithmetic.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Spark's boosted classifier has probability 1 / (1 + exp(-2 * margin)), so log-odds are twice the margin.
 LOG_ODDS_PER_MARGIN = 2.0
+#: Tests of leaves that are looked up together (their table has two to that power columns), and rows that are looked up at a time.
+JOINT_TESTS, BLOCK_ROWS = 8, 2048
 
 
 def node_table(model, path: str) -> DataFrame:
@@ -105,22 +107,72 @@ def leaf_paths(nodes: pd.DataFrame) -> list[Leaf]:
     return leaves
 
 
-def shapley(x: np.ndarray, leaves: Sequence[Leaf]) -> tuple[np.ndarray, float]:
-    """Contribution of every input for every row of ``x``, and the base value they add up from: one look-up a leaf and row."""
-    by_input = np.ascontiguousarray(x.T)
-    out = np.zeros(by_input.shape)
+@dataclass
+class Joint:
+    """Leaves that share tests (input, threshold), and their contributions by the set of tests a row passes, added up."""
+
+    inputs: np.ndarray
+    tests: list[tuple[int, float]]
+    table: np.ndarray
+    base: float
+
+
+def joined(leaves: Sequence[Leaf]) -> list[Joint]:
+    """Neighbouring leaves put together as long as they have no more than ``JOINT_TESTS`` tests between them: half a tree of depth four."""
+    groups: list[tuple[list[Leaf], dict[tuple[int, float], int]]] = []
+    for leaf in leaves:
+        own = [(feature, threshold) for _, feature, threshold, _ in leaf.tests]
+        if groups and len({*groups[-1][1], *own}) <= max(JOINT_TESTS, len(groups[-1][1])):
+            group, places = groups[-1]
+        else:
+            group, places = [], {}
+            groups.append((group, places))
+        group.append(leaf)
+        for test in own:
+            places.setdefault(test, len(places))
+    return [_joint(group, places) for group, places in groups]
+
+
+def _joint(leaves: Sequence[Leaf], places: dict[tuple[int, float], int]) -> Joint:
+    inputs = np.unique(np.concatenate([leaf.inputs for leaf in leaves]))
+    codes = np.arange(1 << len(places))
+    table = np.zeros((len(inputs), len(codes)))
     for leaf in leaves:
-        failed = np.zeros(len(x), dtype=np.int64)
+        failed = np.zeros(len(codes), dtype=np.int64)
         for place, feature, threshold, left in leaf.tests:
-            failed |= ((by_input[feature] <= threshold) != left).astype(np.int64) << place
-        out[leaf.inputs] += leaf.table[:, failed ^ ((1 << len(leaf.inputs)) - 1)]
-    return out.T, float(sum(leaf.base for leaf in leaves))
+            failed |= ((codes >> places[feature, threshold] & 1) != left).astype(np.int64) << place
+        table[np.searchsorted(inputs, leaf.inputs)] += leaf.table[:, failed ^ ((1 << len(leaf.inputs)) - 1)]
+    return Joint(inputs, list(places), table, sum(leaf.base for leaf in leaves))
+
+
+def shapley(x: np.ndarray, leaves: Sequence[Leaf]) -> tuple[np.ndarray, float]:
+    """Contribution of every input for every row of ``x``, and the base value they add up from."""
+    return looked_up(x, joined(leaves))
+
+
+def looked_up(x: np.ndarray, joints: Sequence[Joint]) -> tuple[np.ndarray, float]:
+    """The same from joined leaves: each different test once a row, one look-up a row and joint."""
+    tests = {test: i for i, test in enumerate(dict.fromkeys(test for joint in joints for test in joint.tests))}
+    features = np.array([feature for feature, _ in tests], dtype=int)
+    thresholds = np.array([threshold for _, threshold in tests], dtype=float)[:, None]
+    at = [np.array([tests[test] for test in joint.tests], dtype=int) for joint in joints]
+    out = np.zeros(x.shape)
+    for first in range(0, len(x), BLOCK_ROWS):
+        by_input = np.ascontiguousarray(x[first : first + BLOCK_ROWS].T)
+        passed, phi = by_input[features] <= thresholds, np.zeros(by_input.shape)
+        for joint, own in zip(joints, at):
+            code = np.zeros(by_input.shape[1], dtype=np.int64)
+            for k in range(0, len(own), 8):
+                code |= np.packbits(passed[own[k : k + 8]], axis=0, bitorder="little")[0].astype(np.int64) << k
+            phi[joint.inputs] += joint.table.take(code, axis=1)
+        out[first : first + BLOCK_ROWS] = phi.T
+    return out, float(sum(joint.base for joint in joints))
 
 
 def contributions(df: DataFrame, nodes: DataFrame, inputs: Sequence[str], name: str = "contributions") -> DataFrame:
     """Add a map of input name to signed log-odds contribution, and the base value they add up from."""
     # Bounded by the model: number of trees times 2 ** (depth + 1) nodes.
-    leaves = df.sparkSession.sparkContext.broadcast(leaf_paths(nodes.toPandas()))
+    joints = df.sparkSession.sparkContext.broadcast(joined(leaf_paths(nodes.toPandas())))
     inputs = list(inputs)
     plain = [f for f in df.schema.fields if f.name not in ("features", "rawPrediction")]
     schema = T.StructType(
@@ -129,7 +181,7 @@ def contributions(df: DataFrame, nodes: DataFrame, inputs: Sequence[str], name:
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            phi, base = shapley(batch[inputs].to_numpy(dtype=float), leaves.value)
+            phi, base = looked_up(batch[inputs].to_numpy(dtype=float), joints.value)
             yield batch.assign(_phi=list(phi), base_value=base)
 
     explained = df.select(*[f.name for f in plain]).mapInPandas(explain, schema)

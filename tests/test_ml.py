@@ -161,6 +161,38 @@ def test_contributions_match_all_orders_of_the_inputs():
         assert phi[i] == pytest.approx(want) and base == pytest.approx(start)
 
 
+@pytest.mark.parametrize("depth, limit, joints", [(4, 8, 6), (4, 1, 24), (6, 8, 48), (2, 8, 2)])
+def test_leaves_of_half_a_tree_are_looked_up_together(monkeypatch, depth, limit, joints):
+    """Three full trees; the sums over the leaves one by one are the same, also for missing values and those on a threshold."""
+    rnd, paths = random.Random(5), []
+
+    def grow(path):
+        if len(path) == depth:
+            paths.append((rnd.uniform(-2, 2), path))
+            return
+        feature, threshold, share = rnd.randrange(6), rnd.random(), rnd.uniform(0.1, 0.9)
+        grow([*path, (feature, threshold, True, share)])
+        grow([*path, (feature, threshold, False, 1 - share)])
+
+    for _ in range(3):
+        grow([])
+    x = np.array([[rnd.choice([rnd.random(), float("nan"), paths[0][1][0][1], paths[-1][1][-1][1]]) for _ in range(6)] for _ in range(50)])
+    leaves = [explain.leaf_of(v, path) for v, path in paths]
+    want = np.zeros(x.shape)
+    for leaf in leaves:
+        for row, values in enumerate(x):
+            passed = (1 << len(leaf.inputs)) - 1
+            for place, feature, threshold, left in leaf.tests:
+                if bool(values[feature] <= threshold) != left:
+                    passed &= ~(1 << place)
+            want[row, leaf.inputs] += leaf.table[:, passed]
+    monkeypatch.setattr(explain, "JOINT_TESTS", limit)
+    monkeypatch.setattr(explain, "BLOCK_ROWS", 16)
+    assert len(explain.joined(leaves)) == joints
+    phi, base = explain.shapley(x, leaves)
+    assert phi == pytest.approx(want) and base == pytest.approx(sum(leaf.base for leaf in leaves))
+
+
 def test_best_round_waits_for_patience():
     assert train.best_round([5, 4, 3, 3.5, 3.4], 50) == 3
     falling_late = [3.0] + [3.1] * 49 + [2.0]
