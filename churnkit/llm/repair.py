@@ -21,11 +21,10 @@ themselves. Other columns are ignored; an empty table gives no shards and an emp
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,10 @@ from churnkit.llm.common import WordTable, kept_by_worker, pieces, ragged, start
 
 END = 2
 #: Ids of a shard, parts of words a worker remembers, bytes of text encoded at a time.
-SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 4_000_000
+SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 12_000_000
 #: A pair is replaced if it stands at this many places at least; pairs of a round.
 LEAST, PER_ROUND = 8, 1024
-#: So few places are sorted as they are; looking for the frequent ones first would cost more.
+#: In shards of so few ids each round counts all pairs anew.
 FEW = 40_000
 SYMBOLS = 1 << 16
 #: ASCII signs at the end of a word after a letter or digit, which the tokenizer parts from it.
@@ -54,87 +53,99 @@ _HEAD = struct.Struct("<8s4Q")
 def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, rules (pairs), first-symbol marks of documents and the first nonterminal. ``last`` marks the end of each document.
 
-    The sequence is a linked list over the places of the ids. A pair of old symbols can only become rarer, so a place whose pair is too rare
-    to be replaced sleeps until a neighbour is replaced; a round looks at the places that are awake. The pair of every place is kept, and is put
-    anew only where the place or the one after it is replaced.
+    The sequence is a linked list over the places of the ids. A round looks at the places of the pairs it replaces, and counts the pairs that
+    the new symbols make with their neighbours.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
     if base >= SYMBOLS:
         raise ValueError(f"ids up to {base - 1} do not fit into two bytes")
     n = len(ids)
     # One place more on each side stands for what lies outside.
-    symbols, last = np.append(ids, [0, 0]).astype(np.uint32), np.append(last, [True, True])
+    symbols, last = np.append(ids, [0, 0]).astype(np.uint64), np.append(last, [True, True])
     after, before = np.arange(1, n + 3), np.arange(-1, n + 1)
-    awake, gone = ~last, np.zeros(n, dtype=bool)
-    pair = symbols << np.uint32(16)
-    pair[:-1] |= symbols[1:]
-    table = np.full(1 << 20, -1, dtype=np.int32)
+    gone = np.zeros(n + 2, dtype=bool)
+    known = _Pairs(n)
+    known.add(np.flatnonzero(~last), symbols, after)
     rules = np.zeros((0, 2), dtype=np.int64)
     while base + len(rules) < SYMBOLS:
-        places = np.flatnonzero(awake)
-        keys = pair[places]
-        bins = _bin(keys)
-        if len(places) > FEW:
-            # Pairs that share a bin are counted together here, so some too rare ones stay awake; their own counts follow.
-            shared = np.bincount(bins, minlength=1 << 20).astype(np.int32)[bins]
-            awake[places] = shared >= LEAST
-            # No pair is more frequent than its bin: where the most frequent pair is known, those of bins below half of it need not be counted.
-            half = int(shared.max()) // 2
-            most = int(_counted(keys[shared >= half])[2].max())
-            in_reach = np.flatnonzero(shared >= max(LEAST, most // 2 if most >= half else 0))
-            places, keys, bins = places[in_reach], keys[in_reach], bins[in_reach]
-        if not len(places):
-            break
-        ranked, begins, counts = _counted(keys)
-        often = np.flatnonzero(counts >= max(LEAST, int(counts.max()) // 2))
-        top = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, SYMBOLS - base - len(rules))]]
-        if not len(top):
-            break
-        pairs = ranked[begins[top]]
-        # Places find their pair by its bin; of pairs that share one the most frequent is replaced now, the others next time.
-        slots = _bin(pairs)
-        table[slots[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
-        chosen = table[bins]
-        table[slots] = -1
-        hit = np.flatnonzero(chosen >= 0)
-        hit = hit[pairs[chosen[hit]] == keys[hit]]
-        places, chosen = places[hit], chosen[hit]
+        pairs, places, chosen = known.most(min(PER_ROUND, SYMBOLS - base - len(rules)))
         # In a run of overlapping places every second one is taken.
-        first = np.concatenate([[True], after[places[:-1]] != places[1:]])
+        first = np.append([True], after[places[:-1]] != places[1:])[: len(places)]
         run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
         taken = (np.arange(len(places)) - run) % 2 == 0
         places, chosen = places[taken], chosen[taken]
-        worth = np.bincount(chosen, minlength=len(top)) >= 2
+        worth = np.bincount(chosen, minlength=len(pairs)) >= 2
         keep = worth[chosen]
         places, chosen = places[keep], chosen[keep]
         if not len(places):
             break
-        names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint32)
-        rules = np.concatenate([rules, np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1)[worth].astype(np.int64)])
+        names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint64)
+        rules = np.concatenate([rules, np.stack([pairs >> np.uint64(16), pairs & np.uint64(0xFFFF)], axis=1)[worth].astype(np.int64)])
         right = after[places]
-        symbols[places], last[places] = names[chosen], last[right]
-        gone[right], awake[right] = True, False
-        after[places] = after[right]
-        before[after[places]] = places
+        beyond = after[right]
+        symbols[places], last[places], gone[right] = names[chosen], last[right], True
+        after[places], before[beyond] = beyond, places
         beside = before[places]  # -1, the last of the spare places, where nothing lies before
-        awake[places], awake[beside] = ~last[places], ~last[beside]
-        pair[places] = (symbols[places] << np.uint32(16)) | symbols[after[places]]
-        pair[beside] = (symbols[beside] << np.uint32(16)) | symbols[places]
-    left = np.flatnonzero(~gone)
-    return symbols[left], rules, last[left], base
+        changed = np.concatenate([places, beside[np.append([True], beside[1:] != places[:-1])]])
+        known.drop(np.concatenate([changed, right]))
+        if n <= FEW:
+            known, changed = _Pairs(n), np.flatnonzero(~gone)
+        known.add(changed[~last[changed]], symbols, after)
+    left = np.flatnonzero(~gone[:n])
+    return symbols[left].astype(np.uint32), rules, last[left], base
+
+
+class _Pairs:
+    """The pairs that stand at ``LEAST`` places at least, with their places.
+
+    All places of a pair come up together, when the newer of its symbols does; from then on it can only become rarer. So a pair is counted
+    once, places are taken off as they are lost, and a pair that is too rare at first is never looked at again.
+    """
+
+    def __init__(self, n: int):
+        self.pairs, self.counts, self.starts, self.sizes = (np.zeros(0, dtype=kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
+        self.number = np.full(n + 2, -1, dtype=np.int32)  # of the pair at each place
+        # A replaced place is one less, and makes two pairs at most.
+        self.places, self.used = np.empty(3 * n, dtype=np.int32), 0
+
+    def add(self, places: np.ndarray, symbols: np.ndarray, after: np.ndarray) -> None:
+        """Places of pairs that stood nowhere before."""
+        ranked, begins, counts = _counted(symbols[places] << np.uint64(48) | symbols[after[places]] << np.uint64(32) | places.astype(np.uint64))
+        often = np.flatnonzero(counts >= LEAST)
+        begins, counts = begins[often], counts[often]
+        places = (ranked[ragged(begins, counts)] & np.uint64(0xFFFFFFFF)).astype(np.int32)
+        self.places[self.used : self.used + len(places)] = places
+        self.number[places] = np.repeat(np.arange(len(self.pairs), len(self.pairs) + len(often), dtype=np.int32), counts)
+        self.pairs = np.concatenate([self.pairs, ranked[begins] >> np.uint64(32)])
+        self.counts, self.sizes = np.concatenate([self.counts, counts]), np.concatenate([self.sizes, counts])
+        self.starts = np.concatenate([self.starts, self.used + starts_of(counts)])
+        self.used += len(places)
+
+    def drop(self, places: np.ndarray) -> None:
+        """Places whose pair is no more."""
+        numbers = self.number[places]
+        self.counts -= np.bincount(numbers[numbers >= 0], minlength=len(self.counts))
+        self.number[places] = -1
+
+    def most(self, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The most frequent pairs, down to half the count of the first of them; all their places in order, and which of the pairs is there."""
+        often = np.flatnonzero(self.counts >= max(LEAST, int(self.counts.max(initial=0)) // 2))
+        top = often[np.lexsort((self.pairs[often], -self.counts[often]))[:limit]]
+        places = self.places[ragged(self.starts[top], self.sizes[top])]
+        chosen = np.repeat(np.arange(len(top), dtype=np.int32), self.sizes[top])
+        stays = self.number[places] == top[chosen]
+        both = np.sort(places[stays].astype(np.uint64) << np.uint64(32) | chosen[stays].astype(np.uint64))
+        return self.pairs[top], (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys in order, where each begins, and how often each stands there."""
+    """Pairs (upper half) with their places in order, where each pair begins, and how often it stands there."""
     ranked = np.sort(keys)
-    begins = np.flatnonzero(np.concatenate([[True] * (len(ranked) > 0), ranked[1:] != ranked[:-1]]))
+    pairs = ranked >> np.uint64(32)
+    begins = np.flatnonzero(np.append([True], pairs[1:] != pairs[:-1])[: len(pairs)])
     return ranked, begins, np.diff(np.append(begins, len(ranked)))
 
 
-def _bin(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint32(0x9E3779B1)) >> np.uint32(12)).astype(np.intp)
-
-
 def pack(doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> bytes:
     last = np.zeros(len(ids), dtype=bool)
     last[np.cumsum(lengths) - 1] = True
@@ -240,7 +251,7 @@ class _Words(dict):
         self.closing = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closing[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
         self.spelled = _spelling(tokenizer)
-        self.plain = re.compile(f"[{_LETTERS}]+").fullmatch if self.spelled else lambda text: None
+        self.plain = f"^[{_LETTERS}]+$" if self.spelled else r"[^\x00-\x{10FFFF}]"  # no word
         self.forget()
 
     def forget(self) -> None:
@@ -251,9 +262,9 @@ class _Words(dict):
     def learn(self, texts: list[str]) -> None:
         """Words of common letters go to the library's model as they are spelled for it; words of other letters are encoded together and
         parted at the tokens that end a word, all others one by one."""
-        plain, letters, other = [], [], []
-        for text in texts:
-            (plain if self.plain(text) else letters if text.isalpha() else other).append(text)
+        is_plain = pc.match_substring_regex(pa.array(texts, pa.string()), self.plain).to_numpy(zero_copy_only=False)
+        plain, rest = list(compress(texts, is_plain)), list(compress(texts, ~is_plain))
+        letters, other = [text for text in rest if text.isalpha()], [text for text in rest if not text.isalpha()]
         if plain:
             model = self.tokenizer.model.tokenize
             flat, sizes = [], []
@@ -344,6 +355,18 @@ def encode_texts(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray
     return ids[ragged(starts[order], lengths)], np.diff(np.concatenate([[0], np.cumsum(lengths)[np.cumsum(counts + 1) - 1]]))
 
 
+def _together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches in a row as one, up to so many bytes: the fewer batches, the fewer times a word is looked up."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, partitions: int | None = None) -> DataFrame:
     """Shards of all documents in doc_id order: columns file, number, n_tokens, shard (binary); stored in the shared folder."""
     with open(path, encoding="utf-8") as file:
@@ -364,7 +387,7 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
             ids, lengths = (np.concatenate(x) for x in zip(*held))
             return pa.RecordBatch.from_pydict({"file": [task], "number": [number], "n_tokens": [len(ids)], "shard": [pack(names, ids, lengths)]}, schema=schema)
 
-        for part in pieces(batches, BATCH_BYTES):
+        for part in pieces(_together(batches, BATCH_BYTES), BATCH_BYTES):
             ids, lengths = encode_texts(part.column(1), words)
             ends, docs, at = np.cumsum(lengths), part.column(0).to_pylist(), 0
             while at < len(docs):

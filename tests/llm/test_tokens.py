@@ -163,6 +163,31 @@ def test_a_round_counts_only_pairs_it_may_replace(monkeypatch):
     assert few < sum(sizes) / 2
 
 
+def test_a_round_looks_at_what_it_replaces_and_makes(monkeypatch):
+    """Not at all places left: what is counted and sorted in all rounds together stays within a few times the ids."""
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 200, (4_000, 6))
+    ids = words[rng.zipf(1.2, 50_000) % len(words)].ravel()
+    last = np.arange(len(ids)) % 500 == 499
+    seen = []
+    for name in ("bincount", "sort"):
+        monkeypatch.setattr(np, name, lambda x, *args, own=getattr(np, name), **kwargs: seen.append(len(x)) or own(x, *args, **kwargs))
+    symbols, rules, ends, base = repair.grammar(ids, last)
+    assert len(rules) > 3 * repair.PER_ROUND
+    assert sum(seen) < 8 * len(ids)
+    _, counts = np.unique((symbols[:-1].astype(np.int64) << 16 | symbols[1:])[~ends[:-1]], return_counts=True)
+    assert counts.max() < repair.LEAST
+
+
+def test_short_batches_are_encoded_together():
+    batches = [pa.record_batch({"doc_id": [i], "text": ["x" * 100]}) for i in range(7)]
+    size = batches[0].nbytes
+    joined = list(repair._together(iter(batches), 3 * size))
+    assert [b.num_rows for b in joined] == [3, 3, 1]
+    assert pa.Table.from_batches(joined) == pa.Table.from_batches(batches)
+    assert [b.num_rows for b in repair._together(iter(batches), 1)] == [1] * 7
+
+
 _PIECES = ["don't,", "x<|endoftext|>.", "<|ENDOFTEXT|>", "É!!", "\u00e9\u0301,", "a's", "12.", "a\u0338=", "ſ,", "ª.", "×,", "Σ.", "ΑΣ", "İ", "ÀÖØÞßÿ", "e\u0301e", "", "\u2028"]
 
 
