@@ -251,6 +251,33 @@ def test_contexts_are_counted_whole_and_others_are_learned_from(spark):
     assert (model.weights != 0.4).any()
 
 
+def test_places_in_the_ways_serve_as_slots():
+    """Log-odds laid out along the ways are those of the slots; what is left of a text's own counts is that of a plain count."""
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.choice(list(b"ab c"), 300).tolist()) for _ in range(5)]
+    code = context_mix.code_of(rng.integers(0, 50, 256 * 257))
+    docs = np.array([(k, True, True, len(t)) for k, t in enumerate(texts)], dtype=context_mix._DOC)
+    block = context_mix.Block(docs, texts, [], [], [])
+    for order, _ in context_mix.PREDICTORS:
+        found, index, _ = context_mix._distinct(context_mix._keys_of(texts, order), 2)
+        lengths, _, way = context_mix._ways(code, found)
+        block.firsts.append(context_mix.starts_of(lengths).astype(np.int32)[index])
+        block.ways.append(way)
+        block.counts.append(rng.integers(0, 60, 2 * (int(way.max()) + 1)).astype(np.float32))
+    slots, *_ = context_mix.decisions(code, texts, firsts=block.firsts, ways=block.ways)
+    places, *_ = context_mix.decisions(code, texts, firsts=block.firsts)
+    assert len(places) == len(slots) and all((way[at] == slot).all() for at, slot, way in zip(places, slots, block.ways))
+    (inputs, _, sides, _), = context_mix._others(block, code)
+    ends = np.cumsum(context_mix.decisions(code, texts)[3])
+    for own, slot, counts in zip(inputs, slots, block.counts):
+        want = []
+        for a, b in zip([0, *ends[:-1]], ends):
+            mine = np.zeros_like(counts)
+            np.add.at(mine, 2 * slot[a:b] + sides[a:b], 1)
+            want.append(np.maximum(0, (counts - mine).reshape(-1, 2)[slot[a:b]]).ravel())
+        assert (own == context_mix.odds_of(np.concatenate(want)) * context_mix._UNIT).all()
+
+
 # --- models re-computed from what was fitted, row by row -------------------------
 
 
