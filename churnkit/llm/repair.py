@@ -20,10 +20,12 @@ themselves. Other columns are ignored; an empty table gives no shards and an emp
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import compress, repeat
 
 import numpy as np
@@ -61,11 +63,11 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         raise ValueError(f"ids up to {base - 1} do not fit into two bytes")
     n = len(ids)
     # One place more on each side stands for what lies outside.
-    symbols, last = np.append(ids, [0, 0]).astype(np.uint64), np.append(last, [True, True])
-    after, before = np.arange(1, n + 3), np.arange(-1, n + 1)
+    symbols, last = np.append(ids, [0, 0]).astype(np.uint32), np.append(last, [True, True])
+    after, before = np.arange(1, n + 3, dtype=np.int32), np.arange(-1, n + 1, dtype=np.int32)
     gone = np.zeros(n + 2, dtype=bool)
     known = _Pairs(n)
-    known.add(np.flatnonzero(~last), symbols, after)
+    known.add(_keys(symbols[:n], symbols[1 : n + 1], np.arange(n))[~last[:n]])
     rules = np.zeros((0, 2), dtype=np.int64)
     while base + len(rules) < SYMBOLS:
         pairs, places, chosen = known.most(min(PER_ROUND, SYMBOLS - base - len(rules)))
@@ -79,20 +81,21 @@ def grammar(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         places, chosen = places[keep], chosen[keep]
         if not len(places):
             break
-        names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint64)
+        names = (np.cumsum(worth) - 1 + base + len(rules)).astype(np.uint32)
         rules = np.concatenate([rules, np.stack([pairs >> np.uint64(16), pairs & np.uint64(0xFFFF)], axis=1)[worth].astype(np.int64)])
-        right = after[places]
-        beyond = after[right]
+        right = after[places].astype(np.intp)
+        beyond = after[right].astype(np.intp)
         symbols[places], last[places], gone[right] = names[chosen], last[right], True
         after[places], before[beyond] = beyond, places
-        beside = before[places]  # -1, the last of the spare places, where nothing lies before
+        beside = before[places].astype(np.intp)  # -1, the last of the spare places, where nothing lies before
         changed = np.concatenate([places, beside[np.append([True], beside[1:] != places[:-1])]])
         known.drop(np.concatenate([changed, right]))
         if n <= FEW:
             known, changed = _Pairs(n), np.flatnonzero(~gone)
-        known.add(changed[~last[changed]], symbols, after)
+        changed = changed[~last[changed]]
+        known.add(_keys(symbols[changed], symbols[after[changed]], changed))
     left = np.flatnonzero(~gone[:n])
-    return symbols[left].astype(np.uint32), rules, last[left], base
+    return symbols[left], rules, last[left], base
 
 
 class _Pairs:
@@ -108,9 +111,9 @@ class _Pairs:
         # A replaced place is one less, and makes two pairs at most.
         self.places, self.used = np.empty(3 * n, dtype=np.int32), 0
 
-    def add(self, places: np.ndarray, symbols: np.ndarray, after: np.ndarray) -> None:
-        """Places of pairs that stood nowhere before."""
-        ranked, begins, counts = _counted(symbols[places] << np.uint64(48) | symbols[after[places]] << np.uint64(32) | places.astype(np.uint64))
+    def add(self, keys: np.ndarray) -> None:
+        """Pairs that stood nowhere before (upper half) with their places."""
+        ranked, begins, counts = _counted(keys)
         often = np.flatnonzero(counts >= LEAST)
         begins, counts = begins[often], counts[often]
         places = (ranked[ragged(begins, counts)] & np.uint64(0xFFFFFFFF)).astype(np.int32)
@@ -132,12 +135,16 @@ class _Pairs:
         often = np.flatnonzero(self.counts >= max(LEAST, int(self.counts.max(initial=0)) // 2))
         top = often[np.lexsort((self.pairs[often], -self.counts[often]))[:limit]]
         places = self.places[ragged(self.starts[top], self.sizes[top])]
-        chosen = np.repeat(np.arange(len(top), dtype=np.int32), self.sizes[top])
-        stays = self.number[places] == top[chosen]
-        both = np.sort(places[stays].astype(np.uint64) << np.uint64(32) | chosen[stays].astype(np.uint64))
+        stays = self.number[places] == np.repeat(top, self.sizes[top])
+        both = np.sort((places.astype(np.uint64) << np.uint64(32) | np.repeat(np.arange(len(top), dtype=np.uint64), self.sizes[top]))[stays])
         return self.pairs[top], (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _keys(left: np.ndarray, right: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Pairs (upper half) with their places in one number each."""
+    return left.astype(np.uint64) << np.uint64(48) | right.astype(np.uint64) << np.uint64(32) | places.astype(np.uint64)
+
+
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (upper half) with their places in order, where each pair begins, and how often it stands there."""
     ranked = np.sort(keys)
@@ -355,6 +362,18 @@ def encode_texts(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray
     return ids[ragged(starts[order], lengths)], np.diff(np.concatenate([[0], np.cumsum(lengths)[np.cumsum(counts + 1) - 1]]))
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Without the collector of cycles: none are made here, and it would go through lists of all words again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def _together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Batches in a row as one, up to so many bytes: the fewer batches, the fewer times a word is looked up."""
     held: list[pa.RecordBatch] = []
@@ -375,6 +394,10 @@ def write_shards(docs: DataFrame, path: str | os.PathLike, end: int = END, parti
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        with _no_cycles():
+            yield from write(batches)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         words = words_of_worker(vocabulary.value, end)

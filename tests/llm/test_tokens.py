@@ -188,6 +188,16 @@ def test_short_batches_are_encoded_together():
     assert [b.num_rows for b in repair._together(iter(batches), 1)] == [1] * 7
 
 
+def test_the_cycle_collector_rests_while_shards_are_written():
+    import gc
+
+    assert gc.isenabled()
+    with pytest.raises(ValueError), repair._no_cycles():
+        assert not gc.isenabled()
+        raise ValueError
+    assert gc.isenabled()
+
+
 _PIECES = ["don't,", "x<|endoftext|>.", "<|ENDOFTEXT|>", "É!!", "\u00e9\u0301,", "a's", "12.", "a\u0338=", "ſ,", "ª.", "×,", "Σ.", "ΑΣ", "İ", "ÀÖØÞßÿ", "e\u0301e", "", "\u2028"]
 
 
