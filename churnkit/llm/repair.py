@@ -5,7 +5,7 @@ batch is looked up once; a memory per worker keeps the library off words it has
 shards of ``SHARD`` ids, up to the end of the document in which they are reached. In each shard frequent pairs of neighbouring ids
 are replaced by new symbols, again and again, until no pair is frequent enough or the symbols of 16 bits are used up; a round
 replaces the most frequent pairs, down to half the count of the first of them, overlapping places from left to right, and counts
-anew, so pairs of new symbols have their turn before rarer ones. Pairs never cross the end of a document, so a document is a slice
+the pairs this makes, so pairs of new symbols have their turn before rarer ones. Pairs never cross the end of a document, so a document is a slice
 of the symbol sequence.
 
 A shard is one binary value (little-endian): magic, four counts (documents, rules, symbols, first nonterminal) as u64,
@@ -38,7 +38,7 @@ from churnkit.llm.common import WordTable, kept_by_worker, pieces, ragged, start
 
 END = 2
 #: Ids of a shard, parts of words a worker remembers, bytes of text encoded at a time.
-SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 12_000_000
+SHARD, MEMORY, BATCH_BYTES = 1_000_000, 1_200_000, 20_000_000
 #: A pair is replaced if it stands at this many places at least; pairs of a round.
 LEAST, PER_ROUND = 8, 1024
 #: In shards of so few ids each round counts all pairs anew.
@@ -266,11 +266,12 @@ class _Words(dict):
         self.table = WordTable()
         self[""] = self.table.add([])
 
-    def learn(self, texts: list[str]) -> None:
-        """Words of common letters go to the library's model as they are spelled for it; words of other letters are encoded together and
+    def learn(self, texts: list[str]) -> np.ndarray:
+        """Numbers of new words. Words of common letters go to the library's model as they are spelled for it; words of other letters are encoded together and
         parted at the tokens that end a word, all others one by one."""
         is_plain = pc.match_substring_regex(pa.array(texts, pa.string()), self.plain).to_numpy(zero_copy_only=False)
         plain, rest = list(compress(texts, is_plain)), list(compress(texts, ~is_plain))
+        numbers = np.empty(len(texts), dtype=np.int64)
         letters, other = [text for text in rest if text.isalpha()], [text for text in rest if not text.isalpha()]
         if plain:
             model = self.tokenizer.model.tokenize
@@ -281,10 +282,13 @@ class _Words(dict):
                 sizes.append(len(tokens))
             first = self.table.add_flat(flat, np.array(sizes))
             self.update(zip(plain, range(first, first + len(plain))))
+            numbers[is_plain] = np.arange(first, first + len(plain))
         for at in range(0, len(letters), 4000):
             self._joined(letters[at : at + 4000])
         if other:
             self._each(other)
+        numbers[~is_plain] = [self[text] for text in rest]
+        return numbers
 
     def _each(self, texts: list[str]) -> None:
         first = self.table.add_all([one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
@@ -349,8 +353,7 @@ def encode_texts(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray
     numbers = np.fromiter(map(words.get, names, repeat(-1)), dtype=np.int64, count=len(names))
     new = np.flatnonzero(numbers < 0).tolist()
     if new:
-        words.learn([names[i] for i in new])
-        numbers[new] = [words[names[i]] for i in new]
+        numbers[new] = words.learn([names[i] for i in new])
     ids, sizes = words.table.gather(numbers[parts.indices.to_numpy()])
     # The ids of each distinct word, those of its parts one after the other; after the last of them the end id.
     upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(pc.list_value_length(parted).to_numpy())])]
