@@ -340,6 +340,29 @@ def test_training_order_follows_the_weights(docs, no_docs):
     assert curriculum.schedule(no_docs).count() == 0 and curriculum.taken(no_docs).count() == 0
 
 
+def test_taken_words_are_counted_in_the_training_order(spark, docs, no_docs):
+    rows = curriculum.taken(docs)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    sort = plan.index("Sort [mix_position")
+    assert "text#" in plan[sort:].split("\n")[1] and "Sort [mix_position" in plan  # the texts themselves are sorted
+    found = sorted((r.doc_id or -1, r.size, r.taken, p) for r in rows.collect() for p in r.positions)
+    order = curriculum.schedule(docs).collect()
+    assert sorted((r.doc_id or -1, r.mix_size, p) for r in order for p in [r.mix_position]) == [(i, n, p) for i, n, _, p in found]
+    for r in rows.collect():
+        assert sorted(r.positions) == r.positions and bool(r.positions) == (r.taken > 0) and len(r.positions) <= curriculum.MOST
+    empty = curriculum.taken(no_docs)
+    assert empty.columns == ["doc_id", "size", "source_size", "target", "taken", "positions"] and empty.count() == 0
+
+
+def test_rows_that_repeat_are_taken_one_by_one(spark):
+    rows = [(1, "a b c", "s")] * 4 + [(None, "a b", "s")] * 2 + [(2, "", "s"), (2, None, "s"), (2, "", "s"), (7, "d e f g h", None)]
+    found = curriculum.taken(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id or 0, r.size) for r in found) == sorted((i or 0, len((t or "").split())) for i, t, _ in rows)
+    for source_size in {r.source_size for r in found}:
+        own = [r for r in found if r.source_size == source_size]
+        assert sum(r.taken for r in own) == int(own[0].target) and all(len(r.positions) == -(-r.taken // r.size) if r.size else not r.positions for r in own)
+
+
 def test_positions_invert_the_demand(spark):
     rows = spark.range(101).select((F.col("id") / 100).alias("d"))
     for begin, end in curriculum.SLOPES:
