@@ -48,6 +48,20 @@ def test_ranking_is_cut_down_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan) and re.search(r"WindowGroupLimit .*Final", plan)
 
 
+def test_only_measured_rows_are_broadcast(spark, tmp_path):
+    session.tune(spark)
+    wide = [F.lit(f"text {i}").alias(f"text_{i}") for i in range(10)]
+    for name, n in (("large", 600_000), ("small", 2_000)):
+        spark.range(n).select(F.col("id").alias("company_id"), *wide).repartition(2).write.parquet(f"{tmp_path}/{name}")
+    large, small = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("large", "small"))
+    expected = int(str(large.select("company_id")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert expected < 600_000 * 16 / 3  # by its files the list of keys seems far smaller than it is
+    facts = spark.range(1_500_000).select((F.col("id") % 700_000).alias("company_id"), F.col("id").alias("fact_id"))
+    checked = R.fk_valid(facts, large, "company_id")
+    assert "BroadcastHashJoin" not in plan_of(checked) and "BroadcastHashJoin" not in final_plan(checked)
+    assert "BroadcastHashJoin" in final_plan(R.fk_valid(facts, small, "company_id"))
+
+
 def test_facts_are_never_put_into_one_partition(spark):
     for name in ("company_health", "feature_store", "ml_folds", "global_sequence", "gen_surrogate"):
         plan = plan_of(QUERIES[name](spark, FOLDER))
